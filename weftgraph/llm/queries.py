@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, languages, lexicon, licenses, packing, rans, toxicity
+from . import fingerprints, languages, lexicon, licenses, minhash, packing, rans, toxicity
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op6_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.encode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), digests=True)
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,6 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_output, op2_packing, op4_toxicity, op6_lexicon, op8_fingerprints, op9_language, op10_licenses)
+    for f in (op1_token_output, op2_packing, op4_toxicity, op6_lexicon, op7_bagminhash, op8_fingerprints, op9_language, op10_licenses)
 }
 ORACLE_SQL: dict[str, str] = {}
