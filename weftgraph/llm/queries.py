@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, languages, lexicon, licenses, minhash, packing, rans, toxicity
+from . import fingerprints, hnsw, languages, lexicon, licenses, minhash, packing, rans, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.encode(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), digests=True)
 
@@ -48,6 +52,6 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_output, op2_packing, op4_toxicity, op6_lexicon, op7_bagminhash, op8_fingerprints, op9_language, op10_licenses)
+    for f in (op1_token_output, op2_packing, op4_toxicity, op5_hnsw, op6_lexicon, op7_bagminhash, op8_fingerprints, op9_language, op10_licenses)
 }
 ORACLE_SQL: dict[str, str] = {}
