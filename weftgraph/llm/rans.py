@@ -33,7 +33,7 @@ from .tokens import END_ID, encoder
 
 MAGIC, VERSION = b"WRNS", 1
 SCALE, LANES, EVERY = 20, 1024, 64
-BLOCK, FRAME = 1 << 18, 1 << 21
+BLOCK, FRAME = 1 << 18, 1 << 20
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sBBHHIIQI")
 _BLOCK = struct.Struct("<IIII")
@@ -50,7 +50,7 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
 def encode_block(symbols: np.ndarray, freq: np.ndarray, start: np.ndarray) -> bytes:
     """symbols: indices into the table; the last step is filled up with symbol 0."""
     steps = -(-len(symbols) // LANES)
-    grid = np.zeros(steps * LANES, np.int64)
+    grid = np.zeros(steps * LANES, np.int32)
     grid[: len(symbols)] = symbols
     grid = grid.reshape(steps, LANES)
     x = np.full(LANES, _LOW, np.uint64)
@@ -100,13 +100,14 @@ def decode_block(block: bytes, table: tuple, first: int = 0, last: int | None =
 
 def encode_frame(ids: np.ndarray, index: np.ndarray) -> bytes:
     """index: int64 rows (document ordinal, doc_id, is null, ids in this frame)."""
-    symbols, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    by_count = np.argsort(-counts, kind="stable")
-    place = np.empty(len(symbols), np.int64)
-    place[by_count] = np.arange(len(symbols))
-    symbols, freq = symbols[by_count], frequencies(counts[by_count])
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    symbols = symbols[np.argsort(-counts[symbols], kind="stable")]
+    place = np.zeros(len(counts), np.int32)
+    place[symbols] = np.arange(len(symbols))
+    freq = frequencies(counts[symbols])
     start = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.uint64)
-    grid, freq64 = place[inverse.reshape(-1)], freq.astype(np.uint64)
+    grid, freq64 = place[ids], freq.astype(np.uint64)
     table = zlib.compress(symbols.astype("<u4").tobytes() + freq.astype("<u4").tobytes(), 1)
     about = zlib.compress(np.ascontiguousarray(index.T, "<i8").tobytes(), 1)
     blocks = []

@@ -17,7 +17,7 @@ import numpy as np
 
 END_ID = 2
 #: Entries of the cache that stays, and of the one that is emptied when full.
-KEPT, PASSING = 450_000, 120_000
+KEPT, PASSING = 300_000, 60_000
 
 
 class ChunkEncoder:
@@ -35,13 +35,14 @@ class ChunkEncoder:
         # False: the chunk touches more white space, so its text is encoded whole
         self.kept: dict = {} if style == "byte" else {"": b""}
         self.passing: dict = {}
+        self.kept_most, self.passing_most = KEPT, PASSING
         self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.passing) > PASSING:
+        if len(self.passing) > self.passing_most:
             self.passing.clear()
         cut = list(map(self._cut, texts))
         found, unknown = [], set()
@@ -63,14 +64,17 @@ class ChunkEncoder:
             for i in holes:
                 got[i] = self.passing[chunks[i]]
             try:
-                out.append(b"".join(got))
+                out.append(self._join(got))
             except TypeError:
                 out.append(self.whole(text))
-        if len(self.kept) < KEPT:
+        if len(self.kept) < self.kept_most:
             self.kept.update(new)
             self.passing.clear()
         return out
 
+    def _join(self, got: list):
+        return b"".join(got)
+
     def _cut(self, text: str) -> list:
         if self.style == "word":
             return text.replace("\n", " ").split(" ")
