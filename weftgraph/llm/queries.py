@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, hnsw, languages, lexicon, licenses, minhash, packing, rans, toxicity
+from . import fingerprints, hnsw, languages, lexicon, licenses, minhash, packing, rans, suffixes, toxicity
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,6 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_output, op2_packing, op4_toxicity, op5_hnsw, op6_lexicon, op7_bagminhash, op8_fingerprints, op9_language, op10_licenses)
+    for f in (op1_token_output, op2_packing, op3_suffixes, op4_toxicity, op5_hnsw, op6_lexicon, op7_bagminhash, op8_fingerprints, op9_language, op10_licenses)
 }
 ORACLE_SQL: dict[str, str] = {}
