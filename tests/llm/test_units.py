@@ -1,0 +1,216 @@
+"""Parts of the operators without Spark."""
+
+import collections
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from weftgraph.llm import fingerprints, hnsw, languages, lexicon, licenses, minhash, packing, rans, suffixes, toxicity
+from weftgraph.llm.queries import vocabulary
+from weftgraph.llm.tokens import ChunkEncoder
+
+ODD = ["", " ", "  a", "a  b", "a\n\nb", "a \n b", "a\tb c\r\nd", " x", "x ", "\n", "it's 'll  <|endoftext|> b<|endoftext|> c", "Σίσυφος ΟΔΟΣ. Σ", "é ́x é", "\x1cfoo \x00bar \x00", "日本語 テキスト", "foo\x1c bar", "1234 5 67's", "x\n", "a, b... c!\nD", "Foo, bar\nÉlan! Ǆ İstanbul ſ ß, ŒUVRE Ÿ."]
+
+
+@pytest.mark.parametrize(("name", "style"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_chunks_encode_like_whole_texts(name, style):
+    code = ChunkEncoder(vocabulary(name), style)
+    for _ in range(2):
+        assert code.encode(ODD) == [code.whole(x) for x in ODD]
+
+    @settings(max_examples=150, deadline=None)
+    @given(st.text(alphabet="aB é.,'\n\t\x1c1ſİ<|>", max_size=20))
+    def any_text(text):
+        assert code.encode([text]) == [code.whole(text)]
+
+    any_text()
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(0, 60_000), max_size=300), st.integers(1, 900))
+def test_frames_round_trip(ids, repeat):
+    ids = np.array(ids * repeat, "<u4")
+    frame = rans.Frame(rans.encode_frame(ids, np.array([[0, 7, 0, len(ids)]])))
+    assert (frame.ids() == ids).all() and frame.index.tolist() == [[0, 7, 0, len(ids)]]
+
+
+def test_frames_decode_from_a_checkpoint_and_notice_damage():
+    ids = np.random.default_rng(1).zipf(1.3, 200_000) % 50_000
+    data = rans.encode_frame(ids.astype("<u4"), np.zeros((0, 4), np.int64))
+    frame = rans.Frame(data)
+    part = frame.symbols[rans.decode_block(frame.blocks[0][0], frame.table, 1, 2)]
+    size = rans.EVERY * rans.LANES
+    assert (part == ids[size : 2 * size]).all()
+    with pytest.raises(ValueError):
+        rans.Frame(data[:1000] + bytes([data[1000] ^ 1]) + data[1001:])
+
+
+def test_crc_of_joined_parts():
+    import zlib
+
+    a, b = b"hello" * 100, b"world" * 77
+    assert rans.crc32_combine(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+def test_packing_places_each_id_once():
+    sizes = [random.Random(3).randint(1, 9000) for _ in range(500)]
+    windows = packing.Windows()
+    pieces = list(packing.cut_and_place(iter(sizes), windows))
+    for k, n in enumerate(sizes):
+        own = sorted((s, length) for d, s, length, _, _ in pieces if d == k)
+        assert sum(x for _, x in own) == n and [s for s, _ in own] == [0, *np.cumsum([x for _, x in own])[:-1]]
+    fill = collections.Counter()
+    for *_, length, window, _ in pieces:
+        fill[window] += length
+    still = {w for _, w in windows.open}
+    assert max(fill.values()) <= 4096 and len(windows.open) <= packing.OPEN
+    assert all(4096 - n < packing.MIN_CUT for w, n in fill.items() if w not in still)
+
+
+def test_collection_is_the_sorted_suffixes():
+    r = random.Random(5)
+    for _ in range(40):
+        strings = list({bytes(r.choice(b"ab") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 12))})
+        built = suffixes.Collection(strings)
+        every = sorted(((s[j:], i, j) for i, s in enumerate(strings) for j in range(len(s) + 1)), key=lambda x: [b + 1000 for b in x[0]] + [x[1]])
+        assert built.symbols.tolist() == [0 if j == 0 else strings[i][j - 1] + 1 for _, i, j in every]
+        common = [next((k for k, (x, y) in enumerate(zip(a[0], b[0], strict=False)) if x != y), min(len(a[0]), len(b[0]))) for a, b in zip(every, every[1:], strict=False)]
+        assert built.prefix.tolist() == [0, *common]
+
+
+def test_minimizer_runs_cover_all_windows():
+    texts = ["abc" * 60, "x" * 49, "y" * 50, "", "".join(chr(97 + i * i % 26) for i in range(400))]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    for step in (1 << 19, 64):
+        h, first, count = suffixes.minimizers(data, offsets, step)
+        windows = sorted(w for f, c in zip(first, count, strict=True) for w in range(f, f + c))
+        want = [o + i for o, t in zip(offsets, texts, strict=False) for i in range(len(t) - 49)]
+        assert windows == want and count.max() <= suffixes.WINDOWS
+
+
+def test_lexicon_finds_its_words_only():
+    r = random.Random(2)
+    words = list({"".join(r.choice("abé") for _ in range(r.randint(1, 6))) for _ in range(600)})
+    found = lexicon.Lexicon.mapped(lexicon.compile_lexicon([(w, [i, i + 1]) for i, w in enumerate(words[:200])]))
+    assert [found.get(w.encode()) for w in words] == [[i, i + 1] if i < 200 else None for i in range(len(words))]
+    assert lexicon.Lexicon(lexicon.compile_lexicon([])).get(b"a") is None
+
+
+def test_codec_is_the_tokenizer():
+    code = lexicon.Codec(vocabulary("word_bpe_49k.json"), lexicon.Lexicon(lexicon.compile_lexicon([("a", [320])])))
+    for text, (n, ids, decoded) in zip(ODD, code.encode(ODD), strict=True):
+        want = code.tokenizer.encode(text, add_special_tokens=False).ids
+        assert (n, ids, decoded) == (len(want), " ".join(map(str, want)), code.tokenizer.decode(want, skip_special_tokens=False))
+
+
+@pytest.mark.parametrize(
+    ("expression", "rpn", "ok"),
+    [
+        ("MIT OR GPL-2.0-only", ["mit", "gpl-2.0-only", "or"], True),
+        ("GPL-2.0 WITH Classpath-exception-2.0 AND MIT", ["gpl-2.0", "classpath-exception-2.0", "with", "mit", "and"], False),
+        ("(MIT AND (Apache-2.0 OR GPL-3.0)) and more prose", ["mit", "apache-2.0", "gpl-3.0", "or", "and", "more", "and"], False),
+        ("MIT AND", ["mit"], True),
+        ("((", [], False),
+        ("", [], False),
+    ],
+)
+def test_expressions(expression, rpn, ok):
+    assert licenses.postfix(expression) == rpn
+    assert licenses.evaluate(rpn, lambda x: x.split("-")[0] in licenses.PERMISSIVE) == ok
+
+
+def test_scan_counts_words_and_places():
+    found = licenses.automaton()
+    text = "MIT-License, mit license mit\nlicense. Apache  License\n# SPDX-License-Identifier: (BSD-3-Clause OR ISC) AND MPL-2.0\n"
+    n, n_base, first, last, base, labels, score, expressions, permissive = licenses.scan(text, found)
+    assert (n, n_base, first, last, base) == (20, 4, 0, 6, "apache,mit")
+    assert labels == "apache,bsd,isc,mit,mpl" and permissive is False and score > 0.9
+    assert licenses.scan("", found)[:4] == (0, 0, None, None)
+
+
+def test_sketches():
+    a, b = fingerprints.sketches(["a b c d e f g h", "a b c d e f g x"])
+    assert fingerprints.resemblance(a, b) == pytest.approx(3 / 5) and fingerprints.containment(a, b) == pytest.approx(3 / 4)
+    assert (fingerprints.from_text(fingerprints.to_text(a)) == a).all()
+    none = fingerprints.sketches(["", "..."])
+    assert fingerprints.resemblance(*none) == 1.0 and fingerprints.resemblance(none[0], a) == 0.0
+    long = fingerprints.sketches([" ".join(str(i) for i in range(20_000)), " ".join(str(i) for i in range(10_000))])
+    assert fingerprints.distinct(long[0]) == pytest.approx(19_996, rel=0.2) and fingerprints.resemblance(*long) == pytest.approx(0.5, abs=0.12)
+
+
+def test_bagminhash_is_unbiased():
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    one = [" ".join(r.choice(words) for _ in range(300)) + " same tail of words again and again" * 20 for _ in range(1)][0]
+    two = one[:900] + " " + " ".join(r.choice(words) for _ in range(150)) + one[1500:]
+    column = pa.array([one, two])
+    text, h, c = minhash.bags(column)
+    signature = minhash.signatures(text, h, c, 2, 4096)
+    counters = [collections.Counter(dict(zip(h[text == i].tolist(), c[text == i].tolist(), strict=True))) for i in (0, 1)]
+    shared = sum((counters[0] & counters[1]).values())
+    want = shared / sum((counters[0] | counters[1]).values())
+    assert c.max() > 4 and (signature[0] == signature[1]).mean() == pytest.approx(want, abs=0.035)
+    flat = [np.sort(np.repeat(h[text == i], c[text == i])) for i in (0, 1)]
+    assert minhash.weighted_jaccard(*flat) == pytest.approx(want)
+
+
+def test_small_world_links():
+    r = np.random.default_rng(7)
+    centers = r.normal(size=(40, 32))
+    x = centers[r.integers(0, 40, 1500)] + r.normal(size=(1500, 32)) * r.choice([0.1, 0.4], (1500, 1))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph(unit)
+    graph.unit64 = unit
+    found = np.zeros((1500, 1500), bool)
+    for q, node, _ in hnsw.linked(graph, unit):
+        found[q, node] = True
+    truth = unit @ unit.T >= 0.93
+    assert not (found & ~truth).any() and found.sum() >= 0.99 * truth.sum()
+
+
+def test_languages_are_told_apart():
+    model = languages.fit(["the cat and the dog " * 4, "the house and that hat "] * 10 + ["der hund und die katze " * 4, "das haus und der hut "] * 10, ["en"] * 20 + ["de"] * 20)
+    names, score = languages.predict(model, pa.array(["the hat and the dog", "und die katze der", "123"]), pa.array([True, True, False]))
+    assert names == ["en", "de", "und"] and score[2] == 0
+    assert languages.predict(None, pa.array(["x"]), pa.array([True]))[0] == ["und"]
+
+
+def test_marginals_are_exact():
+    r = np.random.default_rng(3)
+    lengths = np.array([5, 0, 3, 1])
+    e = r.normal(size=9)
+    trans = r.normal(size=(2, 2))
+    got, at = toxicity.marginals(e, lengths, trans), 0
+    for n in lengths:
+        total, one = 0.0, np.zeros(n)
+        for states in range(2**n):
+            s = [states >> i & 1 for i in range(n)]
+            w = np.exp(sum(e[at + i] for i in range(n) if s[i]) + sum(trans[([0, *s])[i], s[i]] for i in range(n)))
+            total += w
+            one += w * np.array(s)
+        if n:
+            assert got[at : at + n] == pytest.approx(one / total)
+        at += n
+
+
+def test_toxic_words_are_found():
+    r = random.Random(1)
+    words = ["".join(r.choice("abcdefghi") for _ in range(r.randint(2, 7))) for _ in range(300)]
+    texts, labels = [], []
+    for i in range(400):
+        t = [r.choice(words) for _ in range(40)]
+        if i % 4 == 0:
+            t[r.randrange(40)] = "zxqrude"
+        texts.append(" ".join(t))
+        labels.append(float(i % 4 == 0))
+    tag = toxicity.Tagger(toxicity.fit(texts, np.array(labels)))
+    score, spans = tag(["abc zxqrude def", "abc def", "", *texts[:8]])
+    assert score[0] >= 0.3 > score[1] and score[2] < 0.3 and spans[0] == [(4, 11)] and spans[1] == []
+    assert ((score[3:] >= 0.3) == (np.arange(8) % 4 == 0)).all()
+    assert re.match("zxqrude", "abc zxqrude def"[4:11])

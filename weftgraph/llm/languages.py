@@ -111,7 +111,7 @@ def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFram
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and the text's columns' row each; the model (a few MB) is broadcast."""
+    """doc_id, held_out, lang_pred, score of every document; the model (a few MB) is broadcast."""
     spark = docs.sparkSession
     rows = training_rows(docs, per_language).orderBy("doc_id", F.xxhash64("text")).collect()
     model = spark.sparkContext.broadcast(fit([r.text for r in rows], [r.lang for r in rows]) if rows else None)
@@ -145,8 +145,8 @@ def accepted(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
-            names, score = predict(model.value, batch["text"].fill_null(""), batch["letters"])
+            names, score = predict(model.value, batch["text"].fill_null(""), batch["__letters"])
             keep = pa.array([n != "und" and s >= least for n, s in zip(names, score, strict=True)], pa.bool_())
-            yield batch.drop_columns("letters").filter(keep)
+            yield batch.drop_columns("__letters").filter(keep)
 
-    return docs.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(work, docs.schema)
+    return docs.withColumn("__letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(work, docs.schema)

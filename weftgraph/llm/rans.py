@@ -43,7 +43,8 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
     """Counts scaled to a sum of 2**SCALE, at least 1 each."""
     free = (1 << SCALE) - len(counts)
     out = 1 + counts.astype(np.int64) * free // max(1, int(counts.sum()))
-    out[np.argmax(out)] += (1 << SCALE) - out.sum()
+    if len(out):
+        out[np.argmax(out)] += (1 << SCALE) - out.sum()
     return out
 
 

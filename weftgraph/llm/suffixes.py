@@ -227,7 +227,7 @@ def gathered(docs: DataFrame, others: list[str] | None = None) -> DataFrame:
         def out() -> pa.RecordBatch:
             nonlocal k, held, size
             raw = [t for b in held for t in b["text"].cast(pa.binary()).to_pylist()]
-            ids = [i for b in held for i in b["key"].to_pylist()]
+            ids = [i for b in held for i in b["__key"].to_pylist()]
             rest = pa.BufferOutputStream()
             if others:
                 with pa.ipc.new_stream(rest, held[0].select(others).schema) as to:
@@ -252,7 +252,7 @@ def gathered(docs: DataFrame, others: list[str] | None = None) -> DataFrame:
         if held:
             yield out()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *others)
+    rows = docs.select(F.col("doc_id").cast("long").alias("__key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *others)
     return rows.mapInArrow(work, "group long, ids binary, sizes binary, nulls binary, data binary, rest binary")
 
 
