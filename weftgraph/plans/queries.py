@@ -341,12 +341,12 @@ def early_return(g):
 
 
 @query("""
-    SELECT call_id, arg_index, regexp_replace(code, '[^a-zA-Z0-9_].*', '') AS variable, try_cast(CASE WHEN regexp_full_match(code, '[0-9]+') THEN code END AS BIGINT) AS number,
+    SELECT call_id, arg_index, regexp_replace(code, '[^a-zA-Z0-9_].*', '') AS variable, coalesce(try_cast(CASE WHEN regexp_full_match(code, '[0-9]+') THEN code END AS BIGINT), -1) AS number,
       regexp_full_match(code, '[0-9]+') AS is_constant, coalesce(try_cast(CASE WHEN regexp_full_match(code, '[0-9]+') THEN code END AS BIGINT) <= 100, false) AS is_small,
       CASE WHEN length(code) > 3 THEN left(code, 3) || '…(+' || (length(code) - 3) || ' chars)' ELSE code END AS clipped FROM {argument}""")
 def expression_facts(g):
     c = F.col("code")
-    return g.argument.select("call_id", "arg_index", P.extract_variable(c).alias("variable"), P.parse_int_literal(c).alias("number"), P.constant(c).alias("is_constant"), P.small_constant(c, 100).alias("is_small"), P.clip(c, 3).alias("clipped"))
+    return g.argument.select("call_id", "arg_index", P.extract_variable(c).alias("variable"), F.coalesce(P.parse_int_literal(c), F.lit(-1)).alias("number"), P.constant(c).alias("is_constant"), P.small_constant(c, 100).alias("is_small"), P.clip(c, 3).alias("clipped"))
 
 
 @query("""
