@@ -45,3 +45,18 @@ PATH_CHECKS = "access stat lstat fstat faccessat euidaccess eaccess statx access
 PATH_USES = "open fopen freopen creat openat open64 fopen64 rename unlink unlinkat rmdir mkdir mkdirat chmod chown lchown fchmodat fchownat execve execvp execvpe execl execlp link linkat symlink symlinkat truncate truncate64".split()
 DEREF_EXEMPT = "free cfree sizeof typeof assert __assert_fail exit abort _exit".split()
 SEVERITIES = ["low", "medium", "high", "critical"]
+# Patterns and weights by which a snippet's language is told.
+LANGUAGE_SIGNALS = {
+    "python": [(r"\bdef\s+\w+\s*\(", 2), (r"\bimport\s+\w+", 1), (r"\bself\b", 1), (r"\belif\b", 2), (r"__name__", 2), (r"\bprint\s*\(", 1), (r":\s*$", 1)],
+    "c": [(r"#include\s*<\w+\.h>", 2), (r"\bint\s+main\s*\(", 1), (r"\bprintf\s*\(", 1), (r"\bmalloc\s*\(", 2), (r"\bstruct\s+\w+", 1), (r"\bsizeof\b", 1)],
+    "cpp": [(r"\bstd::", 3), (r"\btemplate\s*<", 2), (r"\bnamespace\b", 2), (r"\bcout\b", 2), (r"\bnullptr\b", 2), (r"::\w", 1)],
+    "java": [(r"\bpublic\s+class\b", 2), (r"\bimport\s+java\.", 3), (r"System\.out\.print", 2), (r"\bpackage\s+[\w.]+;", 2), (r"@Override", 2), (r"\bpublic\s+static\s+void\s+main", 2)],
+    "javascript": [(r"\bfunction\s+\w*\s*\(", 1), (r"\bconst\s+\w+\s*=", 1), (r"\blet\s+\w+", 1), (r"=>", 1), (r"console\.log\s*\(", 2), (r"\brequire\s*\(", 2), (r"module\.exports", 2)],
+    "go": [(r"\bpackage\s+\w+", 2), (r"\bfunc\s+\w*\s*\(", 1), (r":=", 2), (r"\bfmt\.", 2), (r"\bchan\b", 2)],
+    "kotlin": [(r"\bfun\s+\w+\s*\(", 2), (r"\bval\s+\w+", 1), (r"\bimport\s+kotlin", 3), (r"\bprintln\s*\(", 1), (r":\s*Unit\b", 2)],
+    "csharp": [(r"\busing\s+System", 3), (r"\bnamespace\s+\w+", 2), (r"Console\.Write", 2), (r"\bstatic\s+void\s+Main", 2)],
+    "php": [(r"<\?php", 3), (r"\$\w+", 1), (r"\becho\b", 1), (r"->\w", 1)],
+    "ruby": [(r"\bend\b", 1), (r"\bputs\b", 2), (r"\bdo\s*\|", 2), (r"\bnil\b", 1), (r"@\w+", 1), (r"\brequire\b", 1)],
+    "swift": [(r"\bguard\b", 2), (r"\bimport\s+Swift", 3), (r"\bfunc\s+\w+\s*\(", 1), (r"\blet\s+\w+", 1), (r"\bvar\s+\w+\s*:", 1)],
+    "rust": [(r"\bfn\s+\w+\s*\(", 2), (r"\blet\s+mut\b", 3), (r"\w+!\s*\(", 2), (r"\buse\s+std::", 3), (r"->\s*\w", 1), (r"\bimpl\b", 2), (r"#\[\w+", 2), (r"::\w", 1)],
+}

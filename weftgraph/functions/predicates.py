@@ -109,3 +109,30 @@ def glob_regex(glob: str) -> str:
         else:
             out, i = out + re.escape(glob[i]), i + 1
     return out
+
+
+def language_scores(text: Column, signals: dict[str, list[tuple[str, int]]]) -> Column:
+    """A map of language to the summed weights of its patterns found in the text."""
+    pairs = []
+    for language, patterns in signals.items():
+        total = F.lit(0)
+        for pattern, weight in patterns:
+            total = total + F.when(text.rlike("(?m)" + pattern), weight).otherwise(0)
+        pairs += [F.lit(language), total]
+    return F.create_map(*pairs)
+
+
+def best_language(scores: Column) -> Column:
+    """The language with the top score if that is 2 or more and at least twice the next one, else null."""
+    entries = F.array_sort(F.map_entries(scores), lambda a, b: F.when(a.value != b.value, b.value - a.value).otherwise(F.when(a.key < b.key, -1).otherwise(1)))
+    top, second = entries[0], entries[1]
+    return F.when((top.value >= 2) & (top.value >= 2 * F.greatest(second.value, F.lit(1))), top.key)
+
+
+def excluded(path: Column, patterns: list[str]) -> Column:
+    """The whole path matches one of the patterns."""
+    return full_match(path, "|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
+
+
+def out_of_memory(exit_code: Column, log: Column) -> Column:
+    return (exit_code == 137) | F.lower(log).rlike("outofmemory|out of memory|java heap space|gc overhead|cannot allocate memory|oom-?kill|killed")

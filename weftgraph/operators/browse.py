@@ -114,3 +114,24 @@ def cfg_subgraph(g: Graph, method_id: int, max_nodes: int = 100) -> DataFrame:
 def callers_of(g: Graph) -> DataFrame:
     """For each called user method: number of call sites and of distinct callers."""
     return g.call.where(F.col("callee_id").isNotNull()).groupBy("callee_id").agg(F.count("*").alias("sites"), F.countDistinct("method_id").alias("callers"))
+
+
+def macro_calls(g: Graph, name: str, limit: int | None = 50) -> DataFrame:
+    """Calls of a name with code and dispatch, as after macro expansion."""
+    out = g.call.where(P.full_match(F.col("name"), name)).select("id", "name", "code", "dispatch_type", "file", F.coalesce("line", F.lit(-1)).alias("line"))
+    return out.orderBy("id").limit(limit) if limit else out
+
+
+def variable_flow(g: Graph, method_id: int, variable: str, line: int, limit: int = 50) -> DataFrame:
+    """What happens to a variable up to a line: declaration, parameter, assignment, use_in_call; sorted by line and kind."""
+    v = F.lit(variable)
+    parts = [
+        g.local.where((F.col("method_id") == method_id) & (F.col("name") == v)).select("line", F.lit("declaration").alias("kind"), F.concat_ws(" ", "type_full_name", "name").alias("code")),
+        g.parameter.where((F.col("method_id") == method_id) & (F.col("name") == v)).join(g.method.select(F.col("id").alias("method_id"), "line"), "method_id").select("line", F.lit("parameter").alias("kind"), F.concat_ws(" ", "type_full_name", "name").alias("code")),
+        g.assignment.where((F.col("method_id") == method_id) & P.mentions(F.col("target"), v)).select("line", F.lit("assignment").alias("kind"), F.concat_ws(" = ", "target", "source").alias("code")),
+        g.argument.where((F.col("method_id") == method_id) & P.mentions(F.col("code"), v)).join(g.call.select(F.col("id").alias("call_id"), F.col("code").alias("whole")), "call_id").select("line", F.lit("use_in_call").alias("kind"), F.col("whole").alias("code")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.where(F.col("line") <= line).distinct().orderBy("line", "kind", "code").limit(limit)

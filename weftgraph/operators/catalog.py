@@ -99,3 +99,24 @@ def next_status(status: Column, action: str) -> Column:
 def merged_metadata(old: Column, new: Column) -> Column:
     """Shallow merge of two maps of text; new keys win."""
     return F.map_concat(F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(new), k)), new)
+
+
+def findings_top(findings: DataFrame, n: int, textual: bool = False) -> DataFrame:
+    """The first ``n`` findings, most severe first; ``textual`` orders by the word instead of its rank."""
+    rank = F.col("severity") if textual else F.array_position(F.array(*map(F.lit, dicts.SEVERITIES)), F.col("severity"))
+    return findings.orderBy(rank.desc(), "id").limit(n)
+
+
+def versions_by_owner(versions: DataFrame, projects: DataFrame, owner: str) -> DataFrame:
+    """Versions of an owner's projects, newest first within each project."""
+    mine = projects.where(F.col("owner") == owner).select("project")
+    newest = F.row_number().over(W.partitionBy("project").orderBy(F.desc("created_at"), "version"))
+    return versions.join(mine, "project").select("project", "version", newest.alias("place"))
+
+
+def cache_expired(cache: DataFrame, now: Column, ttl_seconds: int = 300) -> DataFrame:
+    return cache.where(F.col("created_at") < now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
+
+
+def delete_cascade(table: DataFrame, gone: DataFrame, key: str = "codebase") -> DataFrame:
+    return table.join(gone.select(key), key, "left_anti")

@@ -219,3 +219,31 @@ def bounds_checks(g: Graph) -> DataFrame:
     guard = g.cdg.join(g.control.select(F.col("id").alias("control_id"), "condition"), "control_id").where(F.col("condition").rlike("[<>]|[!=]=")).select(F.col("call_id").alias("id"), "condition")
     hit = index.join(guard, "id", "left").groupBy("id", "method_id", "line", "index").agg(F.count_if(F.col("condition").contains(F.col("var"))).alias("guards"))
     return hit.withColumn("guarded", F.col("guards") > 0)
+
+
+def latest_assignment(g: Graph, uses: DataFrame) -> DataFrame:
+    """The last assignment before each use (columns use, method_id, name, line), as of its line."""
+    a = g.assignment.select("method_id", F.col("target").alias("name"), F.col("line").alias("at"), F.col("id").alias("assign_id"), "source")
+    hit = uses.join(a, ["method_id", "name"]).where("at < line")
+    last = hit.groupBy("use", "name", "line").agg(F.max(F.struct("at", "assign_id", "source")).alias("x"))
+    return last.select("use", "name", "line", F.col("x.at").alias("assigned"), F.col("x.source").alias("source"))
+
+
+@detector("double_free_between_functions", "CWE-415")
+def double_free_between(g: Graph) -> DataFrame:
+    """A pointer freed, then passed to a function that frees the parameter at that place."""
+    freed = first_arguments(g, ["free", "cfree"]).where("kind = 'IDENTIFIER'").select(F.col("id").alias("site"), "method_id", F.col("arg").alias("ptr"), F.col("line").alias("a"))
+    inside = first_arguments(g, ["free", "cfree"]).select(F.col("method_id").alias("callee_id"), F.col("arg").alias("param")).distinct()
+    frees = g.parameter.select(F.col("method_id").alias("callee_id"), F.col("name").alias("param"), F.col("ord").alias("arg_index")).join(inside, ["callee_id", "param"])
+    passed = g.call.where("callee_id IS NOT NULL").select(F.col("id").alias("call_id"), "callee_id").join(g.argument.select("call_id", "method_id", "arg_index", F.col("code").alias("ptr"), F.col("line").alias("b")), "call_id")
+    hit = freed.join(passed.join(frees, ["callee_id", "arg_index"]), ["method_id", "ptr"]).where("b > a")
+    return hit.select("site", "method_id", "ptr", F.col("a").alias("line"), F.col("b").alias("second"), "callee_id").distinct()
+
+
+@detector("index_arithmetic", "CWE-190")
+def index_arithmetic(g: Graph) -> DataFrame:
+    """Indices by a name without a condition before that bounds it in the method."""
+    index = first_arguments(g, ["<operator>.indirectIndexAccess"], 2).where("kind = 'IDENTIFIER'").select("id", "method_id", "line", F.col("arg").alias("index"))
+    c = g.control.where(F.col("condition").rlike("[<>]")).select(F.col("method_id").alias("m"), F.col("line").alias("at"), "condition")
+    bound = (F.col("method_id") == F.col("m")) & (F.col("at") <= F.col("line")) & F.concat(F.lit(" "), "condition", F.lit(" ")).contains(F.concat(F.lit(" "), "index", F.lit(" ")))
+    return index.join(c, bound, "left_anti")

@@ -362,6 +362,59 @@ def redact_paths(g):
     return g._load("pages").select("page_id", P.redact_paths(F.col("url")).alias("redacted"))
 
 
+@query("SELECT id, name, code, dispatch_type, file, line FROM {call} WHERE regexp_full_match(name, 'mem.*') ORDER BY id LIMIT 50")
+def macro_calls(g):
+    return browse.macro_calls(g, "mem.*")
+
+
+_MENTION = "({0} = 'v1' OR starts_with({0}, 'v1.') OR starts_with({0}, 'v1[') OR starts_with({0}, 'v1->') OR starts_with({0}, '*v1') OR starts_with({0}, '&v1'))"
+
+
+@query(f"""
+    SELECT DISTINCT line, kind, code FROM (
+      SELECT line, 'declaration' AS kind, type_full_name || ' ' || name AS code FROM {{local}} WHERE method_id = 7 AND name = 'v1'
+      UNION ALL SELECT m.line, 'parameter', p.type_full_name || ' ' || p.name FROM {{parameter}} p JOIN {{method}} m ON p.method_id = m.id WHERE m.id = 7 AND p.name = 'v1'
+      UNION ALL SELECT line, 'assignment', target || ' = ' || source FROM {{assignment}} WHERE method_id = 7 AND {_MENTION.format("target")}
+      UNION ALL SELECT a.line, 'use_in_call', c.code FROM {{argument}} a JOIN {{call}} c ON a.call_id = c.id WHERE a.method_id = 7 AND {_MENTION.format("a.code")})
+    WHERE line <= 310 ORDER BY line, kind, code LIMIT 50""")
+def variable_flow(g):
+    return browse.variable_flow(g, 7, "v1", 310)
+
+
+@query("""
+    SELECT "use", name, line, assigned, source FROM (SELECT a.call_id * 4 + a.arg_index AS "use", a.code AS name, a.line, s.line AS assigned, s.source,
+      row_number() OVER (PARTITION BY a.call_id, a.arg_index ORDER BY s.line DESC, s.id DESC) AS r
+      FROM {argument} a JOIN {assignment} s ON a.method_id = s.method_id AND s.target = a.code AND s.line < a.line WHERE a.kind = 'IDENTIFIER') WHERE r = 1""")
+def latest_assignment(g):
+    uses = g.argument.where("kind = 'IDENTIFIER'").select((F.col("call_id") * 4 + F.col("arg_index")).alias("use"), "method_id", F.col("code").alias("name"), "line")
+    return detectors.latest_assignment(g, uses)
+
+
+@query(f"""
+    WITH f AS ({_ARG.format(i=1, names="'free', 'cfree'")})
+    SELECT DISTINCT f.id AS site, f.method_id, f.arg AS ptr, f.line, a.line AS second, c.callee_id FROM f JOIN {{argument}} a ON a.method_id = f.method_id AND a.code = f.arg AND a.line > f.line
+      JOIN {{call}} c ON c.id = a.call_id AND c.callee_id IS NOT NULL JOIN {{parameter}} p ON p.method_id = c.callee_id AND p.ord = a.arg_index
+      WHERE f.kind = 'IDENTIFIER' AND EXISTS (SELECT 1 FROM f h WHERE h.method_id = c.callee_id AND h.arg = p.name)""")
+def double_free_interproc(g):
+    return detectors.double_free_between(g)
+
+
+@query(f"""
+    WITH x AS ({_ARG.format(i=2, names="'<operator>.indirectIndexAccess'")}) SELECT id, method_id, line, arg AS "index" FROM x WHERE kind = 'IDENTIFIER'
+      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = x.method_id AND c.line <= x.line AND regexp_matches(c.condition, '[<>]') AND contains(' ' || c.condition || ' ', ' ' || x.arg || ' '))""")
+def int_overflow_index(g):
+    return detectors.index_arithmetic(g)
+
+
+@query(r"""
+    SELECT doc_id, CASE WHEN i >= 1 THEN 1 ELSE 0 END + CASE WHEN p THEN 1 ELSE 0 END AS python_score, NOT regexp_full_match(source, 'src[0-4]|src1.*') AS in_scope
+    FROM (SELECT doc_id, source, CASE WHEN regexp_matches(text, '\bimport\s+\w+') THEN 1 ELSE 0 END AS i, regexp_matches(text, '\bself\b') AS p FROM {documents})""")
+def language_scores(g):
+    d = g._load("documents")
+    score = P.language_scores(F.col("text"), {"python": dicts.LANGUAGE_SIGNALS["python"][1:3]})
+    return d.select("doc_id", score["python"].alias("python_score"), (~P.excluded(F.col("source"), ["src[0-4]", "src1.*"])).alias("in_scope"))
+
+
 # --- catalog
 
 _JOBS = """SELECT o_orderkey AS id, o_custkey % 100 AS codebase, o_orderpriority AS job_type, o_orderdate AS created_at, CAST(o_orderkey % 5 AS INT) AS attempts,
@@ -437,3 +490,32 @@ def codebase_upsert(g):
 def create_or_get_version(g):
     b = _relation(g, _BASES)
     return catalog.create_or_get(b.where("codebase % 2 = 0"), b, ["codebase", "host"])
+
+
+@query(f"WITH f AS ({_FINDINGS}) SELECT * FROM f ORDER BY CASE severity WHEN 'critical' THEN 4 WHEN 'high' THEN 3 WHEN 'medium' THEN 2 ELSE 1 END DESC, id LIMIT 40")
+def findings_top(g):
+    return catalog.findings_top(_relation(g, _FINDINGS), 40)
+
+
+@query("""SELECT o_custkey AS project, o_orderkey AS version, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS INT) AS place
+    FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'""")
+def versions_by_owner(g):
+    versions = g._load("orders").select(F.col("o_custkey").alias("project"), F.col("o_orderkey").alias("version"), F.col("o_orderdate").alias("created_at"))
+    return catalog.versions_by_owner(versions, g._load("customer").select(F.col("c_custkey").alias("project"), F.col("c_mktsegment").alias("owner")), "BUILDING")
+
+
+@query("SELECT event_id FROM {events} WHERE ts > TIMESTAMP '2024-01-02 00:00:00' - INTERVAL 300 SECOND AND length(props) <= 8")
+def cache_live(g):
+    cache = g._load("events").select("event_id", F.col("ts").alias("created_at"), F.col("props").alias("output"))
+    return catalog.cache_live(cache, F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"), most=8).select("event_id")
+
+
+@query("SELECT event_id FROM {events} WHERE ts < TIMESTAMP '2024-01-02 00:00:00' - INTERVAL 300 SECOND")
+def cache_expired(g):
+    cache = g._load("events").select("event_id", F.col("ts").alias("created_at"))
+    return catalog.cache_expired(cache, F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")).select("event_id")
+
+
+@query(f"WITH b AS ({_BASES}), f AS ({_FINDINGS}) SELECT f.* FROM f WHERE codebase NOT IN (SELECT codebase FROM b WHERE status = 'ready')")
+def delete_cascade(g):
+    return catalog.delete_cascade(_relation(g, _FINDINGS), _relation(g, _BASES).where("status = 'ready'")).select("id", "codebase", "severity", "type", "confidence")
