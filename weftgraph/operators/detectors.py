@@ -110,13 +110,18 @@ def use_after_free(g: Graph) -> DataFrame:
 
 @detector("double_free", "CWE-415")
 def double_free(g: Graph) -> DataFrame:
-    """First later free of the same pointer: (site, method_id, ptr, line, second)."""
+    """First later free of the same pointer, or of an alias from before: (site, method_id, ptr, via, line, second)."""
     f = first_arguments(g, ["free", "cfree"]).where(P.trackable(F.col("arg")))
     x = f.select(F.col("id").alias("site"), "method_id", F.col("arg").alias("ptr"), F.col("line").alias("a"))
-    y = f.select("method_id", F.col("arg").alias("ptr"), F.col("line").alias("b"))
-    pairs = x.join(y, ["method_id", "ptr"]).where("b > a")
+    y = f.select("method_id", F.col("arg").alias("other"), F.col("line").alias("b"))
+    same = x.join(y, "method_id").where("b > a AND other = ptr").withColumn("via", F.lit("same-ptr"))
+    z = g.assignment.where(P.trackable(F.col("target")) & P.trackable(F.col("source")))
+    ways = z.select("method_id", F.col("line").alias("at"), F.col("source").alias("ptr"), F.col("target").alias("other")).unionByName(z.select("method_id", F.col("line").alias("at"), F.col("target").alias("ptr"), F.col("source").alias("other")))
+    alias = x.join(ways, ["method_id", "ptr"]).where("at < a AND other <> ptr").join(y, ["method_id", "other"]).where("b > a").withColumn("via", F.lit("alias"))
+    columns = ["site", "method_id", "ptr", "via", "a", "b"]
+    pairs = same.select(columns).unionByName(alias.select(columns)).distinct()
     pairs = without_exclusive(g, without_return(g, without_reassignment(g, pairs)))
-    return pairs.groupBy("site", "method_id", "ptr", F.col("a").alias("line")).agg(F.min("b").alias("second"))
+    return pairs.groupBy("site", "method_id", "ptr", "via", F.col("a").alias("line")).agg(F.min("b").alias("second"))
 
 
 @detector("null_deref", "CWE-476")
@@ -172,6 +177,9 @@ def heap_overflow(g: Graph) -> DataFrame:
     hit = alloc.join(w, (F.col("method_id") == F.col("wm")) & (F.col("b") > F.col("a")) & P.buffer_target(F.col("dst"), F.col("ptr")))
     hit = without_exclusive(g, without_reassignment(g, hit))
     have, need = P.parse_int_literal(F.col("have")), P.parse_int_literal(F.col("need"))
+    c = g.control.where("type = 'IF' AND condition RLIKE '[<>]'").select(F.col("method_id").alias("m"), F.col("line").alias("at"), "condition")
+    bound = (F.col("method_id") == F.col("m")) & (F.col("at") > F.col("a")) & (F.col("at") < F.col("b")) & F.col("condition").contains(F.col("need"))
+    hit = hit.join(c, bound, "left_anti")
     bad = F.col("need").isNull() | F.when(have.isNotNull() & need.isNotNull(), need > have).otherwise(~F.col("have").contains(F.col("need")))
     return hit.where(bad).groupBy("site", "method_id", "ptr", F.col("a").alias("line")).agg(
         F.countDistinct("write").alias("writes"), F.when(F.count_if(F.col("name").isin("strcpy", "gets", "sprintf")) > 0, "HIGH").otherwise("MEDIUM").alias("confidence")
@@ -206,6 +214,7 @@ def uninitialized_read(g: Graph) -> DataFrame:
     own = g.local.where(~F.col("type_full_name").contains("[")).select("id", "method_id", "name")
     a = g.assignment
     init = a.select("method_id", F.col("target").alias("name"), "line").unionByName(a.where(F.col("source").startswith("&")).select("method_id", F.expr("substring(source, 2)").alias("name"), "line"))
+    init = init.unionByName(g.argument.where(F.col("code").startswith("&")).select("method_id", F.expr("substring(code, 2)").alias("name"), "line"))
     init = init.groupBy("method_id", "name").agg(F.min("line").alias("init"))
     reads = g.argument.where("kind = 'IDENTIFIER' AND line > 0").select("method_id", F.col("code").alias("name"), "line")
     out = own.join(init, ["method_id", "name"], "left").join(reads, ["method_id", "name"]).where("init IS NULL OR line < init")

@@ -227,8 +227,12 @@ def use_after_free(g):
 
 
 @query(f"""
-    WITH f AS ({_FREES}), x AS (SELECT p.id AS site, p.method_id, p.arg AS ptr, p.line AS a, q.line AS b FROM f p JOIN f q ON p.method_id = q.method_id AND p.arg = q.arg AND q.line > p.line)
-    SELECT site, method_id, ptr, a AS line, min(b) AS second FROM x WHERE {_CLEAR}{_RETURN} GROUP BY site, method_id, ptr, a""")
+    WITH f AS ({_FREES}), z AS (SELECT method_id, line, source, target FROM {{assignment}} WHERE NOT regexp_matches(source || target, '[(\\[]') AND length(source) < 50 AND length(target) < 50),
+    w AS (SELECT method_id, line, source AS ptr, target AS other FROM z UNION ALL SELECT method_id, line, target, source FROM z),
+    x AS (SELECT p.id AS site, p.method_id, p.arg AS ptr, 'same-ptr' AS via, p.line AS a, q.line AS b FROM f p JOIN f q ON p.method_id = q.method_id AND p.arg = q.arg AND q.line > p.line
+      UNION SELECT p.id, p.method_id, p.arg, 'alias', p.line, q.line FROM f p JOIN w ON w.method_id = p.method_id AND w.ptr = p.arg AND w.line < p.line AND w.other <> w.ptr
+        JOIN f q ON p.method_id = q.method_id AND w.other = q.arg AND q.line > p.line)
+    SELECT site, method_id, ptr, via, a AS line, min(b) AS second FROM x WHERE {_CLEAR}{_RETURN} GROUP BY site, method_id, ptr, via, a""")
 def double_free(g):
     return detectors.double_free(g)
 
@@ -293,7 +297,8 @@ _INT = "try_cast(CASE WHEN regexp_full_match({0}, '[0-9]+[uUlL]*') THEN regexp_r
     WITH al AS ({_ALLOC.format(names=quoted(dicts.HEAP_ALLOCATORS))}), h AS (SELECT al.id AS site, al.method_id, ptr, al.line AS a, g.code AS have FROM al JOIN {{argument}} g ON g.call_id = al.id AND g.arg_index = 1),
     w AS ({_write_sql(dicts.HEAP_WRITES)}), x AS (SELECT h.*, w.id AS write, w.name, w.b, w.need FROM h JOIN w ON w.method_id = h.method_id AND w.b > h.a AND {_TARGET})
     SELECT site, method_id, ptr, a AS line, count(DISTINCT write) AS writes, CASE WHEN count(*) FILTER (name IN ('strcpy', 'gets', 'sprintf')) > 0 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence FROM x
-    WHERE {_CLEAR} AND (need IS NULL OR CASE WHEN {_INT.format("have")} IS NOT NULL AND {_INT.format("need")} IS NOT NULL THEN {_INT.format("need")} > {_INT.format("have")} ELSE NOT contains(have, need) END)
+    WHERE {_CLEAR} AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = x.method_id AND c.type = 'IF' AND c.line > x.a AND c.line < x.b AND regexp_matches(c.condition, '[<>]') AND contains(c.condition, x.need))
+      AND (need IS NULL OR CASE WHEN {_INT.format("have")} IS NOT NULL AND {_INT.format("need")} IS NOT NULL THEN {_INT.format("need")} > {_INT.format("have")} ELSE NOT contains(have, need) END)
     GROUP BY site, method_id, ptr, a""")
 def heap_overflow(g):
     return detectors.heap_overflow(g)
@@ -317,7 +322,8 @@ def toctou(g):
 
 
 @query("""
-    WITH i AS (SELECT method_id, name, min(line) AS init FROM (SELECT method_id, target AS name, line FROM {assignment} UNION ALL SELECT method_id, substr(source, 2), line FROM {assignment} WHERE starts_with(source, '&')) GROUP BY method_id, name)
+    WITH i AS (SELECT method_id, name, min(line) AS init FROM (SELECT method_id, target AS name, line FROM {assignment} UNION ALL SELECT method_id, substr(source, 2), line FROM {assignment} WHERE starts_with(source, '&')
+      UNION ALL SELECT method_id, substr(code, 2), line FROM {argument} WHERE starts_with(code, '&')) GROUP BY method_id, name)
     SELECT DISTINCT l.id, l.method_id, l.name, a.line FROM {local} l JOIN {argument} a ON a.method_id = l.method_id AND a.code = l.name AND a.kind = 'IDENTIFIER' AND a.line > 0
       LEFT JOIN i ON i.method_id = l.method_id AND i.name = l.name WHERE NOT contains(l.type_full_name, '[') AND (i.init IS NULL OR a.line < i.init)""")
 def uninit_read(g):
