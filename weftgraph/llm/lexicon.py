@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts
+from .common import slices, stored, texts
 from .tokens import ChunkEncoder
 
 WORDS = 50_000
@@ -180,7 +180,7 @@ class Codec(ChunkEncoder):
 
 
 def frequent_words(docs: DataFrame, most: int = WORDS) -> list[str]:
-    """The most frequent lower-case words of all texts; ties by the word."""
+    """The most frequent lower-case words of all texts, at most ``most``; words of like frequency are in together or out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -197,8 +197,18 @@ def frequent_words(docs: DataFrame, most: int = WORDS) -> list[str]:
         if counts:
             yield out()
 
-    counted = texts(docs).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counted = stored(texts(docs).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"))
+    # counts on a scale of eighths of powers of two: a few hundred rows tell how far down the words fit
+    step = F.floor(F.log2("n") * 8)
+    room, least = most, None
+    for level, words in counted.groupBy(step.alias("level")).count().orderBy(F.desc("level")).collect():
+        room -= words
+        if room < 0:
+            break
+        least = level
+    if least is None:
+        return []
+    return sorted(r.word for r in counted.where(step >= least).select("word").collect())
 
 
 def lexicon_of(docs: DataFrame, tokenizer_path: str, most: int = WORDS) -> bytes:

@@ -9,10 +9,11 @@ weighted Jaccard similarity.  Points are made in order of time only up to the
 time at which all registers are full.
 
 Signatures are banded; buckets give candidates, whose bags are then compared exactly.
-Equal bags are one node.  A bucket is compared against its smallest member first,
-then against growing parts of its members as far as they are not yet in one
-component, at last against all of those, so no link between components is lost and
-a bucket of near copies costs about one comparison each.
+Equal bags are one node.  Every member of a bucket is compared with the smallest one,
+its center, which puts most near copies into one component at one comparison each.
+The members that are not linked to their center are then queries against all nodes
+around it, in blocks of at most ``BLOCK`` nodes with an inverted index, and only
+links between components leave a block: no link of a bucket is lost and no pairs are listed.
 
 Cases: null or empty texts and texts without words have no bag and are classes of
 their own, but equal ones form a class; shorter texts have one shingle; rows
@@ -35,8 +36,8 @@ from .components import connected_components
 from .shingles import mix, shingle_hashes
 
 SIZE, BANDS, LEAST = 128, 32, 0.8
-#: Parts of the members of a mixed bucket that are compared with the rest, one round after another.
-PARTS = (64, 8, 1)
+#: Nodes of a block of queries or of members around one center.
+BLOCK = 4096
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -163,6 +164,46 @@ def verified(pairs: DataFrame, bag: DataFrame, least: float = LEAST) -> DataFram
     return joined.select("a", "b", "bag_a", "bag_b").mapInArrow(work, "a long, b long")
 
 
+def block_links(rows, least: float = LEAST):
+    """Links between components among queries and members of one block, one for each two components."""
+    import pandas as pd
+
+    bags_ = [np.unique(np.frombuffer(b, np.uint64), return_counts=True) for b in rows["bag"]]
+    size = np.array([n.sum() for _, n in bags_], np.int64)
+    node, component = rows["node"].to_numpy(), rows["component"].to_numpy()
+    member = np.flatnonzero(rows["member"].to_numpy())
+    if not len(member):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    token = np.concatenate([bags_[m][0] for m in member])
+    weight = np.concatenate([bags_[m][1] for m in member])
+    whose = np.repeat(member, [len(bags_[m][0]) for m in member])
+    order = np.argsort(token, kind="stable")
+    token, weight, whose = token[order], weight[order], whose[order]
+    found = {}
+    for q in np.flatnonzero(~rows["member"].to_numpy()).tolist():
+        own, count = bags_[q]
+        low, high = np.searchsorted(token, own, "left"), np.searchsorted(token, own, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        shared = np.bincount(whose[at], np.minimum(weight[at], np.repeat(count, n)), len(node))
+        hit = np.flatnonzero((shared >= least * (size + size[q] - shared)) & (component != component[q]) & (shared > 0))
+        for h in hit.tolist():
+            found.setdefault((min(component[q], component[h]), max(component[q], component[h])), (node[q], node[h]))
+    return pd.DataFrame(list(found.values()), columns=["a", "b"]).astype("int64")
+
+
+def missed_links(around: DataFrame, bag: DataFrame, least: float = LEAST) -> DataFrame:
+    """Links (a, b) between components around a center; ``around``: center, node, component, of (the center's component)."""
+    mixed = around.groupBy("center").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("of")).alias("u")).where("u > 0")
+    mixed = mixed.select("center", F.ceil(F.col("n") / BLOCK).cast("int").alias("members"), F.ceil(F.col("u") / BLOCK).cast("int").alias("queries"))
+    rows = around.join(mixed, "center")
+    own = F.xxhash64("node")
+    member = rows.select("center", "node", "component", F.lit(True).alias("member"), F.explode(F.sequence(F.lit(0), F.col("queries") - 1)).alias("i"), F.pmod(own, F.col("members")).cast("int").alias("j"))
+    query = rows.where(F.col("component") != F.col("of")).select("center", "node", "component", F.lit(False).alias("member"), F.pmod(own, F.col("queries")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("members") - 1)).alias("j"))
+    blocks = member.unionByName(query).join(bag.withColumnRenamed("id", "node"), "node")
+    return blocks.groupBy("center", "i", "j").applyInPandas(lambda rows: block_links(rows, least), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class), kept, same_bag (documents with the same bag)."""
     made = stored(sketched(docs))
@@ -170,26 +211,19 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     # bands of one document of each bag
     band = made.where("bands is not null").join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     band = band.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
-    crowd = band.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    member = stored(band.join(crowd.select("band", "first"), "band"))
-    tested = stored(member.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
-    ids = member.select(F.col("node").alias("doc_id")).distinct()
-    bag = stored(bag_rows(texts(docs).join(ids, "doc_id")))
-    links = stored(verified(tested, bag, least))
+    crowd = band.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
+    around = stored(band.join(crowd.select("band", "center"), "band").select("center", "node").distinct())
+    ids = around.select(F.col("node").alias("doc_id")).distinct()
+    bag = stored(bag_rows(texts(docs).join(ids, "doc_id")).dropDuplicates(["id"]))
+    star = around.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b"))
+    links = stored(verified(star, bag, least))
     label = connected_components(links)
-    for part in PARTS:
-        at = member.select("band", "node").join(label.select(F.col("id").alias("node"), "component"), "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-        at = stored(at)
-        mixed = at.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-        at = at.join(mixed, "band", "left_semi")
-        center = at.where(F.pmod(F.xxhash64("node"), F.lit(part)) == 0).select("band", F.col("node").alias("center"), F.col("component").alias("of"))
-        pairs = at.join(center, "band").where("component <> of").select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(stored(verified(pairs, bag, least)))
-        label = connected_components(links)
+    of = label.select(F.col("id").alias("center"), F.col("component").alias("of"))
+    here = around.join(label.withColumnRenamed("id", "node"), "node", "left").join(of, "center", "left")
+    here = here.select("center", "node", F.coalesce("component", "node").alias("component"), F.coalesce("of", "center").alias("of"))
+    more = stored(missed_links(stored(here), bag, least))
+    if not more.isEmpty():
+        label = connected_components(links.unionByName(more))
     classes = nodes.join(label.select(F.col("id").alias("node"), "component"), "node", "left")
     classes = classes.select("bag1", "bag2", "same_bag", F.coalesce("component", "node").alias("class_id"))
     return made.select("doc_id", "bag1", "bag2").join(classes, ["bag1", "bag2"]).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"), "same_bag")

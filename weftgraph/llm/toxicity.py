@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import held_out, slices
 from .shingles import mix, powers
 
-PER_CLASS, THRESHOLD, DIMENSIONS = 1500, 0.3, 1 << 20
+PER_CLASS, THRESHOLD, DIMENSIONS = 1200, 0.3, 1 << 20
 ROUNDS, SEGMENT = 40, 256
 _TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -114,14 +114,14 @@ def _summary(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def seeds(document: np.ndarray, feature: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def seeds(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Features of toxic documents and next to no clean ones, in more of them than chance explains.
 
-    With a share s of toxic documents, a feature without meaning is in n toxic
-    documents only with probability s**n; n must make that rare among all features.
+    ``counts``: clean and toxic documents of each feature.  With a share s of toxic
+    documents, a feature without meaning is in n toxic documents only with
+    probability s**n; n must make that rare among all features.
     """
-    counts = [np.bincount(feature[toxic[document] == y], minlength=DIMENSIONS) for y in (0, 1)]
-    n_features = max(2, int((counts[0] + counts[1] > 0).sum()))
+    n_features = max(2, int((counts.sum(0) > 0).sum()))
     share = min(toxic.mean(), 1 - 1e-6)
     least = max(3, np.ceil(np.log(0.01 / n_features) / np.log(share)))
     ratio = max(1, (toxic == 0).sum()) / max(1, toxic.sum())
@@ -129,20 +129,25 @@ def seeds(document: np.ndarray, feature: np.ndarray, toxic: np.ndarray) -> np.nd
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    tokens = [[w.lower() for w in _TOKEN.findall(t)] for t in texts]
+    tokens = [_TOKEN.findall(t.lower()) for t in texts]
     vocabulary: dict[str, int] = {}
-    flat = np.array([vocabulary.setdefault(w, len(vocabulary)) for t in tokens for w in t], np.int64)
+    flat = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for t in tokens for w in t), np.int32)
     lengths = np.array([len(t) for t in tokens], np.int64)
+    del tokens
     of, feature = codes(list(vocabulary))
+    of, feature = of.astype(np.int32), feature.astype(np.int32)
     n_words = len(vocabulary)
     by_word = np.argsort(of, kind="stable")
     ends = np.searchsorted(of[by_word], np.arange(n_words + 1))
-    pairs = np.unique(np.repeat(np.arange(len(texts)), lengths) * max(1, n_words) + flat)
-    document, word = pairs // max(1, n_words), pairs % max(1, n_words)
-    n_codes = ends[word + 1] - ends[word]
-    at = np.repeat(ends[word], n_codes) + np.arange(n_codes.sum()) - np.repeat(np.cumsum(n_codes) - n_codes, n_codes)
-    pairs = np.unique(np.repeat(document, n_codes) * DIMENSIONS + feature[by_word][at])
-    chosen = seeds(pairs // DIMENSIONS, pairs % DIMENSIONS, toxic)
+    counts = np.zeros((2, DIMENSIONS), np.int32)
+    start = 0
+    for n, bad in zip(lengths.tolist(), toxic, strict=True):
+        word = np.unique(flat[start : start + n])
+        start += n
+        own = [feature[by_word[ends[w] : ends[w + 1]]] for w in word.tolist()]
+        if own:
+            counts[int(bad), np.unique(np.concatenate(own))] += 1
+    chosen = seeds(counts, toxic)
     seeded = np.bincount(of, chosen[feature], n_words) > 0
     y = seeded[flat] & np.repeat(toxic.astype(bool), lengths)
     # long documents are trained as segments
