@@ -54,7 +54,26 @@ def codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marginals(emission: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """P(toxic) of each token by forward-backward, over sequences that lie one behind another.
+    """P(toxic) of each token by forward-backward, over sequences that lie one behind another."""
+    forward, q, _ = forward_backward(emission, lengths, trans)
+    return forward * q / (1 + forward * q)
+
+
+def expected_steps(emission: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) of each token, and how many steps of each kind [from, to] the model expects."""
+    forward, q, odds = forward_backward(emission, lengths, trans)
+    (a, b), (c, d) = np.exp(trans)
+    before = np.zeros(len(emission))  # odds of the token before; a start counts as clean
+    before[1:] = forward[:-1]
+    before[np.cumsum(lengths) - lengths] = 0
+    here = odds * q
+    total = a + c * before + (b + d * before) * here
+    steps = [[(a / total).sum(), (b * here / total).sum()], [(c * before / total).sum(), (d * before * here / total).sum()]]
+    return forward * q / (1 + forward * q), np.array(steps)
+
+
+def forward_backward(emission: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: forward odds and backward ratio of toxic against clean, and its own odds.
 
     ``emission``: score of toxic against clean; ``trans``: scores [from, to], start as from clean.
     All sequences step together, the longer ones to the end.
@@ -66,7 +85,7 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> n
     alive = np.searchsorted(-sizes, -np.arange(longest), "left")  # sequences longer than t
     (a, b), (c, d) = np.exp(trans)
     forward = np.empty(len(emission))
-    backward = np.zeros(len(emission))
+    backward = np.ones(len(emission))
     # odds of toxic against clean; alpha_t = e^emission * (b + d r) / (a + c r)
     odds = np.exp(np.clip(emission, -30, 30))
     r = np.zeros(len(sizes))
@@ -82,9 +101,8 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> n
         at = starts[:k] + t
         o = odds[at + 1] * q[:k]
         q[:k] = (c + d * o) / (a + b * o)
-        backward[at] = np.log(q[:k])
-    total = forward * np.exp(backward)
-    return total / (1 + total)
+        backward[at] = q[:k]
+    return forward, backward, odds
 
 
 @dataclass
@@ -153,14 +171,14 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     # long documents are trained as segments
     cut = np.concatenate([[min(SEGMENT, n - i) for i in range(0, n, SEGMENT)] for n in lengths.tolist() if n]).astype(np.int64) if len(flat) else np.zeros(0, np.int64)
     weights, bias, trans = np.zeros(DIMENSIONS), -4.0, np.zeros((2, 2))
-    first = np.ones(len(flat), bool)
-    first[1:] = False
-    first[np.cumsum(cut)[:-1]] = True
-    pair = ~first
-    square = [np.zeros(DIMENSIONS), 0.0]
+    label = y.astype(np.int64)
+    before = np.concatenate([[0], label[:-1]])[: len(label)]
+    before[np.cumsum(cut) - cut] = 0
+    seen = np.bincount(2 * before + label, minlength=4).reshape(2, 2)
+    square = [np.zeros(DIMENSIONS), 0.0, np.zeros((2, 2))]
     for _ in range(ROUNDS if len(flat) else 0):
         emission = np.bincount(of, weights[feature], n_words)[flat] + bias
-        p = marginals(emission, cut, trans)
+        p, steps = expected_steps(emission, cut, trans)
         # gradient of the log-likelihood: empirical less expected counts
         gap = np.bincount(flat, y - p, n_words)
         gradient = np.bincount(feature, gap[of], DIMENSIONS) - 0.01 * weights
@@ -168,10 +186,9 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
         weights += 0.5 * gradient / np.sqrt(square[0] + 1e-3)
         square[1] += gap.sum() ** 2
         bias += 0.5 * gap.sum() / np.sqrt(square[1] + 1e-3)
-        # toxic after toxic: pseudo-likelihood step on the observed neighbours
-        before = np.flatnonzero(pair)
-        same = (y[before] * y[before - 1]).sum() - (p[before] * p[before - 1]).sum()
-        trans[1, 1] = np.clip(trans[1, 1] + 0.5 * same / (1 + (y[before] * y[before - 1]).sum() + (p[before] * p[before - 1]).sum()), -3, 3)
+        gradient = seen - steps - 0.01 * trans
+        square[2] += gradient**2
+        trans = np.clip(trans + 0.1 * gradient / np.sqrt(square[2] + 1e-3), -3, 3)
     model = Model(weights, bias, trans, np.zeros(3))
     emission = np.bincount(of, weights[feature], n_words)[flat] + bias if len(flat) else np.zeros(0)
     x = _summary(marginals(emission, lengths, trans), lengths)
