@@ -11,8 +11,8 @@ them (their minimizer), so
    bytes, go to the bucket of the minimizer, once per group and string, with
    the smallest doc_id that has it there;
 4. each bucket builds the Burrows-Wheeler transform and the common-prefix array of its
-   strings column by column: every round inserts one symbol of each string, reading
-   the two arrays from a file and writing the next ones.  Neighbours with a common
+   strings, some minimizers at a time, column by column: every round inserts one symbol
+   of each string, reading the two arrays from a file and writing the next ones.  Neighbours with a common
    prefix of ``WIDTH`` or more are one class, and the class's smallest doc_id goes
    back to the groups;
 5. each group marks its windows and drops the bytes under marked ones.
@@ -45,6 +45,8 @@ WIDTH, K = 50, 25
 WINDOWS = 32
 LONGEST = WIDTH + WINDOWS - 1
 GROUP, BITS = 6 << 20, 40
+#: Bytes of strings of a collection: small arrays stay in the processor's caches.
+BUILT = 1 << 16
 NO_ID = (1 << 63) - 1
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,10 +180,12 @@ class Collection:
     def _least(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, use: np.ndarray) -> np.ndarray:
         """The least of prefix[a+1 .. b] where ``use``, else 0."""
         out = np.zeros(len(a), np.uint8)
-        if use.any():
-            edges = np.empty(2 * int(use.sum()), np.int64)
-            edges[0::2], edges[1::2] = a[use] + 1, b[use] + 1
-            out[use] = np.minimum.reduceat(np.append(prefix, 0), edges)[0::2]
+        which = np.flatnonzero(use)
+        if len(which):
+            which = which[np.argsort(a[which], kind="stable")]  # in order, else each gap between two ranges is read too
+            edges = np.empty(2 * len(which), np.int64)
+            edges[0::2], edges[1::2] = a[which] + 1, b[which] + 1
+            out[which] = np.minimum.reduceat(np.append(prefix, 0), edges)[0::2]
         return out
 
     def classes(self, width: int = WIDTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -198,21 +202,38 @@ class Collection:
                 yield live, self.sizes[live] - length, group[place]
 
 
-def smallest_owners(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For each window of each string the least owner of any string that has it."""
+def smallest_owners(strings: list[bytes], minimizers_: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
+    """For each window of each string the least owner of any string that has it.
+
+    Only strings with an equal minimizer can share a window.  So collections are built of all
+    strings of some minimizers, ``BUILT`` bytes or little more; a minimizer with one (distinct) string needs none.
+    """
     unique: dict[bytes, int] = {}
     which = np.array([unique.setdefault(s, len(unique)) for s in strings], np.int64)
     least = np.full(len(unique), NO_ID, np.int64)
     np.minimum.at(least, which, owners)
-    built = Collection(list(unique))
-    walk = list(built.classes())
-    best = np.full(len(built.prefix) + 1, NO_ID, np.int64)
-    for live, _, group in walk:
-        np.minimum.at(best, group, least[live])
-    starts = np.concatenate(([0], np.cumsum(built.sizes - WIDTH + 1)))
-    flat = np.empty(starts[-1], np.int64)
-    for live, offset, group in walk:
-        flat[starts[live] + offset] = best[group]
+    listed = list(unique)
+    sizes = np.array(list(map(len, listed)), np.int64)
+    starts = np.concatenate(([0], np.cumsum(sizes - WIDTH + 1)))
+    flat = np.repeat(least, sizes - WIDTH + 1)
+    _, kind, count = np.unique(minimizers_[np.unique(which, return_index=True)[1]], return_inverse=True, return_counts=True)
+    several = np.flatnonzero(count[kind] > 1)
+    several = several[np.argsort(kind[several], kind="stable")]
+    at = np.flatnonzero(np.append(True, kind[several[1:]] != kind[several[:-1]])) if len(several) else []
+    total = np.cumsum(sizes[several])
+    begin = 0
+    for end in [*at[1:], len(several)] if len(several) else []:
+        if end < len(several) and total[end - 1] - (total[begin - 1] if begin else 0) < BUILT:
+            continue
+        chosen = several[begin:end]
+        built = Collection([listed[i] for i in chosen.tolist()])
+        walk = list(built.classes())
+        best = np.full(len(built.prefix) + 1, NO_ID, np.int64)
+        for live, _, group in walk:
+            np.minimum.at(best, group, least[chosen[live]])
+        for live, offset, group in walk:
+            flat[starts[chosen[live]] + offset] = best[group]
+        begin = end
     return [flat[starts[w] : starts[w + 1]] for w in which.tolist()]
 
 
@@ -353,7 +374,7 @@ def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int) -> DataF
             for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)):
                 if x < y:
                     sizes = np.array(list(map(len, listed[x:y])), np.int64)
-                    out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, np.frombuffer(b"".join(listed[x:y]), np.uint8))))
+                    out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, h[at[x:y]], np.frombuffer(b"".join(listed[x:y]), np.uint8))))
             yield _rows({"bucket": [b for b, _ in out], "group": [own.group] * len(out), "data": [d for _, d in out]}, _ASK)
 
     answers = shared.groupBy("group").agg(F.collect_list(F.struct("bucket", "data")).alias("shared"))
@@ -368,16 +389,17 @@ def answered(asked: DataFrame) -> DataFrame:
 
         if bucket["bucket"].iloc[0] < 0:
             return bucket[["group", "bucket", "data"]]
-        strings, owners, counts = [], [], []
+        strings, owners, hashes, counts = [], [], [], []
         for data in bucket["data"]:
             raw = loosen(data)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
             owners.append(np.frombuffer(raw, np.int64, n, 8))
             ends = np.cumsum(np.frombuffer(raw, np.int64, n, 8 + 8 * n))
-            text = raw[8 + 16 * n :]
+            hashes.append(np.frombuffer(raw, np.uint64, n, 8 + 16 * n))
+            text = raw[8 + 24 * n :]
             strings += [text[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             counts.append(n)
-        least = smallest_owners(strings, np.concatenate(owners))
+        least = smallest_owners(strings, np.concatenate(hashes), np.concatenate(owners))
         cut = np.cumsum([0, *counts]).tolist()
         return pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": [squeeze(*least[a:b]) for a, b in zip(cut, cut[1:], strict=False)]})
 
