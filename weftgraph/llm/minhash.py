@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     crowd = band.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
     around = stored(band.join(crowd.select("band", "center"), "band").select("center", "node").distinct())
     ids = around.select(F.col("node").alias("doc_id")).distinct()
-    bag = stored(bag_rows(texts(docs).join(ids, "doc_id")).dropDuplicates(["id"]))
+    bag = stored(bag_rows(texts(docs).join(ids.hint("merge"), "doc_id")).dropDuplicates(["id"]))
     star = around.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b"))
     links = stored(verified(star, bag, least))
     label = connected_components(links)
