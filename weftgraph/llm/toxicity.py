@@ -236,11 +236,12 @@ class Tagger:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """About ``per_class`` documents of each label that are not held out."""
+    """About ``per_class`` documents of each label that are not held out; the ids, ``4 * per_class`` at most, are broadcast."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = known.groupBy("toxic").count()
     drawn = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
     ids = known.join(F.broadcast(counts), "toxic").where(drawn < per_class / F.col("count")).select("doc_id", "toxic")
+    ids = F.broadcast(ids.limit(4 * per_class))
     return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(ids, "doc_id")
 
 
