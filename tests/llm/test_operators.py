@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -247,6 +248,17 @@ def test_classifiers_on_held_out_rows(spark):
     assert toxic.where("toxic = 1").agg(F.avg("predicted")).first()[0] > 0.5
 
 
+def test_only_learned_languages_are_accepted(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(n)) for n in (5, 20, 300)]
+    unlearned = ["Wszyscy ludzie rodza sie wolni i rowni pod wzgledem swej godnosci i swych praw.", "Все люди рождаются свободными и равными.", "人人生而自由,在尊严和权利上一律平等。", *noise]
+    extra = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(unlearned)], docs.schema)
+    known = {r.doc_id for r in docs.where(r"lang is not null and text rlike '\\p{L}'").select("doc_id").collect()}
+    kept = {r.doc_id for r in languages.accepted(docs.unionByName(extra)).select("doc_id").collect()}
+    assert known <= kept and not any(i < 0 for i in kept)
+
+
 def test_licenses(spark, odd, corpus):
     got = {r.doc_id: r for r in licenses.scan_licenses(table(spark, DATA, "documents")).collect()}
     for i, text in corpus.items():

@@ -6,9 +6,13 @@ n = 1 to 3, blended) present in both, normalised by those in each.  Landmarks
 against the rest; batches are scored by two matrix products.
 
 The fit reads at most about ``PER_LANGUAGE`` texts of each language, taken by a
-hash of the id; scoring reads every whole text.  Cases: a text that is null or
-has no letter is ``und`` with score 0; null languages are not learned; without
-any language to learn all texts are ``und``; repeated rows and ties score alike.
+hash of the id; scoring reads every whole text.  The outputs of the ridge only
+rank languages (their sum is about constant), so a text is recognised by another
+figure: the share of its distinct letter trigrams that some learned text has.
+Cases: a text that is null, has no letter or has too few known trigrams is ``und``
+with score 0; one too short for a trigram is recognised; null languages are not
+learned; without any language to learn all texts are ``und``; repeated rows and
+ties score alike.
 """
 
 from __future__ import annotations
@@ -25,8 +29,11 @@ from .common import held_out, slices
 from .shingles import utf8
 
 PER_LANGUAGE, LANDMARKS, FEATURES, RIDGE = 400, 160, 2048, 1e-2
-#: A document whose best language scores less than this is rejected by ``accepted``.
-LEAST_SCORE = 0.2
+#: A text with a smaller share of known trigrams is of no learned language.  Of the texts of the tables of 0.1 and 0.5 GB
+#: none and 3 of 256,410 have less (short ones, two with a key of letters); random letters (360 texts) had at most 0.67, sentences of five unlearned languages 0.62.
+LEAST_KNOWN = 0.7
+#: A language with few texts to learn asks for less: this much under the 1 % quantile of its texts, each against the others.
+SLACK = 0.1
 _TRIGRAMS = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.int64)
@@ -49,6 +56,43 @@ def grams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     yield text[:-2][same], 256 + (1 << 16) + three[same]
 
 
+#: Letters: a to z and the bytes of all others; 0 is what stands between words.
+_LETTER = np.zeros(256, np.int64)
+_LETTER[97:123] = np.arange(1, 27)
+_LETTER[65:91] = np.arange(1, 27)
+_LETTER[128:] = np.arange(27, 155)
+_CODES = 155**3
+
+
+def letter_trigrams(column: pa.Array) -> np.ndarray:
+    """text * _CODES + code of the distinct trigrams of each text, with two letters at least.
+
+    Words with digits in them (keys, hashes) count only in a text that has no others.
+    """
+    data, offsets = utf8(column)
+    letter = _LETTER[data]
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    digit = (data >= 48) & (data < 58)
+    word = (letter > 0) | digit
+    run = np.cumsum(np.append(False, (word[1:] != word[:-1]) | (text[1:] != text[:-1]))[: len(data)])
+    plain = np.where((np.bincount(run, digit) > 0)[run], 0, letter) if len(data) else letter
+    same = text[2:] == text[:-2]
+
+    def use(x: np.ndarray) -> np.ndarray:
+        return same & ((x[:-2] > 0).astype(np.int8) + (x[1:-1] > 0) + (x[2:] > 0) > 1)
+
+    bare = np.bincount(text[:-2][use(plain)], minlength=len(column)) == 0
+    x = np.where(bare[text], letter, plain)
+    return np.unique((text[:-2] * _CODES + (x[:-2] * 155 + x[1:-1]) * 155 + x[2:])[use(x)])
+
+
+def share_in(known: np.ndarray, trigrams: np.ndarray, n: int) -> np.ndarray:
+    """The share of known ones among the trigrams of each of n texts; 1 if there are none."""
+    text = trigrams // _CODES
+    have = np.bincount(text, minlength=n)
+    return np.where(have > 0, np.bincount(text, known[trigrams % _CODES], n) / np.maximum(have, 1), 1.0)
+
+
 def presence(column: pa.Array, place: np.ndarray, n_features: int) -> np.ndarray:
     """1 where a text holds a feature, normalised to length 1."""
     out = np.zeros((len(column), n_features + 1), np.float32)
@@ -65,12 +109,28 @@ class Model:
     landmarks: np.ndarray
     weights: np.ndarray
     n_features: int
+    known: np.ndarray  # trigrams of learned texts, packed bits
+    floor: np.ndarray  # share of known trigrams that a text of each language needs at least
 
     def scores(self, column: pa.Array) -> np.ndarray:
         return (presence(column, self.place, self.n_features) @ self.landmarks.T) @ self.weights[:-1] + self.weights[-1]
 
+    def recognised(self, column: pa.Array, best: np.ndarray) -> np.ndarray:
+        return share_in(np.unpackbits(self.known, count=_CODES), letter_trigrams(column), len(column)) >= self.floor[best]
 
-def fit(texts: list[str], languages: list[str]) -> Model:
+
+def recognition(texts: list[str], which: np.ndarray, n_languages: int, least: float = LEAST_KNOWN) -> tuple[np.ndarray, np.ndarray]:
+    """(trigrams of the texts, packed bits; share of them that a text of each language needs)."""
+    found = [letter_trigrams(pa.array(texts[i : i + 64], pa.large_string())) for i in range(0, len(texts), 64)]
+    count = np.zeros(_CODES, np.int64)
+    for trigrams in found:
+        np.add.at(count, trigrams % _CODES, 1)
+    others = np.concatenate([share_in(count > 1, t, min(64, len(texts) - 64 * k)) for k, t in enumerate(found)])
+    floor = [min(least, np.quantile(others[which == k], 0.01) - SLACK) for k in range(n_languages)]
+    return np.packbits(count > 0), np.array(floor)
+
+
+def fit(texts: list[str], languages: list[str], least: float = LEAST_KNOWN) -> Model:
     names = sorted(set(languages))
     size = 256 + (1 << 16) + _TRIGRAMS
     found = np.zeros((len(names), size), np.int64)
@@ -98,7 +158,7 @@ def fit(texts: list[str], languages: list[str]) -> Model:
     # each language weighs the same
     w = 1 / np.bincount(which, minlength=len(names))[which]
     beta = np.linalg.solve(phi.T @ (phi * w[:, None]) + RIDGE * np.eye(phi.shape[1]), phi.T @ (y * w[:, None]))
-    return Model(names, place, landmarks, np.vstack([root @ beta[:-1], beta[-1:]]).astype(np.float32), len(chosen))
+    return Model(names, place, landmarks, np.vstack([root @ beta[:-1], beta[-1:]]).astype(np.float32), len(chosen), *recognition(texts, which, len(names), least))
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
@@ -133,20 +193,21 @@ def predict(model: Model | None, column: pa.Array, letters: pa.Array) -> tuple[l
         return ["und"] * len(column), np.zeros(len(column))
     scores = model.scores(column)
     best = scores.argmax(1)
-    names = [model.languages[b] if ok else "und" for b, ok in zip(best, letters, strict=True)]
-    return names, np.where(letters, np.clip((scores.max(1).astype(float) + 1) / 2, 0, 1), 0)
+    fine = letters & model.recognised(column, best)
+    names = [model.languages[b] if ok else "und" for b, ok in zip(best, fine, strict=True)]
+    return names, np.where(fine, np.clip((scores.max(1).astype(float) + 1) / 2, 0, 1), 0)
 
 
-def accepted(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+def accepted(docs: DataFrame, least: float = LEAST_KNOWN) -> DataFrame:
     """The documents whose language is recognised, with all their columns as they were."""
     spark = docs.sparkSession
     rows = training_rows(docs).orderBy("doc_id", F.xxhash64("text")).collect()
-    model = spark.sparkContext.broadcast(fit([r.text for r in rows], [r.lang for r in rows]) if rows else None)
+    model = spark.sparkContext.broadcast(fit([r.text for r in rows], [r.lang for r in rows], least) if rows else None)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=1 << 20):
-            names, score = predict(model.value, batch["text"].fill_null(""), batch["__letters"])
-            keep = pa.array([n != "und" and s >= least for n, s in zip(names, score, strict=True)], pa.bool_())
+            names, _ = predict(model.value, batch["text"].fill_null(""), batch["__letters"])
+            keep = pa.array([n != "und" for n in names], pa.bool_())
             yield batch.drop_columns("__letters").filter(keep)
 
     return docs.withColumn("__letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).mapInArrow(work, docs.schema)
