@@ -6,6 +6,8 @@ stay small and lost executors do not replay all levels.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -27,12 +29,12 @@ def call_edges(g: Graph) -> DataFrame:
     return g.call.where(F.col("callee_id").isNotNull()).select(F.col("method_id").alias("src"), F.col("callee_id").alias("dst")).distinct()
 
 
-def reach(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """(node, depth): the least number of steps, at most ``depth``, from any start node (column node)."""
+def reach(edges: DataFrame, start: DataFrame, depth: int | None) -> DataFrame:
+    """(node, depth): the least number of steps, at most ``depth`` (None: as many as it takes), from any start node (column node)."""
     edges = cut(edges.select("src", "dst"))
     seen = cut(start.select("node").distinct().withColumn("depth", F.lit(0)))
     front = seen
-    for level in range(1, depth + 1):
+    for level in range(1, depth + 1) if depth is not None else count(1):
         step = front.join(edges, front.node == edges.src).select(F.col("dst").alias("node")).distinct()
         front = cut(step.join(seen, "node", "left_anti").withColumn("depth", F.lit(level)))
         if front.isEmpty():
@@ -60,6 +62,11 @@ def entry_reach(g: Graph, inputs: list[str], depth: int = 9) -> DataFrame:
     return reach(call_edges(g), start, depth)
 
 
+def taint_reach(g: Graph, sources: list[str], depth: int | None = None) -> DataFrame:
+    """Nodes that data of any call of a source reaches, and in how many steps."""
+    return reach(g.ddg, g.call.where(P.any_of(F.col("name"), sources)).select(F.col("id").alias("node")), depth)
+
+
 def call_path_exists(g: Graph, source: int, sink: int, depth: int = 5) -> DataFrame:
     hit = reach(call_edges(g), g.method.where(F.col("id") == source).select(F.col("id").alias("node")), depth).where(F.col("node") == sink)
     return hit.agg(F.coalesce(F.min("depth"), F.lit(-1)).alias("hops"))

@@ -202,6 +202,55 @@ def forward_slice(g):
     return iterate.slice_variable(g, _seeds(g), 3, forward=True)
 
 
+# The same operators over the whole job: every source, and the depths of the reference.
+
+
+@query(_levels("id", "FROM {method} WHERE id = 7", 5, _OUT) + _GRAPH.format(d=5))
+def call_graph_out_full(g):
+    return iterate.call_graph(g, 7)
+
+
+@query(_levels("id", "FROM {method} WHERE id = 7", 5, _IN) + _GRAPH.format(d=5))
+def call_graph_in_full(g):
+    return iterate.call_graph(g, 7, direction="incoming")
+
+
+@query(_levels("method_id", f"FROM {{call}} WHERE name IN ({quoted(dicts.EXTERNAL_INPUTS)})", 9) + " SELECT node, depth FROM seen")
+def entry_reach_full(g):
+    return iterate.entry_reach(g, dicts.EXTERNAL_INPUTS)
+
+
+@query(f"""WITH RECURSIVE w AS (
+      SELECT id AS node FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SOURCES["c"])})
+      UNION SELECT d.dst FROM w JOIN {{ddg}} d ON w.node = d.src)
+    SELECT node FROM w""")
+def taint_reach_full(g):
+    return iterate.taint_reach(g, dicts.TAINT_SOURCES["c"]).select("node")
+
+
+@query(_PATHS.replace("<= 3", "<= 4").format(avoid=""))
+def taint_flow_paths_full(g):
+    return iterate.flow_paths(g, 85)
+
+
+@query(_PATHS.replace("<= 3", "<= 4").format(avoid=" AND d.dst % 5 <> 0"))
+def taint_flows_sanitized_full(g):
+    return iterate.flow_paths(g, 85, avoid=g.ddg.where("dst % 5 = 0").select(F.col("dst").alias("node")))
+
+
+_FULL_SLICE = _SLICE.replace("w.depth < 3", "w.depth < 5")
+
+
+@query(_FULL_SLICE.format(next="used", on="target", cmp="<"))
+def backward_slice_full(g):
+    return iterate.slice_variable(g, _seeds(g))
+
+
+@query(_FULL_SLICE.format(next="target", on="used", cmp=">"))
+def forward_slice_full(g):
+    return iterate.slice_variable(g, _seeds(g), forward=True)
+
+
 # --- detectors
 
 _CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.method_id AND z.target = x.ptr AND z.line > x.a AND z.line < x.b)
