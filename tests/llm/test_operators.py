@@ -108,6 +108,30 @@ def test_repeats(spark, odd, corpus):
     assert suffixes.without_repeats(odd).columns == odd.columns and suffixes.remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_windows_of_hot_minimizers_are_spread(spark, monkeypatch, corpus):
+    rng = random.Random(7)
+    line = "a line of over fifty bytes that all of the documents have somewhere in them"
+    texts = {i: t for i, t in corpus.items() if i % 4 == 0} | {10_000 + i: "".join(rng.choices("abcd ", k=60)) + line[rng.randint(0, 8) :] + "".join(rng.choices("abcd ", k=60)) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    groups = suffixes.stored(suffixes.gathered(docs), "none")
+
+    def most_strings_of_a_hash():
+        strings = collections.Counter()
+        for r in suffixes.asked_strings(groups, suffixes.shared_minimizers(groups, 64), 64).where("bucket >= 0").collect():
+            raw = suffixes.loosen(r.data)
+            n = int(np.frombuffer(raw, np.int64, 1)[0])
+            strings.update(np.frombuffer(raw, np.uint64, n, 8 + 16 * n).tolist())
+        return max(strings.values())
+
+    # under 8 strings of a group are not counted
+    most = 7 * groups.count()
+    assert most_strings_of_a_hash() > most
+    monkeypatch.setattr(suffixes, "HOT", 4)
+    assert most_strings_of_a_hash() <= most
+    got = {r.doc_id: tuple(r)[1:] for r in suffixes.remove_repeats(docs).collect()}
+    assert got == dict(repeats({i: t.encode() for i, t in texts.items()}))
+
+
 def test_lexicon(spark, odd, corpus):
     from tokenizers import Tokenizer
 

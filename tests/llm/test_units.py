@@ -94,6 +94,13 @@ def test_minimizer_runs_cover_all_windows():
         assert windows == want and count.max() <= suffixes.WINDOWS
 
 
+def test_buckets_of_minimizers_are_even():
+    data = np.random.default_rng(6).integers(97, 123, 1 << 20).astype(np.uint8)
+    h = np.sort(np.unique(suffixes.minimizers(data, np.array([0, len(data)]))[0]))
+    sizes = np.diff(suffixes.bucket_edges(h, 64))
+    assert sizes.max() < 1.3 * sizes.mean() and sizes.min() > 0.7 * sizes.mean()
+
+
 def test_lexicon_finds_its_words_only():
     r = random.Random(2)
     words = list({"".join(r.choice("abé") for _ in range(r.randint(1, 6))) for _ in range(600)})

@@ -9,7 +9,8 @@ them (their minimizer), so
    them other documents have too;
 3. runs of windows with a shared minimizer, short strings of ``WIDTH`` to ``LONGEST``
    bytes, go to the bucket of the minimizer, once per group and string, with
-   the smallest doc_id that has it there;
+   the smallest doc_id that has it there; a minimizer with very many strings has
+   its windows sent one by one instead, each to the bucket of its own hash;
 4. each bucket builds the Burrows-Wheeler transform and the common-prefix array of its
    strings, some minimizers at a time, column by column: every round inserts one symbol
    of each string, reading the two arrays from a file and writing the next ones.  Neighbours with a common
@@ -47,6 +48,8 @@ LONGEST = WIDTH + WINDOWS - 1
 GROUP, BITS = 6 << 20, 40
 #: Bytes of strings of a collection: small arrays stay in the processor's caches.
 BUILT = 1 << 16
+#: Bytes of text for each bucket, so that a bucket does not grow with the corpus; and strings of a minimizer that one bucket takes.
+BUCKET, HOT = 8 << 20, 4096
 NO_ID = (1 << 63) - 1
 _B = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,6 +66,22 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(int(_B), n, 1 << 64))
 
 
+def spread(h: np.ndarray) -> np.ndarray:
+    """A permutation of the ``BITS``-bit numbers: minimizers, the least of many hashes, pile up near 0."""
+    half, mask = np.uint64(BITS // 2), np.uint64((1 << BITS) - 1)
+    for odd in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93):
+        h = h * np.uint64(odd) & mask
+        h = h ^ h >> half
+    return h
+
+
+def window_hashes(data: np.ndarray, at: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """A ``BITS``-bit hash of each window that begins at ``at``."""
+    powers = np.array([_power(WIDTH - 1 - k) for k in range(WIDTH)], np.uint64)
+    parts = [(BYTE_VALUES[data[at[i : i + step, None] + np.arange(WIDTH)]] * powers).sum(1, dtype=np.uint64) for i in range(0, len(at), step)]
+    return mix(np.concatenate([np.zeros(0, np.uint64), *parts])) >> np.uint64(64 - BITS)
+
+
 def minimizers(data: np.ndarray, offsets: np.ndarray, step: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one minimizer: (hash, first window, windows), in text order; offsets delimit the documents."""
     hashes, firsts, counts = [], [], []
@@ -100,7 +119,7 @@ def minimizers(data: np.ndarray, offsets: np.ndarray, step: int = 1 << 19) -> tu
         counts.append(np.minimum(size[who] - k * WINDOWS, WINDOWS))
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(counts)
+    return spread(np.concatenate(hashes)), np.concatenate(firsts), np.concatenate(counts)
 
 
 class Collection:
@@ -312,19 +331,25 @@ def _row_dicts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def shared_minimizers(groups: DataFrame, n_buckets: int) -> DataFrame:
-    """(group, bucket, data): a bit for each distinct minimizer of the group, set if two documents have it."""
+    """(group, bucket, data): two bits for each distinct minimizer of the group, set if two documents have it, and if it has very many strings."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _row_dicts(batches):
             own = Group(row)
-            h, _, _, doc = own.runs()
+            h, start, count, doc = own.runs()
             order = np.argsort(h, kind="stable")
-            h, doc = h[order], doc[order]
+            h, start, count, doc = h[order], start[order], count[order], doc[order]
             first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
             more = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(first) else np.zeros(0, bool)
+            # strings of those that more than one document has
+            n = more.astype(np.uint16)
+            last = np.append(first[1:], len(h))
+            for i in np.flatnonzero(more & (last - first >= 8)).tolist():
+                runs = zip(start[first[i] : last[i]].tolist(), (count[first[i] : last[i]] + WIDTH - 1).tolist(), strict=True)
+                n[i] = min(len({own.raw[a : a + size] for a, size in runs}), 65535)
             h = h[first]
             edges = bucket_edges(h, n_buckets)
-            out = [(b, squeeze(np.diff(h[x:y], prepend=np.uint64(0)), more[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if x < y]
+            out = [(b, squeeze(np.diff(h[x:y], prepend=np.uint64(0)), n[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if x < y]
             yield _rows({"bucket": [b for b, _ in out], "group": [own.group] * len(out), "data": [d for _, d in out]}, _ASK)
 
     def answer(bucket):
@@ -333,13 +358,15 @@ def shared_minimizers(groups: DataFrame, n_buckets: int) -> DataFrame:
         asked = []
         for data in bucket["data"]:
             raw = loosen(data)
-            n = len(raw) // 9
-            asked.append((np.cumsum(np.frombuffer(raw, np.uint64, n)), np.frombuffer(raw, bool, n, 8 * n)))
-        every, count = np.unique(np.concatenate([h for h, _ in asked]), return_counts=True)
-        many = [np.concatenate([h[m] for h, m in asked]), every[count > 1]]
-        shared = np.unique(np.concatenate(many))
-        bits = [np.isin(h, shared, assume_unique=True) for h, _ in asked]
-        return pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": [np.packbits(b).tobytes() for b in bits]})
+            n = len(raw) // 10
+            asked.append((np.cumsum(np.frombuffer(raw, np.uint64, n)), np.frombuffer(raw, np.uint16, n, 8 * n)))
+        every, which, count = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True, return_counts=True)
+        strings = np.concatenate([n for _, n in asked])
+        shared = (count > 1) | (np.bincount(which, strings > 0) > 0)
+        hot = shared & (np.bincount(which, np.maximum(strings, 1)) > HOT)
+        cut = np.cumsum([len(h) for h, _ in asked])[:-1]
+        bits = [np.packbits(np.concatenate((shared[w], hot[w]))).tobytes() for w in np.split(which, cut)]
+        return pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": bits})
 
     asked = groups.mapInArrow(ask, "bucket int, group long, data binary")
     return asked.groupBy("bucket").applyInPandas(lambda g: answer(g), "group long, bucket int, data binary")
@@ -354,11 +381,17 @@ def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int) -> DataF
             h, first, count, doc = own.runs()
             unique = np.unique(h)
             edges = bucket_edges(unique, n_buckets)
-            on = np.zeros(len(unique), bool)
+            on, hot = np.zeros(len(unique), bool), np.zeros(len(unique), bool)
             for s in row["shared"]:
                 x, y = edges[s["bucket"]], edges[s["bucket"] + 1]
-                on[x:y] = np.unpackbits(np.frombuffer(s["data"], np.uint8), count=y - x)
-            keep = on[np.searchsorted(unique, h)]
+                on[x:y], hot[x:y] = np.unpackbits(np.frombuffer(s["data"], np.uint8), count=2 * (y - x)).reshape(2, -1)
+            place = np.searchsorted(unique, h)
+            keep, many = on[place], hot[place]
+            if many.any():
+                single = np.repeat(first[many], count[many]) + np.concatenate([np.arange(n) for n in count[many].tolist()])
+                keep = np.append(keep & ~many, np.ones(len(single), bool))
+                h, first = np.append(h, window_hashes(own.data, single)), np.append(first, single)
+                doc, count = np.append(doc, np.repeat(doc[many], count[many])), np.append(count, np.ones(len(single), np.int64))
             order = np.flatnonzero(keep)[np.argsort(h[keep], kind="stable")]
             h, first, count, doc = h[order], first[order], count[order], doc[order]
             strings: dict[bytes, int] = {}
@@ -448,8 +481,8 @@ def kept_parts(own: Group, answers: list[dict]) -> Iterator[tuple[int, int, byte
 def _resolved(docs: DataFrame, others: list[str] | None = None) -> DataFrame:
     """The groups with the answers to all their strings."""
     spark = docs.sparkSession
-    n_buckets = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")))
     groups = stored(gathered(docs, others), "none")
+    n_buckets = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups.count() * GROUP // BUCKET))
     shared = stored(shared_minimizers(groups, n_buckets))
     answers = stored(answered(asked_strings(groups, shared, n_buckets)), "none")
     return groups.join(answers.groupBy("group").agg(F.collect_list(F.struct("bucket", "data")).alias("answers")), "group", "left")
