@@ -181,6 +181,24 @@ def test_small_world_links():
     assert not (found & ~truth).any() and found.sum() >= 0.99 * truth.sum()
 
 
+def test_rare_links_between_shards_are_found():
+    rng = np.random.default_rng(11)
+    a, b = (rng.normal(size=(3000, 24)) for _ in range(2))
+    b[:30] = a[100:130] + 0.01 * rng.normal(size=(30, 24))  # one query in a hundred has a link
+    b = b[rng.permutation(len(b))]
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+    graph = hnsw.Graph(a)
+    graph.unit64 = a
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(b @ a.T >= hnsw.COSINE)), strict=True))
+
+    def found():
+        return {(q, n) for x, y, _ in hnsw.linked(graph, b) for q, n in zip(x.tolist(), y.tolist(), strict=True)}
+
+    assert len(want) >= 30 and found() == want
+    graph.search = lambda q, width: (np.full((len(q), width), -1, np.int32), np.full((len(q), width), -2, np.float32))
+    assert found() == want  # also with a graph that finds nothing
+
+
 def test_languages_are_told_apart():
     model = languages.fit(["the cat and the dog " * 4, "the house and that hat "] * 10 + ["der hund und die katze " * 4, "das haus und der hut "] * 10, ["en"] * 20 + ["de"] * 20)
     names, score = languages.predict(model, pa.array(["the hat and the dog", "und die katze der", "123"]), pa.array([True, True, False]))

@@ -4,8 +4,10 @@ Equal vectors of a label are one node with a multiplicity.  The nodes of a label
 are split into shards of about ``SHARD`` rows; each shard gets a graph.  The nodes
 of every shard query the graphs of all shards of their label (each pair of
 shards once).  A beam starts at ``BEAM`` and is doubled while an audit against brute
-force on ``AUDIT`` queries finds less than all links, or for a query whose beam is
-full of links; past ``N / 4`` the pair is compared in blocks instead.  Every
+force finds less than all links of its queries, or for a query whose beam is
+full of links; past ``N / 4`` the pair is compared in blocks instead.  The audit takes
+``AUDIT`` queries and as many more as it needs to see ``AUDIT_LINKS`` links besides those
+of a query with itself; a pair with fewer is compared in blocks.  Every
 link is verified by cosine in double precision.  A pair of shards returns link
 counts and a spanning forest of its links, never all pairs.
 
@@ -27,7 +29,7 @@ from .common import stored
 from .components import connected_components
 from .shingles import mix
 
-COSINE, SHARD, BEAM, AUDIT = 0.93, 8192, 24, 192
+COSINE, SHARD, BEAM, AUDIT, AUDIT_LINKS = 0.93, 8192, 24, 192, 100
 DEGREE, BUILD_BEAM, BATCH = 12, 40, 512
 
 
@@ -151,17 +153,31 @@ class Graph:
         return self._beam(q, start, 0, width)
 
 
-def linked(graph: Graph, queries: np.ndarray, least: float = COSINE, beam: int = BEAM) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of (query, node, cosine) with cosine >= least; beams widen until the audit passes."""
+def audited(graph: Graph, queries: np.ndarray, least: float, beam: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, their numbers of links): some in no order, with ``AUDIT_LINKS`` links together that are not of a query with itself; none if there are fewer."""
+    order = np.argsort(mix(np.arange(len(queries), dtype=np.uint64) + np.uint64(7)), kind="stable")
+    count, seen = [], 0
+    for at in range(0, len(order), 64):
+        count.append((queries[order[at : at + 64]] @ graph.unit64.T >= least).sum(1))
+        # a beam full of links is widened in any case
+        seen += np.maximum(count[-1] - same, 0)[count[-1] < beam].sum()
+        if at + 64 >= AUDIT and seen >= AUDIT_LINKS:
+            return order[: at + 64], np.concatenate(count)
+    return order[:0], np.zeros(0, int)
+
+
+def linked(graph: Graph, queries: np.ndarray, least: float = COSINE, beam: int = BEAM, same: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of (query, node, cosine) with cosine >= least; beams widen until the audit passes. same: the queries are the nodes."""
     n = graph.n
     exact = graph.unit64
-    audit = np.unique(np.linspace(0, len(queries) - 1, AUDIT).astype(int)) if len(queries) else np.zeros(0, int)
+    audit, links = audited(graph, queries, least, beam, same)
+    if not len(audit):
+        beam = n
     while beam <= n / 4:
         ids, _ = graph.search(queries[audit].astype(np.float32), beam)
         got = (np.einsum("qkd,qd->qk", exact[ids], queries[audit]) >= least) & (ids >= 0)
         full = got.all(1)
-        want = (queries[audit[~full]] @ exact.T >= least).sum()
-        if got[~full].sum() >= want:
+        if got[~full].sum() >= links[~full].sum():
             break
         beam *= 2
     for at in range(0, len(queries), 1024):
@@ -241,7 +257,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             side = [(np.frombuffer(row[k + "ids"], np.int64), np.frombuffer(row[k + "times"], np.int64)) for k in ("", "q_")]
             queries = graph.unit64 if same else unit_vectors(row["q_vectors"], row["dim"])
             found = np.zeros((len(queries), graph.n), bool)  # at most two shards wide
-            for q, node, _ in linked(graph, queries):
+            for q, node, _ in linked(graph, queries, same=same):
                 found[q, node] = True
                 if same:
                     found[node, q] = True
