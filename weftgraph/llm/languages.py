@@ -178,7 +178,7 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=1 << 18):
             names, score = predict(model.value, batch["text"], batch["letters"])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(score, pa.float64())], schema=schema)
 
@@ -205,7 +205,7 @@ def accepted(docs: DataFrame, least: float = LEAST_KNOWN) -> DataFrame:
     model = spark.sparkContext.broadcast(fit([r.text for r in rows], [r.lang for r in rows], least) if rows else None)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, limit=1 << 18):
             names, _ = predict(model.value, batch["text"].fill_null(""), batch["__letters"])
             keep = pa.array([n != "und" for n in names], pa.bool_())
             yield batch.drop_columns("__letters").filter(keep)
