@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,11 +33,14 @@ def texts(docs: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder in the cluster's shared checkpoint folder.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder takes its place.
+    Without one a temporary folder takes its place where driver and executors are one
+    process; on a cluster that would be another folder on every machine, so it is an error.
     """
     base = spark.conf.get(_SET, None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"{_SET} is not set: operators need a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="weft-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(_SET, base)
@@ -66,19 +70,46 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(True))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that no slice holds much more than ``limit`` bytes of ``column``; a longer value stands alone."""
+_kept: dict = {}
+
+
+def kept(key: tuple, make: Callable):
+    """What a Python worker keeps from task to task (an encoder with its known words): one thing, until another operator's task comes."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back() -> None:
+    """Freed memory of this Python worker goes back to the system, where the C library can do that; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20, rows: int = 2048, keeps: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that no slice holds much more than ``limit`` bytes of ``column`` or ``rows`` rows; a longer value stands alone.
+
+    keeps: the task uses what its worker keeps (``kept``); other tasks drop it.
+    """
+    if not keeps:
+        _kept.clear()
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         at, held = 0, 0
         for i, n in enumerate(sizes):
-            if held and held + n > limit:
+            if held and held + n > limit or i - at == rows:
                 yield batch.slice(at, i - at)
                 at, held = i, 0
             held += int(n)
         yield batch.slice(at)
+        del batch
+    give_back()
 
 
 def arrow_batch(columns: dict, schema: T.StructType | pa.Schema) -> pa.RecordBatch:

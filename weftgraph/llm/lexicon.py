@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, texts
+from .common import kept, slices, stored, texts
 from .tokens import ChunkEncoder
 
 WORDS = 50_000
@@ -218,16 +218,9 @@ def lexicon_of(docs: DataFrame, tokenizer_path: str, most: int = WORDS) -> bytes
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
-_codecs: dict[str, Codec] = {}
-
-
 def codec(path: str, data: bytes) -> Codec:
-    """The codec of a lexicon, kept by a Python worker until another lexicon comes."""
-    key = hashlib.sha256(data).hexdigest()
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(path, Lexicon.mapped(data))
-    return _codecs[key]
+    """The codec of a lexicon, kept by a Python worker for later tasks of the same run."""
+    return kept((path, hashlib.sha256(data).hexdigest()), lambda: Codec(path, Lexicon.mapped(data)))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, most: int = WORDS, digests: bool = False) -> DataFrame:
@@ -237,7 +230,7 @@ def encode(docs: DataFrame, tokenizer_path: str, most: int = WORDS, digests: boo
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(tokenizer_path, data.value)
-        for batch in slices(batches, limit=1 << 20):
+        for batch in slices(batches, keeps=True):
             n, ids, decoded = zip(*code.encode(batch["text"].to_pylist()), strict=True)
             if digests:
                 ids, decoded = ([hashlib.sha256(x.encode()).hexdigest() for x in v] for v in (ids, decoded))

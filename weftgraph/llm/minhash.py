@@ -15,13 +15,16 @@ The members that are not linked to their center are then queries against all nod
 around it, in blocks of at most ``BLOCK`` nodes with an inverted index, and only
 links between components leave a block: no link of a bucket is lost and no pairs are listed.
 
-Cases: null or empty texts and texts without words have no bag and are classes of
-their own, but equal ones form a class; shorter texts have one shingle; rows
-that repeat a doc_id are one document and stay or go together.
+Cases: null or empty texts and texts without words have no bag: only equal ones
+(null is empty) form a class; shorter texts have one shingle; very long texts are
+read whole; rows that repeat a doc_id are one document and stay or go together;
+a null doc_id gets the class of its bag (null if no other row has that) and stays; extra columns are left
+alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -125,11 +128,16 @@ def sketched(docs: DataFrame) -> DataFrame:
             text, hashes, counts = bags(batch["text"])
             bands = band_hashes(signatures(text, hashes, counts, n)).view(np.int64)
             identity = []
-            for salt in (11, 12):
+            empty = np.bincount(text, minlength=n) == 0
+            wordless = np.flatnonzero(empty)  # known by the text itself
+            own = [hashlib.blake2b(batch["text"][i].as_py().encode(), digest_size=16).digest() for i in wordless.tolist()]
+            own = np.frombuffer(b"".join(own), np.uint64).reshape(-1, 2)
+            for k, salt in enumerate((11, 12)):
                 total = np.zeros(n, np.uint64)
                 np.add.at(total, text, mix(hashes + np.uint64(salt)) * counts.astype(np.uint64))
+                total[wordless] = own[:, k]
                 identity.append(total.view(np.int64))
-            empty = np.bincount(text, minlength=n) == 0
+            del text, hashes, counts
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1)))
             lists = pc.if_else(pa.array(empty), None, lists)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *map(pa.array, identity), lists], ["doc_id", "bag1", "bag2", "bands"])

@@ -90,7 +90,7 @@ def pack(docs: DataFrame, tokenizer_path: str, style: str = "word", end_id: int
             values = [[part] * len(flat), [left] * len(flat), *([r[i] for r in flat] for i in range(7 + with_ids))]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
-        for batch in slices(batches):
+        for batch in slices(batches, keeps=True):
             coded = [x + end for x in code.encode(batch.column("text").to_pylist())]
             doc_ids = batch.column("doc_id").to_pylist()
             for k, start, length, window, offset in cut_and_place((len(x) // 4 for x in coded), windows):

@@ -182,7 +182,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, style: str = "byt
             held, index, size, k = [], [], 0, k + 1
             return row
 
-        for batch in slices(batches):
+        for batch in slices(batches, keeps=True):
             doc_ids = batch.column("doc_id").to_pylist()
             for doc_id, data in zip(doc_ids, code.encode(batch.column("text").to_pylist()), strict=True):
                 data += end

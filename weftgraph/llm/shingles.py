@@ -32,16 +32,21 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 _VALUE, _IS_WORD = _tables()
+#: Bytes hashed at once, so that tables and temporary arrays stay small under any text.
+PART = 1 << 19
 _powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 20)
-        inverse = pow(_BASE, -1, 1 << 64)
-        _powers[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))) for b in (_BASE, inverse)]
-    return _powers[0][:n], _powers[1][:n]
+    """base**i and base**-i modulo 2**64 for i < n; tables over ``PART`` are not kept."""
+    if _powers and len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    size = max(n, PART)
+    inverse = pow(_BASE, -1, 1 << 64)
+    made = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)))) for b in (_BASE, inverse)]
+    if size == PART:
+        _powers[:] = made
+    return made[0][:n], made[1][:n]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -66,11 +71,19 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     inner = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
     begin[inner] = inside[1:-1][inner]  # words end with their text
     end[inner - 1] = inside[1:-1][inner - 1]
-    begin, end = np.flatnonzero(begin), np.flatnonzero(end)
-    power, inverse = powers(max(1, n))
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[data] * power[:n], out=total[1:])
-    hashes = mix((total[end + 1] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    begin, end = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    hashes = np.empty(len(begin), np.uint64)
+    at = 0
+    while at < len(begin):  # words of one part of the bytes; a longer word is a part of its own
+        first = int(begin[at])
+        to = max(at + 1, int(np.searchsorted(end, first + PART, "right")))
+        part = data[first : end[to - 1]]
+        power, inverse = powers(len(part))
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_VALUE[part] * power, out=total[1:])
+        low, high = begin[at:to] - first, end[at:to] - first
+        hashes[at:to] = mix((total[high] - total[low]) * inverse[low] + (high - low - 1).astype(np.uint64))
+        at = to
     return hashes, np.searchsorted(begin, offsets)
 
 

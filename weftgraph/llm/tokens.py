@@ -15,6 +15,8 @@ from array import array
 
 import numpy as np
 
+from .common import kept
+
 END_ID = 2
 #: Entries of the cache that stays, and of the one that is emptied when full.
 KEPT, PASSING = 300_000, 60_000
@@ -143,11 +145,6 @@ _BYTES = _byte_characters()
 #: Letters up to U+024F, then ASCII marks other than the apostrophe.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
-_encoders: dict[tuple[str, str], ChunkEncoder] = {}
-
-
 def encoder(path: str, style: str) -> ChunkEncoder:
-    """One encoder for each vocabulary and Python worker; its cache serves later tasks too."""
-    if (path, style) not in _encoders:
-        _encoders[path, style] = ChunkEncoder(path, style)
-    return _encoders[path, style]
+    """The encoder of a vocabulary; its words serve later tasks of the same operator too."""
+    return kept((path, style), lambda: ChunkEncoder(path, style))

@@ -9,9 +9,10 @@ a document's score comes from a logistic fit on the sum and the largest of them,
 and tokens with a marginal of one half or more are the offending offsets.
 
 The fit reads at most about ``PER_CLASS`` documents of each label, by a hash of
-the id; scoring reads every whole text.  Cases: null or empty text scores as a text without
-any toxic token; without labels of both kinds every score is 0; repeated rows
-score alike.
+the id; scoring reads every whole text, very long ones too.  Cases: null or empty text scores as a text without
+any toxic token; without labels of both kinds every score is 0; of several labels of a doc_id
+the largest counts, of several texts of a doc_id the first in order is learned; repeated rows
+score alike; a null doc_id is held out; extra columns are left alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -147,7 +148,7 @@ def seeds(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[str], toxic: np.ndarray) -> Model:
-    tokens = [_TOKEN.findall(t.lower()) for t in texts]
+    tokens = [[w.lower() for w in _TOKEN.findall(t)] for t in texts]
     vocabulary: dict[str, int] = {}
     flat = np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for t in tokens for w in t), np.int32)
     lengths = np.array([len(t) for t in tokens], np.int64)
@@ -242,7 +243,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     drawn = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
     ids = known.join(F.broadcast(counts), "toxic").where(drawn < per_class / F.col("count")).select("doc_id", "toxic")
     ids = F.broadcast(ids.limit(4 * per_class))
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(ids, "doc_id")
+    # rows that repeat a doc_id are one text
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(ids, "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
@@ -260,7 +263,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tag = Tagger(model.value) if model.value else None
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 << 20, rows=1 << 16):
             n = batch.num_rows
             scores, spans = tag(batch["text"].to_pylist()) if tag else (np.zeros(n), [[]] * n)
             spans = [[{"begin": a, "end": b} for a, b in s] for s in spans]
@@ -276,7 +279,7 @@ def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tag = Tagger(model.value) if model.value else None
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 << 20, rows=1 << 16):
             yield batch.filter(pa.array(tag(batch["text"].fill_null("").to_pylist())[0] < threshold)) if tag else batch
 
     return docs.mapInArrow(work, docs.schema)
