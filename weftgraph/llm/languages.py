@@ -1,18 +1,20 @@
 """Language ID with string kernels.
 
 The kernel of two texts counts the n-grams (bytes of the lower-cased text,
-n = 1 to 3, blended) present in both, normalised by those in each.  Landmarks
-(Nystroem) turn it into features; kernel ridge regression is fitted one language
-against the rest; batches are scored by two matrix products.
-
-The fit reads at most about ``PER_LANGUAGE`` texts of each language, taken by a
-hash of the id; scoring reads every whole text.  The outputs of the ridge only
-rank languages (their sum is about constant), so a text is recognised by another
+n = 1 to 3, blended) present in both, normalised by those in each; no n-gram is left
+out or shares a place with another one.  Landmarks (Nystroem) turn it into features;
+kernel ridge regression is fitted one language against the rest; a batch of texts is
+scored by two matrix products, its n-grams by those of the landmarks and the kernel by the weights.
+
+The fit reads at most about ``PER_LANGUAGE`` texts of each language, and about ``TEXTS`` of
+all, but ``FEWEST`` of each, taken by a hash of the id; scoring reads every whole text.
+The outputs of the ridge only rank languages (their sum is about constant), so a text is recognised by another
 figure: the share of its distinct letter trigrams that some learned text has.
 Cases: a text that is null, has no letter or has too few known trigrams is ``und``
 with score 0; one too short for a trigram is recognised; null languages are not
-learned; without any language to learn all texts are ``und``; repeated rows and
-ties score alike.
+learned; without any language to learn all texts are ``und``; very long texts are read
+whole; repeated rows score alike; of two languages that tie the first by name is taken; a null doc_id is
+held out; extra columns are left alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,32 +30,41 @@ from pyspark.sql import functions as F
 from .common import held_out, slices
 from .shingles import utf8
 
-PER_LANGUAGE, LANDMARKS, FEATURES, RIDGE = 400, 160, 2048, 1e-2
+PER_LANGUAGE, TEXTS, FEWEST, LANDMARKS, RIDGE = 400, 8000, 4, 160, 1e-2
+#: Texts whose n-grams are laid out at once.
+LAID_OUT = 64
 #: A text with a smaller share of known trigrams is of no learned language.  Of the texts of the tables of 0.1 and 0.5 GB
 #: none and 3 of 256,410 have less (short ones, two with a key of letters); random letters (360 texts) had at most 0.67, sentences of five unlearned languages 0.62.
 LEAST_KNOWN = 0.7
 #: A language with few texts to learn asks for less: this much under the 1 % quantile of its texts, each against the others.
 SLACK = 0.1
-_TRIGRAMS = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
 _LOWER[9:14] = 32
 
 
-def grams(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text, code) of each n-gram, for n = 1, 2, 3; none reaches over the end of its text."""
+#: Codes of n-grams: bytes as digits 1 to 256 of a number.
+_GRAMS = 257**3
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])[: len(x)]]
+
+
+def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text, code) of the distinct n-grams of each text, in order; none reaches over the end of its text."""
     data, offsets = utf8(column)
-    lower = _LOWER[data]
+    digit = _LOWER[data] + 1
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    yield text, lower
-    same = text[1:] == text[:-1]
-    two = lower[:-1] << 8 | lower[1:]
-    yield text[:-1][same], 256 + two[same]
-    same = text[2:] == text[:-2]
-    three = two[:-1] << 8 | lower[2:]
-    three = (three * 0x9E3779B1 >> 7) % _TRIGRAMS
-    yield text[:-2][same], 256 + (1 << 16) + three[same]
+    found, code = [], np.zeros(len(digit), np.int64)
+    for n in (1, 2, 3):
+        code = code[: max(0, len(digit) - n + 1)] * 257 + digit[n - 1 :]
+        same = text[n - 1 :] == text[: len(code)]
+        found.append((text[: len(code)] * _GRAMS + code)[same])
+    every = distinct(np.concatenate(found))
+    return every // _GRAMS, every % _GRAMS
 
 
 #: Letters: a to z and the bytes of all others; 0 is what stands between words.
@@ -83,40 +94,61 @@ def letter_trigrams(column: pa.Array) -> np.ndarray:
 
     bare = np.bincount(text[:-2][use(plain)], minlength=len(column)) == 0
     x = np.where(bare[text], letter, plain)
-    return np.unique((text[:-2] * _CODES + (x[:-2] * 155 + x[1:-1]) * 155 + x[2:])[use(x)])
+    return distinct((text[:-2] * _CODES + (x[:-2] * 155 + x[1:-1]) * 155 + x[2:])[use(x)])
 
 
 def share_in(known: np.ndarray, trigrams: np.ndarray, n: int) -> np.ndarray:
-    """The share of known ones among the trigrams of each of n texts; 1 if there are none."""
+    """The share of known ones (packed bits) among the trigrams of each of n texts; 1 if there are none."""
     text = trigrams // _CODES
     have = np.bincount(text, minlength=n)
-    return np.where(have > 0, np.bincount(text, known[trigrams % _CODES], n) / np.maximum(have, 1), 1.0)
+    code = trigrams % _CODES
+    hit = known[code >> 3] >> (7 - (code & 7)) & 1
+    return np.where(have > 0, np.bincount(text, hit, n) / np.maximum(have, 1), 1.0)
 
 
-def presence(column: pa.Array, place: np.ndarray, n_features: int) -> np.ndarray:
-    """1 where a text holds a feature, normalised to length 1."""
-    out = np.zeros((len(column), n_features + 1), np.float32)
-    for text, code in grams(column):
-        out[text, place[code]] = 1
-    out = out[:, :n_features]
-    return out / np.maximum(np.sqrt(out.sum(1, keepdims=True)), 1)
+@dataclass
+class Landmarks:
+    """The distinct n-grams of the landmark texts, and which landmark has which (1, else 0), each landmark of length 1."""
+
+    codes: np.ndarray
+    has: np.ndarray
+
+    @classmethod
+    def of(cls, column: pa.Array) -> Landmarks:
+        text, code = grams(column)
+        codes = np.unique(code)
+        has = np.zeros((len(column), len(codes)), np.float32)
+        has[text, np.searchsorted(codes, code)] = 1
+        return cls(codes, has / np.maximum(np.sqrt(has.sum(1, keepdims=True)), 1))
+
+    def kernel(self, column: pa.Array) -> np.ndarray:
+        """The kernel of each text with each landmark."""
+        out = np.zeros((len(column), len(self.has)), np.float32)
+        for at in range(0, len(column), LAID_OUT):
+            part = column.slice(at, LAID_OUT)
+            text, code = grams(part)
+            length = np.sqrt(np.maximum(np.bincount(text, minlength=len(part)), 1))
+            place = np.minimum(np.searchsorted(self.codes, code), max(0, len(self.codes) - 1))
+            shared = self.codes[place] == code if len(self.codes) else np.zeros(len(code), bool)
+            laid = np.zeros((len(part), len(self.codes)), np.float32)
+            laid[text[shared], place[shared]] = 1
+            out[at : at + LAID_OUT] = (laid @ self.has.T) / length[:, None]
+        return out
 
 
 @dataclass
 class Model:
     languages: list[str]
-    place: np.ndarray  # feature of each n-gram code
-    landmarks: np.ndarray
+    landmarks: Landmarks
     weights: np.ndarray
-    n_features: int
     known: np.ndarray  # trigrams of learned texts, packed bits
     floor: np.ndarray  # share of known trigrams that a text of each language needs at least
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        return (presence(column, self.place, self.n_features) @ self.landmarks.T) @ self.weights[:-1] + self.weights[-1]
+        return self.landmarks.kernel(column) @ self.weights[:-1] + self.weights[-1]
 
     def recognised(self, column: pa.Array, best: np.ndarray) -> np.ndarray:
-        return share_in(np.unpackbits(self.known, count=_CODES), letter_trigrams(column), len(column)) >= self.floor[best]
+        return share_in(self.known, letter_trigrams(column), len(column)) >= self.floor[best]
 
 
 def recognition(texts: list[str], which: np.ndarray, n_languages: int, least: float = LEAST_KNOWN) -> tuple[np.ndarray, np.ndarray]:
@@ -125,49 +157,38 @@ def recognition(texts: list[str], which: np.ndarray, n_languages: int, least: fl
     count = np.zeros(_CODES, np.int64)
     for trigrams in found:
         np.add.at(count, trigrams % _CODES, 1)
-    others = np.concatenate([share_in(count > 1, t, min(64, len(texts) - 64 * k)) for k, t in enumerate(found)])
+    others = np.concatenate([share_in(np.packbits(count > 1), t, min(64, len(texts) - 64 * k)) for k, t in enumerate(found)])
     floor = [min(least, np.quantile(others[which == k], 0.01) - SLACK) for k in range(n_languages)]
     return np.packbits(count > 0), np.array(floor)
 
 
 def fit(texts: list[str], languages: list[str], least: float = LEAST_KNOWN) -> Model:
     names = sorted(set(languages))
-    size = 256 + (1 << 16) + _TRIGRAMS
-    found = np.zeros((len(names), size), np.int64)
-    which = np.array([names.index(x) for x in languages], np.int64)
-    for i in range(0, len(texts), 64):
-        column = pa.array(texts[i : i + 64], pa.large_string())
-        for text, code in grams(column):
-            pairs = np.unique(text * size + code)
-            np.add.at(found, (which[i + pairs // size], pairs % size), 1)
-    share = found / np.maximum(np.bincount(which, minlength=len(names))[:, None], 1)
-    # n-grams whose frequency differs most between languages
-    spread = share.max(0) - share.min(0) + 1e-3 * share.max(0)
-    chosen = np.argsort(-spread, kind="stable")[:FEATURES]
-    chosen = chosen[found[:, chosen].sum(0) > 0]
-    place = np.full(size, len(chosen), np.int64)
-    place[chosen] = np.arange(len(chosen))
-    x = np.concatenate([presence(pa.array(texts[i : i + 256], pa.large_string()), place, len(chosen)) for i in range(0, len(texts), 256)])
+    number = {name: k for k, name in enumerate(names)}
+    which = np.array([number[x] for x in languages], np.int64)
+    column = pa.array(texts, pa.large_string())
     marks = np.concatenate([np.flatnonzero(which == k)[: max(1, LANDMARKS // len(names))] for k in range(len(names))])
-    landmarks = x[marks]
-    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
+    landmarks = Landmarks.of(column.take(pa.array(marks)))
+    values, vectors = np.linalg.eigh((landmarks.has @ landmarks.has.T).astype(np.float64))
     kept = values > 1e-6 * max(values.max(), 1e-12)
     root = vectors[:, kept] / np.sqrt(values[kept])  # K_mm to the power -1/2
-    phi = np.hstack([(x @ landmarks.T).astype(np.float64) @ root, np.ones((len(x), 1))])
+    phi = np.hstack([landmarks.kernel(column).astype(np.float64) @ root, np.ones((len(texts), 1))])
     y = np.where(which[:, None] == np.arange(len(names)), 1.0, -1.0)
     # each language weighs the same
     w = 1 / np.bincount(which, minlength=len(names))[which]
     beta = np.linalg.solve(phi.T @ (phi * w[:, None]) + RIDGE * np.eye(phi.shape[1]), phi.T @ (y * w[:, None]))
-    return Model(names, place, landmarks, np.vstack([root @ beta[:-1], beta[-1:]]).astype(np.float32), len(chosen), *recognition(texts, which, len(names), least))
+    return Model(names, landmarks, np.vstack([root @ beta[:-1], beta[-1:]]).astype(np.float32), *recognition(texts, which, len(names), least))
 
 
-def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """About ``per_language`` texts of each language that are not held out."""
-    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count()
-    share = F.col("count").cast("double")
+def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE, texts: int = TEXTS) -> DataFrame:
+    """doc_id, lang, text of about ``per_language`` texts of each language that are not held out, and about ``texts`` of all, but ``FEWEST`` of each."""
+    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = counts.crossJoin(F.broadcast(counts.agg(F.count("*").alias("languages"))))  # one row
+    wanted = F.greatest(F.lit(FEWEST), F.least(F.lit(per_language), F.floor(F.lit(texts) / F.col("languages"))))
+    counts = counts.select("lang", (wanted / F.col("n")).alias("share"))
     drawn = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    return known.join(F.broadcast(counts.orderBy(F.desc("count")).limit(1000)), "lang").where(drawn < per_language / share).select("doc_id", "lang", "text")
+    return known.join(counts, "lang").where(drawn < F.col("share")).select("doc_id", "lang", "text")
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
