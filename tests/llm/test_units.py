@@ -76,7 +76,7 @@ def test_collection_is_the_sorted_suffixes():
     r = random.Random(5)
     for _ in range(40):
         strings = list({bytes(r.choice(b"ab") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 12))})
-        built = suffixes.Collection(strings)
+        built = suffixes.Collection(strings, block=r.choice([1, 2, 3, 7, 64]))
         every = sorted(((s[j:], i, j) for i, s in enumerate(strings) for j in range(len(s) + 1)), key=lambda x: [b + 1000 for b in x[0]] + [x[1]])
         assert built.symbols.tolist() == [0 if j == 0 else strings[i][j - 1] + 1 for _, i, j in every]
         common = [next((k for k, (x, y) in enumerate(zip(a[0], b[0], strict=False)) if x != y), min(len(a[0]), len(b[0]))) for a, b in zip(every, every[1:], strict=False)]
@@ -97,7 +97,9 @@ def test_minimizer_runs_cover_all_windows():
 def test_buckets_of_minimizers_are_even():
     data = np.random.default_rng(6).integers(97, 123, 1 << 20).astype(np.uint8)
     h = np.sort(np.unique(suffixes.minimizers(data, np.array([0, len(data)]))[0]))
-    sizes = np.diff(suffixes.bucket_edges(h, 64))
+    runs = list(suffixes.bucket_runs(h, 64))
+    assert [b for b, _, _ in runs] == list(range(64)) and [x for _, x, _ in runs[1:]] == [y for _, _, y in runs[:-1]]
+    sizes = np.array([y - x for _, x, y in runs])
     assert sizes.max() < 1.3 * sizes.mean() and sizes.min() > 0.7 * sizes.mean()
 
 

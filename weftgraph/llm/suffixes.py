@@ -11,17 +11,18 @@ them (their minimizer), so
    bytes, go to the bucket of the minimizer, once per group and string, with
    the smallest doc_id that has it there; a minimizer with very many strings has
    its windows sent one by one instead, each to the bucket of its own hash;
-4. each bucket builds the Burrows-Wheeler transform and the common-prefix array of its
-   strings, some minimizers at a time, column by column: every round inserts one symbol
-   of each string, reading the two arrays from a file and writing the next ones.  Neighbours with a common
+4. each bucket builds the Burrows-Wheeler transform and the common-prefix array of all its
+   strings column by column: every round inserts one symbol of each string, reading the
+   two arrays from files front to back and writing the next ones.  Neighbours with a common
    prefix of ``WIDTH`` or more are one class, and the class's smallest doc_id goes
    back to the groups;
 5. each group marks its windows and drops the bytes under marked ones.
 
 Long documents never make long strings, and a passage in many documents
 travels once per group.  Cases: null text is empty; texts under WIDTH bytes keep
-all; rows with an equal doc_id never remove from each other; a null doc_id counts
-as the largest; matches stay within a document.
+all; very long texts are read whole; rows with an equal doc_id never remove from each other; a null doc_id counts
+as the largest; matches stay within a document; extra columns are left alone, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import give_back, partitions, slices, stored
 from .shingles import _VALUE as BYTE_VALUES
 from .shingles import mix
 
@@ -46,12 +47,16 @@ WIDTH, K = 50, 25
 WINDOWS = 32
 LONGEST = WIDTH + WINDOWS - 1
 GROUP, BITS = 6 << 20, 40
-#: Bytes of strings of a collection: small arrays stay in the processor's caches.
-BUILT = 1 << 16
+#: Entries of a collection's files that are read at once.
+STREAM = 1 << 16
 #: Bytes of text for each bucket, so that a bucket does not grow with the corpus; and strings of a minimizer that one bucket takes.
 BUCKET, HOT = 8 << 20, 4096
 NO_ID = (1 << 63) - 1
 _B = np.uint64(0x9E3779B97F4A7C15)
+_PLACES = np.arange(1 << 16, dtype=np.uint32)
+#: Logarithm of the size of a range in a block, rounded down.
+_LOG = (np.frexp(np.arange((1 << 16) + 1))[1] - 1).astype(np.int64)
+_SIZE = 1 << np.arange(17)
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -125,21 +130,26 @@ def minimizers(data: np.ndarray, offsets: np.ndarray, step: int = 1 << 19) -> tu
 class Collection:
     """BWT and common prefixes of many short strings, built one column a round.
 
-    ``symbols``: 0 where a string begins, else its byte + 1.  Entry i of the prefix array is
-    the common prefix of suffixes i-1 and i, cut off nowhere (strings are short).
-    Both arrays live in a file between rounds, read and written front to back.
+    ``symbols``: 0 where a string begins, else its byte + 1 (UTF-8 has no byte over 0xF4).
+    Entry i of the prefix array is the common prefix of suffixes i-1 and i.  Between rounds both
+    arrays are files: a round reads the old ones from front to back in blocks of ``STREAM`` entries, once to find
+    where the new suffixes go and once to write the new ones, so it holds a block and
+    some numbers for each string, never the arrays.
     """
 
-    def __init__(self, strings: list[bytes]):
-        self.n = len(strings)
+    def __init__(self, strings: list[bytes], block: int = STREAM):
+        self.n, self.block, self.least = len(strings), block, RangeLeast(block)
         self.sizes = np.array(list(map(len, strings)), np.int64)
-        flat = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
+        flat = np.frombuffer(b"".join(strings), np.uint8) + np.uint8(1)
         ends = np.cumsum(self.sizes)
         begin = ends - self.sizes
-        with tempfile.TemporaryFile() as old, tempfile.TemporaryFile() as new:
-            files = [old, new]
+        with tempfile.TemporaryFile() as a, tempfile.TemporaryFile() as b, tempfile.TemporaryFile() as c, tempfile.TemporaryFile() as d:
+            old, new = (a, b), (c, d)
             # the end marks of all strings, in their order
-            self._write(old, np.where(self.sizes > 0, flat[np.maximum(ends - 1, 0)] if len(flat) else 0, 0).astype(np.uint16), np.zeros(self.n, np.uint8))
+            first = np.where(self.sizes > 0, flat[np.maximum(ends - 1, 0)] if len(flat) else 0, 0).astype(np.uint8)
+            a.write(first)
+            b.write(bytes(self.n))
+            self.counts = np.bincount(first, minlength=256)
             place, live, length = np.arange(self.n), np.arange(self.n), 0
             while True:
                 keep = self.sizes[live] > length
@@ -148,71 +158,105 @@ class Collection:
                     break
                 length += 1
                 at = ends[live] - length - 1
-                before = np.where(at >= begin[live], flat[np.maximum(at, 0)], 0).astype(np.uint16)
-                place = self._round(*files, place, before)
-                files.reverse()
-            self.symbols, self.prefix = self._read(files[0])
-
-    @staticmethod
-    def _write(file, symbols: np.ndarray, prefix: np.ndarray) -> None:
-        file.seek(0)
-        symbols.tofile(file)
-        prefix.tofile(file)
-        file.truncate()
-        file.flush()
-
-    @staticmethod
-    def _read(file) -> tuple[np.ndarray, np.ndarray]:
-        n = file.seek(0, 2) // 3
-        file.seek(0)
-        return np.fromfile(file, np.uint16, n), np.fromfile(file, np.uint8, n)
-
-    def _round(self, old, new, place: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """Insert the suffixes that extend those at ``place`` by the symbols there; returns their places."""
-        symbols, prefix = self._read(old)
-        order = np.argsort(symbols, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        shift = self.n - int((symbols == 0).sum())
-        mine = rank[place]
-        to = mine + shift
-        # neighbours of a new suffix extend the last and the next place with the same symbol
-        own = symbols[place]
-        left = order[np.maximum(mine - 1, 0)]
-        has_left = (mine > 0) & (symbols[left] == own)
-        right = order[np.minimum(mine + 1, len(order) - 1)]
-        has_right = (mine + 1 < len(order)) & (symbols[right] == own)
-        out = np.zeros(len(symbols) + len(place), np.uint16)
-        low = np.zeros(len(out), np.uint8)
-        rest = np.ones(len(out), bool)
-        rest[to] = False
-        out[rest] = symbols
-        low[rest] = prefix
-        out[to] = before
-        low[to] = np.where(has_left, self._least(prefix, left, place, has_left) + 1, 0)
-        fix = has_right & np.append(rest, False)[np.minimum(to + 1, len(out))]
-        low[to[fix] + 1] = (self._least(prefix, place, right, has_right) + 1)[fix]
-        self._write(new, out, low)
-        return to
-
-    @staticmethod
-    def _least(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, use: np.ndarray) -> np.ndarray:
-        """The least of prefix[a+1 .. b] where ``use``, else 0."""
-        out = np.zeros(len(a), np.uint8)
-        which = np.flatnonzero(use)
-        if len(which):
-            which = which[np.argsort(a[which], kind="stable")]  # in order, else each gap between two ranges is read too
-            edges = np.empty(2 * len(which), np.int64)
-            edges[0::2], edges[1::2] = a[which] + 1, b[which] + 1
-            out[which] = np.minimum.reduceat(np.append(prefix, 0), edges)[0::2]
-        return out
+                before = np.where(at >= begin[live], flat[np.maximum(at, 0)], 0).astype(np.uint8)
+                to, low, fix, fixed = self._targets(old, place)
+                order = np.argsort(to)
+                live, place, before = live[order], to[order], before[order]
+                self._merged(old, new, place, before, low[order], fix, fixed)
+                self.counts += np.bincount(before, minlength=256)
+                old, new = new, old
+            for file in old:
+                file.seek(0)
+            self.symbols, self.prefix = (np.frombuffer(f.read(), np.uint8) for f in old)
+
+    def _targets(self, files: tuple, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For the suffixes at ``place`` (ascending): where those with one symbol more go and their common prefixes; where the prefix of a right neighbour changes, and to what.
+
+        The neighbours of a new suffix extend the last and the next place with the same symbol, so
+        its common prefixes are one more than the least ones up to there.
+        """
+        base = self.n + np.cumsum(self.counts) - self.counts - self.counts[0]
+        to = np.empty(len(place), np.int64)
+        low, after = np.zeros(len(place), np.uint8), np.zeros(len(place), np.uint8)
+        has_after = np.zeros(len(place), bool)
+        seen = np.zeros(256, np.int64)
+        carry = np.full(256, 255, np.uint8)  # least prefix since the last place of each symbol
+        waiting = np.full(256, -1, np.int64)  # the suffix whose next place of its symbol is still to come
+        least = self.least
+        for file in files:
+            file.seek(0)
+        start = k = 0
+        while data := files[0].read(self.block):
+            symbols, prefix = np.frombuffer(data, np.uint8), np.frombuffer(files[1].read(self.block), np.uint8)
+            size = len(symbols)
+            stop = int(np.searchsorted(place, start + size))
+            p = place[k:stop] - start
+            # (symbol, place) in order: each symbol's places lie together
+            key = symbols.astype(np.uint32) << np.uint32(16) | _PLACES[:size]
+            ordered = np.sort(key)
+            edges = np.searchsorted(ordered, np.arange(257, dtype=np.uint32) << np.uint32(16))
+            count = np.diff(edges)
+            have = np.flatnonzero(count)
+            order = (ordered & np.uint32(0xFFFF)).astype(np.int64)
+            least.of(prefix)
+            first, last = order[edges[have]], order[edges[have + 1] - 1]
+            w = waiting[have] >= 0
+            who = waiting[have[w]]
+            after[who] = np.minimum(carry[have[w]], least(np.zeros(len(who), np.int64), first[w] + 1))
+            has_after[who] = True
+            waiting[have] = -1
+            if len(p):
+                own = symbols[p].astype(np.int64)
+                rank = np.searchsorted(ordered, key[p])
+                inner = rank - edges[own]
+                to[k:stop] = base[own] + seen[own] + inner
+                is_first, is_last = inner == 0, inner == count[own] - 1
+                before = np.where(is_first, 0, order[np.maximum(rank - 1, 0)] + 1)
+                here = least(before, p + 1)
+                low[k:stop] = np.where(is_first, np.where(seen[own] > 0, np.minimum(carry[own], here) + 1, 0), here + 1)
+                inside = np.flatnonzero(~is_last)
+                after[k + inside] = least(p[inside] + 1, order[rank[inside] + 1] + 1)
+                has_after[k + inside] = True
+                ends = np.flatnonzero(is_last)
+                waiting[own[ends]] = k + ends
+            carry = np.minimum(carry, prefix.min())
+            carry[have] = np.where(last + 1 < size, least(np.minimum(last + 1, size - 1), np.full(len(last), size)), 255)
+            seen += count
+            start, k = start + size, stop
+        return to, low, to[has_after] + 1, after[has_after] + np.uint8(1)
+
+    def _merged(self, old: tuple, new: tuple, to: np.ndarray, symbols: np.ndarray, low: np.ndarray, fix: np.ndarray, fixed: np.ndarray) -> None:
+        """Write the arrays with the new entries at ``to`` (ascending); a changed neighbour that is new itself stays as it is."""
+        by = np.argsort(fix)
+        fix, fixed = fix[by], fixed[by]
+        for file in (*old, *new):
+            file.seek(0)
+        total, at, k, j = int(self.counts.sum()) + len(to), 0, 0, 0
+        while at < total:
+            size = min(self.block, total - at)
+            k1, j1 = np.searchsorted(to, at + size), np.searchsorted(fix, at + size)
+            mine, changed = to[k:k1] - at, fix[j:j1] - at
+            rest = np.ones(size, bool)
+            rest[mine] = False
+            for i, own in enumerate((symbols, low)):
+                out = np.empty(size, np.uint8)
+                out[rest] = np.frombuffer(old[i].read(size - len(mine)), np.uint8)
+                out[mine] = own[k:k1]
+                if i:
+                    ok = rest[changed]
+                    out[changed[ok]] = fixed[j:j1][ok]
+                new[i].write(out)
+            at, k, j = at + size, k1, j1
+        for file in new:
+            file.flush()
 
     def classes(self, width: int = WIDTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(string, offset, class) of all windows, for one suffix length after another: a walk over the last-first mapping."""
-        group = np.cumsum(self.prefix < width)
+        group = np.cumsum(self.prefix < width, dtype=np.int32)
         order = np.argsort(self.symbols, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order)) + self.n - int((self.symbols == 0).sum())
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32) + np.int32(self.n - int((self.symbols == 0).sum()))
+        del order
         place, live = np.arange(self.n), np.arange(self.n)
         for length in range(1, int(self.sizes.max(initial=0)) + 1):
             keep = self.sizes[live] >= length
@@ -221,38 +265,43 @@ class Collection:
                 yield live, self.sizes[live] - length, group[place]
 
 
-def smallest_owners(strings: list[bytes], minimizers_: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
-    """For each window of each string the least owner of any string that has it.
+class RangeLeast:
+    """The least values of ranges [begin, end) of one block, from the least ones of all ranges of 1, 2, 4, ... entries."""
 
-    Only strings with an equal minimizer can share a window.  So collections are built of all
-    strings of some minimizers, ``BUILT`` bytes or little more; a minimizer with one (distinct) string needs none.
-    """
+    def __init__(self, most: int):
+        self.room = np.empty((max(1, most).bit_length(), max(1, most)), np.uint8)  # a row for each size of ranges
+        self.most = self.room.shape[1]
+
+    def of(self, values: np.ndarray) -> None:
+        n, size = len(values), 1
+        self.room[0, :n] = values
+        for below, row in zip(self.room, self.room[1:], strict=False):
+            if 2 * size > n:
+                break
+            np.minimum(below[: n - 2 * size + 1], below[size : n - size + 1], out=row[: n - 2 * size + 1])
+            size *= 2
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        level = _LOG[end - begin]
+        flat, at = self.room.reshape(-1), level * self.most
+        return np.minimum(flat[at + begin], flat[at + end - _SIZE[level]])
+
+
+def smallest_owners(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
+    """For each window of each string the least owner of any string that has it: one collection of all (distinct) strings."""
     unique: dict[bytes, int] = {}
     which = np.array([unique.setdefault(s, len(unique)) for s in strings], np.int64)
     least = np.full(len(unique), NO_ID, np.int64)
     np.minimum.at(least, which, owners)
-    listed = list(unique)
-    sizes = np.array(list(map(len, listed)), np.int64)
+    sizes = np.array(list(map(len, unique)), np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes - WIDTH + 1)))
-    flat = np.repeat(least, sizes - WIDTH + 1)
-    _, kind, count = np.unique(minimizers_[np.unique(which, return_index=True)[1]], return_inverse=True, return_counts=True)
-    several = np.flatnonzero(count[kind] > 1)
-    several = several[np.argsort(kind[several], kind="stable")]
-    at = np.flatnonzero(np.append(True, kind[several[1:]] != kind[several[:-1]])) if len(several) else []
-    total = np.cumsum(sizes[several])
-    begin = 0
-    for end in [*at[1:], len(several)] if len(several) else []:
-        if end < len(several) and total[end - 1] - (total[begin - 1] if begin else 0) < BUILT:
-            continue
-        chosen = several[begin:end]
-        built = Collection([listed[i] for i in chosen.tolist()])
-        walk = list(built.classes())
-        best = np.full(len(built.prefix) + 1, NO_ID, np.int64)
-        for live, _, group in walk:
-            np.minimum.at(best, group, least[chosen[live]])
-        for live, offset, group in walk:
-            flat[starts[chosen[live]] + offset] = best[group]
-        begin = end
+    flat = np.empty(starts[-1], np.int64)
+    built = Collection(list(unique))
+    best = np.full(len(built.prefix) + 1, NO_ID, np.int64)
+    for live, _, group in built.classes():
+        np.minimum.at(best, group, least[live])
+    for live, offset, group in built.classes():
+        flat[starts[live] + offset] = best[group]
     return [flat[starts[w] : starts[w + 1]] for w in which.tolist()]
 
 
@@ -312,9 +361,13 @@ class Group:
         return h, first, count, np.searchsorted(self.offsets, first, "right") - 1
 
 
-def bucket_edges(h: np.ndarray, n_buckets: int) -> list[int]:
-    """Where each bucket begins in sorted hashes."""
-    return np.searchsorted(h, (np.arange(n_buckets + 1, dtype=np.uint64) << np.uint64(BITS)) // np.uint64(n_buckets)).tolist()
+def bucket_runs(h: np.ndarray, n_buckets: int) -> Iterator[tuple[int, int, int]]:
+    """(bucket, begin, end) of the buckets that sorted hashes fall in, in order."""
+    high, low = h >> np.uint64(BITS // 2), h & np.uint64((1 << BITS // 2) - 1)
+    n = np.uint64(n_buckets)  # h * n_buckets / 2**BITS, in two steps that do not overflow
+    bucket = (high * n + (low * n >> np.uint64(BITS // 2))) >> np.uint64(BITS // 2)
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(h) else np.zeros(0, np.int64)
+    yield from zip(bucket[first].tolist(), first.tolist(), np.append(first, len(h))[1:].tolist(), strict=True)
 
 
 def _rows(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
@@ -325,12 +378,11 @@ _ASK = pa.schema([("bucket", pa.int32()), ("group", pa.int64()), ("data", pa.bin
 
 
 def _row_dicts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+    for batch in slices(batches, "data", rows=1):
+        yield batch.to_pylist()[0]
 
 
-def shared_minimizers(groups: DataFrame, n_buckets: int) -> DataFrame:
+def shared_minimizers(groups: DataFrame, n_buckets: int, n_parts: int) -> DataFrame:
     """(group, bucket, data): two bits for each distinct minimizer of the group, set if two documents have it, and if it has very many strings."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,8 +400,7 @@ def shared_minimizers(groups: DataFrame, n_buckets: int) -> DataFrame:
                 runs = zip(start[first[i] : last[i]].tolist(), (count[first[i] : last[i]] + WIDTH - 1).tolist(), strict=True)
                 n[i] = min(len({own.raw[a : a + size] for a, size in runs}), 65535)
             h = h[first]
-            edges = bucket_edges(h, n_buckets)
-            out = [(b, squeeze(np.diff(h[x:y], prepend=np.uint64(0)), n[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if x < y]
+            out = [(b, squeeze(np.diff(h[x:y], prepend=np.uint64(0)), n[x:y])) for b, x, y in bucket_runs(h, n_buckets)]
             yield _rows({"bucket": [b for b, _ in out], "group": [own.group] * len(out), "data": [d for _, d in out]}, _ASK)
 
     def answer(bucket):
@@ -369,10 +420,16 @@ def shared_minimizers(groups: DataFrame, n_buckets: int) -> DataFrame:
         return pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": bits})
 
     asked = groups.mapInArrow(ask, "bucket int, group long, data binary")
-    return asked.groupBy("bucket").applyInPandas(lambda g: answer(g), "group long, bucket int, data binary")
+    return asked.repartition(n_parts, "bucket").groupBy("bucket").applyInPandas(lambda g: answer(g), "group long, bucket int, data binary")
+
 
+def with_answers(groups: DataFrame, answers: DataFrame, name: str, n_parts: int, how: str = "inner") -> DataFrame:
+    """The groups with all their answers (bucket, data) in one array column."""
+    own = answers.select("group", "bucket", "data").repartition(n_parts, "group").groupBy("group").agg(F.collect_list(F.struct("bucket", "data")).alias(name))
+    return groups.repartition(n_parts, "group").join(own, "group", how)
 
-def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int) -> DataFrame:
+
+def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int, n_parts: int) -> DataFrame:
     """(bucket, group, data): strings with their least owner for each bucket; bucket -1: the places of the group's strings."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,11 +437,10 @@ def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int) -> DataF
             own = Group(row)
             h, first, count, doc = own.runs()
             unique = np.unique(h)
-            edges = bucket_edges(unique, n_buckets)
             on, hot = np.zeros(len(unique), bool), np.zeros(len(unique), bool)
-            for s in row["shared"]:
-                x, y = edges[s["bucket"]], edges[s["bucket"] + 1]
-                on[x:y], hot[x:y] = np.unpackbits(np.frombuffer(s["data"], np.uint8), count=2 * (y - x)).reshape(2, -1)
+            answers = {s["bucket"]: s["data"] for s in row["shared"]}
+            for b, x, y in bucket_runs(unique, n_buckets):
+                on[x:y], hot[x:y] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=2 * (y - x)).reshape(2, -1)
             place = np.searchsorted(unique, h)
             keep, many = on[place], hot[place]
             if many.any():
@@ -401,20 +457,17 @@ def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int) -> DataF
             np.minimum.at(least, which, own.ids[doc])
             at = np.full(len(strings), len(h), np.int64)
             np.minimum.at(at, which, np.arange(len(h)))  # strings are numbered by hash
-            edges = bucket_edges(h[at], n_buckets)
             listed = list(strings)
             out = [(-1, squeeze(np.array([len(which), len(listed)]), which, first, count, np.array(list(map(len, listed)), np.int64)))]
-            for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)):
-                if x < y:
-                    sizes = np.array(list(map(len, listed[x:y])), np.int64)
-                    out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, h[at[x:y]], np.frombuffer(b"".join(listed[x:y]), np.uint8))))
+            for b, x, y in bucket_runs(h[at], n_buckets):
+                sizes = np.array(list(map(len, listed[x:y])), np.int64)
+                out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, np.frombuffer(b"".join(listed[x:y]), np.uint8))))
             yield _rows({"bucket": [b for b, _ in out], "group": [own.group] * len(out), "data": [d for _, d in out]}, _ASK)
 
-    answers = shared.groupBy("group").agg(F.collect_list(F.struct("bucket", "data")).alias("shared"))
-    return groups.join(answers, "group").mapInArrow(work, "bucket int, group long, data binary")
+    return with_answers(groups, shared, "shared", n_parts).mapInArrow(work, "bucket int, group long, data binary")
 
 
-def answered(asked: DataFrame) -> DataFrame:
+def answered(asked: DataFrame, n_parts: int) -> DataFrame:
     """(group, bucket, data): for each window of the strings asked the least doc_id that has it; places pass through."""
 
     def work(bucket):
@@ -422,23 +475,26 @@ def answered(asked: DataFrame) -> DataFrame:
 
         if bucket["bucket"].iloc[0] < 0:
             return bucket[["group", "bucket", "data"]]
-        strings, owners, hashes, counts = [], [], [], []
+        strings, owners, counts = [], [], []
         for data in bucket["data"]:
             raw = loosen(data)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
             owners.append(np.frombuffer(raw, np.int64, n, 8))
             ends = np.cumsum(np.frombuffer(raw, np.int64, n, 8 + 8 * n))
-            hashes.append(np.frombuffer(raw, np.uint64, n, 8 + 16 * n))
-            text = raw[8 + 24 * n :]
+            text = raw[8 + 16 * n :]
             strings += [text[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             counts.append(n)
-        least = smallest_owners(strings, np.concatenate(hashes), np.concatenate(owners))
+        least = smallest_owners(strings, np.concatenate(owners))
         cut = np.cumsum([0, *counts]).tolist()
-        return pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": [squeeze(*least[a:b]) for a, b in zip(cut, cut[1:], strict=False)]})
+        out = pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": [squeeze(*least[a:b]) for a, b in zip(cut, cut[1:], strict=False)]})
+        del strings, owners, least, text, raw
+        give_back()
+        return out
 
     # rows with places are spread by their group
     key = F.when(F.col("bucket") < 0, F.col("group")).otherwise(F.lit(-1))
-    return asked.withColumn("own", key).groupBy("bucket", "own").applyInPandas(lambda g: work(g), "group long, bucket int, data binary")
+    asked = asked.withColumn("own", key).repartition(n_parts, "bucket", "own")
+    return asked.groupBy("bucket", "own").applyInPandas(lambda g: work(g), "group long, bucket int, data binary")
 
 
 def removed_runs(own: Group, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
@@ -482,10 +538,13 @@ def _resolved(docs: DataFrame, others: list[str] | None = None) -> DataFrame:
     """The groups with the answers to all their strings."""
     spark = docs.sparkSession
     groups = stored(gathered(docs, others), "none")
-    n_buckets = max(256, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups.count() * GROUP // BUCKET))
-    shared = stored(shared_minimizers(groups, n_buckets))
-    answers = stored(answered(asked_strings(groups, shared, n_buckets)), "none")
-    return groups.join(answers.groupBy("group").agg(F.collect_list(F.struct("bucket", "data")).alias("answers")), "group", "left")
+    n_groups = groups.count()
+    n_buckets = max(256, partitions(spark), -(-n_groups * GROUP // BUCKET))
+    # numbers of tasks follow the data too: a few groups, or a few buckets, each
+    by_group, by_bucket = max(partitions(spark), -(-n_groups // 2)), max(partitions(spark), -(-n_buckets // 2))
+    shared = stored(shared_minimizers(groups, n_buckets, by_bucket))
+    answers = stored(answered(asked_strings(groups, shared, n_buckets, by_group), by_bucket), "none")
+    return with_answers(groups, answers, "answers", by_group, "left")
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
