@@ -248,6 +248,29 @@ def test_vectors(spark):
     assert hnsw.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_vectors_of_extreme_length(spark):
+    rows = [(1, [1e200, 1e200], 0), (2, [1e200, 1.001e200], 0), (3, [1e-200, 1e-200], 0), (4, [1.0, 0.01], 0), (5, [0.01, 1.0], 0), (6, [5e-324, 0.0], 0), (None, [1.0, 1.0], 0)]
+    rows += [(7, [-1.0, 0.0], 0), (7, [0.0, -1.0], 0), (7, [-1.0, 0.0], 0)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("links", F.lit(1)).withColumn("node", F.lit(2)).withColumn("x", F.lit(3))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in hnsw.near_vectors(docs).collect()}
+    assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), 4: (1, 4, True), 6: (1, 4, False), 5: (0, 5, True), 7: (0, 7, True), None: (0, None, None)}
+
+
+def test_graphs_find_the_links(spark):
+    """Shards large enough for searches of a few of many nodes; links counted against brute force."""
+    r = np.random.default_rng(9)
+    base = r.normal(size=(500, 24))
+    x = np.concatenate([base + r.normal(size=base.shape) * s for s in (0, 0.1, 0.2, 0.3, 0.35)])
+    docs = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93).sum(1) - 1
+    seen = hnsw.recall(docs, shard=1300).first()
+    # a quarter of the queries at most is audited, so most links come by the graphs alone
+    assert seen.failed == 0 and seen.queries < 2 * len(x) and seen.found >= 0.99 * seen.links > 200
+    got = {r.vec_id: r.n_links for r in hnsw.near_vectors(docs, shard=1300).collect()}
+    assert sum(got.values()) >= 0.99 * links.sum() and all(got[i] <= n for i, n in enumerate(links.tolist()))
+
+
 def test_classifiers_on_odd_rows(spark, odd, labels):
     got = languages.identify(odd).collect()
     assert len(got) == odd.count() and all(r.lang_pred == "und" for r in got if r.doc_id in (0, 1, 2)) and all(0 <= r.score <= 1 for r in got)

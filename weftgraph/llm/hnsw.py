@@ -3,17 +3,20 @@
 Equal vectors of a label are one node with a multiplicity.  The nodes of a label
 are split into shards of about ``SHARD`` rows; each shard gets a graph.  The nodes
 of every shard query the graphs of all shards of their label (each pair of
-shards once).  A beam starts at ``BEAM`` and is doubled while an audit against brute
-force finds less than all links of its queries, or for a query whose beam is
-full of links; past ``N / 4`` the pair is compared in blocks instead.  The audit takes
-``AUDIT`` queries and as many more as it needs to see ``AUDIT_LINKS`` links besides those
-of a query with itself; a pair with fewer is compared in blocks.  Every
+shards once), whatever the size of the shards.  A beam starts at ``BEAM`` and is doubled until an audit passes:
+it compares some queries with the whole shard and asks that the search has found all
+their links.  The audit takes ``AUDIT`` queries and as many more, up to a quarter of them, as it needs to see
+``AUDIT_LINKS`` links besides those of a query with itself.  A query whose beam is full of links searches
+again with a wider one.  Beams grow to ``WIDEST`` or a quarter of the shard; queries that are
+still full then, and pairs of shards whose audit still fails, are compared in blocks.  Every
 link is verified by cosine in double precision.  A pair of shards returns link
-counts and a spanning forest of its links, never all pairs.
+counts, a spanning forest of its links (never all pairs), and what its audit saw (``recall``).
 
 Cases: null or unlike labels, and null, zero or non-finite vectors link with
-nothing and stay alone; vectors of other lengths are other shards; repeated rows
-of a vec_id are one vector.
+nothing and stay alone; any other finite vector counts, however long or short; vectors of other
+lengths are other shards; repeated rows of a vec_id are one vector (the first in order, of several
+different ones); a null vec_id gives a null component_id and kept, and links with nothing; ties in cosine are all links;
+extra columns are left alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import give_back, stored
 from .components import connected_components
 from .shingles import mix
 
-COSINE, SHARD, BEAM, AUDIT, AUDIT_LINKS = 0.93, 8192, 24, 192, 100
+COSINE, SHARD, BEAM, WIDEST, AUDIT, AUDIT_LINKS = 0.93, 8192, 24, 192, 192, 100
 DEGREE, BUILD_BEAM, BATCH = 12, 40, 512
 
 
@@ -153,45 +156,53 @@ class Graph:
         return self._beam(q, start, 0, width)
 
 
-def audited(graph: Graph, queries: np.ndarray, least: float, beam: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(queries, their numbers of links): some in no order, with ``AUDIT_LINKS`` links together that are not of a query with itself; none if there are fewer."""
+def audited(graph: Graph, queries: np.ndarray, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, their numbers of links) of an audit: queries in no order, compared with the whole shard."""
     order = np.argsort(mix(np.arange(len(queries), dtype=np.uint64) + np.uint64(7)), kind="stable")
-    count, seen = [], 0
-    for at in range(0, len(order), 64):
+    most = max(AUDIT, len(order) // 4)
+    count, seen = [np.zeros(0, np.int64)], 0
+    for at in range(0, min(most, len(order)), 64):
         count.append((queries[order[at : at + 64]] @ graph.unit64.T >= least).sum(1))
-        # a beam full of links is widened in any case
-        seen += np.maximum(count[-1] - same, 0)[count[-1] < beam].sum()
+        seen += int(count[-1].sum()) - same * len(count[-1])
         if at + 64 >= AUDIT and seen >= AUDIT_LINKS:
-            return order[: at + 64], np.concatenate(count)
-    return order[:0], np.zeros(0, int)
+            break
+    links = np.concatenate(count)
+    return order[: len(links)], links
+
 
+def linked(graph: Graph, queries: np.ndarray, least: float = COSINE, beam: int = BEAM, same: bool = False, audit: list | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of (query, node, cosine) with cosine >= least.
 
-def linked(graph: Graph, queries: np.ndarray, least: float = COSINE, beam: int = BEAM, same: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of (query, node, cosine) with cosine >= least; beams widen until the audit passes. same: the queries are the nodes."""
-    n = graph.n
+    same: the queries are the nodes.  audit: a list that gets the audited queries, their links, those that
+    the first beam found besides full beams, and the beam that passed (0: none did).
+    """
     exact = graph.unit64
-    audit, links = audited(graph, queries, least, beam, same)
-    if not len(audit):
-        beam = n
-    while beam <= n / 4:
-        ids, _ = graph.search(queries[audit].astype(np.float32), beam)
-        got = (np.einsum("qkd,qd->qk", exact[ids], queries[audit]) >= least) & (ids >= 0)
-        full = got.all(1)
-        if got[~full].sum() >= links[~full].sum():
-            break
-        beam *= 2
+    widest = min(graph.n, max(WIDEST, graph.n // 4))
+    chosen, links = audited(graph, queries, least, same)
+    width, first, passed = min(beam, graph.n), None, False
+    while not passed and width <= widest:
+        ids, _ = graph.search(queries[chosen].astype(np.float32), width)
+        got = (np.einsum("qkd,qd->qk", exact[ids], queries[chosen]) >= least) & (ids >= 0)
+        full = got.all(1) & (width < graph.n)  # widened in any case
+        found = np.where(full, links, got.sum(1))
+        first = int(found.sum()) if first is None else first
+        passed = bool((found >= links).all())
+        if not passed:
+            width = min(2 * width, graph.n) if width < widest else widest + 1
+    if audit is not None:
+        audit += [len(chosen), int(links.sum()), first or 0, width if passed else 0]
     for at in range(0, len(queries), 1024):
         todo = np.arange(at, min(at + 1024, len(queries)))
-        width = beam
-        while len(todo) and width <= n / 4:
-            ids, _ = graph.search(queries[todo].astype(np.float32), width)
+        wide = width
+        while len(todo) and wide <= widest:
+            ids, _ = graph.search(queries[todo].astype(np.float32), wide)
             cosine = np.einsum("qkd,qd->qk", exact[ids], queries[todo])
             hit = (cosine >= least) & (ids >= 0)
-            full = hit.all(1)
+            full = hit.all(1) & (wide < graph.n)
             a, b = np.nonzero(hit & ~full[:, None])
             yield todo[a], ids[a, b], cosine[a, b]
-            todo, width = todo[full], 4 * width
-        for i in range(0, len(todo), 256):  # a beam of much of the shard: compare in blocks
+            todo, wide = todo[full], 4 * wide if 4 * wide <= widest or wide == widest else widest
+        for i in range(0, len(todo), 256):
             cosine = queries[todo[i : i + 256]] @ exact.T
             a, b = np.nonzero(cosine >= least)
             yield todo[i + a], b, cosine[a, b]
@@ -210,7 +221,10 @@ def joined(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def unit_vectors(flat: bytes, dim: int) -> np.ndarray:
+    """Vectors of length 1; their largest component is made 1 first, so that no square is too large or too small."""
     x = np.frombuffer(flat, np.float64).reshape(-1, dim)
+    top = np.abs(x).max(1, keepdims=True)
+    x = np.ldexp(x, -np.frexp(top)[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -248,7 +262,7 @@ def load_graph(row: dict) -> Graph:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each pair of shards: rows (id, links, to) of its linked nodes; ``to`` is the root of the node's tree."""
+    """Of each pair of shards: rows (id, links, to) of its linked nodes, ``to`` being the root of the node's tree; and a row with its audit."""
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
@@ -257,7 +271,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             side = [(np.frombuffer(row[k + "ids"], np.int64), np.frombuffer(row[k + "times"], np.int64)) for k in ("", "q_")]
             queries = graph.unit64 if same else unit_vectors(row["q_vectors"], row["dim"])
             found = np.zeros((len(queries), graph.n), bool)  # at most two shards wide
-            for q, node, _ in linked(graph, queries, same=same):
+            audit: list = []
+            for q, node, _ in linked(graph, queries, same=same, audit=audit):
                 found[q, node] = True
                 if same:
                     found[node, q] = True
@@ -277,23 +292,35 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = side[0][0] if same else np.concatenate((side[0][0], side[1][0]))
             count = q_links if same else np.concatenate((links, q_links))
             on = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(count[on]), pa.array(ids[parent[on]])], ["id", "links", "to"])
+            columns = [np.append(x[on], 0) for x in (ids, count, ids[parent])]
+            last = np.arange(len(on) + 1) == len(on)
+            about = pa.array([None] * len(on) + [audit], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64(), mask=last) for c in columns), about], ["id", "links", "to", "audit"])
+            del found, graph, queries, block
+        give_back()
 
 
-def near_vectors(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
-    """vec_id, n_links, component_id, kept of every vector (columns vec_id, embedding, label)."""
+def prepared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(vec_id, label, embedding of each vector, null where it links with nothing; the nodes)."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
     fine = F.coalesce(
         F.col("label").isNotNull()
+        & F.col("vec_id").isNotNull()
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("embedding", lambda x: x != 0),
         F.lit(False),
     )
     # -0.0 and 0.0 are one value
     key = F.when(fine, F.transform("embedding", lambda x: x + 0.0))
-    rows = stored(rows.select("vec_id", "label", key.alias("embedding")).dropDuplicates(["vec_id"]))
+    rows = rows.select("vec_id", F.struct("label", key.alias("embedding")).alias("x"))
+    rows = stored(rows.groupBy("vec_id").agg(F.min("x").alias("x")).select("vec_id", "x.label", "x.embedding"))
     good = rows.where("embedding is not null")
     nodes = stored(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("times")).withColumn("dim", F.size("embedding")))
+    return rows, nodes
+
+
+def searched(nodes: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(id, links, to, audit) of all pairs of shards."""
     crowd = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("shards"))
     placed = nodes.join(crowd, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
     graphs = stored(placed.select("label", "dim", "shard", "node", "times", "embedding").groupBy("label", "dim", "shard").applyInPandas(lambda g: _shard(g), _SHARDS))
@@ -301,7 +328,19 @@ def near_vectors(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
     pairs = keys.join(keys.withColumnRenamed("shard", "q_shard"), ["label", "dim"]).where("q_shard >= shard")
     other = graphs.select("label", "dim", F.col("shard").alias("q_shard"), *(F.col(c).alias("q_" + c) for c in ("ids", "times", "vectors")))
     both = pairs.repartition("label", "dim", "shard", "q_shard").join(graphs, ["label", "dim", "shard"]).join(other, ["label", "dim", "q_shard"])
-    found = stored(both.select("dim", "shard", "q_shard", "ids", "times", "vectors", "graph", "layers", "top", "q_ids", "q_times", "q_vectors").mapInArrow(_pairs, "id long, links long, to long"))
+    return stored(both.select("dim", "shard", "q_shard", "ids", "times", "vectors", "graph", "layers", "top", "q_ids", "q_times", "q_vectors").mapInArrow(_pairs, "id long, links long, to long, audit array<long>"))
+
+
+def recall(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
+    """What the audits of all pairs of shards saw: queries, links, found (by the first beam), beam (the widest that passed), failed (pairs compared in blocks)."""
+    a = searched(prepared(vectors)[1], shard).where("audit is not null").select(*(F.col("audit")[i].alias(c) for i, c in enumerate(("queries", "links", "found", "beam"))))
+    return a.agg(F.sum("queries").alias("queries"), F.sum("links").alias("links"), F.sum("found").alias("found"), F.max("beam").alias("beam"), F.count_if(F.col("beam") == 0).alias("failed"))
+
+
+def near_vectors(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector (columns vec_id, embedding, label)."""
+    rows, nodes = prepared(vectors)
+    found = searched(nodes, shard).where("id is not null").drop("audit")
     label = connected_components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     links = found.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
     of_node = nodes.join(links, "node", "left").join(label.withColumnRenamed("id", "node"), "node", "left")
