@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, slices
+from .common import held_out, slices, stored
 from .shingles import utf8
 
 PER_LANGUAGE, TEXTS, FEWEST, LANDMARKS, RIDGE = 400, 8000, 4, 160, 1e-2
-#: Texts whose n-grams are laid out at once.
-LAID_OUT = 64
+#: Texts whose n-grams are laid out at once; rows of a table that may be broadcast.
+LAID_OUT, BROADCAST = 64, 20_000
 #: A text with a smaller share of known trigrams is of no learned language.  Of the texts of the tables of 0.1 and 0.5 GB
 #: none and 3 of 256,410 have less (short ones, two with a key of letters); random letters (360 texts) had at most 0.67, sentences of five unlearned languages 0.62.
 LEAST_KNOWN = 0.7
@@ -183,12 +183,14 @@ def fit(texts: list[str], languages: list[str], least: float = LEAST_KNOWN) -> M
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE, texts: int = TEXTS) -> DataFrame:
     """doc_id, lang, text of about ``per_language`` texts of each language that are not held out, and about ``texts`` of all, but ``FEWEST`` of each."""
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    counts = counts.crossJoin(F.broadcast(counts.agg(F.count("*").alias("languages"))))  # one row
-    wanted = F.greatest(F.lit(FEWEST), F.least(F.lit(per_language), F.floor(F.lit(texts) / F.col("languages"))))
+    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")))
+    languages = counts.count()
+    wanted = F.lit(max(FEWEST, min(per_language, texts // max(1, languages))))
     counts = counts.select("lang", (wanted / F.col("n")).alias("share"))
     drawn = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    return known.join(counts, "lang").where(drawn < F.col("share")).select("doc_id", "lang", "text")
+    # beside a small table of languages no text is shuffled
+    shares = F.broadcast(counts) if languages <= BROADCAST else counts
+    return known.join(shares, "lang").where(drawn < F.col("share")).select("doc_id", "lang", "text")
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
