@@ -99,6 +99,45 @@ def decode_block(block: bytes, table: tuple, first: int = 0, last: int | None =
     return out.reshape(-1)[: min(n, end * LANES) - begin * LANES]
 
 
+def decode_blocks(blocks: list, table: tuple) -> np.ndarray:
+    """Symbols of whole blocks, one behind another; the states of all checkpoints step together."""
+    lookup, freq, start = table
+    states, at, words, counts, steps, begin = [], [], [], [], [], 0
+    for block in blocks:
+        n, n_words, n_states, _ = _BLOCK.unpack_from(block)
+        size = _BLOCK.size + 8 * n_states * LANES
+        states.append(np.frombuffer(block, "<u8", n_states * LANES, _BLOCK.size).reshape(n_states, LANES))
+        at.append(np.frombuffer(block, "<u4", n_states, size) + np.int64(begin))
+        words.append(np.frombuffer(block, "<u4", n_words, size + 4 * n_states))
+        begin += n_words
+        counts.append(n)
+        whole = -(-n // LANES)
+        steps.append(np.minimum(EVERY, whole - EVERY * np.arange(n_states)))
+    if not blocks:
+        return np.zeros(0, np.int64)
+    x, p, words, steps = np.concatenate(states).astype(np.uint64), np.concatenate(at), np.concatenate([*words, np.zeros(1, "<u4")]), np.concatenate(steps)
+    grid = np.empty((len(x), EVERY, LANES), lookup.dtype)
+    mask, k = np.uint64((1 << SCALE) - 1), np.uint64(SCALE)
+    for t in range(int(steps.max(initial=0))):
+        live = steps > t  # only the last checkpoint of a block is shorter
+        own = x[live]
+        slot = own & mask
+        s = lookup[slot]
+        grid[live, t] = s
+        own = freq[s] * (own >> k) + slot - start[s]
+        low = own < _LOW
+        taken = np.cumsum(low, axis=1)
+        word = words[np.where(low, p[live, None] + taken - 1, 0)]
+        x[live] = np.where(low, own << np.uint64(32) | word, own)
+        p[live] += taken[:, -1]
+    out, first = [], 0
+    for n in counts:
+        rows = -(-(-(-n // LANES)) // EVERY)
+        out.append(grid[first : first + rows].reshape(-1)[:n])
+        first += rows
+    return np.concatenate(out)
+
+
 def encode_frame(ids: np.ndarray, index: np.ndarray) -> bytes:
     """index: int64 rows (document ordinal, doc_id, is null, ids in this frame)."""
     counts = np.bincount(ids)
@@ -148,22 +187,32 @@ class Frame:
             self.blocks.append((view[at + 8 : at + 8 + size], crc))
             at += 8 + size
 
-    def block(self, i: int) -> np.ndarray:
-        body, crc = self.blocks[i]
-        ids = self.symbols[decode_block(body, self.table)]
-        if zlib.crc32(ids.tobytes()) != crc:
-            raise ValueError("block checksum differs")
-        return ids
-
     def ids(self) -> np.ndarray:
-        return np.concatenate([self.block(i) for i in range(len(self.blocks))]) if self.blocks else np.zeros(0, "<u4")
+        """All ids: every checkpoint of every block starts at the same time."""
+        out = self.symbols[decode_blocks([body for body, _ in self.blocks], self.table)]
+        for i, (_, crc) in enumerate(self.blocks):
+            if zlib.crc32(out[i * BLOCK : (i + 1) * BLOCK].tobytes()) != crc:
+                raise ValueError("block checksum differs")
+        return out
+
+    def part(self, begin: int, end: int) -> np.ndarray:
+        """The ids from begin up to before end, decoded from the checkpoint before to the one after."""
+        span, out = LANES * EVERY, [np.zeros(0, "<u4")]
+        for i in range(begin // BLOCK, -(-end // BLOCK)):
+            a, b = max(begin - i * BLOCK, 0), min(end - i * BLOCK, BLOCK)
+            ids = self.symbols[decode_block(self.blocks[i][0], self.table, a // span, -(-b // span))]
+            out.append(ids[a % span : a % span + b - a])
+        return np.concatenate(out)
+
+
+_FRAMES = pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
 
 
-_FRAMES = pa.schema([("part", pa.int32()), ("frame", pa.int32()), ("n_ids", pa.int64()), ("data", pa.binary())])
+_NAMES = "part int, frame int, before long, n_ids long, data binary"
 
 
 def write_ids(docs: DataFrame, tokenizer_path: str, path: str, style: str = "byte", end_id: int = END_ID) -> None:
-    """Encode documents and write frames in ascending doc_id order: part, then frame.
+    """Encode documents and write frames in ascending doc_id order: part, then frame; before: ids of the part's earlier frames.
 
     One range shuffle of the texts; a task holds one frame of ids at a time.
     """
@@ -173,14 +222,14 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, style: str = "byt
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, code, end = TaskContext.get().partitionId(), encoder(tokenizer_path, style), np.uint32(end_id).astype("<u4").tobytes()
-        held, index, size, k, ordinal = [], [], 0, 0, 0
+        held, index, size, k, ordinal, before = [], [], 0, 0, 0, 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, index, size, k
+            nonlocal held, index, size, k, before
             ids = np.frombuffer(b"".join(held), "<u4")
-            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([encode_frame(ids, np.array(index, np.int64).reshape(-1, 4))], pa.binary())], schema=_FRAMES)
-            held, index, size, k = [], [], 0, k + 1
-            return row
+            row = [part, k, before, len(ids), encode_frame(ids, np.array(index, np.int64).reshape(-1, 4))]
+            held, index, size, k, before = [], [], 0, k + 1, before + len(ids)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _FRAMES, strict=True)], schema=_FRAMES)
 
         for batch in slices(batches, keeps=True):
             doc_ids = batch.column("doc_id").to_pylist()
@@ -197,7 +246,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, style: str = "byt
         if size:
             yield flush()
 
-    ordered.mapInArrow(frames, "part int, frame int, n_ids long, data binary").write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(frames, _NAMES).write.option("compression", "none").parquet(path)
 
 
 def crc32_combine(first: int, second: int, n_bytes: int) -> int:
@@ -231,26 +280,26 @@ def read_ids(spark, path: str, with_ids: bool = False) -> DataFrame:
     """Decode frames to one row per document and frame: part, ordinal, doc_id, start, length, crc[, ids].
 
     start counts the ids of all documents before; ids are little-endian 32-bit.
-    The totals of the parts, one row each, pass through the driver.
+    The totals of the parts, one row for each task that wrote, pass through the driver.
     """
-    frames = spark.read.schema("part int, frame int, n_ids long, data binary").parquet(path)
-    sizes = {(r.part, r.frame): r.n_ids for r in frames.select("part", "frame", "n_ids").collect()}
+    frames = spark.read.schema(_NAMES).parquet(path)
+    totals = {r.part: r.n for r in frames.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     base, total = {}, 0
-    for key in sorted(sizes):
-        base[key] = total
-        total += sizes[key]
+    for part in sorted(totals):
+        base[part] = total
+        total += totals[part]
     shared = spark.sparkContext.broadcast(base)
     schema = _PIECES.append(pa.field("ids", pa.binary())) if with_ids else _PIECES
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, k, data in zip(batch["part"].to_pylist(), batch["frame"].to_pylist(), batch["data"], strict=True):
+        for batch in slices(batches, "data"):
+            for part, before, data in zip(batch["part"].to_pylist(), batch["before"].to_pylist(), batch["data"], strict=True):
                 frame = Frame(data.as_py())
                 flat = memoryview(frame.ids().astype("<u4").tobytes())
                 ordinal, doc_id, null, length = frame.index.T
                 ends = np.cumsum(length)
                 parts = [flat[4 * a : 4 * b] for a, b in zip((ends - length).tolist(), ends.tolist(), strict=True)]
-                columns = [np.full(len(ends), part, np.int32), ordinal, pa.array(doc_id, pa.int64(), mask=null.astype(bool)), shared.value[part, k] + ends - length, length, np.array([zlib.crc32(x) for x in parts], np.int64)]
+                columns = [np.full(len(ends), part, np.int32), ordinal, pa.array(doc_id, pa.int64(), mask=null.astype(bool)), shared.value[part] + before + ends - length, length, np.array([zlib.crc32(x) for x in parts], np.int64)]
                 if with_ids:
                     columns.append([bytes(x) for x in parts])
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
