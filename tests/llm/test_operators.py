@@ -219,6 +219,12 @@ def test_fingerprints(spark, odd, corpus):
         assert (got[i].n_chars, got[i].edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         a, b = set(bag(text)), set(bag(edited))
         assert got[i].near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1, abs=0.15)
+        c = set(bag(after))
+        assert got[i].near_next == pytest.approx(len(a & c) / len(a | c) if a | c else 1, abs=0.15)
+        # the fingerprint is the sketch of the text alone, and likenesses come from the two fingerprints
+        own, edit, then = (fingerprints.sketches([t])[0] for t in (text, edited, after))
+        assert (got[i].fingerprint, got[i].edited_fingerprint) == (fingerprints.to_text(own), fingerprints.to_text(edit))
+        assert (got[i].near_edited, got[i].near_next) == (fingerprints.resemblance(own, edit), fingerprints.resemblance(own, then))
     rows = fingerprints.compare_edited(odd).collect()
     assert len(rows) == odd.count() and len({r.fingerprint for r in rows if r.doc_id in (3, 4)}) == 1
     assert fingerprints.compare_edited(odd.limit(0)).count() == 0

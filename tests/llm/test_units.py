@@ -46,6 +46,11 @@ def test_frames_decode_from_a_checkpoint_and_notice_damage():
     part = frame.symbols[rans.decode_block(frame.blocks[0][0], frame.table, 1, 2)]
     size = rans.EVERY * rans.LANES
     assert (part == ids[size : 2 * size]).all()
+    big = np.random.default_rng(2).zipf(1.3, rans.BLOCK + 70_001) % 50_000
+    two = rans.Frame(rans.encode_frame(big.astype("<u4"), np.zeros((0, 4), np.int64)))
+    assert (two.ids() == big).all()
+    for a, b in ((0, 1), (size - 1, size + 1), (rans.BLOCK - 5, rans.BLOCK + 5), (7, len(big)), (len(big) - 1, len(big)), (5, 5)):
+        assert (two.part(a, b) == big[a:b]).all()
     with pytest.raises(ValueError):
         rans.Frame(data[:1000] + bytes([data[1000] ^ 1]) + data[1001:])
 

@@ -6,7 +6,8 @@ their union's sketch, without the texts; below ``K`` distinct shingles all are e
 
 Cases: null text is empty; a text without words has an empty sketch, like any
 other such text (likeness 1) and unlike the rest (0); repeated rows follow each
-other in text order; a lone document is its own next one.
+other in text order; a null doc_id comes last; a lone document is its own next one; very long texts are
+read whole; extra columns are left alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -80,32 +81,30 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sh
 def with_neighbours(docs: DataFrame) -> DataFrame:
     """Rows ordered by doc_id descending inside ``part``, each part followed by the head of the next (``guest``).
 
-    Cut points come from quantiles of the ids; the heads of the parts, one row
-    each, pass through the driver.  The texts are shuffled once.
+    Cut points come from quantiles of the ids; they and the heads of the parts, a few
+    rows for each task, pass through the driver.  The texts are shuffled once; a row that is a
+    head as well goes to two parts.
     """
     spark = docs.sparkSession
     n = partitions(spark)
     keyed = texts(docs).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     cuts = keyed.agg(F.percentile_approx("key", [i / (4 * n) for i in range(1, 4 * n)], 10 * n * 4)).first()[0]
-    cuts = sorted(set(cuts or []), reverse=True)
-    ascending = np.array(cuts[::-1], np.int64)
+    ascending = spark.sparkContext.broadcast(np.array(sorted(set(cuts or [])), np.int64))
 
     @F.pandas_udf("int")
     def part(key: pd.Series) -> pd.Series:
-        return pd.Series(len(ascending) - np.searchsorted(ascending, key.to_numpy(), "right"))
+        return pd.Series(len(ascending.value) - np.searchsorted(ascending.value, key.to_numpy(), "right"))
 
     keyed = keyed.withColumn("part", part("key"))
     heads = sorted((r.part, r.key) for r in keyed.groupBy("part").agg(F.max("key").alias("key")).collect())
-    home = {key: heads[i - 1][0] for i, (_, key) in enumerate(heads)}  # the first head follows the last part
-    own = F.struct(F.col("part"), F.lit(False).alias("guest"))
-    if home:
-        guests = F.create_map(*(F.lit(x) for kv in home.items() for x in kv))
-        guest = F.struct(guests[F.col("key")].cast("int").alias("part"), F.lit(True).alias("guest"))
-        at = F.when(F.col("key").isin(*home), F.array(own, guest)).otherwise(F.array(own))
-    else:
-        at = F.array(own)
-    rows = keyed.select("doc_id", "key", "text", F.explode(at).alias("at")).select("doc_id", "key", "text", "at.part", "at.guest")
-    return rows.repartition(n, "part").sortWithinPartitions("part", "guest", F.desc("key"), "text").drop("key")
+    # the first head follows the last part
+    homes = [(key, heads[i - 1][0]) for i, (_, key) in enumerate(heads)]
+    homes = F.broadcast(spark.createDataFrame(homes, "key long, home int"))  # at most 4 n rows
+    both = F.array(F.struct(F.col("part"), F.lit(False).alias("guest")), F.struct(F.col("home").alias("part"), F.lit(True).alias("guest")))
+    rows = keyed.join(homes, "key", "left").select("doc_id", "key", "text", F.explode(both).alias("at")).where("at.part is not null").select("doc_id", "key", "text", "at.part", "at.guest")
+    # neighbouring parts share a task
+    rows = rows.repartitionById(n, (F.col("part") * n / F.lit(max(1, len(heads)))).cast("int"))
+    return rows.sortWithinPartitions("part", "guest", F.desc("key"), "text").drop("key")
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
