@@ -80,6 +80,9 @@ def test_packing(spark, odd, corpus):
                 assert offset == at
                 at += length
             assert at <= 4096
+    assert packing.pack(odd.limit(0), queries.vocabulary("word_bpe_49k.json")).count() == 0
+    twice = odd.where("doc_id = 3")  # this row is there twice
+    assert sorted((r.start, r.length) for r in packing.pack(twice, queries.vocabulary("word_bpe_49k.json")).collect()) == [(0, 7), (0, 7)]
 
 
 def repeats(texts):

@@ -8,7 +8,9 @@ Words outside it are merged by the vocabulary's own rules, so every text gets
 exactly the ids of the vocabulary, whole words or not.
 
 Cases: null or empty text has no ids and decodes to an empty text; odd white
-space and marks go through the library; repeated rows are encoded each.
+space and marks go through the library; very long texts are encoded whole; repeated rows are
+encoded each; a null doc_id stays null; words of like frequency are in the lexicon together or
+not; extra columns are left alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -140,7 +142,7 @@ class Codec(ChunkEncoder):
     def __init__(self, path: str, lexicon: Lexicon):
         super().__init__(path, "word")
         self.lexicon = lexicon
-        self.kept_most, self.passing_most = 150_000, 60_000
+        self.kept_most, self.passing_most = 300_000, 60_000
         self.none = (0, "", "")
         self.kept = {"": self.none}
 
@@ -154,11 +156,11 @@ class Codec(ChunkEncoder):
             if word and (len(word) == len(low) or (len(low) == len(word) + 1 and low[-1] in ".,;:!?")):
                 ids = self.lexicon.get(word.encode())
                 if ids is None:
-                    ids = np.frombuffer(self._model(word), "<u4").tolist()
+                    ids = self._ids(word)
                 if len(low) > len(word):
                     mark = low[-1]
                     if mark not in self.marks:
-                        self.marks[mark] = np.frombuffer(self._model(mark), "<u4").tolist()
+                        self.marks[mark] = self._ids(mark)
                     ids = ids + self.marks[mark]
                 new[c] = self._value(ids)
             else:
@@ -230,7 +232,7 @@ def encode(docs: DataFrame, tokenizer_path: str, most: int = WORDS, digests: boo
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(tokenizer_path, data.value)
-        for batch in slices(batches, keeps=True):
+        for batch in slices(batches, limit=2 << 20, keeps=True):
             n, ids, decoded = zip(*code.encode(batch["text"].to_pylist()), strict=True)
             if digests:
                 ids, decoded = ([hashlib.sha256(x.encode()).hexdigest() for x in v] for v in (ids, decoded))

@@ -6,7 +6,8 @@ behind it; and/or/with are parsed to postfix order and evaluated.
 
 Cases: null or empty text has no words and no labels; unbalanced or broken
 expressions give the labels of the identifiers that can be read; texts are
-scanned whole; repeated rows are scanned each.
+scanned whole, very long ones too; repeated rows are scanned each; a null doc_id stays null; extra
+columns are left alone, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ the end of a task are leftovers; leftovers of ``FAN_IN`` neighbouring tasks are
 merged piece by piece, best-fit from the longest, without further cuts.
 
 Cases: null or empty text is its end id alone; a document longer than a window
-takes whole windows first; repeated rows are packed once each; no rows give no
-sequences.
+takes whole windows first; repeated rows are packed once each; a null doc_id stays null; of windows
+that fit alike the oldest is taken; extra columns are left alone, whatever their names; no rows
+give no sequences.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def pack(docs: DataFrame, tokenizer_path: str, style: str = "word", end_id: int
             values = [[part] * len(flat), [left] * len(flat), *([r[i] for r in flat] for i in range(7 + with_ids))]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
-        for batch in slices(batches, keeps=True):
+        for batch in slices(batches, limit=4 << 20, rows=1 << 16, keeps=True):
             coded = [x + end for x in code.encode(batch.column("text").to_pylist())]
             doc_ids = batch.column("doc_id").to_pylist()
             for k, start, length, window, offset in cut_and_place((len(x) // 4 for x in coded), windows):

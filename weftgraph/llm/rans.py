@@ -231,7 +231,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, style: str = "byt
             held, index, size, k, before = [], [], 0, k + 1, before + len(ids)
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _FRAMES, strict=True)], schema=_FRAMES)
 
-        for batch in slices(batches, keeps=True):
+        for batch in slices(batches, limit=4 << 20, rows=1 << 16, keeps=True):
             doc_ids = batch.column("doc_id").to_pylist()
             for doc_id, data in zip(doc_ids, code.encode(batch.column("text").to_pylist()), strict=True):
                 data += end

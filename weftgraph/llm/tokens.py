@@ -19,7 +19,7 @@ from .common import kept
 
 END_ID = 2
 #: Entries of the cache that stays, and of the one that is emptied when full.
-KEPT, PASSING = 300_000, 60_000
+KEPT, PASSING = 400_000, 60_000
 
 
 class ChunkEncoder:
@@ -93,10 +93,15 @@ class ChunkEncoder:
     def _learn(self, chunks: list) -> dict:
         new: dict = {}
         rest = []
+        byte, plain = self.style == "byte", _PLAIN.fullmatch
         for c in chunks:
+            if byte and c.__class__ is str and (m := plain(c)) and m[1].isascii():
+                # a word of letters behind a blank
+                new[c] = self._plain(" ", m[1], m[2], new)
+                continue
             source = self._source(c)
             core = source[not isinstance(c, tuple) :]
-            if self.style == "byte" and ((not core and not isinstance(c, tuple)) or core[:1].isspace() or core[-1:].isspace()):
+            if byte and ((not core and not isinstance(c, tuple)) or core[:1].isspace() or core[-1:].isspace()):
                 new[c] = False
             elif (m := _PLAIN.fullmatch(core)) and m[1].lower().isalpha():
                 new[c] = self._plain(source[: len(source) - len(core)], m[1], m[2], new)
@@ -130,8 +135,11 @@ class ChunkEncoder:
         return out
 
     def _model(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(_BYTES)
-        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
+        return array("I", self._ids(piece)).tobytes()
+
+    def _ids(self, piece: str) -> list[int]:
+        mapped = piece.replace(" ", _BLANK) if piece.isascii() and "\n" not in piece else piece.encode().decode("latin-1").translate(_BYTES)
+        return [t.id for t in self.tokenize(mapped)]
 
 
 def _byte_characters() -> dict[int, str]:
@@ -142,6 +150,7 @@ def _byte_characters() -> dict[int, str]:
 
 
 _BYTES = _byte_characters()
+_BLANK = _BYTES[32]
 #: Letters up to U+024F, then ASCII marks other than the apostrophe.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
