@@ -12,7 +12,7 @@ them (their minimizer), so
    the smallest doc_id that has it there; a minimizer with very many strings has
    its windows sent one by one instead, each to the bucket of its own hash;
 4. each bucket builds the Burrows-Wheeler transform and the common-prefix array of all its
-   strings column by column: every round inserts one symbol of each string, reading the
+   strings that are not alone with their minimizer, column by column: every round inserts one symbol of each string, reading the
    two arrays from files front to back and writing the next ones.  Neighbours with a common
    prefix of ``WIDTH`` or more are one class, and the class's smallest doc_id goes
    back to the groups;
@@ -287,21 +287,28 @@ class RangeLeast:
         return np.minimum(flat[at + begin], flat[at + end - _SIZE[level]])
 
 
-def smallest_owners(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For each window of each string the least owner of any string that has it: one collection of all (distinct) strings."""
+def smallest_owners(strings: list[bytes], minimizers_: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
+    """For each window of each string the least owner of any string that has it.
+
+    Only strings with an equal minimizer can share a window.  One collection has all (distinct) strings whose
+    minimizer has another one; a string that is alone with its minimizer shares no window and is not built.
+    """
     unique: dict[bytes, int] = {}
     which = np.array([unique.setdefault(s, len(unique)) for s in strings], np.int64)
     least = np.full(len(unique), NO_ID, np.int64)
     np.minimum.at(least, which, owners)
-    sizes = np.array(list(map(len, unique)), np.int64)
+    listed = list(unique)
+    sizes = np.array(list(map(len, listed)), np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes - WIDTH + 1)))
-    flat = np.empty(starts[-1], np.int64)
-    built = Collection(list(unique))
+    flat = np.repeat(least, sizes - WIDTH + 1)
+    _, kind, count = np.unique(minimizers_[np.unique(which, return_index=True)[1]], return_inverse=True, return_counts=True)
+    chosen = np.flatnonzero(count[kind] > 1)
+    built = Collection([listed[i] for i in chosen.tolist()])
     best = np.full(len(built.prefix) + 1, NO_ID, np.int64)
     for live, _, group in built.classes():
-        np.minimum.at(best, group, least[live])
+        np.minimum.at(best, group, least[chosen[live]])
     for live, offset, group in built.classes():
-        flat[starts[live] + offset] = best[group]
+        flat[starts[chosen[live]] + offset] = best[group]
     return [flat[starts[w] : starts[w + 1]] for w in which.tolist()]
 
 
@@ -461,7 +468,7 @@ def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int, n_parts:
             out = [(-1, squeeze(np.array([len(which), len(listed)]), which, first, count, np.array(list(map(len, listed)), np.int64)))]
             for b, x, y in bucket_runs(h[at], n_buckets):
                 sizes = np.array(list(map(len, listed[x:y])), np.int64)
-                out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, np.frombuffer(b"".join(listed[x:y]), np.uint8))))
+                out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, np.diff(h[at[x:y]], prepend=np.uint64(0)), np.frombuffer(b"".join(listed[x:y]), np.uint8))))
             yield _rows({"bucket": [b for b, _ in out], "group": [own.group] * len(out), "data": [d for _, d in out]}, _ASK)
 
     return with_answers(groups, shared, "shared", n_parts).mapInArrow(work, "bucket int, group long, data binary")
@@ -475,16 +482,17 @@ def answered(asked: DataFrame, n_parts: int) -> DataFrame:
 
         if bucket["bucket"].iloc[0] < 0:
             return bucket[["group", "bucket", "data"]]
-        strings, owners, counts = [], [], []
+        strings, owners, hashes, counts = [], [], [], []
         for data in bucket["data"]:
             raw = loosen(data)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
             owners.append(np.frombuffer(raw, np.int64, n, 8))
             ends = np.cumsum(np.frombuffer(raw, np.int64, n, 8 + 8 * n))
-            text = raw[8 + 16 * n :]
+            hashes.append(np.cumsum(np.frombuffer(raw, np.uint64, n, 8 + 16 * n)))
+            text = raw[8 + 24 * n :]
             strings += [text[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             counts.append(n)
-        least = smallest_owners(strings, np.concatenate(owners))
+        least = smallest_owners(strings, np.concatenate(hashes), np.concatenate(owners))
         cut = np.cumsum([0, *counts]).tolist()
         out = pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": [squeeze(*least[a:b]) for a, b in zip(cut, cut[1:], strict=False)]})
         del strings, owners, least, text, raw
