@@ -26,6 +26,13 @@ COMMAND_SINKS = {
 }
 ALLOCATORS = "malloc calloc realloc strdup strndup aligned_alloc reallocarray fopen fdopen freopen tmpfile popen dlopen mmap".split()
 HEAP_ALLOCATORS = "malloc calloc realloc strdup strndup aligned_alloc reallocarray".split()
+#: Allocators of heap buffers and which argument is the size.
+SIZE_ARGUMENT = dict.fromkeys("malloc calloc valloc pvalloc strdup strndup".split(), 1) | dict.fromkeys("realloc reallocarray aligned_alloc memalign posix_memalign".split(), 2)
+OVERFLOW_GUARDS = (
+    "SIZE_MAX UINT_MAX ULONG_MAX INT_MAX LONG_MAX UINT32_MAX UINT64_MAX SSIZE_MAX RSIZE_MAX "
+    "__builtin_mul_overflow __builtin_add_overflow __builtin_sub_overflow __builtin_umul_overflow __builtin_uadd_overflow "
+    "safe_mul safe_add checked_mul checked_add ckd_mul ckd_add ckd_sub"
+).split()
 FORMAT_ARGUMENT = (
     dict.fromkeys("printf vprintf wprintf".split(), 1)
     | dict.fromkeys("fprintf vfprintf dprintf sprintf vsprintf syslog vsyslog err errx warn warnx asprintf vasprintf".split(), 2)

@@ -1,4 +1,8 @@
-"""Predicates and scalar functions as Column builders; all run inside code generation."""
+"""Predicates and scalar functions as Column builders; all run inside code generation.
+
+Fixed values, on which results depend: the patterns of constants, array sizes, redacted paths
+and memory failures below.
+"""
 
 from __future__ import annotations
 
@@ -53,6 +57,16 @@ def trackable(code: Column) -> Column:
     return ~code.contains("(") & ~code.contains("[") & (F.length(code) < 50)
 
 
+def words(code: Column) -> Column:
+    return F.trim(F.regexp_replace(code, "[^A-Za-z0-9_]+", " "))
+
+
+def has_words(code: Column, name: Column) -> Column:
+    """The words of ``name`` stand in the code as whole words, in a row."""
+    blank = F.lit(" ")
+    return F.concat(blank, words(code), blank).contains(F.concat(blank, words(name), blank))
+
+
 def extract_variable(code: Column) -> Column:
     return F.regexp_replace(code, r"(?s)[^a-zA-Z0-9_].*", "")
 

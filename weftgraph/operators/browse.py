@@ -135,3 +135,47 @@ def variable_flow(g: Graph, method_id: int, variable: str, line: int, limit: int
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.where(F.col("line") <= line).distinct().orderBy("line", "kind", "code").limit(limit)
+
+
+def page(rows: DataFrame, order: list[str], number: int = 1, size: int = 100, limit: int = 1000) -> DataFrame:
+    """One page of the first ``limit`` rows in a total order, with total (after the limit), pages and whether more rows were cut off.
+
+    Only the first ``limit`` rows are numbered, at most 10,000.
+    """
+    limit = min(limit, 10_000)
+    first = rows.orderBy(*order).limit(limit + 1)
+    place = W.orderBy(*order)
+    every = W.partitionBy(F.lit(0))
+    first = first.withColumn("place", F.row_number().over(place)).withColumn("total", F.least(F.count("*").over(every), F.lit(limit))).withColumn("truncated", F.count("*").over(every) > limit)
+    out = first.where((F.col("place") > (number - 1) * size) & (F.col("place") <= F.least(F.lit(number * size), F.col("total"))))
+    return out.withColumn("pages", F.ceil(F.col("total") / size).cast("long"))
+
+
+def anchors(g: Graph, places: DataFrame) -> DataFrame:
+    """The node meant by each (file, line): on the line or up to three lines off, before rather than after.
+
+    Within a line: a call, an assignment, a condition, an operator's call; then the smallest id.
+    """
+    m = g.method.select(F.col("id").alias("method_id"), F.col("file").alias("m_file"))
+    operator = F.col("name").startswith("<operator>")
+    calls = g.call.select("method_id", F.col("line").alias("at"), F.col("id").alias("node"), F.when(operator, 3).otherwise(0).alias("rank"), "code")
+    sets = g.assignment.select("method_id", F.col("line").alias("at"), F.col("id").alias("node"), F.lit(1).alias("rank"), F.concat_ws(" = ", "target", "source").alias("code"))
+    tests = g.control.select("method_id", F.col("line").alias("at"), F.col("id").alias("node"), F.lit(2).alias("rank"), F.col("condition").alias("code"))
+    nodes = calls.unionByName(sets).unionByName(tests).join(m, "method_id")
+    # one row for each line that counts, so that the join is on equal values
+    near = places.distinct().withColumn("delta", F.explode(F.sequence(F.lit(-3), F.lit(3)))).withColumn("at", F.col("line") + F.col("delta"))
+    hit = near.join(nodes, (F.col("file") == F.col("m_file")) & (near["at"] == nodes["at"])).drop(nodes["at"])
+    best = F.min(F.struct(F.abs("delta").alias("far"), "delta", "rank", "node", "code", "method_id"))
+    return hit.groupBy("file", "line").agg(best.alias("x")).select("file", "line", "x.delta", "x.node", "x.code", "x.method_id")
+
+
+def name_suggestions(g: Graph, name: str, limit: int = 10) -> DataFrame:
+    """Method names that contain a name, where none is equal to it."""
+    exact = g.method.where(F.col("name") == name).select(F.lit(True).alias("there")).limit(1)
+    like = g.method.where(F.col("name").contains(name)).select("name").distinct()
+    return like.join(exact, F.col("there"), "left_anti").orderBy("name").limit(limit)
+
+
+def as_json(rows: DataFrame) -> DataFrame:
+    """Each row as one JSON text."""
+    return rows.select(F.to_json(F.struct("*")).alias("json"))

@@ -120,3 +120,12 @@ def cache_expired(cache: DataFrame, now: Column, ttl_seconds: int = 300) -> Data
 
 def delete_cascade(table: DataFrame, gone: DataFrame, key: str = "codebase") -> DataFrame:
     return table.join(gone.select(key), key, "left_anti")
+
+
+def save_findings(findings: DataFrame, path: str) -> None:
+    """Append findings to a store of Parquet files, a folder for each codebase."""
+    findings.write.mode("append").partitionBy("codebase").parquet(path)
+
+
+def confidence_histogram(findings: DataFrame) -> DataFrame:
+    return findings.groupBy("confidence").agg(F.count("*").alias("n"))

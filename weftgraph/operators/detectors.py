@@ -38,9 +38,9 @@ def first_arguments(g: Graph, names: list[str], index: int = 1) -> DataFrame:
 
 
 def without_reassignment(g: Graph, pairs: DataFrame, name: str = "ptr") -> DataFrame:
-    """Drop (method_id, a < b) pairs with an assignment to ``name`` strictly between the lines."""
+    """Drop (method_id, a <= b) pairs with an assignment to ``name`` strictly between the lines, or on the line if that is one."""
     a = g.assignment.select(F.col("method_id").alias("m"), F.col("line").alias("at"), "target")
-    return pairs.join(a, (F.col("method_id") == F.col("m")) & (F.col("target") == F.col(name)) & (F.col("at") > F.col("a")) & (F.col("at") < F.col("b")), "left_anti")
+    return pairs.join(a, (F.col("method_id") == F.col("m")) & (F.col("target") == F.col(name)) & (F.col("at").between(F.col("a") + 1, F.col("b") - 1) | (F.col("a") == F.col("b")) & (F.col("at") == F.col("a"))), "left_anti")
 
 
 def without_exclusive(g: Graph, pairs: DataFrame) -> DataFrame:
@@ -87,11 +87,14 @@ def free_sites(g: Graph) -> DataFrame:
     return f.withColumn("r", F.row_number().over(W.partitionBy("method_id", "ptr").orderBy("line", "id"))).where("r = 1").select("id", "method_id", "line", "ptr")
 
 
-def later_uses(g: Graph, sites: DataFrame, use: Callable[[Column, Column], Column] = P.pointer_use) -> DataFrame:
-    """Calls after a site with an argument that uses its pointer: site, method_id, ptr, a, b, call_id."""
+def later_uses(g: Graph, sites: DataFrame, use: Callable[[Column, Column], Column] = P.pointer_use, same_line: bool = False) -> DataFrame:
+    """Calls after a site (by line, within a line by id if asked) with an argument that uses its pointer: site, method_id, ptr, a, b, call_id."""
     a = g.argument.select(F.col("method_id").alias("m"), "call_id", "code", F.col("line").alias("b"))
     s = sites.select(F.col("id").alias("site"), "method_id", "ptr", F.col("line").alias("a"))
-    return s.join(a, (F.col("method_id") == F.col("m")) & (F.col("b") > F.col("a")) & use(F.col("code"), F.col("ptr"))).select("site", "method_id", "ptr", "a", "b", "call_id").distinct()
+    later = F.col("b") > F.col("a")
+    if same_line:
+        later = later | (F.col("b") == F.col("a")) & (F.col("call_id") > F.col("site"))
+    return s.join(a, (F.col("method_id") == F.col("m")) & later & use(F.col("code"), F.col("ptr"))).select("site", "method_id", "ptr", "a", "b", "call_id").distinct()
 
 
 @detector("use_after_free", "CWE-416")
@@ -102,7 +105,7 @@ def use_after_free(g: Graph) -> DataFrame:
     alias = g.assignment.select("method_id", F.col("line").alias("at"), "target", "source")
     aliases = sites.join(alias, "method_id").where((F.col("at") < F.col("line")) & ((F.col("source") == F.col("ptr")) | (F.col("source") == F.concat(F.lit("&"), "ptr"))) & P.trackable(F.col("target")) & (F.col("target") != F.col("ptr")))
     aliases = aliases.select("id", "method_id", "line", F.col("target").alias("ptr")).distinct()
-    uses = later_uses(g, sites).withColumn("via", F.lit("direct")).unionByName(later_uses(g, aliases).withColumn("via", F.lit("alias")))
+    uses = later_uses(g, sites, same_line=True).withColumn("via", F.lit("direct")).unionByName(later_uses(g, aliases, same_line=True).withColumn("via", F.lit("alias")))
     uses = uses.join(frees, "call_id", "left_anti")
     uses = without_exclusive(g, without_return(g, without_reassignment(g, uses)))
     return uses.groupBy("site", "method_id", "ptr", "via", F.col("a").alias("line")).agg(F.countDistinct("b").alias("uses"), F.min("b").alias("first_use"))
@@ -113,11 +116,12 @@ def double_free(g: Graph) -> DataFrame:
     """First later free of the same pointer, or of an alias from before: (site, method_id, ptr, via, line, second)."""
     f = first_arguments(g, ["free", "cfree"]).where(P.trackable(F.col("arg")))
     x = f.select(F.col("id").alias("site"), "method_id", F.col("arg").alias("ptr"), F.col("line").alias("a"))
-    y = f.select("method_id", F.col("arg").alias("other"), F.col("line").alias("b"))
-    same = x.join(y, "method_id").where("b > a AND other = ptr").withColumn("via", F.lit("same-ptr"))
+    y = f.select("method_id", F.col("arg").alias("other"), F.col("line").alias("b"), F.col("id").alias("again"))
+    later = "(b > a OR b = a AND again > site)"
+    same = x.join(y, "method_id").where(later + " AND other = ptr").withColumn("via", F.lit("same-ptr"))
     z = g.assignment.where(P.trackable(F.col("target")) & P.trackable(F.col("source")))
     ways = z.select("method_id", F.col("line").alias("at"), F.col("source").alias("ptr"), F.col("target").alias("other")).unionByName(z.select("method_id", F.col("line").alias("at"), F.col("target").alias("ptr"), F.col("source").alias("other")))
-    alias = x.join(ways, ["method_id", "ptr"]).where("at < a AND other <> ptr").join(y, ["method_id", "other"]).where("b > a").withColumn("via", F.lit("alias"))
+    alias = x.join(ways, ["method_id", "ptr"]).where("at < a AND other <> ptr").join(y, ["method_id", "other"]).where(later).withColumn("via", F.lit("alias"))
     columns = ["site", "method_id", "ptr", "via", "a", "b"]
     pairs = same.select(columns).unionByName(alias.select(columns)).distinct()
     pairs = without_exclusive(g, without_return(g, without_reassignment(g, pairs)))
@@ -137,13 +141,39 @@ def null_deref(g: Graph) -> DataFrame:
 
 @detector("integer_overflow", "CWE-190")
 def integer_overflow(g: Graph) -> DataFrame:
-    """Allocation sizes whose last assignment before is a product of two non-constants: (id, method_id, line, size, arithmetic)."""
-    size = first_arguments(g, [n for n in dicts.HEAP_ALLOCATORS if n not in ("strdup", "strndup")], 1).where("kind = 'IDENTIFIER'")
+    """Allocation sizes whose last assignment before is a product of two non-constants: (id, method_id, line, size, arithmetic).
+
+    A condition before clears it if it names a limit or a checked operation, or divides and has one of the operands.
+    """
+    names = [n for n in dicts.SIZE_ARGUMENT if n not in ("strdup", "strndup")]
+    calls = g.call.where(P.any_of(F.col("name"), names)).select("id", "method_id", "line", _number(dicts.SIZE_ARGUMENT)[F.col("name")].alias("arg_index"))
+    size = calls.join(g.argument.where("kind = 'IDENTIFIER'").select(F.col("call_id").alias("id"), "arg_index", F.trim("code").alias("arg")), ["id", "arg_index"])
     a = g.assignment.select("method_id", F.col("target").alias("arg"), F.col("line").alias("at"), "id", "source").withColumnRenamed("id", "assign_id")
     before = size.join(a, ["method_id", "arg"]).where("at < line")
-    last = before.groupBy("id", "method_id", "line", F.col("arg").alias("size")).agg(F.max_by("source", F.struct("at", "assign_id")).alias("arithmetic"))
-    guard = g.control.where("type = 'IF' AND condition RLIKE 'MAX|overflow|checked_|safe_|ckd_'").select(F.col("method_id").alias("m"), F.col("line").alias("g0"))
-    return last.where(F.col("arithmetic").rlike(r"\w\s*\*\s*[A-Za-z_]")).join(guard, (F.col("method_id") == F.col("m")) & (F.col("g0") <= F.col("line")), "left_anti")
+    last = before.groupBy("id", "method_id", "line", F.col("arg").alias("size")).agg(F.max(F.struct("at", "assign_id", "source")).alias("x"))
+    last = last.select("id", "method_id", "line", "size", F.col("x.source").alias("arithmetic"))
+    return without_overflow_guard(g, last)
+
+
+@detector("integer_overflow_direct", "CWE-190")
+def integer_overflow_direct(g: Graph) -> DataFrame:
+    """Allocation sizes that are such a product themselves: (id, method_id, line, arithmetic)."""
+    calls = g.call.where(P.any_of(F.col("name"), list(dicts.SIZE_ARGUMENT))).select("id", "method_id", "line", _number(dicts.SIZE_ARGUMENT)[F.col("name")].alias("arg_index"))
+    size = calls.join(g.argument.select(F.col("call_id").alias("id"), "arg_index", F.col("code").alias("arithmetic")), ["id", "arg_index"])
+    return without_overflow_guard(g, size.select("id", "method_id", "line", "arithmetic"))
+
+
+def without_overflow_guard(g: Graph, sites: DataFrame) -> DataFrame:
+    """The products (column arithmetic) that no condition of the method up to their line clears."""
+    sites = sites.where(F.col("arithmetic").rlike(_PRODUCT))
+    left, right = (F.regexp_extract("arithmetic", _PRODUCT, i) for i in (1, 2))
+    c = g.control.where("type = 'IF'").select(F.col("method_id").alias("m"), F.col("line").alias("g0"), "condition")
+    clear = F.lit(False)
+    for word in dicts.OVERFLOW_GUARDS:
+        clear = clear | F.col("condition").contains(word)
+    clear = clear | F.col("condition").contains("__builtin_") & F.col("condition").contains("overflow")
+    clear = clear | F.col("condition").contains("/") & (P.has_words(F.col("condition"), left) | P.has_words(F.col("condition"), right))
+    return sites.join(c, (F.col("method_id") == F.col("m")) & (F.col("g0") <= F.col("line")) & clear, "left_anti")
 
 
 @detector("format_string", "CWE-134")
@@ -158,6 +188,14 @@ def format_string(g: Graph) -> DataFrame:
     return hit.select("id", "name", "file", "line", "format", F.when(F.col("from").isNotNull(), "HIGH").otherwise("MEDIUM").alias("confidence"))
 
 
+#: Two factors of which the second is a name.
+_PRODUCT = r"(\w+)\s*\*\s*([A-Za-z_]\w*)"
+
+
+def _number(table: dict[str, int]) -> Column:
+    return F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
+
+
 def _writes(g: Graph, table: dict[str, tuple[int, int]]) -> DataFrame:
     """Buffer writes: id, method_id, name, b (line), dst, size (null if unbounded)."""
     place = {i: F.create_map(*(F.lit(x) for k, v in table.items() for x in (k, v[i]))) for i in (0, 1)}
@@ -170,17 +208,17 @@ def _writes(g: Graph, table: dict[str, tuple[int, int]]) -> DataFrame:
 @detector("heap_overflow", "CWE-122")
 def heap_overflow(g: Graph) -> DataFrame:
     """Writes into an allocation that are unbounded or larger than it: (site, method_id, ptr, line, writes, confidence)."""
-    alloc = allocations(g, dicts.HEAP_ALLOCATORS)
-    size = g.argument.where("arg_index = 1").select(F.col("call_id").alias("id"), F.col("code").alias("have"))
-    alloc = alloc.join(size, "id").select(F.col("id").alias("site"), F.col("method_id"), "ptr", F.col("line").alias("a"), "have")
+    alloc = allocations(g, list(dicts.SIZE_ARGUMENT)).withColumn("arg_index", _number(dicts.SIZE_ARGUMENT)[F.col("name")])
+    size = g.argument.select(F.col("call_id").alias("id"), "arg_index", F.col("code").alias("have"))
+    alloc = alloc.join(size, ["id", "arg_index"]).select(F.col("id").alias("site"), F.col("method_id"), "ptr", F.col("line").alias("a"), "have")
     w = _writes(g, dicts.HEAP_WRITES).withColumnRenamed("method_id", "wm").withColumnRenamed("size", "need").withColumnRenamed("id", "write")
     hit = alloc.join(w, (F.col("method_id") == F.col("wm")) & (F.col("b") > F.col("a")) & P.buffer_target(F.col("dst"), F.col("ptr")))
     hit = without_exclusive(g, without_reassignment(g, hit))
     have, need = P.parse_int_literal(F.col("have")), P.parse_int_literal(F.col("need"))
     c = g.control.where("type = 'IF' AND condition RLIKE '[<>]'").select(F.col("method_id").alias("m"), F.col("line").alias("at"), "condition")
-    bound = (F.col("method_id") == F.col("m")) & (F.col("at") > F.col("a")) & (F.col("at") < F.col("b")) & F.col("condition").contains(F.col("need"))
+    bound = (F.col("method_id") == F.col("m")) & (F.col("at") > F.col("a")) & (F.col("at") < F.col("b")) & P.has_words(F.col("condition"), F.col("need"))
     hit = hit.join(c, bound, "left_anti")
-    bad = F.col("need").isNull() | F.when(have.isNotNull() & need.isNotNull(), need > have).otherwise(~F.col("have").contains(F.col("need")))
+    bad = F.col("need").isNull() | F.when(have.isNotNull() & need.isNotNull(), need > have).otherwise(~P.has_words(F.col("have"), F.col("need")))
     return hit.where(bad).groupBy("site", "method_id", "ptr", F.col("a").alias("line")).agg(
         F.countDistinct("write").alias("writes"), F.when(F.count_if(F.col("name").isin("strcpy", "gets", "sprintf")) > 0, "HIGH").otherwise("MEDIUM").alias("confidence")
     )
@@ -226,7 +264,7 @@ def bounds_checks(g: Graph) -> DataFrame:
     """Index operations and the comparisons that control them: (id, index, guards, guarded)."""
     index = first_arguments(g, ["<operator>.indirectIndexAccess"], 2).select("id", "method_id", "line", F.col("arg").alias("index")).withColumn("var", P.extract_variable(F.col("index")))
     guard = g.cdg.join(g.control.select(F.col("id").alias("control_id"), "condition"), "control_id").where(F.col("condition").rlike("[<>]|[!=]=")).select(F.col("call_id").alias("id"), "condition")
-    hit = index.join(guard, "id", "left").groupBy("id", "method_id", "line", "index").agg(F.count_if(F.col("condition").contains(F.col("var"))).alias("guards"))
+    hit = index.join(guard, "id", "left").groupBy("id", "method_id", "line", "index").agg(F.count_if(P.has_words(F.col("condition"), F.col("var"))).alias("guards"))
     return hit.withColumn("guarded", F.col("guards") > 0)
 
 

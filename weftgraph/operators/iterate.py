@@ -62,6 +62,29 @@ def entry_reach(g: Graph, inputs: list[str], depth: int = 9) -> DataFrame:
     return reach(call_edges(g), start, depth)
 
 
+def entry_points(g: Graph, inputs: list[str], depth: int = 9) -> DataFrame:
+    """(method_id, hops, entry): the nearest method that reads external input and reaches the method by calls; of several the smallest.
+
+    One walk from all readers at once: the smallest entry travels with the frontier, so no
+    search is made for a single method.
+    """
+    edges = cut(call_edges(g))
+    front = g.call.where(P.any_of(F.col("name"), inputs)).select("method_id", F.lit(0).alias("hops"), F.col("method_id").alias("entry")).distinct()
+    seen = front = cut(front)
+    for level in range(1, depth + 1):
+        step = front.join(edges, front.method_id == edges.src).groupBy(F.col("dst").alias("method_id")).agg(F.min("entry").alias("entry"))
+        front = cut(step.join(seen.select("method_id"), "method_id", "left_anti").select("method_id", F.lit(level).alias("hops"), "entry"))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return seen
+
+
+def edges_by_depth(edges: DataFrame) -> DataFrame:
+    """Edges and cyclic edges of a call graph for each depth."""
+    return edges.groupBy("depth").agg(F.count("*").alias("edges"), F.count_if("is_cycle").alias("cyclic"))
+
+
 def taint_reach(g: Graph, sources: list[str], depth: int | None = None) -> DataFrame:
     """Nodes that data of any call of a source reaches, and in how many steps."""
     return reach(g.ddg, g.call.where(P.any_of(F.col("name"), sources)).select(F.col("id").alias("node")), depth)

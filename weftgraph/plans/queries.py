@@ -123,6 +123,35 @@ def callers(g):
     return browse.callers_of(g)
 
 
+@query("""
+    WITH d AS (SELECT DISTINCT m.name AS caller, c.name AS callee, c.code, c.file, c.line FROM {call} c JOIN {method} m ON c.method_id = m.id WHERE regexp_full_match(c.name, 'mem.*|str.*')),
+    r AS (SELECT *, CAST(row_number() OVER (ORDER BY caller, callee, code, file, line) AS INT) AS place, (SELECT count(*) FROM d) AS n FROM d)
+    SELECT caller, callee, code, file, line, place, least(n, 300) AS total, n > 300 AS truncated, CAST(ceil(least(n, 300) / 40.0) AS BIGINT) AS pages FROM r WHERE place BETWEEN 81 AND 120 AND place <= 300""")
+def list_calls_page(g):
+    return browse.page(browse.list_calls(g, callee="mem.*|str.*", limit=None), ["caller", "callee", "code", "file", "line"], number=3, size=40, limit=300)
+
+
+@query("""
+    WITH p AS (SELECT DISTINCT file, line + 1 AS line FROM {literal}), f AS (SELECT id AS method_id, file FROM {method}),
+    n AS (SELECT method_id, line AS at, id AS node, CASE WHEN starts_with(name, '<operator>') THEN 3 ELSE 0 END AS rank, code FROM {call}
+      UNION ALL SELECT method_id, line, id, 1, target || ' = ' || source FROM {assignment} UNION ALL SELECT method_id, line, id, 2, condition FROM {control}),
+    h AS (SELECT p.file, p.line, n.at - p.line AS delta, node, code, n.method_id, row_number() OVER (PARTITION BY p.file, p.line ORDER BY abs(n.at - p.line), n.at, rank, node, code, n.method_id) AS r
+      FROM p JOIN f ON p.file = f.file JOIN n ON n.method_id = f.method_id AND n.at BETWEEN p.line - 3 AND p.line + 3)
+    SELECT file, line, delta, node, code, method_id FROM h WHERE r = 1""")
+def anchor_search(g):
+    return browse.anchors(g, g.literal.select("file", (F.col("line") + 1).alias("line")))
+
+
+@query("SELECT DISTINCT name FROM {method} WHERE contains(name, 'n_1') AND NOT EXISTS (SELECT 1 FROM {method} WHERE name = 'n_1') ORDER BY name LIMIT 10")
+def name_suggestions(g):
+    return browse.name_suggestions(g, "n_1")
+
+
+@query("SELECT '{\"id\":' || id || ',\"name\":\"' || name || '\"}' AS json FROM [method]".replace("{", "{{").replace("}", "}}").replace("[", "{").replace("]", "}"))
+def methods_json(g):
+    return browse.as_json(g.method.select("id", "name"))
+
+
 # --- graph iteration
 
 _EDGES = "e AS (SELECT DISTINCT method_id AS src, callee_id AS dst FROM {call} WHERE callee_id IS NOT NULL)"
@@ -220,6 +249,19 @@ def entry_reach_full(g):
     return iterate.entry_reach(g, dicts.EXTERNAL_INPUTS)
 
 
+@query(f"""WITH RECURSIVE {_EDGES}, w AS (
+      SELECT DISTINCT method_id, 0 AS hops, method_id AS entry FROM {{call}} WHERE name IN ({quoted(dicts.EXTERNAL_INPUTS)})
+      UNION SELECT e.dst, w.hops + 1, w.entry FROM w JOIN e ON w.method_id = e.src WHERE w.hops < 9)
+    SELECT method_id, hops, entry FROM (SELECT *, row_number() OVER (PARTITION BY method_id ORDER BY hops, entry) AS r FROM w) WHERE r = 1""")
+def entry_points(g):
+    return iterate.entry_points(g, dicts.EXTERNAL_INPUTS)
+
+
+@query(_levels("id", "FROM {method} WHERE id = 7", 5, _OUT) + ", k AS (" + _GRAPH.format(d=5) + ") SELECT depth, count(*) AS edges, count(*) FILTER (is_cycle) AS cyclic FROM k GROUP BY depth")
+def call_graph_depths(g):
+    return iterate.edges_by_depth(iterate.call_graph(g, 7))
+
+
 @query(f"""WITH RECURSIVE w AS (
       SELECT id AS node FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SOURCES["c"])})
       UNION SELECT d.dst FROM w JOIN {{ddg}} d ON w.node = d.src)
@@ -253,7 +295,7 @@ def forward_slice_full(g):
 
 # --- detectors
 
-_CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.method_id AND z.target = x.ptr AND z.line > x.a AND z.line < x.b)
+_CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.method_id AND z.target = x.ptr AND (z.line > x.a AND z.line < x.b OR x.a = x.b AND z.line = x.a))
   AND NOT EXISTS (SELECT 1 FROM {{branch}} p JOIN {{branch}} q ON p.control_id = q.control_id AND p.branch <> q.branch
     WHERE p.method_id = x.method_id AND x.a BETWEEN p.line AND p.line_end AND x.b BETWEEN q.line AND q.line_end)""".replace("{{", "{").replace("}}", "}")
 _RETURN = """ AND NOT EXISTS (SELECT 1 FROM {ret} r WHERE r.method_id = x.method_id AND r.line > x.a AND r.line < x.b
@@ -268,7 +310,7 @@ _USE = "(g.code = s.ptr OR starts_with(g.code, s.ptr || '->') OR starts_with(g.c
     al AS (SELECT DISTINCT s.id, s.method_id, s.line, z.target AS ptr FROM site s JOIN {{assignment}} z ON z.method_id = s.method_id AND z.line < s.line
       AND (z.source = s.ptr OR z.source = '&' || s.ptr) AND z.target <> s.ptr AND NOT contains(z.target, '(') AND NOT contains(z.target, '[')),
     s AS (SELECT *, 'direct' AS via FROM site UNION ALL SELECT *, 'alias' FROM al),
-    x AS (SELECT DISTINCT s.id AS site, s.method_id, s.ptr, s.line AS a, g.line AS b, g.call_id, s.via FROM s JOIN {{argument}} g ON g.method_id = s.method_id AND g.line > s.line AND {_USE}
+    x AS (SELECT DISTINCT s.id AS site, s.method_id, s.ptr, s.line AS a, g.line AS b, g.call_id, s.via FROM s JOIN {{argument}} g ON g.method_id = s.method_id AND (g.line > s.line OR g.line = s.line AND g.call_id > s.id) AND {_USE}
       WHERE g.call_id NOT IN (SELECT id FROM {{call}} WHERE name IN ('free', 'cfree')))
     SELECT site, method_id, ptr, via, a AS line, count(DISTINCT b) AS uses, min(b) AS first_use FROM x WHERE {_CLEAR}{_RETURN} GROUP BY site, method_id, ptr, via, a""")
 def use_after_free(g):
@@ -278,9 +320,9 @@ def use_after_free(g):
 @query(f"""
     WITH f AS ({_FREES}), z AS (SELECT method_id, line, source, target FROM {{assignment}} WHERE NOT regexp_matches(source || target, '[(\\[]') AND length(source) < 50 AND length(target) < 50),
     w AS (SELECT method_id, line, source AS ptr, target AS other FROM z UNION ALL SELECT method_id, line, target, source FROM z),
-    x AS (SELECT p.id AS site, p.method_id, p.arg AS ptr, 'same-ptr' AS via, p.line AS a, q.line AS b FROM f p JOIN f q ON p.method_id = q.method_id AND p.arg = q.arg AND q.line > p.line
+    x AS (SELECT p.id AS site, p.method_id, p.arg AS ptr, 'same-ptr' AS via, p.line AS a, q.line AS b FROM f p JOIN f q ON p.method_id = q.method_id AND p.arg = q.arg AND (q.line > p.line OR q.line = p.line AND q.id > p.id)
       UNION SELECT p.id, p.method_id, p.arg, 'alias', p.line, q.line FROM f p JOIN w ON w.method_id = p.method_id AND w.ptr = p.arg AND w.line < p.line AND w.other <> w.ptr
-        JOIN f q ON p.method_id = q.method_id AND w.other = q.arg AND q.line > p.line)
+        JOIN f q ON p.method_id = q.method_id AND w.other = q.arg AND (q.line > p.line OR q.line = p.line AND q.id > p.id))
     SELECT site, method_id, ptr, via, a AS line, min(b) AS second FROM x WHERE {_CLEAR}{_RETURN} GROUP BY site, method_id, ptr, via, a""")
 def double_free(g):
     return detectors.double_free(g)
@@ -309,18 +351,38 @@ def null_deref_unchecked(g):
     return detectors.null_deref(g)
 
 
+def _case(table: dict, column: str = "c.name") -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in table.items()) + " END"
+
+
+def _has(code: str, name: str) -> str:
+    words = "' ' || trim(regexp_replace({}, '[^A-Za-z0-9_]+', ' ', 'g')) || ' '"
+    return f"contains({words.format(code)}, {words.format(name)})"
+
+
+_FACTORS = r"(\w+)\s*\*\s*([A-Za-z_]\w*)"
+_LIMITS = "|".join(dicts.OVERFLOW_GUARDS)
+
+
 @query(f"""
-    WITH z AS (SELECT * FROM ({_ARG.format(i=1, names=quoted(n for n in dicts.HEAP_ALLOCATORS if n not in ("strdup", "strndup")))}) y WHERE kind = 'IDENTIFIER'),
+    WITH z AS (SELECT c.id, c.method_id, c.line, trim(a.code) AS arg FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.kind = 'IDENTIFIER' AND a.arg_index = {_case(dicts.SIZE_ARGUMENT)}
+      WHERE c.name NOT IN ('strdup', 'strndup')),
     l AS (SELECT id, method_id, line, arg AS size, arithmetic FROM (SELECT z.id, z.method_id, z.line, z.arg, s.source AS arithmetic,
       row_number() OVER (PARTITION BY z.id ORDER BY s.line DESC, s.id DESC) AS r FROM z JOIN {{assignment}} s ON s.method_id = z.method_id AND s.target = z.arg AND s.line < z.line) y WHERE r = 1)
-    SELECT * FROM l WHERE regexp_matches(arithmetic, '\\w\\s*\\*\\s*[A-Za-z_]')
-      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND regexp_matches(c.condition, 'MAX|overflow|checked_|safe_|ckd_'))""")
+    SELECT id, method_id, line, size, arithmetic FROM l WHERE regexp_matches(arithmetic, '{_FACTORS}')
+      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND (regexp_matches(c.condition, '{_LIMITS}')
+        OR contains(c.condition, '__builtin_') AND contains(c.condition, 'overflow')
+        OR contains(c.condition, '/') AND ({_has("c.condition", f"regexp_extract(l.arithmetic, '{_FACTORS}', 1)")} OR {_has("c.condition", f"regexp_extract(l.arithmetic, '{_FACTORS}', 2)")})))""")
 def int_overflow_indirect(g):
     return detectors.integer_overflow(g)
 
 
-def _case(table: dict, column: str = "c.name") -> str:
-    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in table.items()) + " END"
+@query(f"""
+    WITH l AS (SELECT c.id, c.method_id, c.line, a.code AS arithmetic FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.arg_index = {_case(dicts.SIZE_ARGUMENT)})
+    SELECT * FROM l WHERE regexp_matches(arithmetic, '{_FACTORS}')
+      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND regexp_matches(c.condition, '{_LIMITS}'))""")
+def int_overflow_direct(g):
+    return detectors.integer_overflow_direct(g)
 
 
 @query(f"""
@@ -343,11 +405,11 @@ _INT = "try_cast(CASE WHEN regexp_full_match({0}, '[0-9]+[uUlL]*') THEN regexp_r
 
 
 @query(f"""
-    WITH al AS ({_ALLOC.format(names=quoted(dicts.HEAP_ALLOCATORS))}), h AS (SELECT al.id AS site, al.method_id, ptr, al.line AS a, g.code AS have FROM al JOIN {{argument}} g ON g.call_id = al.id AND g.arg_index = 1),
+    WITH al AS ({_ALLOC.format(names=quoted(dicts.SIZE_ARGUMENT))}), h AS (SELECT al.id AS site, al.method_id, ptr, al.line AS a, g.code AS have FROM al JOIN {{argument}} g ON g.call_id = al.id AND g.arg_index = {_case(dicts.SIZE_ARGUMENT, "al.name")}),
     w AS ({_write_sql(dicts.HEAP_WRITES)}), x AS (SELECT h.*, w.id AS write, w.name, w.b, w.need FROM h JOIN w ON w.method_id = h.method_id AND w.b > h.a AND {_TARGET})
     SELECT site, method_id, ptr, a AS line, count(DISTINCT write) AS writes, CASE WHEN count(*) FILTER (name IN ('strcpy', 'gets', 'sprintf')) > 0 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence FROM x
-    WHERE {_CLEAR} AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = x.method_id AND c.type = 'IF' AND c.line > x.a AND c.line < x.b AND regexp_matches(c.condition, '[<>]') AND contains(c.condition, x.need))
-      AND (need IS NULL OR CASE WHEN {_INT.format("have")} IS NOT NULL AND {_INT.format("need")} IS NOT NULL THEN {_INT.format("need")} > {_INT.format("have")} ELSE NOT contains(have, need) END)
+    WHERE {_CLEAR} AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = x.method_id AND c.type = 'IF' AND c.line > x.a AND c.line < x.b AND regexp_matches(c.condition, '[<>]') AND {_has("c.condition", "x.need")})
+      AND (need IS NULL OR CASE WHEN {_INT.format("have")} IS NOT NULL AND {_INT.format("need")} IS NOT NULL THEN {_INT.format("need")} > {_INT.format("have")} ELSE NOT {_has("have", "need")} END)
     GROUP BY site, method_id, ptr, a""")
 def heap_overflow(g):
     return detectors.heap_overflow(g)
@@ -381,8 +443,8 @@ def uninit_read(g):
 
 @query(f"""
     WITH x AS ({_ARG.format(i=2, names="'<operator>.indirectIndexAccess'")}), c AS (SELECT d.call_id, k.condition FROM {{cdg}} d JOIN {{control}} k ON k.id = d.control_id WHERE regexp_matches(k.condition, '[<>]|[!=]='))
-    SELECT x.id, x.method_id, x.line, x.arg AS "index", count(*) FILTER (contains(c.condition, regexp_replace(x.arg, '[^a-zA-Z0-9_].*', ''))) AS guards,
-      count(*) FILTER (contains(c.condition, regexp_replace(x.arg, '[^a-zA-Z0-9_].*', ''))) > 0 AS guarded FROM x LEFT JOIN c ON c.call_id = x.id GROUP BY x.id, x.method_id, x.line, x.arg""")
+    SELECT x.id, x.method_id, x.line, x.arg AS "index", count(*) FILTER ({_has("c.condition", "regexp_replace(x.arg, '[^a-zA-Z0-9_].*', '')")}) AS guards,
+      count(*) FILTER ({_has("c.condition", "regexp_replace(x.arg, '[^a-zA-Z0-9_].*', '')")}) > 0 AS guarded FROM x LEFT JOIN c ON c.call_id = x.id GROUP BY x.id, x.method_id, x.line, x.arg""")
 def bounds_guard(g):
     return detectors.bounds_checks(g)
 
@@ -497,6 +559,11 @@ def findings_stats(g):
     return catalog.findings_stats(_relation(g, _FINDINGS))
 
 
+@query(f"WITH f AS ({_FINDINGS}) SELECT confidence, count(*) AS n FROM f GROUP BY confidence")
+def confidence_histogram(g):
+    return catalog.confidence_histogram(_relation(g, _FINDINGS))
+
+
 @query(f"WITH j AS ({_JOBS}) SELECT id, job_type, CAST(rank() OVER (PARTITION BY job_type ORDER BY created_at) AS INT) AS position FROM j WHERE status = 'queued'")
 def queue_position(g):
     return catalog.queue_position(_relation(g, _JOBS))
