@@ -287,7 +287,7 @@ class RangeLeast:
         return np.minimum(flat[at + begin], flat[at + end - _SIZE[level]])
 
 
-def smallest_owners(strings: list[bytes], minimizers_: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
+def smallest_owners(strings: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
     """For each window of each string the least owner of any string that has it.
 
     Only strings with an equal minimizer can share a window.  One collection has all (distinct) strings whose
@@ -301,7 +301,10 @@ def smallest_owners(strings: list[bytes], minimizers_: np.ndarray, owners: np.nd
     sizes = np.array(list(map(len, listed)), np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes - WIDTH + 1)))
     flat = np.repeat(least, sizes - WIDTH + 1)
-    _, kind, count = np.unique(minimizers_[np.unique(which, return_index=True)[1]], return_inverse=True, return_counts=True)
+    ends = np.cumsum(sizes)
+    h, first, _ = minimizers(np.frombuffer(b"".join(listed), np.uint8), np.append(0, ends))
+    own = h[np.searchsorted(first, ends - sizes)]  # of each string's first window
+    _, kind, count = np.unique(own, return_inverse=True, return_counts=True)
     chosen = np.flatnonzero(count[kind] > 1)
     built = Collection([listed[i] for i in chosen.tolist()])
     best = np.full(len(built.prefix) + 1, NO_ID, np.int64)
@@ -465,10 +468,10 @@ def asked_strings(groups: DataFrame, shared: DataFrame, n_buckets: int, n_parts:
             at = np.full(len(strings), len(h), np.int64)
             np.minimum.at(at, which, np.arange(len(h)))  # strings are numbered by hash
             listed = list(strings)
-            out = [(-1, squeeze(np.array([len(which), len(listed)]), which, first, count, np.array(list(map(len, listed)), np.int64)))]
+            out = [(-1, squeeze(np.array([len(which), len(listed)]), np.diff(which, prepend=0).astype(np.int32), first.astype(np.uint32), count.astype(np.uint8), np.array(list(map(len, listed)), np.uint8)))]
             for b, x, y in bucket_runs(h[at], n_buckets):
                 sizes = np.array(list(map(len, listed[x:y])), np.int64)
-                out.append((b, squeeze(np.array([y - x]), least[x:y], sizes, np.diff(h[at[x:y]], prepend=np.uint64(0)), np.frombuffer(b"".join(listed[x:y]), np.uint8))))
+                out.append((b, squeeze(np.array([y - x]), least[x:y], sizes.astype(np.uint8), np.frombuffer(b"".join(listed[x:y]), np.uint8))))
             yield _rows({"bucket": [b for b, _ in out], "group": [own.group] * len(out), "data": [d for _, d in out]}, _ASK)
 
     return with_answers(groups, shared, "shared", n_parts).mapInArrow(work, "bucket int, group long, data binary")
@@ -482,17 +485,16 @@ def answered(asked: DataFrame, n_parts: int) -> DataFrame:
 
         if bucket["bucket"].iloc[0] < 0:
             return bucket[["group", "bucket", "data"]]
-        strings, owners, hashes, counts = [], [], [], []
+        strings, owners, counts = [], [], []
         for data in bucket["data"]:
             raw = loosen(data)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
             owners.append(np.frombuffer(raw, np.int64, n, 8))
-            ends = np.cumsum(np.frombuffer(raw, np.int64, n, 8 + 8 * n))
-            hashes.append(np.cumsum(np.frombuffer(raw, np.uint64, n, 8 + 16 * n)))
-            text = raw[8 + 24 * n :]
+            ends = np.cumsum(np.frombuffer(raw, np.uint8, n, 8 + 8 * n), dtype=np.int64)
+            text = raw[8 + 9 * n :]
             strings += [text[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             counts.append(n)
-        least = smallest_owners(strings, np.concatenate(hashes), np.concatenate(owners))
+        least = smallest_owners(strings, np.concatenate(owners))
         cut = np.cumsum([0, *counts]).tolist()
         out = pd.DataFrame({"group": bucket["group"], "bucket": bucket["bucket"], "data": [squeeze(*least[a:b]) for a, b in zip(cut, cut[1:], strict=False)]})
         del strings, owners, least, text, raw
@@ -510,9 +512,10 @@ def removed_runs(own: Group, answers: list[dict]) -> tuple[np.ndarray, np.ndarra
     by = {a["bucket"]: a["data"] for a in answers}
     if -1 not in by:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    raw = np.frombuffer(loosen(by.pop(-1)), np.int64)
-    n, m = raw[:2].tolist()
-    which, first, count, sizes = raw[2 : 2 + n], raw[2 + n : 2 + 2 * n], raw[2 + 2 * n : 2 + 3 * n], raw[2 + 3 * n :]
+    raw = loosen(by.pop(-1))
+    n, m = np.frombuffer(raw, np.int64, 2).tolist()
+    which, first = np.cumsum(np.frombuffer(raw, np.int32, n, 16), dtype=np.int64), np.frombuffer(raw, np.uint32, n, 16 + 4 * n).astype(np.int64)
+    count, sizes = np.frombuffer(raw, np.uint8, n, 16 + 8 * n).astype(np.int64), np.frombuffer(raw, np.uint8, m, 16 + 9 * n).astype(np.int64)
     least = np.concatenate([np.frombuffer(loosen(by[b]), np.int64) for b in sorted(by)]) if by else np.zeros(0, np.int64)
     starts = np.cumsum(sizes - WIDTH + 1) - (sizes - WIDTH + 1)
     k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
