@@ -404,3 +404,12 @@ def test_toxicity_is_the_model_on_each_text(spark, odd):
         g = got[r.doc_id]
         assert g.score == pytest.approx(score, abs=1e-9) and g.predicted == int(score >= 0.3) and g.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         assert len(g.spans) == (p >= 0.5).sum() and all(r.text[s.begin : s.end] in words for s in g.spans)
+
+
+def test_licenses_are_those_of_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op10_licenses"])
+    got = queries.op10_licenses(spark, DATA)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())

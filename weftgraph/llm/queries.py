@@ -51,11 +51,34 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 QUERIES = {
     f.__name__: f
     for f in (op1_token_output, op2_packing, op3_suffixes, op4_toxicity, op5_hnsw, op6_lexicon, op7_bagminhash, op8_fingerprints, op9_language, op10_licenses)
 }
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _count(phrase: str) -> str:
+    """Places of a phrase in ``line``, where each word stands between two blanks of its own."""
+    padded = f"' {'  '.join(phrase.split())} '"
+    return f"((length(line) - length(replace(line, {padded}, ''))) // length({padded}))"
+
+
+def _labels(phrases: dict[str, str]) -> str:
+    cases = ", ".join(f"CASE WHEN {_count(p)} > 0 THEN '{label}' END" for p, label in phrases.items())
+    return f"array_to_string(list_sort(list_distinct(list_filter([{cases}], lambda x: x IS NOT NULL))), ',')"
+
+
+_STARTS = " OR ".join("(" + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(p.split())) + ")" for p in licenses.BASE)
+
+#: Texts with an identifier tag are beyond this SQL (the tables have none; tests hold expressions).
+ORACLE_SQL: dict[str, str] = {
+    "op10_licenses": rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+    p AS (SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, '  ') || ' ' AS line, list_filter(range(1, len(w) + 1), lambda i: coalesce({_STARTS}, false)) AS places FROM d)
+    SELECT doc_id, n_words, len(places) AS n_base, places[1] - 1 AS first_word, places[-1] - 1 AS last_word, {_labels(licenses.BASE)} AS base_labels, {_labels(licenses.BASE | licenses.NOTICES)} AS labels,
+      1 - power(0.5, {" + ".join(map(_count, licenses.BASE | licenses.NOTICES))}) AS score FROM p"""
+}
