@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and
 is written and reread before the next one.
+
+Cases: null, empty and letterless texts are of no language and go in the first stage; rows
+with an equal doc_id stay or go together in the third, which keeps rows without a doc_id;
+very long texts are read whole; extra columns of documents pass unchanged to the last stage;
+without labelled rows toxicity rejects nothing; an empty table gives no pieces.
 """
 
 from __future__ import annotations
