@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -133,3 +133,131 @@ def slice_variable(g: Graph, seeds: DataFrame, depth: int = 5, forward: bool = F
             break
         seen = seen.unionByName(front)
     return hits.groupBy("id", "method_id", F.col("at").alias("line"), "target", "source").agg(F.min("depth").alias("depth"))
+
+
+def identifiers(code: Column) -> Column:
+    """The distinct names in a code text."""
+    return F.array_distinct(F.regexp_extract_all(code, F.lit(r"\b([A-Za-z_]\w*)\b"), 1))
+
+
+def callees(g: Graph) -> DataFrame:
+    """(call_id, method_id, line, callee_id): the method called, and for dynamic dispatch every method of the call's name."""
+    c = g.call.select(F.col("id").alias("call_id"), "method_id", "line", "name", "dispatch_type", "callee_id")
+    static = c.where("callee_id IS NOT NULL").select("call_id", "method_id", "line", "callee_id")
+    named = g.method.select(F.col("id").alias("callee"), "name")
+    dynamic = c.where("dispatch_type = 'DYNAMIC_DISPATCH'").join(named, "name").select("call_id", "method_id", "line", F.col("callee").alias("callee_id"))
+    return static.unionByName(dynamic).distinct()
+
+
+def passed(g: Graph) -> DataFrame:
+    """Arguments with the parameter they are bound to: call_id, method_id, line, code, kind, callee_id, param."""
+    a = g.argument.select("call_id", "arg_index", "code", "kind")
+    p = g.parameter.select(F.col("method_id").alias("callee_id"), F.col("ord").alias("arg_index"), F.col("name").alias("param"))
+    return callees(g).join(a, "call_id").join(p, ["callee_id", "arg_index"]).drop("arg_index").distinct()
+
+
+def _written(target: Column) -> Column:
+    """The names an assignment to ``target`` counts for: itself, the base of an access, the field at its end."""
+    name = F.when(P.full_match(target, r"\w+"), target)
+    base = F.regexp_extract(target, r"\A(\w+)(?:\[|->|\.)", 1)
+    field = F.regexp_extract(target, r"(?:->|\.)(\w+)\z", 1)
+    return F.array_distinct(F.filter(F.array(name, base, field), lambda x: x.isNotNull() & (x != "")))
+
+
+def slice_steps(g: Graph, forward: bool = False) -> DataFrame:
+    """One row for each way a slice goes on from (method_id, var): what is met there (id, kind, at) and next_method, next_var, next_line.
+
+    A way is open to a line after (forward: before) ``bound``.
+    """
+    others = F.explode_outer(F.filter("names", lambda x: x != F.col("var")))
+    a = g.assignment.where("line > 0").select("id", "method_id", F.col("line").alias("at"), "target", "source")
+    if forward:
+        own = a.select("*", F.explode(identifiers(F.col("source"))).alias("var"), F.array(F.regexp_extract("target", r"\A[*&]*(\w+)", 1)).alias("names"))
+    else:
+        own = a.select("*", F.explode(_written(F.col("target"))).alias("var"), identifiers(F.col("source")).alias("names"))
+    own = own.select("method_id", "var", F.col("at").alias("bound"), "id", F.lit("assignment").alias("kind"), "at", F.col("method_id").alias("next_method"), others.alias("next_var"), F.col("at").alias("next_line"))
+    if forward:
+        used = g.argument.where("kind <> 'LITERAL'").select("call_id", "arg_index", "method_id", F.col("line").alias("at"), F.explode(identifiers(F.col("code"))).alias("var"))
+        p = g.parameter.select(F.col("method_id").alias("callee_id"), F.col("ord").alias("arg_index"), F.col("name").alias("next_var"))
+        into = callees(g).select("call_id", "callee_id").join(p, "callee_id").join(g.method.select(F.col("id").alias("callee_id"), F.col("line").alias("next_line")), "callee_id")
+        step = used.join(into, ["call_id", "arg_index"], "left").select("method_id", "var", F.col("at").alias("bound"), F.col("call_id").alias("id"), F.lit("argument").alias("kind"), "at", F.col("callee_id").alias("next_method"), "next_var", "next_line")
+    else:
+        step = passed(g).where("kind <> 'LITERAL'").select(
+            F.col("callee_id").alias("method_id"), F.col("param").alias("var"), F.lit(-1).alias("bound"), F.col("call_id").alias("id"), F.lit("argument").alias("kind"),
+            F.col("line").alias("at"), F.col("method_id").alias("next_method"), F.explode(identifiers(F.col("code"))).alias("next_var"), F.col("line").alias("next_line"),
+        )
+    return own.unionByName(step).distinct()
+
+
+def slice_between(g: Graph, seeds: DataFrame, depth: int = 5, forward: bool = False) -> DataFrame:
+    """Assignments and calls that a variable depends on (or that depend on it), across methods: id, kind, method_id, var, line, depth.
+
+    ``seeds``: method_id, var, line.  Backward, a parameter goes on to the arguments of all calls
+    of its method; forward, an argument goes on to the parameter of the method called.
+    """
+    steps = cut(slice_steps(g, forward))
+    seen = front = cut(seeds.select("method_id", "var", "line").distinct())
+    hits = None
+    for level in range(1, depth + 1):
+        met = front.join(steps, ["method_id", "var"]).where("bound > line" if forward else "bound < line")
+        met = cut(met.select("id", "kind", "method_id", "var", "at", "next_method", "next_var", "next_line").distinct())
+        step = met.select("id", "kind", "method_id", "var", "at", F.lit(level).alias("depth")).distinct()
+        hits = step if hits is None else hits.unionByName(step)
+        following = met.where("next_var IS NOT NULL").select(F.col("next_method").alias("method_id"), F.col("next_var").alias("var"), F.col("next_line").alias("line")).distinct()
+        front = cut(following.join(seen, ["method_id", "var", "line"], "left_anti"))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return hits.groupBy("id", "kind", "method_id", "var", F.col("at").alias("line")).agg(F.min("depth").alias("depth"))
+
+
+def flows_between(g: Graph, sources: DataFrame, sinks: DataFrame, depth: int = 8, limit: int | None = None, sanitizers: DataFrame | None = None) -> DataFrame:
+    """Simple data-flow paths from sources to the first sink on them: source, sink, length (nodes), path.
+
+    ``sources``, ``sinks``, ``sanitizers``: column node.  A path with a sanitizer inside (not at
+    its ends) is none.  Only edges on a walk from a source to a sink within ``depth`` steps are
+    followed, so no path is built that leads nowhere.
+    """
+    start, end = sources.select("node").distinct(), cut(sinks.select("node").distinct())
+    edges = cut(g.ddg.select("src", "dst").distinct())
+    ahead = reach(edges, start, depth).select(F.col("node").alias("src"), F.col("depth").alias("before"))
+    back = reach(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), end, depth).select(F.col("node").alias("dst"), F.col("depth").alias("after"))
+    useful = edges.join(ahead, "src").join(back, "dst").where(F.col("before") + 1 + F.col("after") <= depth)
+    useful = cut(useful.join(end.select(F.col("node").alias("dst"), F.lit(True).alias("ends")), "dst", "left").select("src", "dst", F.coalesce("ends", F.lit(False)).alias("ends")))
+    if sanitizers is not None:
+        useful = useful.where("ends").unionByName(useful.where("NOT ends").join(sanitizers.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst", "ends"))
+    path = start.select("node", F.array("node").alias("path"), F.lit(False).alias("ends"))
+    found = None
+    for _ in range(depth):
+        path = path.where("NOT ends").join(useful.withColumnRenamed("ends", "last"), F.col("node") == F.col("src")).where(~F.array_contains("path", F.col("dst")))
+        path = cut(path.select(F.col("dst").alias("node"), F.concat("path", F.array("dst")).alias("path"), F.col("last").alias("ends")))
+        if path.isEmpty():
+            break
+        done = path.where("ends")
+        found = done if found is None else found.unionByName(done)
+    if found is None:
+        found = path
+    out = found.select(F.col("path")[0].alias("source"), F.col("node").alias("sink"), F.size("path").alias("length"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
+    return out.orderBy("length", "path").limit(limit) if limit else out
+
+
+def with_entry(g: Graph, findings: DataFrame, inputs: list[str], depth: int = 9) -> DataFrame:
+    """Findings (column method_id) with the entry that reaches their method, and HIGH confidence if there is one, else MEDIUM."""
+    found = findings.join(entry_points(g, inputs, depth), "method_id", "left")
+    return found.withColumn("confidence", F.when(F.col("entry").isNotNull(), "HIGH").otherwise("MEDIUM"))
+
+
+def address_taken(g: Graph, limit: int | None = 50) -> DataFrame:
+    """Methods that nothing calls, with places that mention their address: method_id, name, site, at_method, line.
+
+    Likely callers by pointer: an argument or assigned value that is the name, or its address.
+    """
+    called = callees(g).select(F.col("callee_id").alias("method_id")).distinct()
+    idle = g.method.where(~F.col("is_external")).select(F.col("id").alias("method_id"), "name").join(called, "method_id", "left_anti")
+    bare = F.regexp_replace(F.trim("code"), r"\A&", "")
+    sites = g.argument.where("kind <> 'LITERAL'").select(F.col("call_id").alias("site"), F.col("method_id").alias("at_method"), "line", bare.alias("name"))
+    sites = sites.unionByName(g.assignment.select(F.col("id").alias("site"), F.col("method_id").alias("at_method"), "line", F.regexp_replace(F.trim("source"), r"\A&", "").alias("name")))
+    hit = idle.join(sites, "name").select("method_id", "name", "site", "at_method", "line").distinct()
+    if limit:
+        hit = hit.withColumn("r", F.row_number().over(W.partitionBy("method_id").orderBy("site"))).where(F.col("r") <= limit).drop("r")
+    return hit

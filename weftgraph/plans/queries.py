@@ -293,6 +293,60 @@ def forward_slice_full(g):
     return iterate.slice_variable(g, _seeds(g), forward=True)
 
 
+_NAMES_IN = "regexp_extract_all({}, '\\b([A-Za-z_]\\w*)\\b', 1)"
+_CALLEES = """cs AS (SELECT id AS call_id, method_id, line, callee_id FROM {call} WHERE callee_id IS NOT NULL
+      UNION SELECT c.id, c.method_id, c.line, m.id FROM {call} c JOIN {method} m ON m.name = c.name WHERE c.dispatch_type = 'DYNAMIC_DISPATCH'),
+    ps AS (SELECT DISTINCT cs.*, a.code, a.kind, p.name AS param FROM cs JOIN {argument} a ON a.call_id = cs.call_id JOIN {parameter} p ON p.method_id = cs.callee_id AND p.ord = a.arg_index)"""
+_BETWEEN = """WITH RECURSIVE {callees}, s AS ({steps}),
+    w AS (SELECT DISTINCT method_id, 'v1' AS var, line, 0 AS depth, CAST(NULL AS BIGINT) AS id, '' AS kind, CAST(NULL AS BIGINT) AS in_method, '' AS of_var, CAST(0 AS INT) AS at FROM {{control}} WHERE type = 'FOR'
+      UNION SELECT s.next_method, s.next_var, s.next_line, w.depth + 1, s.id, s.kind, s.method_id, s.var, s.at FROM w JOIN s ON s.method_id = w.method_id AND s.var = w.var AND s.bound {cmp} w.line WHERE w.depth < 5)
+    SELECT id, kind, in_method AS method_id, of_var AS var, w.at AS line, min(depth) AS depth FROM w WHERE id IS NOT NULL GROUP BY id, kind, in_method, of_var, w.at"""
+_BACK_STEPS = f"""SELECT DISTINCT x.method_id, x.var, x.line AS bound, x.id, 'assignment' AS kind, x.line AS at, x.method_id AS next_method, n.name AS next_var, x.line AS next_line
+      FROM (SELECT *, unnest(list_distinct([target, regexp_extract(target, '^(\\w+)(\\[|->|\\.)', 1), regexp_extract(target, '(->|\\.)(\\w+)$', 2)])) AS var FROM {{assignment}} WHERE line > 0) x
+      LEFT JOIN (SELECT id, unnest({_NAMES_IN.format("source")}) AS name FROM {{assignment}}) n ON n.id = x.id AND n.name <> x.var WHERE regexp_full_match(x.var, '\\w+')
+      UNION SELECT callee_id, param, -1, call_id, 'argument', line, method_id, unnest({_NAMES_IN.format("code")}), line FROM ps WHERE kind <> 'LITERAL'"""
+_FORWARD_STEPS = f"""SELECT DISTINCT method_id, var, line AS bound, id, 'assignment' AS kind, line AS at, method_id AS next_method, CASE WHEN regexp_extract(target, '^[*&]*(\\w+)', 1) <> var THEN regexp_extract(target, '^[*&]*(\\w+)', 1) END AS next_var, line AS next_line
+      FROM (SELECT *, unnest({_NAMES_IN.format("source")}) AS var FROM {{assignment}} WHERE line > 0)
+      UNION SELECT a.method_id, a.var, a.line, a.call_id, 'argument', a.line, i.callee_id, i.name, i.line
+      FROM (SELECT *, unnest({_NAMES_IN.format("code")}) AS var FROM {{argument}} WHERE kind <> 'LITERAL') a
+      LEFT JOIN (SELECT cs.call_id, cs.callee_id, p.ord, p.name, m.line FROM cs JOIN {{parameter}} p ON p.method_id = cs.callee_id JOIN {{method}} m ON m.id = cs.callee_id) i ON i.call_id = a.call_id AND i.ord = a.arg_index"""
+
+
+def _between(steps: str, cmp: str) -> str:
+    return _BETWEEN.replace("{callees}", _CALLEES).replace("{steps}", steps).replace("{cmp}", cmp).replace("{{", "{").replace("}}", "}")
+
+
+@query(_between(_BACK_STEPS, "<"))
+def backward_slice_interproc(g):
+    return iterate.slice_between(g, _seeds(g))
+
+
+@query(_between(_FORWARD_STEPS, ">"))
+def forward_slice_interproc(g):
+    return iterate.slice_between(g, _seeds(g), forward=True)
+
+
+def _calls_of(g: Graph, names: list[str]) -> DataFrame:
+    return g.call.where(P.any_of(F.col("name"), names)).select(F.col("id").alias("node"))
+
+
+@query(f"""WITH RECURSIVE sinks AS (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SINKS["c"])})), clean AS (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.SANITIZERS["c"])})),
+    e AS (SELECT DISTINCT src, dst, dst IN (SELECT id FROM sinks) AS ends FROM {{ddg}}),
+    w AS (SELECT id AS source, id AS node, [id] AS path, false AS ends FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SOURCES["c"])})
+      UNION ALL SELECT w.source, e.dst, list_append(w.path, e.dst), e.ends FROM w JOIN e ON w.node = e.src
+        WHERE NOT w.ends AND len(w.path) <= 8 AND NOT list_contains(w.path, e.dst) AND (e.ends OR e.dst NOT IN (SELECT id FROM clean)))
+    SELECT source, node AS sink, CAST(len(path) AS INT) AS length, array_to_string(path, '>') AS path FROM w WHERE ends""")
+def taint_flows_between(g):
+    return iterate.flows_between(g, _calls_of(g, dicts.TAINT_SOURCES["c"]), _calls_of(g, dicts.TAINT_SINKS["c"]), sanitizers=_calls_of(g, dicts.SANITIZERS["c"]))
+
+
+@query("""WITH cs AS (SELECT callee_id FROM {call} WHERE callee_id IS NOT NULL UNION SELECT m.id FROM {call} c JOIN {method} m ON m.name = c.name WHERE c.dispatch_type = 'DYNAMIC_DISPATCH'),
+    x AS (SELECT call_id AS site, method_id AS at_method, line, ltrim(code, '&') AS name FROM {argument} WHERE kind <> 'LITERAL' UNION SELECT id, method_id, line, ltrim(source, '&') FROM {assignment})
+    SELECT DISTINCT m.id AS method_id, m.name, site, at_method, x.line FROM {method} m JOIN x ON x.name = m.name WHERE NOT m.is_external AND m.id NOT IN (SELECT callee_id FROM cs)""")
+def address_taken(g):
+    return iterate.address_taken(g, limit=None)
+
+
 # --- detectors
 
 _CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.method_id AND z.target = x.ptr AND (z.line > x.a AND z.line < x.b OR x.a = x.b AND z.line = x.a))
