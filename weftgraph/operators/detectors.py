@@ -16,6 +16,7 @@ from pyspark.sql.window import Window as W
 from ..functions import dicts
 from ..functions import predicates as P
 from ..graph import Graph
+from .iterate import cut, passed
 
 DETECTORS: dict[str, tuple[str, Callable[..., DataFrame]]] = {}
 
@@ -65,11 +66,14 @@ def without_return(g: Graph, pairs: DataFrame) -> DataFrame:
 
 
 def null_checks(g: Graph) -> DataFrame:
-    """(method_id, ptr, line) of IF conditions that compare a name with null or test it alone or negated."""
-    c = g.control.where("type = 'IF'").select("method_id", "line", F.trim("condition").alias("c"))
+    """(method_id, ptr, line) of IF conditions that compare a name with null or test it alone or negated, also inside and / or."""
+    c = F.regexp_replace("condition", _NULL, "NULL")
+    parts = g.control.where("type = 'IF'").select("method_id", "line", F.explode(F.split(c, r"&&|\|\|")).alias("c"))
+    parts = parts.withColumn("c", F.regexp_replace("c", r"\A[(\s]+|[)\s]+\z", ""))
     name = r"([A-Za-z_]\w*)"
-    ptr = F.coalesce(*(F.when(P.full_match(F.col("c"), p), F.regexp_extract("c", rf"\A{p}\z", 1)) for p in (rf"{name}\s*[!=]=\s*(?:NULL|0|nullptr)", rf"!\s*{name}", name)))
-    return c.select("method_id", ptr.alias("ptr"), "line").where("ptr IS NOT NULL").distinct()
+    shapes = (rf"{name}\s*[!=]=\s*(?:NULL|0)", rf"(?:NULL|0)\s*[!=]=\s*{name}", rf"!\s*\(?{name}", name)
+    ptr = F.coalesce(*(F.when(P.full_match(F.col("c"), p), F.regexp_extract("c", rf"\A{p}\z", 1)) for p in shapes))
+    return parts.select("method_id", ptr.alias("ptr"), "line").where("ptr IS NOT NULL").distinct()
 
 
 def allocations(g: Graph, names: list[str]) -> DataFrame:
@@ -87,25 +91,32 @@ def free_sites(g: Graph) -> DataFrame:
     return f.withColumn("r", F.row_number().over(W.partitionBy("method_id", "ptr").orderBy("line", "id"))).where("r = 1").select("id", "method_id", "line", "ptr")
 
 
-def later_uses(g: Graph, sites: DataFrame, use: Callable[[Column, Column], Column] = P.pointer_use, same_line: bool = False) -> DataFrame:
-    """Calls after a site (by line, within a line by id if asked) with an argument that uses its pointer: site, method_id, ptr, a, b, call_id."""
+def later_uses(g: Graph, sites: DataFrame, same_line: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Calls after a site (by line, where ``same_line`` holds within a line by id) with an argument that uses its pointer: site, method_id, ptr, a, b, call_id."""
     a = g.argument.select(F.col("method_id").alias("m"), "call_id", "code", F.col("line").alias("b"))
-    s = sites.select(F.col("id").alias("site"), "method_id", "ptr", F.col("line").alias("a"))
+    s = sites.select(F.col("id").alias("site"), "method_id", "ptr", F.col("line").alias("a"), *keep)
     later = F.col("b") > F.col("a")
-    if same_line:
-        later = later | (F.col("b") == F.col("a")) & (F.col("call_id") > F.col("site"))
-    return s.join(a, (F.col("method_id") == F.col("m")) & later & use(F.col("code"), F.col("ptr"))).select("site", "method_id", "ptr", "a", "b", "call_id").distinct()
+    if same_line is not None:
+        later = later | (F.col("b") == F.col("a")) & (F.col("call_id") > F.col("site")) & same_line
+    return s.join(a, (F.col("method_id") == F.col("m")) & later & P.pointer_use(F.col("code"), F.col("ptr"))).select("site", "method_id", "ptr", "a", "b", "call_id", *keep).distinct()
 
 
 @detector("use_after_free", "CWE-416")
 def use_after_free(g: Graph) -> DataFrame:
-    """Uses of a freed pointer, or of an alias taken before the free: (site, method_id, line, ptr, via, uses)."""
+    """Uses of a freed pointer, or of an alias taken before the free or after it: (site, method_id, line, ptr, via, uses).
+
+    An alias taken after the free counts from its own line on; ``line`` is then that line.
+    """
     frees = g.call.where(P.any_of(F.col("name"), ["free", "cfree"])).select(F.col("id").alias("call_id"))
-    sites = free_sites(g)
-    alias = g.assignment.select("method_id", F.col("line").alias("at"), "target", "source")
-    aliases = sites.join(alias, "method_id").where((F.col("at") < F.col("line")) & ((F.col("source") == F.col("ptr")) | (F.col("source") == F.concat(F.lit("&"), "ptr"))) & P.trackable(F.col("target")) & (F.col("target") != F.col("ptr")))
-    aliases = aliases.select("id", "method_id", "line", F.col("target").alias("ptr")).distinct()
-    uses = later_uses(g, sites, same_line=True).withColumn("via", F.lit("direct")).unionByName(later_uses(g, aliases, same_line=True).withColumn("via", F.lit("alias")))
+    sites = cut(free_sites(g))
+    copies = g.assignment.where(P.trackable(F.col("target"))).select("method_id", F.col("line").alias("at"), F.col("target").alias("other"), "source")
+    met = sites.join(copies, "method_id").where("other <> ptr AND (source = ptr OR source = concat('&', ptr) AND at < line)")
+    aliases = met.where("at < line").select("id", "method_id", "line", F.col("other").alias("ptr")).distinct()
+    after = aliases.join(copies, "method_id").where("other <> ptr AND source = ptr AND at > line").select("id", "method_id", F.col("line").alias("a"), "ptr", F.col("at").alias("b"), "other")
+    after = after.unionByName(met.where("at > line").select("id", "method_id", F.col("line").alias("a"), "ptr", F.col("at").alias("b"), "other"))
+    taken = without_return(g, without_reassignment(g, after)).select("id", "method_id", F.col("b").alias("line"), F.col("other").alias("ptr")).distinct()
+    names = sites.withColumn("via", F.lit("direct")).unionByName(aliases.withColumn("via", F.lit("alias"))).unionByName(taken.withColumn("via", F.lit("post-free-alias")))
+    uses = later_uses(g, names, F.col("via") != "post-free-alias", ("via",))
     uses = uses.join(frees, "call_id", "left_anti")
     uses = without_exclusive(g, without_return(g, without_reassignment(g, uses)))
     return uses.groupBy("site", "method_id", "ptr", "via", F.col("a").alias("line")).agg(F.countDistinct("b").alias("uses"), F.min("b").alias("first_use"))
@@ -188,6 +199,9 @@ def format_string(g: Graph) -> DataFrame:
     return hit.select("id", "name", "file", "line", "format", F.when(F.col("from").isNotNull(), "HIGH").otherwise("MEDIUM").alias("confidence"))
 
 
+# Spellings of the null constant.
+_NULL = r"(?:<unknown>\s*)?(?:\(?\(void ?\*\)0\)?|\bnullptr\b|\bNULL\b)"
+
 #: Two factors of which the second is a name.
 _PRODUCT = r"(\w+)\s*\*\s*([A-Za-z_]\w*)"
 
@@ -294,3 +308,66 @@ def index_arithmetic(g: Graph) -> DataFrame:
     c = g.control.where(F.col("condition").rlike("[<>]")).select(F.col("method_id").alias("m"), F.col("line").alias("at"), "condition")
     bound = (F.col("method_id") == F.col("m")) & (F.col("at") <= F.col("line")) & F.concat(F.lit(" "), "condition", F.lit(" ")).contains(F.concat(F.lit(" "), "index", F.lit(" ")))
     return index.join(c, bound, "left_anti")
+
+
+def _handed_on(g: Graph, sites: DataFrame) -> DataFrame:
+    """Sites (site, method_id, ptr, a) whose pointer is later passed to a method: with b, callee_id, param.
+
+    The three filters inside the caller hold here, too.
+    """
+    p = passed(g).where("kind <> 'LITERAL'").select("method_id", F.trim("code").alias("ptr"), F.col("line").alias("b"), "callee_id", "param")
+    hit = sites.join(p, ["method_id", "ptr"]).where("b > a AND callee_id <> method_id")
+    return without_exclusive(g, without_return(g, without_reassignment(g, hit)))
+
+
+def _used_inside(g: Graph, handed: DataFrame, exempt: list[str]) -> DataFrame:
+    """Handed-on pointers with each use of the parameter in the method called: use_line, call_id."""
+    a = g.argument.select(F.col("method_id").alias("callee_id"), "call_id", "code", F.col("line").alias("use_line"))
+    hit = handed.join(a, "callee_id").where(P.pointer_use(F.col("code"), F.col("param")))
+    return hit.join(g.call.where(P.any_of(F.col("name"), exempt)).select(F.col("id").alias("call_id")), "call_id", "left_anti")
+
+
+@detector("use_after_free_between_functions", "CWE-416")
+def use_after_free_between(g: Graph) -> DataFrame:
+    """A freed pointer passed to a method that uses the parameter at that place: (site, method_id, ptr, line, callee_id, use_line)."""
+    sites = free_sites(g).select(F.col("id").alias("site"), "method_id", "ptr", F.col("line").alias("a"))
+    hit = _used_inside(g, _handed_on(g, sites), ["free", "cfree"])
+    return hit.select("site", "method_id", "ptr", F.col("a").alias("line"), "callee_id", "use_line").distinct()
+
+
+@detector("null_deref_between_functions", "CWE-476")
+def null_deref_between(g: Graph) -> DataFrame:
+    """An allocator's result passed on unchecked to a method that uses the parameter without a check before."""
+    sites = allocations(g, dicts.ALLOCATORS).select(F.col("id").alias("site"), "method_id", "ptr", F.col("line").alias("a"))
+    checks = null_checks(g)
+    here = checks.select("method_id", "ptr", F.col("line").alias("at"))
+    there = checks.select(F.col("method_id").alias("callee_id"), F.col("ptr").alias("param"), F.col("line").alias("at"))
+    handed = _handed_on(g, sites).alias("h")
+    handed = handed.join(here.alias("n"), F.expr("h.method_id = n.method_id AND h.ptr = n.ptr AND n.at > h.a AND n.at <= h.b"), "left_anti")
+    hit = _used_inside(g, handed, dicts.DEREF_EXEMPT).alias("h")
+    hit = hit.join(there.alias("n"), F.expr("h.callee_id = n.callee_id AND h.param = n.param AND n.at <= h.use_line"), "left_anti")
+    return hit.select("site", "method_id", "ptr", F.col("a").alias("line"), "callee_id", "use_line").distinct()
+
+
+@detector("integer_overflow_between_functions", "CWE-190")
+def integer_overflow_between(g: Graph) -> DataFrame:
+    """A product, or a name last assigned one, passed to a method that allocates by the parameter: (id, method_id, line, arithmetic, callee_id, allocation)."""
+    calls = g.call.where(P.any_of(F.col("name"), list(dicts.SIZE_ARGUMENT))).select(F.col("id").alias("allocation"), F.col("method_id").alias("callee_id"), _number(dicts.SIZE_ARGUMENT)[F.col("name")].alias("arg_index"))
+    size = g.argument.where("kind = 'IDENTIFIER'").select(F.col("call_id").alias("allocation"), "arg_index", F.trim("code").alias("param"))
+    by = calls.join(size, ["allocation", "arg_index"]).select("allocation", "callee_id", "param")
+    into = passed(g).where("callee_id <> method_id").join(by, ["callee_id", "param"]).select(F.col("call_id").alias("id"), "method_id", "line", F.trim("code").alias("code"), "kind", "callee_id", "allocation")
+    direct = into.where("kind <> 'IDENTIFIER'").select("id", "method_id", "line", F.col("code").alias("arithmetic"), "callee_id", "allocation")
+    a = g.assignment.select("method_id", F.col("target").alias("code"), F.col("line").alias("at"), F.col("id").alias("assign_id"), "source")
+    before = into.where("kind = 'IDENTIFIER'").join(a, ["method_id", "code"]).where("at < line")
+    last = before.groupBy("id", "method_id", "line", "callee_id", "allocation", "code").agg(F.max(F.struct("at", "assign_id", "source")).alias("x"))
+    both = direct.unionByName(last.select("id", "method_id", "line", F.col("x.source").alias("arithmetic"), "callee_id", "allocation"))
+    return without_overflow_guard(g, both).distinct()
+
+
+def worst_first(findings: DataFrame, order: list[str], limit: int | None = None) -> DataFrame:
+    """Findings numbered HIGH first, then by ``order`` (which ends in a unique column): column issue."""
+    rank = F.when(F.col("confidence") == "HIGH", 0).otherwise(1)
+    place = [rank, *map(F.col, order)]
+    if limit:
+        findings = findings.orderBy(*place).limit(limit)
+    return findings.withColumn("issue", F.row_number().over(W.orderBy(*place)))

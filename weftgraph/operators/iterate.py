@@ -243,7 +243,7 @@ def flows_between(g: Graph, sources: DataFrame, sinks: DataFrame, depth: int = 8
 
 def with_entry(g: Graph, findings: DataFrame, inputs: list[str], depth: int = 9) -> DataFrame:
     """Findings (column method_id) with the entry that reaches their method, and HIGH confidence if there is one, else MEDIUM."""
-    found = findings.join(entry_points(g, inputs, depth), "method_id", "left")
+    found = findings.join(cut(entry_points(g, inputs, depth)), "method_id", "left")
     return found.withColumn("confidence", F.when(F.col("entry").isNotNull(), "HIGH").otherwise("MEDIUM"))
 
 

@@ -354,6 +354,7 @@ _CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.met
     WHERE p.method_id = x.method_id AND x.a BETWEEN p.line AND p.line_end AND x.b BETWEEN q.line AND q.line_end)""".replace("{{", "{").replace("}}", "}")
 _RETURN = """ AND NOT EXISTS (SELECT 1 FROM {ret} r WHERE r.method_id = x.method_id AND r.line > x.a AND r.line < x.b
     AND NOT EXISTS (SELECT 1 FROM {control} c WHERE c.method_id = r.method_id AND r.line BETWEEN c.line AND c.line_end))"""
+_CLEAR_ONE = _CLEAR[: _CLEAR.index("AND NOT EXISTS (SELECT 1 FROM {branch}")]
 _ARG = "SELECT c.id, c.method_id, c.name, c.line, c.file, trim(a.code) AS arg, a.kind, a.decl_id FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.arg_index = {i} WHERE c.name IN ({names})"
 _FREES = _ARG.format(i=1, names="'free', 'cfree'") + " AND NOT contains(trim(a.code), '(') AND NOT contains(trim(a.code), '[') AND length(trim(a.code)) < 50"
 _USE = "(g.code = s.ptr OR starts_with(g.code, s.ptr || '->') OR starts_with(g.code, s.ptr || '[') OR starts_with(g.code, '*' || s.ptr))"
@@ -364,7 +365,10 @@ _USE = "(g.code = s.ptr OR starts_with(g.code, s.ptr || '->') OR starts_with(g.c
     al AS (SELECT DISTINCT s.id, s.method_id, s.line, z.target AS ptr FROM site s JOIN {{assignment}} z ON z.method_id = s.method_id AND z.line < s.line
       AND (z.source = s.ptr OR z.source = '&' || s.ptr) AND z.target <> s.ptr AND NOT contains(z.target, '(') AND NOT contains(z.target, '[')),
     s AS (SELECT *, 'direct' AS via FROM site UNION ALL SELECT *, 'alias' FROM al),
-    x AS (SELECT DISTINCT s.id AS site, s.method_id, s.ptr, s.line AS a, g.line AS b, g.call_id, s.via FROM s JOIN {{argument}} g ON g.method_id = s.method_id AND (g.line > s.line OR g.line = s.line AND g.call_id > s.id) AND {_USE}
+    late AS (SELECT DISTINCT x.site AS id, x.method_id, x.b AS line, x.target AS ptr FROM (SELECT s.id AS site, s.method_id, s.ptr, s.line AS a, z.line AS b, z.target FROM s JOIN {{assignment}} z ON z.method_id = s.method_id AND z.line > s.line
+      AND z.source = s.ptr AND z.target <> s.ptr AND NOT contains(z.target, '(') AND NOT contains(z.target, '[') AND length(z.target) < 50) x WHERE {_CLEAR_ONE}{_RETURN}),
+    x AS (SELECT DISTINCT s.id AS site, s.method_id, s.ptr, s.line AS a, g.line AS b, g.call_id, s.via FROM (SELECT * FROM s UNION ALL SELECT *, 'post-free-alias' FROM late) s
+        JOIN {{argument}} g ON g.method_id = s.method_id AND (g.line > s.line OR g.line = s.line AND g.call_id > s.id AND s.via <> 'post-free-alias') AND {_USE}
       WHERE g.call_id NOT IN (SELECT id FROM {{call}} WHERE name IN ('free', 'cfree')))
     SELECT site, method_id, ptr, via, a AS line, count(DISTINCT b) AS uses, min(b) AS first_use FROM x WHERE {_CLEAR}{_RETURN} GROUP BY site, method_id, ptr, via, a""")
 def use_after_free(g):
@@ -385,9 +389,10 @@ def double_free(g):
 _ALLOC = """SELECT id, method_id, line, name, ptr FROM (SELECT c.id, c.method_id, c.line, c.name, z.target AS ptr, row_number() OVER (PARTITION BY c.id ORDER BY z.id) AS r
       FROM {{call}} c JOIN {{assignment}} z ON z.method_id = c.method_id AND z.line = c.line AND contains(z.source, c.name || '(') WHERE c.name IN ({names})) y
       WHERE r = 1 AND NOT contains(ptr, '(') AND NOT contains(ptr, '[') AND NOT starts_with(ptr, '*') AND NOT starts_with(ptr, '&')"""
-_NULLS = r"""SELECT DISTINCT method_id, line, CASE WHEN regexp_full_match(c, '[A-Za-z_]\w*\s*[!=]=\s*(NULL|0|nullptr)') THEN regexp_extract(c, '^([A-Za-z_]\w*)', 1)
-      WHEN regexp_full_match(c, '!\s*[A-Za-z_]\w*') THEN regexp_extract(c, '^!\s*([A-Za-z_]\w*)', 1) WHEN regexp_full_match(c, '[A-Za-z_]\w*') THEN c END AS ptr
-      FROM (SELECT method_id, line, trim(condition) AS c FROM {control} WHERE type = 'IF')"""
+_NULLS = r"""SELECT DISTINCT method_id, line, CASE WHEN regexp_full_match(c, '[A-Za-z_]\w*\s*[!=]=\s*(NULL|0)') THEN regexp_extract(c, '^([A-Za-z_]\w*)', 1)
+      WHEN regexp_full_match(c, '(NULL|0)\s*[!=]=\s*[A-Za-z_]\w*') THEN regexp_extract(c, '([A-Za-z_]\w*)$', 1)
+      WHEN regexp_full_match(c, '!\s*\(?[A-Za-z_]\w*') THEN regexp_extract(c, '([A-Za-z_]\w*)$', 1) WHEN regexp_full_match(c, '[A-Za-z_]\w*') THEN c END AS ptr
+      FROM (SELECT method_id, line, trim(unnest(string_split_regex(replace(condition, 'nullptr', 'NULL'), '&&|\|\|'))) AS c FROM {control} WHERE type = 'IF')"""
 
 
 @query(_NULLS.replace("SELECT DISTINCT", "SELECT * FROM (SELECT DISTINCT") + ") WHERE ptr IS NOT NULL")
@@ -508,6 +513,47 @@ def early_return(g):
     return detectors.plain_returns(g)
 
 
+_HANDED = f"""h AS (SELECT x.* FROM (SELECT s.site, s.method_id, s.ptr, s.a, ps.line AS b, ps.callee_id, ps.param FROM site s JOIN ps ON ps.method_id = s.method_id AND trim(ps.code) = s.ptr AND ps.kind <> 'LITERAL'
+      WHERE ps.line > s.a AND ps.callee_id <> s.method_id) x WHERE {_CLEAR}{_RETURN})"""
+_INSIDE = "(g.code = h.param OR starts_with(g.code, h.param || '->') OR starts_with(g.code, h.param || '[') OR starts_with(g.code, '*' || h.param))"
+
+
+@query(f"""WITH {_CALLEES}, f AS ({_FREES}), site AS (SELECT id AS site, method_id, line AS a, arg AS ptr FROM (SELECT *, row_number() OVER (PARTITION BY method_id, arg ORDER BY line, id) AS r FROM f) y WHERE r = 1), {_HANDED}
+    SELECT DISTINCT h.site, h.method_id, h.ptr, h.a AS line, h.callee_id, g.line AS use_line FROM h JOIN {{argument}} g ON g.method_id = h.callee_id AND {_INSIDE} WHERE g.call_id NOT IN (SELECT id FROM {{call}} WHERE name IN ('free', 'cfree'))""")
+def use_after_free_interproc(g):
+    return detectors.use_after_free_between(g)
+
+
+@query(f"""WITH {_CALLEES}, al AS ({_ALLOC.format(names=quoted(dicts.ALLOCATORS))}), site AS (SELECT id AS site, method_id, line AS a, ptr FROM al), n AS ({_NULLS}), {_HANDED}
+    SELECT DISTINCT h.site, h.method_id, h.ptr, h.a AS line, h.callee_id, g.line AS use_line FROM h JOIN {{argument}} g ON g.method_id = h.callee_id AND {_INSIDE}
+    WHERE g.call_id NOT IN (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.DEREF_EXEMPT)})) AND NOT EXISTS (SELECT 1 FROM n WHERE n.method_id = h.method_id AND n.ptr = h.ptr AND n.line > h.a AND n.line <= h.b)
+      AND NOT EXISTS (SELECT 1 FROM n WHERE n.method_id = h.callee_id AND n.ptr = h.param AND n.line <= g.line)""")
+def null_deref_interproc(g):
+    return detectors.null_deref_between(g)
+
+
+@query(f"""WITH {_CALLEES}, al AS (SELECT c.id AS allocation, c.method_id AS callee_id, trim(a.code) AS param FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.kind = 'IDENTIFIER' AND a.arg_index = {_case(dicts.SIZE_ARGUMENT)}),
+    i AS (SELECT ps.call_id AS id, ps.method_id, ps.line, trim(ps.code) AS code, ps.kind, ps.callee_id, al.allocation FROM ps JOIN al ON al.callee_id = ps.callee_id AND al.param = ps.param WHERE ps.callee_id <> ps.method_id),
+    l AS (SELECT id, method_id, line, code AS arithmetic, callee_id, allocation FROM i WHERE kind <> 'IDENTIFIER'
+      UNION SELECT id, method_id, line, source, callee_id, allocation FROM (SELECT i.*, s.source, row_number() OVER (PARTITION BY i.id, i.callee_id, i.allocation, i.code ORDER BY s.line DESC, s.id DESC) AS r
+        FROM i JOIN {{assignment}} s ON s.method_id = i.method_id AND s.target = i.code AND s.line < i.line WHERE i.kind = 'IDENTIFIER') WHERE r = 1)
+    SELECT DISTINCT * FROM l WHERE regexp_matches(arithmetic, '{_FACTORS}') AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND regexp_matches(c.condition, '{_LIMITS}'))""")
+def int_overflow_interproc(g):
+    return detectors.integer_overflow_between(g)
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, w AS (
+      SELECT DISTINCT method_id, 0 AS hops, method_id AS entry FROM {{call}} WHERE name IN ({quoted(dicts.EXTERNAL_INPUTS)})
+      UNION SELECT e.dst, w.hops + 1, w.entry FROM w JOIN e ON w.method_id = e.src WHERE w.hops < 9),
+    p AS (SELECT method_id, hops, entry FROM (SELECT *, row_number() OVER (PARTITION BY method_id ORDER BY hops, entry) AS r FROM w) WHERE r = 1),
+    k AS (SELECT DISTINCT x.id, x.method_id, x.line FROM {{call}} x WHERE x.name IN ({quoted(dicts.COMMAND_SINKS["c"])}))
+    SELECT k.id, k.method_id, k.line, hops, entry, CASE WHEN entry IS NULL THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,
+      CAST(row_number() OVER (ORDER BY CASE WHEN entry IS NULL THEN 1 ELSE 0 END, k.line, k.id) AS INT) AS issue FROM k LEFT JOIN p ON p.method_id = k.method_id ORDER BY issue LIMIT 200""")
+def findings_with_entry(g):
+    sites = g.call.where(P.any_of(F.col("name"), dicts.COMMAND_SINKS["c"])).select("id", "method_id", "line")
+    return detectors.worst_first(iterate.with_entry(g, sites, dicts.EXTERNAL_INPUTS), ["line", "id"], limit=200)
+
+
 # --- scalar functions
 
 
