@@ -67,3 +67,14 @@ LANGUAGE_SIGNALS = {
     "swift": [(r"\bguard\b", 2), (r"\bimport\s+Swift", 3), (r"\bfunc\s+\w+\s*\(", 1), (r"\blet\s+\w+", 1), (r"\bvar\s+\w+\s*:", 1)],
     "rust": [(r"\bfn\s+\w+\s*\(", 2), (r"\blet\s+mut\b", 3), (r"\w+!\s*\(", 2), (r"\buse\s+std::", 3), (r"->\s*\w", 1), (r"\bimpl\b", 2), (r"#\[\w+", 2), (r"::\w", 1)],
 }
+
+
+def short_names(patterns: list[str]) -> list[str]:
+    """The last part of each dotted name, without an open bracket at its end; each once, in order."""
+    return list(dict.fromkeys(p.rstrip("(").rpartition(".")[2] for p in patterns))
+
+
+def names_for(language: str, default: dict[str, list[str]], configured: dict[str, list[str]] | None = None, given: list[str] | None = None) -> list[str]:
+    """The names to look for: the caller's, else the configuration's for the language, else the default ones (of C if the language has none)."""
+    chosen = given or (configured or {}).get(language.lower()) or default.get(language.lower()) or default["c"]
+    return short_names(chosen)

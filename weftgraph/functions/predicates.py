@@ -17,6 +17,20 @@ def full_match(column: Column, pattern: str) -> Column:
     return column.rlike(rf"\A(?:{pattern})\z")
 
 
+# The longest search pattern taken from a user, and a group with a quantifier or a choice inside that is repeated itself.
+LONGEST_PATTERN = 512
+_NESTED = r"\([^)]*(?:[+*]|\|)[^)]*\)\s*[+*]"
+
+
+def checked(pattern: str) -> str:
+    """A user's pattern as it is; an error if it is too long or may backtrack without end."""
+    if len(pattern) > LONGEST_PATTERN:
+        raise ValueError(f"pattern longer than {LONGEST_PATTERN} characters")
+    if re.search(_NESTED, pattern):
+        raise ValueError("pattern repeats a group that repeats or chooses inside")
+    return pattern
+
+
 def any_of(column: Column, names: list[str]) -> Column:
     return column.isin(*names)
 
@@ -148,5 +162,20 @@ def excluded(path: Column, patterns: list[str]) -> Column:
     return full_match(path, "|".join(f"(?:{p})" for p in patterns)) if patterns else F.lit(False)
 
 
+# Hosts from which source is taken.
+REPOSITORY_HOSTS = ["github.com", "www.github.com", "gitlab.com", "www.gitlab.com", "dev.azure.com"]
+
+
+def repository_url(url: Column) -> Column:
+    """A repository's address as https://host/path without .git; null if it is not of a known host, has blanks or control characters, or lacks owner and name."""
+    hosts = "|".join(map(re.escape, REPOSITORY_HOSTS))
+    host = F.regexp_extract(url, rf"\Ahttps://({hosts})/", 1)
+    path = F.regexp_replace(F.regexp_extract(url, rf"\Ahttps://(?:{hosts})/([^?#]*)", 1), r";[^/]*\z", "")
+    path = F.regexp_replace(path, r"\A/+|/+\z", "")
+    parts = F.size(F.filter(F.split(path, "/"), lambda x: x != ""))
+    clean = F.regexp_replace(path, r"\.git\z", "")
+    return F.when((host != "") & (parts >= 2) & ~url.rlike(r"[\x00-\x20\x7F\p{Z}]"), F.concat(F.lit("https://"), host, F.lit("/"), clean))
+
+
 def out_of_memory(exit_code: Column, log: Column) -> Column:
     return (exit_code == 137) | F.lower(log).rlike("outofmemory|out of memory|java heap space|gc overhead|cannot allocate memory|oom-?kill|killed")

@@ -36,6 +36,12 @@ class Graph:
         for name in TABLES:
             getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
+    def checked(self) -> Graph:
+        """The graph itself; an error if it holds no method of the user's."""
+        if self.method.where("NOT is_external").limit(1).isEmpty():
+            raise ValueError("the graph is empty: it has no method but external ones")
+        return self
+
     def views(self, prefix: str = "") -> None:
         """Register all tables as temporary views for SQL."""
         for name in TABLES:

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions import predicates as P
 from ..graph import Graph
+from .iterate import cut, identifiers
 
 
 def list_methods(g: Graph, name: str | None = None, file: str | None = None, callee: str | None = None, external: bool = False, limit: int | None = 1000) -> DataFrame:
@@ -19,11 +20,11 @@ def list_methods(g: Graph, name: str | None = None, file: str | None = None, cal
     if not external:
         m = m.where(~F.col("is_external"))
     if name:
-        m = m.where(P.full_match(F.col("name"), name))
+        m = m.where(P.full_match(F.col("name"), P.checked(name)))
     if file:
-        m = m.where(P.full_match(F.col("file"), file))
+        m = m.where(P.full_match(F.col("file"), P.checked(file)))
     if callee:
-        m = m.join(g.call.where(P.full_match(F.col("name"), callee)).select(F.col("method_id").alias("id")), "id", "left_semi")
+        m = m.join(g.call.where(P.full_match(F.col("name"), P.checked(callee))).select(F.col("method_id").alias("id")), "id", "left_semi")
     if limit:
         m = m.orderBy("id").limit(min(limit, 10_000))
     controls = g.control.groupBy(F.col("method_id").alias("id")).agg(F.count("*").alias("n"))
@@ -34,32 +35,32 @@ def list_methods(g: Graph, name: str | None = None, file: str | None = None, cal
 
 
 def list_calls(g: Graph, caller: str | None = None, callee: str | None = None, limit: int | None = 1000) -> DataFrame:
-    c = g.call.where(P.full_match(F.col("name"), callee)) if callee else g.call
+    c = g.call.where(P.full_match(F.col("name"), P.checked(callee))) if callee else g.call
     m = g.method.select(F.col("id").alias("method_id"), F.col("name").alias("caller"))
-    out = c.join(m.where(P.full_match(F.col("caller"), caller)) if caller else m, "method_id").select("caller", F.col("name").alias("callee"), "code", "file", "line").distinct()
+    out = c.join(m.where(P.full_match(F.col("caller"), P.checked(caller))) if caller else m, "method_id").select("caller", F.col("name").alias("callee"), "code", "file", "line").distinct()
     return out.orderBy("caller", "callee", "code", "file", "line").limit(min(limit, 10_000)) if limit else out
 
 
 def list_parameters(g: Graph, name: str | None = None) -> DataFrame:
     """One row per method; parameters as "type name, ..." in order, empty where there are none."""
     own = g.parameter.groupBy("method_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", F.concat_ws(" ", "type_full_name", "name").alias("p")))), lambda x: x.p), ", ").alias("parameters"))
-    m = g.method.where(P.full_match(F.col("name"), name)) if name else g.method
+    m = g.method.where(P.full_match(F.col("name"), P.checked(name))) if name else g.method
     return m.join(own, m.id == own.method_id, "left").select("id", "name", F.coalesce("parameters", F.lit("")).alias("parameters"))
 
 
 def find_literals(g: Graph, pattern: str | None = None, literal_type: str | None = None, limit: int | None = 50) -> DataFrame:
     out = g.literal
     if pattern:
-        out = out.where(P.full_match(F.col("code"), pattern))
+        out = out.where(P.full_match(F.col("code"), P.checked(pattern)))
     if literal_type:
-        out = out.where(P.full_match(F.col("type_full_name"), literal_type))
+        out = out.where(P.full_match(F.col("type_full_name"), P.checked(literal_type)))
     out = out.select("id", "code", "type_full_name", "file", "line")
     return out.orderBy("id").limit(limit) if limit else out
 
 
 def type_definition(g: Graph, name: str, limit: int = 10) -> DataFrame:
     """Types with members; at most 20 members each."""
-    types = g.type_decl.where(P.full_match(F.col("name"), name)).join(g.member.select(F.col("type_id").alias("id")), "id", "left_semi").orderBy("id").limit(limit)
+    types = g.type_decl.where(P.full_match(F.col("name"), P.checked(name))).join(g.member.select(F.col("type_id").alias("id")), "id", "left_semi").orderBy("id").limit(limit)
     members = g.member.join(types.select(F.col("id").alias("type_id")), "type_id", "left_semi")
     listed = members.groupBy("type_id").agg(F.array_join(F.slice(F.transform(F.sort_array(F.collect_list(F.struct("ord", "name", "type_full_name"))), lambda x: F.concat_ws(" ", x.type_full_name, x["name"])), 1, 20), "; ").alias("members"))
     return types.join(listed, types.id == listed.type_id).select("id", "name", "full_name", "file", "line", "members")
@@ -118,7 +119,7 @@ def callers_of(g: Graph) -> DataFrame:
 
 def macro_calls(g: Graph, name: str, limit: int | None = 50) -> DataFrame:
     """Calls of a name with code and dispatch, as after macro expansion."""
-    out = g.call.where(P.full_match(F.col("name"), name)).select("id", "name", "code", "dispatch_type", "file", F.coalesce("line", F.lit(-1)).alias("line"))
+    out = g.call.where(P.full_match(F.col("name"), P.checked(name))).select("id", "name", "code", "dispatch_type", "file", F.coalesce("line", F.lit(-1)).alias("line"))
     return out.orderBy("id").limit(limit) if limit else out
 
 
@@ -137,6 +138,29 @@ def variable_flow(g: Graph, method_id: int, variable: str, line: int, limit: int
     return out.where(F.col("line") <= line).distinct().orderBy("line", "kind", "code").limit(limit)
 
 
+def variable_flow_forward(g: Graph, seeds: DataFrame, depth: int = 4) -> DataFrame:
+    """Where a variable goes from a line on: usage in a call, propagation to another variable, whose way is then followed: method_id, var, line, kind, code.
+
+    ``seeds``: method_id, var, line.  Names that hold the variable's address are followed with it.
+    """
+    sets = cut(g.assignment.select("method_id", F.col("line").alias("at"), F.col("target").alias("other"), "source", F.explode(identifiers(F.col("source"))).alias("var")).distinct())
+    seeds = seeds.select("method_id", "var", "line").distinct()
+    address = seeds.join(sets, ["method_id", "var"]).where(F.col("source").contains(F.concat(F.lit("&"), "var"))).select("method_id", F.col("other").alias("var"), "line")
+    front = seen = cut(seeds.unionByName(address).distinct())
+    for _ in range(depth):
+        step = front.join(sets, ["method_id", "var"]).where("at >= line AND other <> var").select("method_id", F.col("other").alias("var"), F.col("at").alias("line")).distinct()
+        front = cut(step.join(seen, ["method_id", "var", "line"], "left_anti"))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    # the earliest line of a variable has all that later ones have
+    first = seen.groupBy("method_id", "var").agg(F.min("line").alias("line"))
+    moved = first.join(sets, ["method_id", "var"]).where("at >= line").select("method_id", "var", F.col("at").alias("line"), F.lit("propagation").alias("kind"), F.concat_ws(" = ", "other", "source").alias("code"))
+    c = g.call.where(~F.col("name").startswith("<operator>")).select(F.col("id").alias("call_id"), "method_id", F.col("line").alias("at"), F.col("code").alias("whole"))
+    used = first.join(c.join(g.argument.select("call_id", F.col("code").alias("arg")), "call_id"), "method_id").where((F.col("at") >= F.col("line")) & P.mentions(F.col("arg"), F.col("var")))
+    return moved.unionByName(used.select("method_id", "var", F.col("at").alias("line"), F.lit("usage").alias("kind"), F.col("whole").alias("code"))).distinct()
+
+
 def page(rows: DataFrame, order: list[str], number: int = 1, size: int = 100, limit: int = 1000) -> DataFrame:
     """One page of the first ``limit`` rows in a total order, with total (after the limit), pages and whether more rows were cut off.
 

@@ -114,6 +114,13 @@ def versions_by_owner(versions: DataFrame, projects: DataFrame, owner: str) -> D
     return versions.join(mine, "project").select("project", "version", newest.alias("place"))
 
 
+def touched(codebases: DataFrame, asked: DataFrame, now: Column, every_seconds: int = 60) -> DataFrame:
+    """Codebases with last_accessed set to now for those asked for, but only if the old time is unknown or over ``every_seconds`` ago."""
+    hit = asked.select("codebase", F.lit(True).alias("asked")).distinct()
+    due = F.col("last_accessed").isNull() | (F.col("last_accessed") < now - F.make_dt_interval(secs=F.lit(every_seconds)))
+    return codebases.join(hit, "codebase", "left").withColumn("last_accessed", F.when(F.col("asked") & due, now).otherwise(F.col("last_accessed"))).drop("asked")
+
+
 def cache_expired(cache: DataFrame, now: Column, ttl_seconds: int = 300) -> DataFrame:
     return cache.where(F.col("created_at") < now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
 

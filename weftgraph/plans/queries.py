@@ -190,9 +190,10 @@ def call_path_exists(g):
     return iterate.call_path_exists(g, 7, 100)
 
 
-@query(_levels("src", "FROM {ddg} WHERE src < 200", 6, "e AS (SELECT src, dst FROM {ddg})") + " SELECT node, depth FROM seen")
+@query(_levels("src", "FROM {ddg} WHERE src NOT IN (SELECT dst FROM {ddg})", 6, "e AS (SELECT src, dst FROM {ddg})") + " SELECT node, depth FROM seen")
 def taint_reach(g):
-    return iterate.reach(g.ddg, g.ddg.where("src < 200").select(F.col("src").alias("node")), 6)
+    first = g.ddg.select(F.col("src").alias("node")).join(g.ddg.select(F.col("dst").alias("node")), "node", "left_anti")
+    return iterate.reach(g.ddg, first, 6)
 
 
 _PATHS = """WITH RECURSIVE w AS (
@@ -579,6 +580,17 @@ def redact_paths(g):
     return g._load("pages").select("page_id", P.redact_paths(F.col("url")).alias("redacted"))
 
 
+_HOSTED = """SELECT page_id, CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN replace(replace(url, 'http://', 'https://github.com/'), '?', '.git?') WHEN 2 THEN 'https://gitlab.com//' || substr(url, 9) || '/'
+    WHEN 3 THEN 'https://dev.azure.com/one' ELSE 'https://www.github.com/a b/' || substr(url, 9) END AS url FROM {pages}"""
+
+
+@query(rf"""WITH u AS ({_HOSTED}), p AS (SELECT page_id, url, regexp_extract(url, '^(https://(www\.github\.com|github\.com|www\.gitlab\.com|gitlab\.com|dev\.azure\.com))/', 1) AS base,
+      trim(regexp_replace(regexp_replace(url, '[?#].*', ''), '^https://[^/]*', ''), '/') AS path FROM u)
+    SELECT page_id, CASE WHEN base <> '' AND len(string_split_regex(path, '/+')) >= 2 AND NOT contains(url, ' ') THEN base || '/' || regexp_replace(path, '\.git$', '') END AS repository FROM p""")
+def repository_urls(g):
+    return _relation(g, _HOSTED).select("page_id", P.repository_url(F.col("url")).alias("repository"))
+
+
 @query("SELECT id, name, code, dispatch_type, file, line FROM {call} WHERE regexp_full_match(name, 'mem.*') ORDER BY id LIMIT 50")
 def macro_calls(g):
     return browse.macro_calls(g, "mem.*")
@@ -598,6 +610,21 @@ def variable_flow(g):
     return browse.variable_flow(g, 7, "v1", 310)
 
 
+_MENTIONED = "({0} = f.var OR starts_with({0}, f.var || '.') OR starts_with({0}, f.var || '[') OR starts_with({0}, f.var || '->') OR starts_with({0}, '*' || f.var) OR starts_with({0}, '&' || f.var))"
+
+
+@query(f"""
+    WITH RECURSIVE a AS (SELECT DISTINCT method_id, line, target, source, unnest({_NAMES_IN.format("source")}) AS var FROM {{assignment}}),
+    s AS (SELECT DISTINCT method_id, 'v1' AS var, line FROM {{control}} WHERE type = 'FOR'),
+    w AS (SELECT method_id, var, line, 0 AS depth FROM s UNION SELECT s.method_id, a.target, s.line, 0 FROM s JOIN a ON a.method_id = s.method_id AND a.var = s.var AND contains(a.source, '&' || s.var)
+      UNION SELECT w.method_id, a.target, a.line, w.depth + 1 FROM w JOIN a ON a.method_id = w.method_id AND a.var = w.var AND a.line >= w.line AND a.target <> w.var WHERE w.depth < 4),
+    f AS (SELECT DISTINCT method_id, var, line FROM w)
+    SELECT DISTINCT f.method_id, f.var, a.line, 'propagation' AS kind, a.target || ' = ' || a.source AS code FROM f JOIN a ON a.method_id = f.method_id AND a.var = f.var AND a.line >= f.line
+    UNION SELECT f.method_id, f.var, c.line, 'usage', c.code FROM f JOIN {{call}} c ON c.method_id = f.method_id AND c.line >= f.line AND NOT starts_with(c.name, '<operator>') JOIN {{argument}} g ON g.call_id = c.id AND {_MENTIONED.format("g.code")}""")
+def variable_flow_forward(g):
+    return browse.variable_flow_forward(g, _seeds(g))
+
+
 @query("""
     SELECT "use", name, line, assigned, source FROM (SELECT a.call_id * 4 + a.arg_index AS "use", a.code AS name, a.line, s.line AS assigned, s.source,
       row_number() OVER (PARTITION BY a.call_id, a.arg_index ORDER BY s.line DESC, s.id DESC) AS r
@@ -726,6 +753,14 @@ def versions_by_owner(g):
     return catalog.versions_by_owner(versions, g._load("customer").select(F.col("c_custkey").alias("project"), F.col("c_mktsegment").alias("owner")), "BUILDING")
 
 
+@query("""SELECT event_id AS codebase, CASE WHEN event_id % 2 = 0 AND ts < TIMESTAMP '2024-01-02 00:00:00' - INTERVAL 60 SECOND THEN 1 ELSE 0 END AS written FROM {events}""")
+def codebase_touch(g):
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    rows = g._load("events").select(F.col("event_id").alias("codebase"), F.col("ts").alias("last_accessed"))
+    new = catalog.touched(rows.withColumn("before", F.col("last_accessed")), rows.where("codebase % 2 = 0"), now)
+    return new.select("codebase", F.when(F.col("before") != F.col("last_accessed"), 1).otherwise(0).alias("written"))
+
+
 @query("SELECT event_id FROM {events} WHERE ts > TIMESTAMP '2024-01-02 00:00:00' - INTERVAL 300 SECOND AND length(props) <= 8")
 def cache_live(g):
     cache = g._load("events").select("event_id", F.col("ts").alias("created_at"), F.col("props").alias("output"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import full_match, glob_regex
@@ -64,3 +64,27 @@ def include_folders(listed: DataFrame, most: int = 24, depth: int = 5) -> DataFr
     likely = folder.rlike(r"(^|/)include$") | (name == "config.h") | name.rlike(r"version.*\.h$") | (folder == "")
     level = F.when(F.col("folder") == "", 0).otherwise(F.size(F.split("folder", "/")))
     return listed.where(likely).select(folder.alias("folder")).distinct().withColumn("level", level).where(F.col("level") <= depth).orderBy("level", "folder").limit(most)
+
+
+# Where a compile database usually lies, and folders in which it is not looked for.
+DATABASE_NAME = "compile_commands.json"
+BUILD_FOLDERS = ["", "build", "out", "_build", "cmake-build-debug", "cmake-build-release", "Debug", "Release", "bin"]
+UNSEARCHED_FOLDERS = [".git", ".svn", ".hg", "node_modules", ".cache"]
+
+
+def compile_database(listed: DataFrame, depth: int = 3) -> DataFrame:
+    """The path of the tree's compile database (no row if it has none): the largest, then the shallowest, then the first by name.
+
+    One in a usual build folder goes before others, which may lie less than ``depth`` + 1 folders deep.  ``listed``: path, size.
+    """
+    folders = F.filter(F.split(F.regexp_replace("path", r"/?[^/]*\z", ""), "/"), lambda x: x != "")
+    found = listed.where(F.regexp_extract("path", r"([^/]*)\z", 1) == DATABASE_NAME).select("path", "size", folders.alias("folders"))
+    usual = F.array_join("folders", "/").isin(*BUILD_FOLDERS)
+    near = (F.size("folders") <= depth) & ~F.arrays_overlap("folders", F.array(*map(F.lit, UNSEARCHED_FOLDERS)))
+    return found.where(usual | near).orderBy(usual.desc(), F.desc("size"), F.size("folders"), "path").limit(1).select("path")
+
+
+def rebased(path: Column, old: str, new: str) -> Column:
+    """Absolute paths at or below ``old`` as paths below ``new``; others unchanged."""
+    old, new = old.rstrip("/"), new.rstrip("/")
+    return F.when((path == old) | path.startswith(old + "/"), F.concat(F.lit(new), F.substring(path, len(old) + 1, 1_000_000))).otherwise(path)
