@@ -21,13 +21,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import give_back, slices, stored
 
 SCALE, LEAST_DOCUMENTS, RANKS = 1_000_000_000, 3, 200
 #: Leaves of a trie before it is handed on; leaves of merged tries read at once; counters worked on at once.
@@ -40,42 +41,50 @@ _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 
 class Trie:
-    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf {source: count} with the documents under None."""
+    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf {source: count} with the documents under None.
+
+    ``found`` has the leaves by term, so that a term walks down from the root once.
+    """
 
     def __init__(self):
         self.root: list = [b"", {}, None]
-        self.size = 0
+        self.found: dict[bytes, dict] = {}
 
     def leaf(self, term: bytes) -> dict:
         """The counters of a term, made if need be."""
-        node, at = self.root, 0
-        while at < len(term):
-            child = node[1].get(term[at])
+        leaf = self.found.get(term)
+        if leaf is None:
+            leaf = self.found[term] = self._node(term)[2] = {}
+        return leaf
+
+    def _node(self, term: bytes) -> list:
+        node, at, end = self.root, 0, len(term)
+        while at < end:
+            children = node[1]
+            first = term[at]
+            child = children.get(first)
             if child is None:
-                child = [term[at:], {}, None]
-                node[1][term[at]] = child
-                node = child
-                break
+                child = children[first] = [term[at:], {}, None]
+                return child
             label = child[0]
             if not term.startswith(label, at):
-                same = 0
-                rest = term[at : at + len(label)]
-                while same < len(rest) and rest[same] == label[same]:
+                same = 1
+                stop = min(len(label), end - at)
+                while same < stop and term[at + same] == label[same]:
                     same += 1
                 between = [label[:same], {label[same]: child}, None]
                 child[0] = label[same:]
-                node[1][term[at]] = between
-                child = between
+                children[first] = child = between
                 label = child[0]
-            node, at = child, at + len(label)
-        if node[2] is None:
-            node[2] = {}
-            self.size += 1
-        return node[2]
+            node = child
+            at += len(label)
+        return node
 
-    def add(self, term: bytes, source, count: int) -> None:
-        leaf = self.leaf(term)
-        leaf[source] = leaf.get(source, 0) + count
+    def add(self, counts: dict[bytes, int], source) -> None:
+        """Counts of terms in a source (None: documents)."""
+        for term, n in counts.items():
+            leaf = self.leaf(term)
+            leaf[source] = leaf.get(source, 0) + n
 
     def leaves(self) -> Iterator[tuple[bytes, dict]]:
         """(term, counters) in the order of bytes."""
@@ -93,20 +102,10 @@ _LEAF = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("documents", p
 
 
 def leaf_batches(rows: Iterator[tuple[str, bytes, dict]]) -> Iterator[pa.RecordBatch]:
-    held: list = []
-
-    def batch():
+    for held in batched(rows, 10_000):
         names = [sorted(s for s in leaf if s is not None) for _, _, leaf in held]
         columns = [[r[0] for r in held], [r[1] for r in held], [r[2][None] for r in held], names, [[r[2][s] for s in n] for r, n in zip(held, names, strict=True)]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LEAF, strict=True)], schema=_LEAF)
-
-    for row in rows:
-        held.append(row)
-        if len(held) == 10_000:
-            yield batch()
-            held = []
-    if held:
-        yield batch()
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LEAF, strict=True)], schema=_LEAF)
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -123,14 +122,10 @@ def counted(docs: DataFrame) -> DataFrame:
                 counts.setdefault((lang, source), Counter()).update(terms)
                 documents.setdefault(lang, Counter()).update(set(terms))
             for lang, seen in documents.items():
-                trie = tries.setdefault(lang, Trie())
-                for term, n in seen.items():
-                    trie.add(term, None, n)
+                tries.setdefault(lang, Trie()).add(seen, None)
             for (lang, source), seen in counts.items():
-                trie = tries[lang]
-                for term, n in seen.items():
-                    trie.add(term, source, n)
-            if sum(t.size for t in tries.values()) >= LEAVES:
+                tries[lang].add(seen, source)
+            if sum(len(t.found) for t in tries.values()) >= LEAVES:
                 yield from leaf_batches((lang, *x) for lang, t in tries.items() for x in t.leaves())
                 tries = {}
         yield from leaf_batches((lang, *x) for lang, t in tries.items() for x in t.leaves())
@@ -156,7 +151,7 @@ def merged(leaves: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
                         leaf[None] = leaf.get(None, 0) + n
                         for s, c in zip(sources, counts, strict=True):
                             leaf[s] = leaf.get(s, 0) + c
-                    if trie.size > HELD:
+                    if len(trie.found) > HELD:
                         found = list(trie.leaves())
                         yield from ((lang, *x) for x in found[:-1])
                         trie = Trie()
@@ -188,18 +183,16 @@ class Audit:
         self.absent = shares(np.zeros(len(names), np.int64), of)
         self.profiles: Counter = Counter()
         self.best: dict[int, list[tuple[int, bytes]]] = {}
-        self.rows = max(1, CELLS // max(1, len(names)))
-        self.sums: dict[int, np.ndarray] = {}  # by block of sources
+        self.block = max(1, CELLS // len(names))
+        # of all pairs, where they fit into one block
+        self.sums = np.zeros((len(names), len(names)), np.int64) if len(names) <= self.block else None
 
     def add(self, terms: list[bytes], sources: list[list[str]], counts: list[list[int]]) -> None:
         """Leaves in the order of bytes, after those that came before."""
         numbers = [tuple(map(self.number.__getitem__, s)) for s in sources]
         self.profiles.update(zip(numbers, map(tuple, counts), strict=True))
-        if len(self.profiles) > PROFILES:
-            self.work_off()
-        source = np.array([i for n in numbers for i in n], np.int64)
-        count = np.array([c for r in counts for c in r], np.int64)
-        row = np.repeat(np.arange(len(terms)), [len(n) for n in numbers])
+        source, row = _flat(numbers)
+        count, _ = _flat(counts)
         total = np.array([sum(r) for r in counts], np.int64)
         p = shares(count, self.of[source])
         q = shares(total, np.full(len(total), self.whole))[row]
@@ -207,35 +200,52 @@ class Audit:
         source, value, row = source[above], divergence(p[above], q[above]), row[above]
         order = np.lexsort((row, -value, source))
         source, value, row = source[order], value[order], row[order]
-        starts = np.flatnonzero(np.diff(source, prepend=-1))
-        for a, b in zip(starts, [*starts[1:], len(source)], strict=True):
+        starts = np.flatnonzero(np.diff(source, prepend=-1)).tolist()
+        for a, b in pairwise([*starts, len(source)]):
             new = [(int(v), terms[r]) for v, r in zip(value[a : min(b, a + RANKS)], row[a : min(b, a + RANKS)], strict=True)]
             known = self.best.get(int(source[a]), [])
             self.best[int(source[a])] = sorted(known + new, key=lambda x: -x[0])[:RANKS]  # stable: earlier terms first
 
-    def work_off(self) -> None:
-        """What terms add to the pairs of their sources, beyond a term that both lack."""
-        n = len(self.names)
-        for (numbers, counts), times in self.profiles.items():
-            p, z = self.absent.copy(), np.array(numbers, np.int64)
-            p[z] = shares(np.array(counts, np.int64), self.of[z])
-            lacking = np.ones(n, bool)
-            lacking[z] = False
-            for a in range(0, n, self.rows):
-                block = self.sums.setdefault(a, np.zeros((min(self.rows, n - a), n), np.int64))
-                inside = z[(z >= a) & (z < a + self.rows)]
-                block[inside - a] += times * (divergence(p[inside][:, None], p) - divergence(self.absent[inside][:, None], self.absent))
-                others = np.flatnonzero(lacking[a : a + self.rows])
-                mine = self.absent[others + a][:, None]
-                block[others[:, None], z] += times * (divergence(mine, p[z]) - divergence(mine, self.absent[z]))
+    def pairs(self, last: bool = True) -> Iterator[tuple[str, str, int]]:
+        """Partial sums of pairs; before the ``last`` call only those that cannot be kept."""
+        n, known = len(self.names), list(self.profiles.items())
         self.profiles.clear()
-
-    def pairs(self) -> Iterator[tuple[str, str, int]]:
-        self.work_off()
-        for a, block in self.sums.items():
-            for i, j in zip(*np.nonzero(block), strict=True):
-                if i + a != j:
-                    yield self.names[i + a], self.names[j], int(block[i, j])
+        for a in range(0, n, self.block):
+            sums = self.sums if self.sums is not None else np.zeros((min(self.block, n - a), n), np.int64)
+            at = 0
+            while at < len(known):
+                end, cells = at, 0
+                while end < len(known) and (end == at or cells < CELLS // 8):
+                    cells += len(known[end][0][0]) * n
+                    end += 1
+                self._correct(sums, a, known[at:end])
+                at = end
+            if last or self.sums is None:
+                for i, j in zip(*map(np.ndarray.tolist, np.nonzero(sums)), strict=True):
+                    if i + a != j:
+                        yield self.names[i + a], self.names[j], int(sums[i, j])
+
+    def _correct(self, sums: np.ndarray, first: int, known: list) -> None:
+        """What these leaves add to the pairs of sources from ``first``, beyond terms that both lack."""
+        source, row = _flat([z for (z, _), _ in known])
+        count, _ = _flat([c for (_, c), _ in known])
+        times = np.array([t for _, t in known], np.int64)[row][:, None]
+        present = shares(count, self.of[source])
+        p = np.tile(self.absent, (len(known), 1))
+        p[row, source] = present
+        lacks = np.ones(p.shape, bool)
+        lacks[row, source] = False
+        some = np.flatnonzero((source >= first) & (source < first + len(sums)))
+        mine = source[some]
+        np.add.at(sums, mine - first, times[some] * (divergence(present[some][:, None], p[row[some]]) - divergence(self.absent[mine][:, None], self.absent)))
+        absent = self.absent[first : first + len(sums)]
+        more = times * lacks[row, first : first + len(sums)] * (divergence(absent, present[:, None]) - divergence(absent, self.absent[source][:, None]))
+        np.add.at(sums.T, source, more)
+
+
+def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """All values, and the number of the list that each one is in."""
+    return np.array([x for r in lists for x in r], np.int64), np.repeat(np.arange(len(lists)), [len(r) for r in lists])
 
 
 _FOUND = "lang string, source string, part string, item string, value long"
@@ -244,16 +254,14 @@ _ARROW = pa.schema([(c, pa.string()) for c in ("lang", "source", "part", "item")
 
 def audited(kept: DataFrame, totals: DataFrame) -> DataFrame:
     """Partial pair sums and candidates of every task; ``totals``: one row for each language."""
-    from .common import give_back
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, audit = None, None
 
-        def out() -> Iterator[pa.RecordBatch]:
-            rows = [(lang, a, "pair", b, v) for a, b, v in audit.pairs()]
-            rows += [(lang, audit.names[i], "term", t.decode(), v) for i, best in audit.best.items() for v, t in best]
-            for at in range(0, len(rows), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + 20_000], strict=True), _ARROW, strict=True)], schema=_ARROW)
+        def out(last: bool = True) -> Iterator[pa.RecordBatch]:
+            pairs = ((lang, a, "pair", b, v) for a, b, v in audit.pairs(last))
+            terms = ((lang, audit.names[i], "term", t.decode(), v) for i, best in audit.best.items() for v, t in best) if last else ()
+            for rows in batched(chain(pairs, terms), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)], schema=_ARROW)
 
         for batch in batches:
             # runs of one language
@@ -272,6 +280,8 @@ def audited(kept: DataFrame, totals: DataFrame) -> DataFrame:
                 part = batch.slice(at, end - at)
                 audit.add(*(part[c].to_pylist() for c in ("term", "sources", "counts")))
                 at = end
+                if len(audit.profiles) > PROFILES:
+                    yield from out(last=False)
         if audit:
             yield from out()
         give_back()
@@ -296,7 +306,7 @@ def divergences(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = RANK
     The result has a row for each pair of sources of a language, so its groups are few beside
     the documents; the totals of a language travel as one row.
     """
-    kept = stored(merged(counted(docs), least))
+    kept = stored(merged(stored(counted(docs)), least))  # ranges are drawn from the stored leaves
     groups = stored(group_totals(docs, kept))
     totals = groups.where("v > 0").groupBy("lang", "lang_of").agg(F.sort_array(F.collect_list(F.struct("source", "of"))).alias("g"))
     totals = totals.select("lang", "lang_of", F.col("g.source").alias("groups"), F.col("g.of").alias("group_of"))
