@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -402,9 +403,32 @@ def test_many_languages_are_all_learned(spark):
     assert languages.accepted(docs).columns == docs.columns
 
 
-def test_language_kernel_is_the_dense_one():
-    import pyarrow as pa
+def test_no_language_is_lost_by_the_draw(spark):
+    """3,000 languages of 40 documents each: all are learned, and held-out texts are told apart."""
+    rng = random.Random(9)
+    words = [["".join(rng.choices(rng.sample("abcdefghijklmnopqrstuvwxyz", 6), k=5)) for _ in range(12)] for _ in range(3000)]
+    rows = [(i, " ".join(rng.choices(words[i // 40], k=30)), f"l{i // 40:04}") for i in range(120_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = languages.training_rows(docs).collect()
+    per = collections.Counter(r.lang for r in learned)
+    assert len(per) == 3000 and min(per.values()) >= languages.FEWEST and len(learned) < 5 * 3000
+    assert len({r.doc_id for r in learned}) == len(learned) and all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 for r in learned)
+    learned.sort(key=lambda r: r.doc_id)
+    model = languages.fit([r.text for r in learned], [r.lang for r in learned])
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2][::60]
+    names, _ = languages.predict(model, pa.array([r[1] for r in held]), pa.array([True] * len(held)))
+    assert sum(a == r[2] for a, r in zip(names, held, strict=True)) > 0.9 * len(held)
+
+
+def test_copies_of_one_id_and_long_texts_stay_out_of_the_draw(spark):
+    rows = [(i, "some words of a language " * 3, "en") for i in range(40)] + [(0, f"copy {k}", "en") for k in range(3000)]
+    rows += [(100 + i, "lange Worte " * 40_000 + str(i), "de") for i in range(9)] + [(200 + i, "very long " * 50_000, "en") for i in range(5)]
+    got = languages.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len({r.doc_id for r in got}) == len(got) and sum(r.lang == "de" for r in got) == languages.FEWEST
+    assert all(r.doc_id < 40 for r in got if r.lang == "en")
 
+
+def test_language_kernel_is_the_dense_one():
     texts = ["the cat sat on the mat", "le chat est sur le tapis", "", "a", "Größe der Katze", "the cat " * 300]
     raw = [t.encode().lower() for t in texts]
     sets = [{x[i : i + n] for n in (1, 2, 3) for i in range(len(x) - n + 1)} for x in raw]

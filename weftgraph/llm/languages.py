@@ -7,7 +7,7 @@ kernel ridge regression is fitted one language against the rest; a batch of text
 scored by two matrix products, its n-grams by those of the landmarks and the kernel by the weights.
 
 The fit reads at most about ``PER_LANGUAGE`` texts of each language, and about ``TEXTS`` of
-all, but ``FEWEST`` of each, taken by a hash of the id; scoring reads every whole text.
+all, but the ``FEWEST`` first by a hash of the id of each language, so that none is lost; scoring reads every whole text.
 The outputs of the ridge only rank languages (their sum is about constant), so a text is recognised by another
 figure: the share of its distinct letter trigrams that some learned text has.
 Cases: a text that is null, has no letter or has too few known trigrams is ``und``
@@ -24,13 +24,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, slices, stored
 from .shingles import utf8
 
 PER_LANGUAGE, TEXTS, FEWEST, LANDMARKS, RIDGE = 400, 8000, 4, 160, 1e-2
+#: Longer texts (bytes) are learned from only where a language has no ``FEWEST`` others; all texts are scored.
+LONGEST = 1 << 18
 #: Texts whose n-grams are laid out at once; rows of a table that may be broadcast.
 LAID_OUT, BROADCAST = 64, 20_000
 #: A text with a smaller share of known trigrams is of no learned language.  Of the texts of the tables of 0.1 and 0.5 GB
@@ -181,16 +183,26 @@ def fit(texts: list[str], languages: list[str], least: float = LEAST_KNOWN) -> M
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE, texts: int = TEXTS) -> DataFrame:
-    """doc_id, lang, text of about ``per_language`` texts of each language that are not held out, and about ``texts`` of all, but ``FEWEST`` of each."""
-    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")))
+    """doc_id, lang, text of about ``per_language`` texts of each language that are not held out, and about ``texts`` of all, but ``FEWEST`` of each.
+
+    Each id has a place from 0 to 1 by its hash, and a text over ``LONGEST`` bytes one from 1 to 2. A language takes the places
+    up to its share, or up to its ``FEWEST``-th one if that is more.  One row is taken of each id.
+    """
+    place = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_003)) / 1_000_003.0 + F.when(F.octet_length("text") > LONGEST, 1).otherwise(0)
+    known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text", place.alias("place"))
+    places = stored(known.select("lang", "place"))
+    counts = places.groupBy("lang").agg(F.count("*").alias("n"))
     languages = counts.count()
     wanted = F.lit(max(FEWEST, min(per_language, texts // max(1, languages))))
-    counts = counts.select("lang", (wanted / F.col("n")).alias("share"))
-    drawn = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
+    # a task hands on no more than the first places of a language
+    first = places.withColumn("r", F.dense_rank().over(Window.partitionBy("lang").orderBy("place"))).where(F.col("r") <= FEWEST)
+    limits = counts.join(first.groupBy("lang").agg(F.max("place").alias("least")), "lang")
+    limits = limits.select("lang", F.greatest(F.least(wanted / F.col("n"), F.lit(1.0)), "least").alias("limit"))
     # beside a small table of languages no text is shuffled
-    shares = F.broadcast(counts) if languages <= BROADCAST else counts
-    return known.join(shares, "lang").where(drawn < F.col("share")).select("doc_id", "lang", "text")
+    limits = F.broadcast(limits) if languages <= BROADCAST else limits
+    drawn = known.join(limits, "lang").where("place <= limit")
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "lang", "text"))
+    return drawn.groupBy("doc_id").agg(one.alias("x")).select("doc_id", "x.lang", "x.text")
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
