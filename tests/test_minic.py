@@ -49,6 +49,10 @@ void copy_name(struct message *m, char *name) { m = malloc(64); fill(m->body, na
 int checked_row(int width) { int *row = calloc(width, 4); if (row == NULL) { return 1; } row[0] = 255; return 0; }
 void row_if_there(int width) { int *row = calloc(width, 4); if (row != NULL) { row[0] = 1; } }
 void row_of_caller(int width, int *given) { int *row = malloc(width); row = given; row[1] = 7; }
+void pixel_after_abort(int width) { int *row = malloc(width); abort(); row[0] = 1; }
+void pixel_after_message(int width) { int *row = malloc(width); warn("none"); row[0] = 1; }
+void pixel_in_loop(int width, int n) { while (n > 0) { int *row = malloc(width); if (n == 3) { return; } row[0] = 1; n = n - 1; } }
+void pixel_after_return(int width, int n) { if (n) { int *row = malloc(width); return; row[0] = 1; } }
 
 /* CWE-457: read before it is set */
 int sum_unset(int n) { int sum; if (n < 0) { write_log(sum, "none"); } sum = n; return sum; }
@@ -74,6 +78,10 @@ void banner(char *data) { char text[12]; memmove(text, data, 20); }
 void greeting(char *name) { char text[32]; sprintf(text, "hello %s", name); }
 void short_banner(char *data) { char text[40]; memmove(text, data, 20); }
 void whole_banner(char *data) { char text[12]; strncpy(text, data, sizeof(text)); }
+void room_seen(char *data, int n) { char text[16]; if (n < 16) { memcpy(text, data, n); } }
+void room_unseen(char *data, int n, int k) { char text[16]; if (k < 16) { memcpy(text, data, n); } }
+void one_less(char *data) { char text[16]; memcpy(text, data, 16 - 1); }
+void by_limit(char *data) { char text[16]; memcpy(text, data, LIMIT); }
 
 /* CWE-190: a product without a check becomes a size */
 void pixels(int width, int height) { int bytes; bytes = width * height; char *p = malloc(bytes); use_it(&p); }
@@ -81,6 +89,19 @@ void pixels_at_once(int width, int height) { char *p = malloc(width * height); u
 void pixels_again(char *old, int width, int height) { int bytes; bytes = width * height; char *p = realloc(old, bytes); use_it(&p); }
 void pixels_limit(int width, int height) { int bytes; if (width > SIZE_MAX / height) { return; } bytes = width * height; char *p = malloc(bytes); use_it(&p); }
 void pixels_other_limit(int width, int height, int kind) { int bytes; if (kind == MAXKIND) { write_log(1, "x"); } bytes = width * height; char *p = malloc(bytes); use_it(&p); }
+void rows_of_16(int n) { char *p = malloc(n * 16); use_it(&p); }
+void size_first(int n) { char *p = malloc(sizeof(int) * n); use_it(&p); }
+void shifted(int n) { char *p = malloc(n << 4); use_it(&p); }
+void two_parts(int head, int body) { char *p = malloc(head + body); use_it(&p); }
+void one_more(int n) { char *p = malloc(n + 1); use_it(&p); }
+void far_more(int n) { char *p = malloc(n + 70000); use_it(&p); }
+void inner_product(int n, int m) { char *p = malloc(pad + (n * m)); use_it(&p); }
+void product_of_24(int n) { int t; t = n * 24; char *p = malloc(t); use_it(&p); }
+void sum_before(int n, int m) { int t; t = n + m; char *p = malloc(t); use_it(&p); }
+void divided(int n) { if (n > 9999 / 16) { return; } char *p = malloc(n * 16); use_it(&p); }
+void divided_other(int n, int k) { if (k > 9999 / 16) { return; } char *p = malloc(n * 16); use_it(&p); }
+void copied(char *title, int n) { char *p = strdup(title); use_it(&p); char *q = strndup(title, n * 2); use_it(&q); }
+void sizes_only(void) { char *p = malloc(4 * sizeof(long)); use_it(&p); }
 void fixed_size(void) { int bytes; bytes = 640 * 480; char *p = malloc(bytes); use_it(&p); }
 
 void title_from_outside(int unit) { char *title = getenv("TITLE"); fprintf(unit, title); }
@@ -98,13 +119,13 @@ void release_once(char *block) { write_log(1, block); release(block); }
 FIRES = {
     "use_after_free": ("drop_then_count log_after_drop keep_view drop_head", "drop_or_send refill drop_last drop_and_leave"),
     "double_free": ("close_queue two_names drop_body_twice", "swap_buffers one_way"),
-    "null_deref": ("first_pixel copy_name", "checked_row row_if_there row_of_caller"),
+    "null_deref": ("first_pixel copy_name pixel_after_message pixel_in_loop", "checked_row row_if_there row_of_caller pixel_after_abort pixel_after_return"),
     "uninitialized_read": ("sum_unset", "sum_set read_size"),
     "toctou": ("rotate remove_lock", "other_paths"),
     "heap_overflow": ("small_header grown_too_little any_title other_guard", "grown_enough by_length guarded"),
-    "stack_overflow": ("banner greeting", "short_banner whole_banner"),
-    "integer_overflow": ("pixels pixels_again pixels_other_limit", "pixels_limit fixed_size"),
-    "integer_overflow_direct": ("pixels_at_once", "pixels fixed_size"),
+    "stack_overflow": ("banner greeting room_unseen by_limit", "short_banner whole_banner room_seen one_less"),
+    "integer_overflow": ("pixels pixels_again pixels_other_limit product_of_24", "pixels_limit fixed_size sum_before"),
+    "integer_overflow_direct": ("pixels_at_once rows_of_16 size_first shifted two_parts far_more inner_product divided_other", "pixels fixed_size one_more divided copied sizes_only sum_before"),
     "double_free_between_functions": ("release_again", "release_once release"),
 }
 
@@ -122,6 +143,18 @@ def test_matrix(spark, graph, name):
     assert set(fires) <= names and names.isdisjoint(silent)
 
 
+def test_sizes_have_the_risk_of_their_outermost_arithmetic(spark, graph):
+    own = {r.id: r.name for r in graph.method.collect()}
+    found = {own[r.method_id]: r for r in detectors.integer_overflow_sizes(graph).collect()}
+    assert {k: (found[k].op, found[k].risk, found[k].arithmetic) for k in ("shifted", "two_parts", "inner_product", "product_of_24")} == {
+        "shifted": ("left-shift", "HIGH", "n<<4"),
+        "two_parts": ("addition", "MEDIUM", "head+body"),
+        "inner_product": ("multiplication", "HIGH", "n*m"),
+        "product_of_24": ("multiplication", "HIGH", "n*24"),
+    }
+    assert found["product_of_24"].issue_type == "alloc_indirect_arithmetic" and found["product_of_24"].size == "t"
+
+
 def test_formats_and_commands(spark, graph):
     own = {r.id: r.name for r in graph.method.collect()}
     place = {r.id: own[r.method_id] for r in graph.call.collect()}

@@ -28,6 +28,12 @@ ALLOCATORS = "malloc calloc realloc strdup strndup aligned_alloc reallocarray fo
 HEAP_ALLOCATORS = "malloc calloc realloc strdup strndup aligned_alloc reallocarray".split()
 #: Allocators of heap buffers and which argument is the size.
 SIZE_ARGUMENT = dict.fromkeys("malloc calloc valloc pvalloc strdup strndup".split(), 1) | dict.fromkeys("realloc reallocarray aligned_alloc memalign posix_memalign".split(), 2)
+#: Allocators whose size can overflow, and which argument it is.
+OVERFLOW_SIZE = dict.fromkeys("malloc calloc reallocarray valloc pvalloc".split(), 1) | dict.fromkeys("realloc aligned_alloc memalign posix_memalign".split(), 2)
+HIGH_RISK_OPERATORS = {"<operator>.multiplication": "multiplication", "<operator>.shiftLeft": "left-shift"}
+MEDIUM_RISK_OPERATORS = {"<operator>.addition": "addition", "<operator>.subtraction": "subtraction"}
+#: Calls that end the program.
+EXITS = "exit abort _exit __assert_fail".split()
 OVERFLOW_GUARDS = (
     "SIZE_MAX UINT_MAX ULONG_MAX INT_MAX LONG_MAX UINT32_MAX UINT64_MAX SSIZE_MAX RSIZE_MAX "
     "__builtin_mul_overflow __builtin_add_overflow __builtin_sub_overflow __builtin_umul_overflow __builtin_uadd_overflow "

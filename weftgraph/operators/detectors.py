@@ -16,7 +16,8 @@ from pyspark.sql.window import Window as W
 from ..functions import dicts
 from ..functions import predicates as P
 from ..graph import Graph
-from .iterate import cut, passed
+from . import dataflow, trees
+from .iterate import callees, cut, passed
 
 DETECTORS: dict[str, tuple[str, Callable[..., DataFrame]]] = {}
 
@@ -65,6 +66,17 @@ def without_return(g: Graph, pairs: DataFrame) -> DataFrame:
     return pairs.join(r, (F.col("method_id") == F.col("m")) & (F.col("at") > F.col("a")) & (F.col("at") < F.col("b")), "left_anti")
 
 
+def without_exit(g: Graph, pairs: DataFrame) -> DataFrame:
+    """Drop pairs with an end between: a call that ends the program, or a return in no control structure that begins after a."""
+    c = g.control.select(F.col("method_id").alias("m"), F.col("line").alias("c0"), F.col("line_end").alias("c1"))
+    r = g.ret.select("method_id", F.col("line").alias("at")).distinct()
+    r = r.join(c, (F.col("method_id") == F.col("m")) & F.col("at").between(F.col("c0"), F.col("c1")), "left")
+    r = r.groupBy(F.col("method_id").alias("m"), "at").agg(F.coalesce(F.max("c0"), F.lit(-1)).alias("inside"))
+    ends = g.call.where(P.any_of(F.col("name"), dicts.EXITS)).select(F.col("method_id").alias("m"), F.col("line").alias("at"), F.lit(-1).alias("inside")).distinct()
+    between = (F.col("method_id") == F.col("m")) & (F.col("at") > F.col("a")) & (F.col("at") < F.col("b")) & (F.col("inside") <= F.col("a"))
+    return pairs.join(r.unionByName(ends), between, "left_anti")
+
+
 def null_checks(g: Graph) -> DataFrame:
     """(method_id, ptr, line) of IF conditions that compare a name with null or test it alone or negated, also inside and / or."""
     c = F.regexp_replace("condition", _NULL, "NULL")
@@ -144,47 +156,74 @@ def null_deref(g: Graph) -> DataFrame:
     """Unchecked uses of an allocator's result: (site, method_id, ptr, line, uses)."""
     uses = later_uses(g, allocations(g, dicts.ALLOCATORS))
     exempt = g.call.where(P.any_of(F.col("name"), dicts.DEREF_EXEMPT)).select(F.col("id").alias("call_id"))
-    uses = without_exclusive(g, without_return(g, without_reassignment(g, uses.join(exempt, "call_id", "left_anti"))))
+    uses = without_exclusive(g, without_exit(g, without_reassignment(g, uses.join(exempt, "call_id", "left_anti"))))
     n = null_checks(g).select(F.col("method_id").alias("m"), F.col("ptr").alias("p"), F.col("line").alias("at"))
     uses = uses.join(n, (F.col("method_id") == F.col("m")) & (F.col("ptr") == F.col("p")) & (F.col("at") > F.col("a")) & (F.col("at") <= F.col("b")), "left_anti")
     return uses.groupBy("site", "method_id", "ptr", F.col("a").alias("line")).agg(F.countDistinct("b").alias("uses"))
 
 
-@detector("integer_overflow", "CWE-190")
-def integer_overflow(g: Graph) -> DataFrame:
-    """Allocation sizes whose last assignment before is a product of two non-constants: (id, method_id, line, size, arithmetic).
+def _sizes(g: Graph) -> DataFrame:
+    """Allocations with the expression of their size: id, method_id, file, line, root_ord."""
+    return g.call.where(P.any_of(F.col("name"), list(dicts.OVERFLOW_SIZE))).select("id", "method_id", "file", "line", _number(dicts.OVERFLOW_SIZE)[F.col("name")].alias("root_ord"))
 
-    A condition before clears it if it names a limit or a checked operation, or divides and has one of the operands.
-    """
-    names = [n for n in dicts.SIZE_ARGUMENT if n not in ("strdup", "strndup")]
-    calls = g.call.where(P.any_of(F.col("name"), names)).select("id", "method_id", "line", _number(dicts.SIZE_ARGUMENT)[F.col("name")].alias("arg_index"))
-    size = calls.join(g.argument.where("kind = 'IDENTIFIER'").select(F.col("call_id").alias("id"), "arg_index", F.trim("code").alias("arg")), ["id", "arg_index"])
-    a = g.assignment.select("method_id", F.col("target").alias("arg"), F.col("line").alias("at"), "id", "source").withColumnRenamed("id", "assign_id")
-    before = size.join(a, ["method_id", "arg"]).where("at < line")
-    last = before.groupBy("id", "method_id", "line", F.col("arg").alias("size")).agg(F.max(F.struct("at", "assign_id", "source")).alias("x"))
-    last = last.select("id", "method_id", "line", "size", F.col("x.source").alias("arithmetic"))
-    return without_overflow_guard(g, last)
 
+def last_before(g: Graph, uses: DataFrame, keys: list[str]) -> DataFrame:
+    """Uses (column method_id, name, line) with the id of the last assignment to the name on a line before (assign_id)."""
+    a = g.assignment.select("method_id", F.col("target").alias("name"), F.col("line").alias("at"), F.col("id").alias("assign_id"))
+    hit = uses.join(a, ["method_id", "name"]).where("at > 0 AND at < line")
+    return hit.groupBy(*keys).agg(F.max(F.struct("at", "assign_id")).alias("x")).select(*keys, F.col("x.assign_id"))
 
-@detector("integer_overflow_direct", "CWE-190")
-def integer_overflow_direct(g: Graph) -> DataFrame:
-    """Allocation sizes that are such a product themselves: (id, method_id, line, arithmetic)."""
-    calls = g.call.where(P.any_of(F.col("name"), list(dicts.SIZE_ARGUMENT))).select("id", "method_id", "line", _number(dicts.SIZE_ARGUMENT)[F.col("name")].alias("arg_index"))
-    size = calls.join(g.argument.select(F.col("call_id").alias("id"), "arg_index", F.col("code").alias("arithmetic")), ["id", "arg_index"])
-    return without_overflow_guard(g, size.select("id", "method_id", "line", "arithmetic"))
 
+def unguarded(g: Graph, sites: DataFrame) -> DataFrame:
+    """Sites (method_id, line, names) that no condition of their method up to the line clears.
 
-def without_overflow_guard(g: Graph, sites: DataFrame) -> DataFrame:
-    """The products (column arithmetic) that no condition of the method up to their line clears."""
-    sites = sites.where(F.col("arithmetic").rlike(_PRODUCT))
-    left, right = (F.regexp_extract("arithmetic", _PRODUCT, i) for i in (1, 2))
+    It clears if it names a limit or a checked operation, or divides and has one of the names.
+    """
     c = g.control.where("type = 'IF'").select(F.col("method_id").alias("m"), F.col("line").alias("g0"), "condition")
-    clear = F.lit(False)
+    condition = F.col("condition")
+    clear = condition.contains("__builtin_") & condition.contains("overflow")
     for word in dicts.OVERFLOW_GUARDS:
-        clear = clear | F.col("condition").contains(word)
-    clear = clear | F.col("condition").contains("__builtin_") & F.col("condition").contains("overflow")
-    clear = clear | F.col("condition").contains("/") & (P.has_words(F.col("condition"), left) | P.has_words(F.col("condition"), right))
-    return sites.join(c, (F.col("method_id") == F.col("m")) & (F.col("g0") <= F.col("line")) & clear, "left_anti")
+        clear = clear | condition.contains(word)
+    clear = clear | condition.contains("/") & F.exists("names", lambda n: P.has_words(condition, n))
+    return sites.join(c, (F.col("method_id") == F.col("m")) & (F.col("g0") > 0) & (F.col("g0") <= F.col("line")) & (F.size("names") > 0) & clear, "left_anti")
+
+
+@detector("integer_overflow_sizes", "CWE-190")
+def integer_overflow_sizes(g: Graph) -> DataFrame:
+    """Allocation sizes by arithmetic that may overflow, one finding for a line of a method: id, file, line, method_id, arithmetic, op, risk, issue_type, size.
+
+    The arithmetic is in the size itself (``alloc_arithmetic``), or a product or shift in what a
+    name in the size was last assigned before (``alloc_indirect_arithmetic``, ``size``: that name).
+    The first kind found counts: direct HIGH, direct MEDIUM, indirect.
+    """
+    ast = cut(g.ast)
+    risky = cut(trees.risky_arithmetic(ast))
+    sizes = cut(_sizes(g))
+    columns = ["id", "file", "line", "method_id", "arithmetic", "op", "risk", "names", "phase", "size", "place"]
+    direct = sizes.join(risky, (sizes.id == risky.root_id) & (sizes.root_ord == risky.root_ord)).withColumns(
+        {"phase": F.when(F.col("risk") == "HIGH", 1).otherwise(2), "size": F.lit(None).cast("string"), "place": F.lit(0)}
+    )
+    names = ast.where("kind = 'IDENTIFIER'").groupBy("root_id", "root_ord", "name").agg(F.min("pre").alias("place"))
+    named = sizes.join(names, (sizes.id == names.root_id) & (sizes.root_ord == names.root_ord)).select("id", "method_id", "file", "line", "name", "place")
+    last = last_before(g, named, ["id", "method_id", "file", "line", "name", "place"])
+    high = risky.where("risk = 'HIGH' AND root_ord = 0").withColumnRenamed("root_id", "assign_id")
+    indirect = last.join(high, "assign_id").withColumn("phase", F.lit(3)).withColumnRenamed("name", "size")
+    found = unguarded(g, direct.select(columns).unionByName(indirect.select(columns)))
+    first = found.groupBy("file", "method_id", "line").agg(F.min(F.struct("id", "phase", "place", "arithmetic", "op", "risk", "size")).alias("x"))
+    kind = F.when(F.col("x.phase") == 3, "alloc_indirect_arithmetic").otherwise("alloc_arithmetic")
+    return first.select("x.id", "file", "line", "method_id", "x.arithmetic", "x.op", "x.risk", kind.alias("issue_type"), "x.size")
+
+
+@detector("integer_overflow", "CWE-190")
+def integer_overflow(g: Graph) -> DataFrame:
+    """The findings by what a name of the size was assigned: (id, method_id, line, size, arithmetic)."""
+    return integer_overflow_sizes(g).where("issue_type = 'alloc_indirect_arithmetic'").select("id", "method_id", "line", "size", "arithmetic")
+
+
+@detector("integer_overflow_direct", "CWE-190")
+def integer_overflow_direct(g: Graph) -> DataFrame:
+    """The findings in the size itself: (id, method_id, line, arithmetic, op, risk)."""
+    return integer_overflow_sizes(g).where("issue_type = 'alloc_arithmetic'").select("id", "method_id", "line", "arithmetic", "op", "risk")
 
 
 @detector("format_string", "CWE-134")
@@ -202,9 +241,6 @@ def format_string(g: Graph) -> DataFrame:
 # Spellings of the null constant.
 _NULL = r"(?:<unknown>\s*)?(?:\(?\(void ?\*\)0\)?|\bnullptr\b|\bNULL\b)"
 
-#: Two factors of which the second is a name.
-_PRODUCT = r"(\w+)\s*\*\s*([A-Za-z_]\w*)"
-
 
 def _number(table: dict[str, int]) -> Column:
     return F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
@@ -240,12 +276,21 @@ def heap_overflow(g: Graph) -> DataFrame:
 
 @detector("stack_overflow", "CWE-121")
 def stack_overflow(g: Graph) -> DataFrame:
-    """Writes into a fixed-size local that are unbounded or larger than it."""
-    buf = g.local.withColumn("have", P.array_size(F.col("type_full_name"))).where("have IS NOT NULL").select("id", "method_id", "name", "have")
-    w = _writes(g, dicts.STACK_WRITES).select(F.col("method_id").alias("wm"), F.col("name").alias("function"), F.col("id").alias("write"), "dst", F.col("size").alias("need"))
-    hit = buf.join(w, (F.col("method_id") == F.col("wm")) & P.buffer_target(F.col("dst"), F.col("name")))
-    number = F.when(P.full_match(F.col("need"), "[0-9]{1,18}"), F.col("need").try_cast("long"))
-    bad = F.col("need").isNull() | F.when(number.isNotNull(), number > F.col("have")).otherwise(~F.col("need").contains("sizeof"))
+    """Writes into a fixed-size local that are unbounded or larger than it: (id, method_id, name, have, writes, confidence).
+
+    A size that is no number is fine if it names the array's own size or sizeof, or if a
+    comparison between declaration and write has its first name; so is a write in another branch than the declaration's.
+    """
+    buf = g.local.withColumn("have", P.array_size(F.col("type_full_name"))).where("have IS NOT NULL").select("id", "method_id", "name", "have", F.col("line").alias("a"))
+    w = _writes(g, dicts.STACK_WRITES).select(F.col("method_id").alias("wm"), F.col("name").alias("function"), F.col("id").alias("write"), "b", "dst", F.trim("size").alias("need"))
+    hit = without_exclusive(g, buf.join(w, (F.col("method_id") == F.col("wm")) & P.buffer_target(F.col("dst"), F.col("name"))))
+    number = F.when(P.full_match(F.col("need"), "-?[0-9]{1,18}"), F.col("need").try_cast("long"))
+    own = F.col("need").contains("sizeof") | P.has_words(F.col("need"), F.col("have").cast("string"))
+    c = g.control.where("type = 'IF' AND condition RLIKE '[<>]'").select(F.col("method_id").alias("m"), F.col("line").alias("at"), "condition")
+    first = P.extract_variable(F.col("need"))
+    bound = (F.col("method_id") == F.col("m")) & F.col("at").between(F.col("a"), F.col("b") - 1) & number.isNull() & (first != "") & P.has_words(F.col("condition"), first)
+    hit = hit.join(c, bound, "left_anti")
+    bad = F.col("need").isNull() | F.when(number.isNotNull(), number > F.col("have")).otherwise(~own)
     return hit.where(bad).groupBy("id", "method_id", "name", "have").agg(
         F.countDistinct("write").alias("writes"), F.when(F.count_if(F.col("function").isin("strcpy", "gets", "sprintf", "vsprintf", "strcat")) > 0, "HIGH").otherwise("MEDIUM").alias("confidence")
     )
@@ -351,17 +396,79 @@ def null_deref_between(g: Graph) -> DataFrame:
 
 @detector("integer_overflow_between_functions", "CWE-190")
 def integer_overflow_between(g: Graph) -> DataFrame:
-    """A product, or a name last assigned one, passed to a method that allocates by the parameter: (id, method_id, line, arithmetic, callee_id, allocation)."""
-    calls = g.call.where(P.any_of(F.col("name"), list(dicts.SIZE_ARGUMENT))).select(F.col("id").alias("allocation"), F.col("method_id").alias("callee_id"), _number(dicts.SIZE_ARGUMENT)[F.col("name")].alias("arg_index"))
-    size = g.argument.where("kind = 'IDENTIFIER'").select(F.col("call_id").alias("allocation"), "arg_index", F.trim("code").alias("param"))
-    by = calls.join(size, ["allocation", "arg_index"]).select("allocation", "callee_id", "param")
-    into = passed(g).where("callee_id <> method_id").join(by, ["callee_id", "param"]).select(F.col("call_id").alias("id"), "method_id", "line", F.trim("code").alias("code"), "kind", "callee_id", "allocation")
-    direct = into.where("kind <> 'IDENTIFIER'").select("id", "method_id", "line", F.col("code").alias("arithmetic"), "callee_id", "allocation")
-    a = g.assignment.select("method_id", F.col("target").alias("code"), F.col("line").alias("at"), F.col("id").alias("assign_id"), "source")
-    before = into.where("kind = 'IDENTIFIER'").join(a, ["method_id", "code"]).where("at < line")
-    last = before.groupBy("id", "method_id", "line", "callee_id", "allocation", "code").agg(F.max(F.struct("at", "assign_id", "source")).alias("x"))
-    both = direct.unionByName(last.select("id", "method_id", "line", F.col("x.source").alias("arithmetic"), "callee_id", "allocation"))
-    return without_overflow_guard(g, both).distinct()
+    """A product or shift, or a name last assigned one, passed to a method that allocates by the parameter: (id, method_id, line, arithmetic, callee_id, allocation)."""
+    ast = cut(g.ast)
+    sizes = _sizes(g).select(F.col("id").alias("allocation"), F.col("method_id").alias("callee_id"), "root_ord")
+    plain = ast.where("kind = 'IDENTIFIER' AND pre = 0").select(F.col("root_id").alias("allocation"), "root_ord", F.col("name").alias("param"))
+    by = sizes.join(plain, ["allocation", "root_ord"]).select("allocation", "callee_id", "param")
+    p = g.parameter.select(F.col("method_id").alias("callee_id"), F.col("ord").alias("root_ord"), F.col("name").alias("param"))
+    into = callees(g).where("callee_id <> method_id").join(by.join(p, ["callee_id", "param"]), "callee_id")
+    into = cut(into.select(F.col("call_id").alias("id"), "method_id", "line", "root_ord", "callee_id", "allocation").distinct())
+    high = cut(trees.risky_arithmetic(ast).where("risk = 'HIGH'").select("root_id", "root_ord", "arithmetic", "names"))
+    direct = into.join(high.withColumnRenamed("root_id", "id"), ["id", "root_ord"])
+    names = ast.where("kind = 'IDENTIFIER' AND pre = 0").select(F.col("root_id").alias("id"), "root_ord", "name")
+    keys = ["id", "method_id", "line", "callee_id", "allocation", "name"]
+    last = last_before(g, into.join(names, ["id", "root_ord"]), keys)
+    indirect = last.join(high.where("root_ord = 0").withColumnRenamed("root_id", "assign_id"), "assign_id")
+    columns = ["id", "method_id", "line", "arithmetic", "callee_id", "allocation", "names"]
+    return unguarded(g, direct.select(columns).unionByName(indirect.select(columns))).drop("names").distinct()
+
+
+def _effects(g: Graph, known: DataFrame, effect: str) -> DataFrame:
+    """Places where a name's object meets an effect: call_id, method_id, line, ptr, hops (calls to where it happens; 0 is here)."""
+    handed = dataflow.handed(g)
+    inner = known.where(F.col("effect") == effect).select(F.col("method_id").alias("callee_id"), "param", (F.col("hops") + 1).alias("hops"))
+    far = handed.join(inner, ["callee_id", "param"]).groupBy("call_id", "method_id", "line", "ptr").agg(F.min("hops").alias("hops"))
+    if effect == "frees":
+        here = first_arguments(g, ["free", "cfree"]).where(P.trackable(F.col("arg"))).select(F.col("id").alias("call_id"), "method_id", "line", F.col("arg").alias("ptr"), F.lit(0).alias("hops"))
+        return here.unionByName(far)
+    return far
+
+
+@detector("use_after_free_deep", "CWE-416")
+def use_after_free_deep(g: Graph) -> DataFrame:
+    """Frees and later uses of a name of which one at least is in a method called, at any depth: (method_id, ptr, line, use_line, free_hops, use_hops).
+
+    Methods are known by their summaries, so calls of any depth and recursion need no walk here;
+    the three filters inside the caller hold.
+    """
+    known = dataflow.summaries(g)
+    freed = _effects(g, known, "frees").select(F.col("call_id").alias("site"), "method_id", "ptr", F.col("line").alias("a"), F.col("hops").alias("free_hops"))
+    far = _effects(g, known, "uses").select("call_id", "method_id", "ptr", F.col("line").alias("b"), F.col("hops").alias("use_hops"))
+    hit = freed.join(far, ["method_id", "ptr"]).where("b > a")
+    # uses here count where the free is in a method called
+    a = g.argument.select(F.col("method_id").alias("m"), "call_id", "code", F.col("line").alias("b"))
+    quiet = g.call.where(P.any_of(F.col("name"), ["free", "cfree"]) | F.col("callee_id").isNotNull()).select(F.col("id").alias("call_id"))
+    here = freed.where("free_hops > 0").join(a, (F.col("method_id") == F.col("m")) & (F.col("b") > F.col("a")) & P.pointer_use(F.col("code"), F.col("ptr"))).join(quiet, "call_id", "left_anti")
+    columns = ["method_id", "ptr", "a", "b", "free_hops", "use_hops"]
+    both = cut(hit.select(columns).unionByName(here.withColumn("use_hops", F.lit(0)).select(columns)).distinct())
+    both = without_exclusive(g, without_return(g, without_reassignment(g, both)))
+    return both.groupBy("method_id", "ptr", F.col("a").alias("line"), F.col("b").alias("use_line")).agg(F.min("free_hops").alias("free_hops"), F.min("use_hops").alias("use_hops"))
+
+
+@detector("double_free_deep", "CWE-415")
+def double_free_deep(g: Graph) -> DataFrame:
+    """Two frees of a name of which one at least is in a method called, at any depth: (method_id, ptr, line, second, hops)."""
+    freed = cut(_effects(g, dataflow.summaries(g), "frees"))
+    x = freed.select("method_id", "ptr", F.col("line").alias("a"), F.col("hops").alias("first_hops"))
+    y = freed.select("method_id", "ptr", F.col("line").alias("b"), F.col("hops").alias("second_hops"))
+    hit = x.join(y, ["method_id", "ptr"]).where("b > a AND first_hops + second_hops > 0").withColumn("hops", F.col("first_hops") + F.col("second_hops"))
+    hit = without_exclusive(g, without_return(g, without_reassignment(g, hit)))
+    return hit.groupBy("method_id", "ptr", F.col("a").alias("line"), F.col("b").alias("second")).agg(F.min("hops").alias("hops"))
+
+
+@detector("null_deref_deep", "CWE-476")
+def null_deref_deep(g: Graph) -> DataFrame:
+    """An allocator's result passed on unchecked to a method that uses it, itself or by methods it calls: (method_id, ptr, line, use_line, hops).
+
+    A method that checks the parameter anywhere before is not looked into: ``null_deref_between_functions`` has that order for one call.
+    """
+    far = _effects(g, dataflow.summaries(g), "uses").select("method_id", "ptr", F.col("line").alias("b"), "hops")
+    sites = allocations(g, dicts.ALLOCATORS).select("method_id", "ptr", F.col("line").alias("a"))
+    hit = without_exclusive(g, without_exit(g, without_reassignment(g, sites.join(far, ["method_id", "ptr"]).where("b > a"))))
+    n = null_checks(g).select(F.col("method_id").alias("m"), F.col("ptr").alias("p"), F.col("line").alias("at"))
+    hit = hit.join(n, (F.col("method_id") == F.col("m")) & (F.col("ptr") == F.col("p")) & (F.col("at") > F.col("a")) & (F.col("at") <= F.col("b")), "left_anti")
+    return hit.groupBy("method_id", "ptr", F.col("a").alias("line"), F.col("b").alias("use_line")).agg(F.min("hops").alias("hops"))
 
 
 def worst_first(findings: DataFrame, order: list[str], limit: int | None = None) -> DataFrame:

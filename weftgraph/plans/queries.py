@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dicts
 from ..functions import predicates as P
 from ..graph import Graph
-from ..operators import browse, catalog, detectors, iterate
+from ..operators import browse, catalog, dataflow, detectors, iterate, trees
 from ..project import oracle, projected
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -355,6 +355,9 @@ _CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.met
     WHERE p.method_id = x.method_id AND x.a BETWEEN p.line AND p.line_end AND x.b BETWEEN q.line AND q.line_end)""".replace("{{", "{").replace("}}", "}")
 _RETURN = """ AND NOT EXISTS (SELECT 1 FROM {ret} r WHERE r.method_id = x.method_id AND r.line > x.a AND r.line < x.b
     AND NOT EXISTS (SELECT 1 FROM {control} c WHERE c.method_id = r.method_id AND r.line BETWEEN c.line AND c.line_end))"""
+_NO_EXIT = f"""NOT EXISTS (SELECT 1 FROM {{call}} e WHERE e.method_id = x.method_id AND e.name IN ({quoted(dicts.EXITS)}) AND e.line > x.a AND e.line < x.b)
+      AND NOT EXISTS (SELECT 1 FROM {{ret}} r WHERE r.method_id = x.method_id AND r.line > x.a AND r.line < x.b AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = r.method_id AND c.line > x.a AND c.line <= r.line AND c.line_end >= r.line))"""
+_APART = _CLEAR[_CLEAR.index("NOT EXISTS (SELECT 1 FROM {branch}") :]
 _CLEAR_ONE = _CLEAR[: _CLEAR.index("AND NOT EXISTS (SELECT 1 FROM {branch}")]
 _ARG = "SELECT c.id, c.method_id, c.name, c.line, c.file, trim(a.code) AS arg, a.kind, a.decl_id FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.arg_index = {i} WHERE c.name IN ({names})"
 _FREES = _ARG.format(i=1, names="'free', 'cfree'") + " AND NOT contains(trim(a.code), '(') AND NOT contains(trim(a.code), '[') AND length(trim(a.code)) < 50"
@@ -405,7 +408,8 @@ def null_checks(g):
     WITH s AS ({_ALLOC.format(names=quoted(dicts.ALLOCATORS))}), n AS ({_NULLS}),
     x AS (SELECT DISTINCT s.id AS site, s.method_id, s.ptr, s.line AS a, g.line AS b FROM s JOIN {{argument}} g ON g.method_id = s.method_id AND g.line > s.line AND {_USE}
       WHERE g.call_id NOT IN (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.DEREF_EXEMPT)})))
-    SELECT site, method_id, ptr, a AS line, count(DISTINCT b) AS uses FROM x WHERE {_CLEAR}{_RETURN}
+    SELECT site, method_id, ptr, a AS line, count(DISTINCT b) AS uses FROM x WHERE {_CLEAR}
+      AND {_NO_EXIT}
       AND NOT EXISTS (SELECT 1 FROM n WHERE n.method_id = x.method_id AND n.ptr = x.ptr AND n.line > x.a AND n.line <= x.b) GROUP BY site, method_id, ptr, a""")
 def null_deref_unchecked(g):
     return detectors.null_deref(g)
@@ -420,31 +424,58 @@ def _has(code: str, name: str) -> str:
     return f"contains({words.format(code)}, {words.format(name)})"
 
 
-_FACTORS = r"(\w+)\s*\*\s*([A-Za-z_]\w*)"
 _LIMITS = "|".join(dicts.OVERFLOW_GUARDS)
-
-
-@query(f"""
-    WITH z AS (SELECT c.id, c.method_id, c.line, trim(a.code) AS arg FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.kind = 'IDENTIFIER' AND a.arg_index = {_case(dicts.SIZE_ARGUMENT)}
-      WHERE c.name NOT IN ('strdup', 'strndup')),
-    l AS (SELECT id, method_id, line, arg AS size, arithmetic FROM (SELECT z.id, z.method_id, z.line, z.arg, s.source AS arithmetic,
-      row_number() OVER (PARTITION BY z.id ORDER BY s.line DESC, s.id DESC) AS r FROM z JOIN {{assignment}} s ON s.method_id = z.method_id AND s.target = z.arg AND s.line < z.line) y WHERE r = 1)
-    SELECT id, method_id, line, size, arithmetic FROM l WHERE regexp_matches(arithmetic, '{_FACTORS}')
-      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND (regexp_matches(c.condition, '{_LIMITS}')
-        OR contains(c.condition, '__builtin_') AND contains(c.condition, 'overflow')
-        OR contains(c.condition, '/') AND ({_has("c.condition", f"regexp_extract(l.arithmetic, '{_FACTORS}', 1)")} OR {_has("c.condition", f"regexp_extract(l.arithmetic, '{_FACTORS}', 2)")})))""")
+_FIXED = "regexp_full_match(trim(code), '-?[0-9]+[UuLl]*|0[xX][0-9a-fA-F]+[UuLl]*|sizeof.*')"
+
+#: The outermost risky arithmetic of each expression (f), and the identifiers in it (w).
+_RISKY = f"""k AS (SELECT root_id, root_ord, parent AS pre, count(*) AS n, count(*) FILTER (NOT {_FIXED}) AS open, count(*) FILTER ({_FIXED} AND try_cast(trim(code) AS BIGINT) > 4096) AS large
+      FROM {{ast}} WHERE parent >= 0 GROUP BY root_id, root_ord, parent),
+    o AS (SELECT root_id, root_ord, pre, post, code, name, CASE WHEN name IN ({quoted(dicts.HIGH_RISK_OPERATORS)}) THEN 'HIGH' ELSE 'MEDIUM' END AS risk FROM {{ast}} JOIN k USING (root_id, root_ord, pre)
+      WHERE name IN ({quoted(dicts.HIGH_RISK_OPERATORS)}) AND n >= 2 AND open >= 1 OR name IN ({quoted(dicts.MEDIUM_RISK_OPERATORS)}) AND (open >= 2 OR open = 1 AND large >= 1)),
+    f AS (SELECT root_id, root_ord, risk, pre, post, code AS arithmetic, replace(replace(name, '<operator>.', ''), 'shiftLeft', 'left-shift') AS op
+      FROM (SELECT *, row_number() OVER (PARTITION BY root_id, root_ord, risk ORDER BY pre) AS r FROM o) WHERE r = 1),
+    w AS (SELECT f.root_id, f.root_ord, f.risk, list(DISTINCT t.name) AS names FROM f JOIN {{ast}} t ON t.root_id = f.root_id AND t.root_ord = f.root_ord AND t.pre BETWEEN f.pre AND f.post AND t.kind = 'IDENTIFIER' GROUP BY ALL),
+    risky AS (SELECT f.*, coalesce(names, []) AS names FROM f LEFT JOIN w USING (root_id, root_ord, risk))"""
+_SIZES = f"z AS (SELECT id, method_id, file, line, {_case(dicts.OVERFLOW_SIZE, 'name')} AS root_ord FROM {{call}} WHERE name IN ({quoted(dicts.OVERFLOW_SIZE)}))"
+_UNGUARDED = f"""len(names) = 0 OR NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = x.method_id AND c.type = 'IF' AND c.line <= x.line AND (regexp_matches(c.condition, '{_LIMITS}')
+        OR contains(c.condition, '__builtin_') AND contains(c.condition, 'overflow') OR contains(c.condition, '/') AND regexp_matches(c.condition, '\\b(' || array_to_string(names, '|') || ')\\b')))"""
+_OVERFLOWS = f"""{_RISKY}, {_SIZES},
+    v AS (SELECT z.id, z.method_id, z.file, z.line, t.name, min(t.pre) AS place FROM z JOIN {{ast}} t ON t.root_id = z.id AND t.root_ord = z.root_ord WHERE t.kind = 'IDENTIFIER' GROUP BY ALL),
+    l AS (SELECT v.*, s.id AS assign_id, row_number() OVER (PARTITION BY v.id, v.name ORDER BY s.line DESC, s.id DESC) AS r FROM v JOIN {{assignment}} s ON s.method_id = v.method_id AND s.target = v.name AND s.line < v.line),
+    x AS (SELECT z.id, file, line, method_id, arithmetic, op, risk, names, CASE risk WHEN 'HIGH' THEN 1 ELSE 2 END AS phase, NULL AS size, 0 AS place FROM z JOIN risky ON risky.root_id = z.id AND risky.root_ord = z.root_ord
+      UNION ALL SELECT l.id, file, line, method_id, arithmetic, op, risk, names, 3, name, place FROM l JOIN risky ON risky.root_id = l.assign_id AND risky.root_ord = 0 AND risk = 'HIGH' WHERE r = 1),
+    found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file, method_id, line ORDER BY id, phase, place) AS nth FROM (SELECT * FROM x WHERE {_UNGUARDED})) WHERE nth = 1)"""
+
+
+@query(f"""WITH {_OVERFLOWS}
+    SELECT id, file, line, method_id, arithmetic, op, risk, CASE phase WHEN 3 THEN 'alloc_indirect_arithmetic' ELSE 'alloc_arithmetic' END AS issue_type, size FROM found""")
+def int_overflow_tree(g):
+    return detectors.integer_overflow_sizes(g)
+
+
+@query(f"WITH {_OVERFLOWS} SELECT id, method_id, line, size, arithmetic FROM found WHERE phase = 3")
 def int_overflow_indirect(g):
     return detectors.integer_overflow(g)
 
 
-@query(f"""
-    WITH l AS (SELECT c.id, c.method_id, c.line, a.code AS arithmetic FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.arg_index = {_case(dicts.SIZE_ARGUMENT)})
-    SELECT * FROM l WHERE regexp_matches(arithmetic, '{_FACTORS}')
-      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND regexp_matches(c.condition, '{_LIMITS}'))""")
+@query(f"WITH {_OVERFLOWS} SELECT id, method_id, line, arithmetic, op, risk FROM found WHERE phase < 3")
 def int_overflow_direct(g):
     return detectors.integer_overflow_direct(g)
 
 
+@query("""SELECT t.root_id, t.root_ord, t.method_id, count(*) AS nodes, count(*) FILTER (b.kind = 'CALL') AS calls, count(*) FILTER (b.kind = 'IDENTIFIER') AS identifiers, count(*) FILTER (b.kind = 'LITERAL') AS literals,
+      coalesce(string_agg(DISTINCT CASE WHEN b.kind = 'IDENTIFIER' THEN b.name END, ',' ORDER BY CASE WHEN b.kind = 'IDENTIFIER' THEN b.name END), '') AS names
+    FROM {ast} t JOIN {ast} b ON b.root_id = t.root_id AND b.root_ord = t.root_ord AND b.pre BETWEEN t.pre AND t.post WHERE t.pre = 0 GROUP BY t.root_id, t.root_ord, t.method_id""")
+def ast_descendants(g):
+    return trees.descendants(g)
+
+
+@query("""SELECT t.root_id, t.root_ord, t.pre, t.name, CAST(count(*) AS INT) AS children, string_agg(b.code, ' ; ' ORDER BY b.ord) AS operands
+    FROM {ast} t JOIN {ast} b ON b.root_id = t.root_id AND b.root_ord = t.root_ord AND b.parent = t.pre GROUP BY t.root_id, t.root_ord, t.pre, t.name""")
+def ast_children(g):
+    return trees.children(g)
+
+
 @query(f"""
     SELECT c.id, c.name, c.file, c.line, a.code AS format, CASE WHEN a.kind = 'IDENTIFIER' AND EXISTS (SELECT 1 FROM {{assignment}} s WHERE s.method_id = c.method_id AND s.target = a.code
       AND s.line < c.line AND regexp_matches(s.source, '\\b({"|".join(dicts.FORMAT_TAINT)})\\(')) THEN 'HIGH' ELSE 'MEDIUM' END AS confidence
@@ -476,10 +507,13 @@ def heap_overflow(g):
 
 
 @query(f"""
-    WITH h AS (SELECT id, method_id, name, name AS ptr, CAST(regexp_extract(type_full_name, '\\[([0-9]+)\\]', 1) AS INT) AS have FROM {{local}} WHERE regexp_matches(type_full_name, '\\[[0-9]+\\]')),
-    w AS ({_write_sql(dicts.STACK_WRITES)}), x AS (SELECT h.*, w.id AS write, w.name AS f, w.need FROM h JOIN w ON w.method_id = h.method_id AND {_TARGET})
+    WITH h AS (SELECT id, method_id, name, name AS ptr, line AS a, CAST(regexp_extract(type_full_name, '\\[([0-9]+)\\]', 1) AS INT) AS have FROM {{local}} WHERE regexp_matches(type_full_name, '\\[[0-9]+\\]')),
+    w AS ({_write_sql(dicts.STACK_WRITES)}), x AS (SELECT h.*, w.id AS write, w.name AS f, w.b, trim(w.need) AS need, try_cast(CASE WHEN regexp_full_match(trim(w.need), '-?[0-9]+') THEN trim(w.need) END AS BIGINT) AS number
+      FROM h JOIN w ON w.method_id = h.method_id AND {_TARGET})
     SELECT id, method_id, name, have, count(DISTINCT write) AS writes, CASE WHEN count(*) FILTER (f IN ('strcpy', 'gets', 'sprintf', 'vsprintf', 'strcat')) > 0 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence
-    FROM x WHERE need IS NULL OR CASE WHEN regexp_full_match(need, '[0-9]+') THEN CAST(need AS BIGINT) > have ELSE NOT contains(need, 'sizeof') END GROUP BY id, method_id, name, have""")
+    FROM x WHERE {_APART} AND (need IS NULL OR number > have OR number IS NULL AND NOT contains(need, 'sizeof') AND NOT regexp_matches(need, '\\b' || have || '\\b')
+      AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = x.method_id AND c.type = 'IF' AND c.line >= x.a AND c.line < x.b AND regexp_matches(c.condition, '[<>]') AND regexp_matches(c.condition, '\\b' || regexp_extract(need, '^\\w+') || '\\b')))
+    GROUP BY id, method_id, name, have""")
 def stack_overflow(g):
     return detectors.stack_overflow(g)
 
@@ -533,12 +567,14 @@ def null_deref_interproc(g):
     return detectors.null_deref_between(g)
 
 
-@query(f"""WITH {_CALLEES}, al AS (SELECT c.id AS allocation, c.method_id AS callee_id, trim(a.code) AS param FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.kind = 'IDENTIFIER' AND a.arg_index = {_case(dicts.SIZE_ARGUMENT)}),
-    i AS (SELECT ps.call_id AS id, ps.method_id, ps.line, trim(ps.code) AS code, ps.kind, ps.callee_id, al.allocation FROM ps JOIN al ON al.callee_id = ps.callee_id AND al.param = ps.param WHERE ps.callee_id <> ps.method_id),
-    l AS (SELECT id, method_id, line, code AS arithmetic, callee_id, allocation FROM i WHERE kind <> 'IDENTIFIER'
-      UNION SELECT id, method_id, line, source, callee_id, allocation FROM (SELECT i.*, s.source, row_number() OVER (PARTITION BY i.id, i.callee_id, i.allocation, i.code ORDER BY s.line DESC, s.id DESC) AS r
-        FROM i JOIN {{assignment}} s ON s.method_id = i.method_id AND s.target = i.code AND s.line < i.line WHERE i.kind = 'IDENTIFIER') WHERE r = 1)
-    SELECT DISTINCT * FROM l WHERE regexp_matches(arithmetic, '{_FACTORS}') AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = l.method_id AND c.type = 'IF' AND c.line <= l.line AND regexp_matches(c.condition, '{_LIMITS}'))""")
+@query(f"""WITH {_CALLEES}, {_RISKY}, {_SIZES},
+    i AS (SELECT DISTINCT cs.call_id AS id, cs.method_id, cs.line, p.ord AS root_ord, cs.callee_id, z.id AS allocation FROM z JOIN {{ast}} t ON t.root_id = z.id AND t.root_ord = z.root_ord AND t.pre = 0 AND t.kind = 'IDENTIFIER'
+      JOIN {{parameter}} p ON p.method_id = z.method_id AND p.name = t.name JOIN cs ON cs.callee_id = z.method_id WHERE cs.callee_id <> cs.method_id),
+    l AS (SELECT i.*, s.id AS assign_id, row_number() OVER (PARTITION BY i.id, i.root_ord, i.callee_id, i.allocation ORDER BY s.line DESC, s.id DESC) AS r
+      FROM i JOIN {{ast}} t ON t.root_id = i.id AND t.root_ord = i.root_ord AND t.pre = 0 AND t.kind = 'IDENTIFIER' JOIN {{assignment}} s ON s.method_id = i.method_id AND s.target = t.name AND s.line < i.line),
+    x AS (SELECT i.id, method_id, line, arithmetic, callee_id, allocation, names FROM i JOIN risky ON risky.root_id = i.id AND risky.root_ord = i.root_ord AND risk = 'HIGH'
+      UNION ALL SELECT l.id, method_id, line, arithmetic, callee_id, allocation, names FROM l JOIN risky ON risky.root_id = l.assign_id AND risky.root_ord = 0 AND risk = 'HIGH' WHERE r = 1)
+    SELECT DISTINCT id, method_id, line, arithmetic, callee_id, allocation FROM x WHERE {_UNGUARDED}""")
 def int_overflow_interproc(g):
     return detectors.integer_overflow_between(g)
 
@@ -555,6 +591,94 @@ def findings_with_entry(g):
     return detectors.worst_first(iterate.with_entry(g, sites, dicts.EXTERNAL_INPUTS), ["line", "id"], limit=200)
 
 
+# --- data flow over control flow
+
+_DEFINED = r"""n AS (SELECT DISTINCT method_id, node FROM (SELECT method_id, src AS node FROM {cfg} UNION ALL SELECT method_id, dst FROM {cfg})),
+    p AS (SELECT n.method_id, c.line, max(n.node) AS node FROM n JOIN {call} c ON c.id = n.node GROUP BY n.method_id, c.line),
+    d AS (SELECT p.node, a.target AS var, max(a.id) AS assign_id FROM {assignment} a JOIN p ON p.method_id = a.method_id AND p.line = a.line WHERE regexp_full_match(a.target, '[A-Za-z_]\w*') GROUP BY p.node, a.target),
+    e AS (SELECT DISTINCT src, dst FROM {cfg}),
+    r AS (SELECT e.dst AS node, d.var, d.assign_id FROM d JOIN e ON e.src = d.node
+      UNION SELECT e.dst, r.var, r.assign_id FROM r JOIN e ON e.src = r.node WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.node = r.node AND d.var = r.var))"""
+
+
+@query("WITH RECURSIVE " + _DEFINED + " SELECT node, var, assign_id FROM r")
+def reaching_definitions(g):
+    return dataflow.reaching_definitions(g)
+
+
+@query("WITH RECURSIVE " + _DEFINED + " SELECT DISTINCT a.call_id, r.var, r.assign_id FROM {argument} a JOIN r ON r.node = a.call_id AND r.var = trim(a.code) WHERE a.kind = 'IDENTIFIER'")
+def uses_reached(g):
+    return dataflow.uses_reached(g)
+
+
+#: b: a node c from which the ends can be reached without the node n (so n post-dominates no such c); u: nodes that reach an end.
+_DECIDED = """e AS (SELECT DISTINCT method_id, src, dst FROM {cfg}), x AS (SELECT method_id, src AS n FROM e UNION SELECT method_id, dst FROM e),
+    z AS (SELECT * FROM x WHERE n NOT IN (SELECT src FROM e)),
+    b AS (SELECT x.method_id, z.n AS c, x.n FROM z JOIN x ON x.method_id = z.method_id AND x.n <> z.n UNION SELECT b.method_id, e.src, b.n FROM b JOIN e ON e.method_id = b.method_id AND e.dst = b.c AND e.src <> b.n),
+    u AS (SELECT n AS c FROM z UNION SELECT e.src FROM u JOIN e ON e.dst = u.c),
+    cd AS (SELECT DISTINCT t.method_id, x.n AS node, t.src AS branch FROM e t JOIN x ON x.method_id = t.method_id
+      WHERE t.dst IN (SELECT c FROM u) AND x.n IN (SELECT c FROM u) AND NOT EXISTS (SELECT 1 FROM b WHERE b.c = t.dst AND b.n = x.n) AND (t.src = x.n OR EXISTS (SELECT 1 FROM b WHERE b.c = t.src AND b.n = x.n)))"""
+
+
+@query("WITH RECURSIVE " + _DECIDED + " SELECT method_id, node, branch FROM cd")
+def control_dependence(g):
+    return dataflow.control_dependence(g)
+
+
+@query("WITH RECURSIVE " + _DECIDED + """, y AS (SELECT node, branch, 1 AS hops FROM cd UNION SELECT y.node, cd.branch, hops + 1 FROM y JOIN cd ON cd.node = y.branch WHERE hops < 12)
+    SELECT node, branch, CAST(min(hops) AS INT) AS hops FROM y GROUP BY node, branch""")
+def controlled_by(g):
+    return dataflow.controlled_by(g)
+
+
+@query("""SELECT method_id, seed_line, id, type, condition, line, n > 30 AS more FROM (SELECT s.method_id, s.seed_line, c.id, c.type, c.condition, c.line, row_number() OVER (PARTITION BY s.method_id, s.seed_line ORDER BY c.line, c.id) AS r,
+      count(*) OVER (PARTITION BY s.method_id, s.seed_line) AS n FROM (SELECT DISTINCT method_id, line AS seed_line FROM {call} WHERE name = 'system') s JOIN {control} c ON c.method_id = s.method_id AND c.line > 0 AND c.line < s.seed_line) WHERE r <= 30""")
+def slice_controls(g):
+    return dataflow.slice_controls(g, g.call.where("name = 'system'").select("method_id", "line"))
+
+
+_SUMMARIES = f"""q AS (SELECT DISTINCT c.method_id, p.name AS param, CASE WHEN c.name IN ('free', 'cfree') AND trim(g.code) = p.name AND g.arg_index = 1 THEN 'frees'
+        WHEN trim(g.code) = p.name AND g.arg_index = {_case(dicts.OVERFLOW_SIZE)} THEN 'allocates' WHEN c.name NOT IN ({quoted(dicts.DEREF_EXEMPT)}) AND (c.callee_id IS NULL OR trim(g.code) <> p.name) THEN 'uses' END AS effect
+      FROM {{call}} c JOIN {{argument}} g ON g.call_id = c.id JOIN {{parameter}} p ON p.method_id = c.method_id AND {_USE.replace("g.code", "trim(g.code)").replace("s.ptr", "p.name")}),
+    h AS (SELECT DISTINCT c.id AS call_id, c.method_id, c.line, trim(g.code) AS ptr, c.callee_id, p.name AS param FROM {{call}} c JOIN {{argument}} g ON g.call_id = c.id AND g.kind = 'IDENTIFIER' JOIN {{parameter}} p ON p.method_id = c.callee_id AND p.ord = g.arg_index),
+    t AS (SELECT DISTINCT h.method_id, h.ptr, h.callee_id, h.param FROM h JOIN {{parameter}} p ON p.method_id = h.method_id AND p.name = h.ptr),
+    s0 AS (SELECT method_id, param, effect, 0 AS hops FROM q WHERE effect IS NOT NULL UNION SELECT t.method_id, t.ptr, s0.effect, s0.hops + 1 FROM s0 JOIN t ON t.callee_id = s0.method_id AND t.param = s0.param WHERE hops < 20),
+    sm AS (SELECT method_id, param, effect, CAST(min(hops) AS INT) AS hops FROM s0 GROUP BY method_id, param, effect)"""
+
+
+@query(f"WITH RECURSIVE {_SUMMARIES} SELECT * FROM sm")
+def method_summaries(g):
+    return dataflow.summaries(g)
+
+
+_MET = f"""fr AS (SELECT id AS site, method_id, arg AS ptr, line, 0 AS hops FROM ({_FREES}) f UNION ALL SELECT call_id, h.method_id, ptr, line, min(hops) + 1 FROM h JOIN sm ON sm.method_id = h.callee_id AND sm.param = h.param AND effect = 'frees' GROUP BY call_id, h.method_id, ptr, line),
+    us AS (SELECT call_id, h.method_id, ptr, line, min(hops) + 1 AS hops FROM h JOIN sm ON sm.method_id = h.callee_id AND sm.param = h.param AND effect = 'uses' GROUP BY call_id, h.method_id, ptr, line)"""
+
+
+@query(f"""WITH RECURSIVE {_SUMMARIES}, {_MET},
+    x AS (SELECT fr.method_id, fr.ptr, fr.line AS a, us.line AS b, fr.hops AS free_hops, us.hops AS use_hops FROM fr JOIN us ON us.method_id = fr.method_id AND us.ptr = fr.ptr AND us.line > fr.line
+      UNION SELECT s.method_id, s.ptr, s.line, g.line, s.hops, 0 FROM fr s JOIN {{argument}} g ON g.method_id = s.method_id AND g.line > s.line AND {_USE}
+        WHERE s.hops > 0 AND g.call_id NOT IN (SELECT id FROM {{call}} WHERE name IN ('free', 'cfree') OR callee_id IS NOT NULL))
+    SELECT method_id, ptr, a AS line, b AS use_line, CAST(min(free_hops) AS INT) AS free_hops, CAST(min(use_hops) AS INT) AS use_hops FROM x WHERE {_CLEAR}{_RETURN} GROUP BY method_id, ptr, a, b""")
+def use_after_free_deep(g):
+    return detectors.use_after_free_deep(g)
+
+
+@query(f"""WITH RECURSIVE {_SUMMARIES}, {_MET},
+    x AS (SELECT p.method_id, p.ptr, p.line AS a, q.line AS b, p.hops + q.hops AS hops FROM fr p JOIN fr q ON p.method_id = q.method_id AND p.ptr = q.ptr AND q.line > p.line WHERE p.hops + q.hops > 0)
+    SELECT method_id, ptr, a AS line, b AS second, CAST(min(hops) AS INT) AS hops FROM x WHERE {_CLEAR}{_RETURN} GROUP BY method_id, ptr, a, b""")
+def double_free_deep(g):
+    return detectors.double_free_deep(g)
+
+
+@query(f"""WITH RECURSIVE {_SUMMARIES}, {_MET}, al AS ({_ALLOC.format(names=quoted(dicts.ALLOCATORS))}), n AS ({_NULLS}),
+    x AS (SELECT al.method_id, al.ptr, al.line AS a, us.line AS b, us.hops FROM al JOIN us ON us.method_id = al.method_id AND us.ptr = al.ptr AND us.line > al.line)
+    SELECT method_id, ptr, a AS line, b AS use_line, CAST(min(hops) AS INT) AS hops FROM x WHERE {_CLEAR} AND {_NO_EXIT}
+      AND NOT EXISTS (SELECT 1 FROM n WHERE n.method_id = x.method_id AND n.ptr = x.ptr AND n.line > x.a AND n.line <= x.b) GROUP BY method_id, ptr, a, b""")
+def null_deref_deep(g):
+    return detectors.null_deref_deep(g)
+
+
 # --- scalar functions
 
 

@@ -25,6 +25,18 @@ def _text(x: str) -> str:
     return f"CAST({x} AS VARCHAR(20))"
 
 
+#: Arithmetic in an argument, by its left and right operand.
+_LEFT = f"CASE p % 5 WHEN 1 THEN 'v' || {_text('s % 6')} WHEN 4 THEN 'v' || {_text('s % 6')} ELSE 'n' || {_text('p % 4')} END"
+_RIGHT = f"CASE p % 5 WHEN 0 THEN 'v' || {_text('s % 6')} WHEN 1 THEN '3' WHEN 2 THEN 'v' || {_text('s % 6')} WHEN 3 THEN '16' ELSE CASE WHEN p % 2 = 0 THEN '8' ELSE '65536' END END"
+_SIGN = "CASE p % 5 WHEN 1 THEN ' << ' WHEN 2 THEN ' + ' WHEN 4 THEN ' - ' ELSE ' * ' END"
+_SIGN_NAME = "'<operator>.' || CASE p % 5 WHEN 1 THEN 'shiftLeft' WHEN 2 THEN 'addition' WHEN 4 THEN 'subtraction' ELSE 'multiplication' END"
+_ARITHMETIC = f"{_LEFT} || {_SIGN} || {_RIGHT}"
+
+
+def _kind(code: str) -> str:
+    return f"CASE WHEN substr({code}, 1, 1) IN ('0', '1', '2', '3', '4', '5', '6', '7', '8', '9', '\"') THEN 'LITERAL' ELSE 'IDENTIFIER' END"
+
+
 PROJECTION: dict[str, str] = {
     "method": f"""
         SELECT c_custkey AS id, 'fn_' || {_text("c_custkey")} AS name, 'src/fn_' || {_text("c_custkey")} AS full_name,
@@ -38,8 +50,8 @@ PROJECTION: dict[str, str] = {
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber""",
     "placed": """
         SELECT r.id, r.method_id, p, s, q, flag, CAST(m.line + r.at AS INT) AS line, m.file, (p * 7 + s) % 48 AS k,
-          (p * 7 + s) % (SELECT count(*) FROM {customer}) AS callee_id
-        FROM {raw} r JOIN {method} m ON r.method_id = m.id""",
+          CASE WHEN (p * 7 + s) % n % 10 = 0 THEN (p * 7 + s) % n + 1 ELSE (p * 7 + s) % n END AS callee_id
+        FROM {raw} r JOIN {method} m ON r.method_id = m.id CROSS JOIN (SELECT count(*) AS n FROM {customer}) customers""",
     "parameter": f"""
         SELECT c_custkey * 2 + i AS id, c_custkey AS method_id, 'v' || {_text("(c_custkey + i) % 6")} AS name,
           CASE i WHEN 0 THEN 'int' ELSE 'char*' END AS type_full_name, CAST(i + 1 AS INT) AS ord
@@ -50,9 +62,10 @@ PROJECTION: dict[str, str] = {
           CAST(min(m.line) AS INT) AS line
         FROM {{orders}} JOIN {{method}} m ON o_custkey = m.id GROUP BY o_custkey, o_orderkey % 6""",
     "argument": f"""
-        SELECT id AS call_id, method_id, CAST(1 AS INT) AS arg_index, CASE WHEN q % 7 = 0 THEN 'LITERAL' WHEN q % 7 = 1 THEN 'CALL' ELSE 'IDENTIFIER' END AS kind,
-          CASE WHEN q % 7 = 0 THEN '"s' || {_text("q")} || '"' WHEN q % 7 = 1 THEN 'v' || {_text("s % 6")} || '->f' ELSE 'v' || {_text("s % 6")} END AS code,
-          line, CASE WHEN q % 7 > 1 THEN method_id * 8 + s % 6 END AS decl_id FROM {{placed}}
+        SELECT id AS call_id, method_id, CAST(1 AS INT) AS arg_index, CASE WHEN q % 7 = 0 THEN 'LITERAL' WHEN q % 7 <= 2 THEN 'CALL' ELSE 'IDENTIFIER' END AS kind,
+          CASE WHEN q % 7 = 0 THEN '"s' || {_text("q")} || '"' WHEN q % 7 = 1 THEN 'v' || {_text("s % 6")} || '->f'
+            WHEN q % 7 = 2 THEN {_ARITHMETIC} WHEN q % 7 = 3 AND p % 40 = 0 THEN 'fn_' || {_text("s * 10")} ELSE 'v' || {_text("s % 6")} END AS code,
+          line, CASE WHEN q % 7 > 2 THEN method_id * 8 + s % 6 END AS decl_id FROM {{placed}}
         UNION ALL
         SELECT id, method_id, CAST(2 AS INT), CASE WHEN p % 3 = 0 THEN 'LITERAL' ELSE 'IDENTIFIER' END,
           CASE WHEN p % 3 = 0 THEN {_text("q * 3")} ELSE 'v' || {_text("p % 6")} END, line, CASE WHEN p % 3 <> 0 THEN method_id * 8 + p % 6 END FROM {{placed}}
@@ -72,7 +85,7 @@ PROJECTION: dict[str, str] = {
         SELECT id * 4 + 2, method_id, line, 'v' || {_text("p % 6")}, {_NAME} || '(' || {_text("q")} || ')' FROM {{placed}} WHERE k IN (2, 3, 4, 5, 15, 17, 19, 23)""",
     "control": f"""
         SELECT o_orderkey AS id, o_custkey AS method_id, CASE o_orderkey % 5 WHEN 0 THEN 'FOR' WHEN 1 THEN 'WHILE' ELSE 'IF' END AS type,
-          CASE o_orderkey % 4 WHEN 0 THEN 'v' || {_text("o_orderkey % 6")} || ' < n' || {_text("o_orderkey % 3")} WHEN 1 THEN '!v' || {_text("o_orderkey % 6")}
+          CASE o_orderkey % 4 WHEN 0 THEN CASE WHEN o_orderkey % 40 = 8 THEN 'n1 > SIZE_MAX / v2' WHEN o_orderkey % 40 = 16 THEN 'n2 > 9000 / v' || {_text("o_orderkey % 5")} ELSE 'v' || {_text("o_orderkey % 6")} || ' < n' || {_text("o_orderkey % 3")} END WHEN 1 THEN '!v' || {_text("o_orderkey % 6")}
             WHEN 2 THEN 'v' || {_text("o_orderkey % 6")} || ' == NULL' ELSE 'v' || {_text("o_orderkey % 6")} END AS condition,
           CAST(m.line + 1 + o_orderkey % 30 AS INT) AS line, CAST(m.line + 1 + o_orderkey % 30 + o_orderkey % 9 AS INT) AS line_end
         FROM {{orders}} JOIN {{method}} m ON o_custkey = m.id""",
@@ -95,11 +108,33 @@ PROJECTION: dict[str, str] = {
     "cfg": """
         SELECT src, dst, method_id, label FROM (
           SELECT id AS src, lead(id) OVER (PARTITION BY method_id ORDER BY line, id) AS dst, method_id,
-            CASE WHEN flag = 'A' THEN 'TRUE' ELSE '' END AS label FROM {placed}) x WHERE dst IS NOT NULL""",
+            CASE WHEN flag = 'A' THEN 'TRUE' ELSE '' END AS label FROM {placed}) x WHERE dst IS NOT NULL
+        UNION ALL SELECT src, dst, method_id, 'FALSE' FROM (
+          SELECT id AS src, lead(id, 4) OVER (PARTITION BY method_id ORDER BY line, id) AS dst, method_id, q FROM {placed}) x WHERE dst IS NOT NULL AND q % 7 = 3
+        UNION ALL SELECT src, dst, method_id, 'TRUE' FROM (
+          SELECT id AS src, lag(id, 3) OVER (PARTITION BY method_id ORDER BY line, id) AS dst, method_id, q FROM {placed}) x WHERE dst IS NOT NULL AND q % 11 = 5""",
     "ddg": """
         SELECT src, dst FROM (
           SELECT user_id * 40 + event_id % 40 AS src, lead(user_id * 40 + event_id % 40) OVER (PARTITION BY user_id ORDER BY event_id) AS dst FROM {events}) x
         WHERE dst IS NOT NULL AND src <> dst GROUP BY src, dst""",
+    "ast": f"""
+        WITH x AS (
+          SELECT a.method_id, call_id AS root_id, arg_index AS root_ord, kind, code, a.line, p, s, q, '' AS name, 0 AS form FROM {{argument}} a JOIN {{placed}} r ON r.id = a.call_id AND arg_index <> 1
+          UNION ALL SELECT a.method_id, call_id, arg_index, a.kind, a.code, a.line, p, s, q, '', CASE q % 7 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END FROM {{argument}} a JOIN {{placed}} r ON r.id = a.call_id AND arg_index = 1
+          UNION ALL SELECT a.method_id, a.id, 0, CASE WHEN p % 5 IN (1, 2, 4) THEN 'CALL' ELSE 'IDENTIFIER' END, source, a.line, p, s, q, {_NAME}, CASE p % 5 WHEN 1 THEN 3 WHEN 2 THEN 4 WHEN 4 THEN 5 ELSE 0 END
+            FROM {{assignment}} a JOIN {{placed}} r ON a.id = r.id * 4 + 1
+          UNION ALL SELECT a.method_id, a.id, 0, 'CALL', source, a.line, p, s, q, {_NAME}, 6 FROM {{assignment}} a JOIN {{placed}} r ON a.id = r.id * 4 + 2),
+        y AS (
+          SELECT x.*, 0 AS pre, CASE form WHEN 0 THEN 0 WHEN 3 THEN 1 WHEN 6 THEN 1 WHEN 4 THEN 3 ELSE 2 END AS post, -1 AS parent, 1 AS ord, kind AS node,
+            CASE form WHEN 0 THEN code WHEN 1 THEN '<operator>.indirectFieldAccess' WHEN 2 THEN {_SIGN_NAME} WHEN 3 THEN '<operator>.addressOf' WHEN 5 THEN '<operator>.addition' ELSE name END AS node_name, code AS node_code FROM x
+          UNION ALL SELECT x.*, 1, CASE form WHEN 4 THEN 3 ELSE 1 END, 0, 1, CASE form WHEN 4 THEN 'CALL' WHEN 6 THEN 'LITERAL' ELSE 'IDENTIFIER' END,
+            CASE form WHEN 1 THEN 'v' || {_text("s % 6")} WHEN 2 THEN {_LEFT} WHEN 3 THEN 'v' || {_text("s % 6")} WHEN 4 THEN '<operator>.multiplication' WHEN 5 THEN 'v' || {_text("s % 6")} ELSE {_text("q")} END,
+            CASE form WHEN 1 THEN 'v' || {_text("s % 6")} WHEN 2 THEN {_LEFT} WHEN 3 THEN 'v' || {_text("s % 6")} WHEN 4 THEN 'n' || {_text("p % 4")} || ' * v1' WHEN 5 THEN 'v' || {_text("s % 6")} ELSE {_text("q")} END FROM x WHERE form > 0
+          UNION ALL SELECT x.*, 2, 2, CASE form WHEN 4 THEN 1 ELSE 0 END, CASE form WHEN 4 THEN 1 ELSE 2 END, CASE form WHEN 1 THEN 'FIELD' WHEN 2 THEN {_kind(_RIGHT)} WHEN 4 THEN 'IDENTIFIER' ELSE 'LITERAL' END,
+            CASE form WHEN 1 THEN 'f' WHEN 2 THEN {_RIGHT} WHEN 4 THEN 'n' || {_text("p % 4")} ELSE '1' END, CASE form WHEN 1 THEN 'f' WHEN 2 THEN {_RIGHT} WHEN 4 THEN 'n' || {_text("p % 4")} ELSE '1' END FROM x WHERE form IN (1, 2, 4, 5)
+          UNION ALL SELECT x.*, 3, 3, 1, 2, 'IDENTIFIER', 'v1', 'v1' FROM x WHERE form = 4)
+        SELECT method_id, root_id, CAST(root_ord AS INT) AS root_ord, CAST(pre AS INT) AS pre, CAST(post AS INT) AS post, CAST(parent AS INT) AS parent, CAST(ord AS INT) AS ord,
+          node AS kind, node_name AS name, node_code AS code, line FROM y""",
     "cdg": """
         SELECT c.id AS control_id, k.id AS call_id FROM {control} c JOIN {call} k
           ON c.method_id = k.method_id AND k.line > c.line AND k.line <= c.line_end""",

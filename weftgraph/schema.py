@@ -17,5 +17,6 @@ TABLES: dict[str, str] = {
     "member": "type_id long, name string, type_full_name string, ord int",
     "cfg": "src long, dst long, method_id long, label string",
     "ddg": "src long, dst long",
+    "ast": "method_id long, root_id long, root_ord int, pre int, post int, parent int, ord int, kind string, name string, code string, line int",
     "cdg": "control_id long, call_id long",
 }
