@@ -117,3 +117,28 @@ def test_confidence_by_entry(spark):
     findings = spark.createDataFrame([(5, 7), (6, 2), (4, 9)], "id long, method_id long")
     got = detectors.worst_first(iterate.with_entry(g, findings, dicts.EXTERNAL_INPUTS), ["id"]).orderBy("issue").collect()
     assert [(r.id, r.confidence, r.hops) for r in got] == [(6, "HIGH", 1), (4, "MEDIUM", None), (5, "MEDIUM", None)]
+
+
+def test_first_flows_are_the_first_of_all(spark):
+    """Also where most beginnings meet a node twice, and ids differ in their number of digits."""
+    import random
+
+    rng = random.Random(5)
+    for _ in range(3):
+        ids = rng.sample([1, 2, 3, 12, 13, 100, 101, 23, 31, 7, 70, 700], 10)
+        edges = sorted({(a, b) for a, b in ((rng.choice(ids), rng.choice(ids)) for _ in range(26)) if a != b})
+        g = Graph.of(spark, {"ddg": spark.createDataFrame(edges, "src long, dst long")})
+        nodes = lambda x: spark.createDataFrame([(i,) for i in x], "node long")
+        sources, sinks, clean = nodes(ids[:3]), nodes(ids[3:5]), nodes(ids[5:6])
+        every = sorted(iterate.flows_between(g, sources, sinks, 6, sanitizers=clean).collect(), key=lambda r: (r.length, r.path))
+        for limit in (1, 4, 9):
+            assert iterate.flows_between(g, sources, sinks, 6, limit, clean).collect() == every[:limit]
+
+
+def test_first_flows_of_a_wide_graph_build_few(spark, monkeypatch):
+    """Ten layers of twenty nodes, each to all of the next: 20^9 paths, of which the first are found without the rest."""
+    edges = [(100 * k + i, 100 * k + 100 + j) for k in range(9) for i in range(20) for j in range(20)]
+    g = Graph.of(spark, {"ddg": spark.createDataFrame(edges, "src long, dst long")})
+    ends = lambda k: spark.createDataFrame([(100 * k + i,) for i in range(20)], "node long")
+    got = iterate.flows_between(g, ends(0), ends(9), 9, 5).collect()
+    assert [r.path for r in got] == ["0>" + ">".join(str(100 * k) for k in range(1, 9)) + f">{x}" for x in (900, 901, 902, 903, 904)]

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..graph import Graph
-from ..operators import trees
 from ..schema import TABLES
 
 _TOKEN = re.compile(r"""\s+|//[^\n]*|/\*.*?\*/|^[ \t]*\#[^\n]*|(?P<t>[A-Za-z_]\w*|\d[\w.]*|"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*'|->|\+\+|--|<<=?|>>=?|[-+*/%&|^=!<>]=|&&|\|\||.)""", re.S | re.M)
@@ -315,11 +314,10 @@ def graph_of(sources: DataFrame) -> tuple[Graph, DataFrame]:
     def table(name: str, schema: str) -> DataFrame:
         return rows.where(F.col("name") == name).select(F.from_json("row", schema).alias("r")).select("r.*")
 
-    tables = {name: table(name, schema) for name, schema in TABLES.items()}
+    tables = {name: table(name, schema) for name, schema in TABLES.items() if name != "ast"}
     owner = tables["method"].groupBy("name").agg(F.min("id").alias("callee"))
     tables["call"] = tables["call"].join(owner, "name", "left").select(*(F.col("callee").alias(c) if c == "callee_id" else F.col(c) for c in tables["call"].columns))
     inside = tables["control"].select(F.col("id").alias("control_id"), F.col("method_id").alias("m"), F.col("line").alias("c0"), "line_end")
     k = tables["call"].select(F.col("id").alias("call_id"), "method_id", "line")
     tables["cdg"] = k.join(inside, (F.col("method_id") == F.col("m")) & (F.col("line") > F.col("c0")) & (F.col("line") <= F.col("line_end"))).select("control_id", "call_id")
-    tables["ast"] = trees.syntax(Graph.of(sources.sparkSession, tables))
     return Graph.of(sources.sparkSession, tables), table("place", "method_id long, place int, line int")

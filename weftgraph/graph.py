@@ -22,8 +22,17 @@ class Graph:
 
     @classmethod
     def of(cls, spark: SparkSession, tables: dict[str, DataFrame]) -> Graph:
-        """From given tables; a missing one is empty."""
-        return cls(spark, lambda name: tables[name] if name in tables else spark.createDataFrame([], TABLES[name]))
+        """From given tables; a missing one is empty, but syntax trees come out of the codes of expressions."""
+
+        def load(name: str) -> DataFrame:
+            if name == "ast" and name not in tables:
+                from .operators.trees import syntax
+
+                return syntax(g)
+            return tables[name] if name in tables else spark.createDataFrame([], TABLES[name])
+
+        g = cls(spark, load)
+        return g
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:

@@ -331,16 +331,24 @@ def _calls_of(g: Graph, names: list[str]) -> DataFrame:
     return g.call.where(P.any_of(F.col("name"), names)).select(F.col("id").alias("node"))
 
 
-@query(f"""WITH RECURSIVE sinks AS (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SINKS["c"])})), clean AS (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.SANITIZERS["c"])})),
+_FLOWS = f"""WITH RECURSIVE sinks AS (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SINKS["c"])})), clean AS (SELECT id FROM {{call}} WHERE name IN ({quoted(dicts.SANITIZERS["c"])})),
     e AS (SELECT DISTINCT src, dst, dst IN (SELECT id FROM sinks) AS ends FROM {{ddg}}),
     w AS (SELECT id AS source, id AS node, [id] AS path, false AS ends FROM {{call}} WHERE name IN ({quoted(dicts.TAINT_SOURCES["c"])})
       UNION ALL SELECT w.source, e.dst, list_append(w.path, e.dst), e.ends FROM w JOIN e ON w.node = e.src
         WHERE NOT w.ends AND len(w.path) <= 8 AND NOT list_contains(w.path, e.dst) AND (e.ends OR e.dst NOT IN (SELECT id FROM clean)))
-    SELECT source, node AS sink, CAST(len(path) AS INT) AS length, array_to_string(path, '>') AS path FROM w WHERE ends""")
+    SELECT source, node AS sink, CAST(len(path) AS INT) AS length, array_to_string(path, '>') AS path FROM w WHERE ends"""
+
+
+@query(_FLOWS)
 def taint_flows_between(g):
     return iterate.flows_between(g, _calls_of(g, dicts.TAINT_SOURCES["c"]), _calls_of(g, dicts.TAINT_SINKS["c"]), sanitizers=_calls_of(g, dicts.SANITIZERS["c"]))
 
 
+@query(_FLOWS + " ORDER BY length, path LIMIT 20")
+def taint_flows_first(g):
+    return iterate.flows_between(g, _calls_of(g, dicts.TAINT_SOURCES["c"]), _calls_of(g, dicts.TAINT_SINKS["c"]), limit=20, sanitizers=_calls_of(g, dicts.SANITIZERS["c"]))
+
+
 @query("""WITH cs AS (SELECT callee_id FROM {call} WHERE callee_id IS NOT NULL UNION SELECT m.id FROM {call} c JOIN {method} m ON m.name = c.name WHERE c.dispatch_type = 'DYNAMIC_DISPATCH'),
     x AS (SELECT call_id AS site, method_id AS at_method, line, ltrim(code, '&') AS name FROM {argument} WHERE kind <> 'LITERAL' UNION SELECT id, method_id, line, ltrim(source, '&') FROM {assignment})
     SELECT DISTINCT m.id AS method_id, m.name, site, at_method, x.line FROM {method} m JOIN x ON x.name = m.name WHERE NOT m.is_external AND m.id NOT IN (SELECT callee_id FROM cs)""")
