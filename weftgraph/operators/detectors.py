@@ -18,6 +18,7 @@ from ..functions import predicates as P
 from ..graph import Graph
 from . import dataflow, trees
 from .iterate import callees, cut, passed
+from .order import numbered
 
 DETECTORS: dict[str, tuple[str, Callable[..., DataFrame]]] = {}
 
@@ -475,6 +476,6 @@ def worst_first(findings: DataFrame, order: list[str], limit: int | None = None)
     """Findings numbered HIGH first, then by ``order`` (which ends in a unique column): column issue."""
     rank = F.when(F.col("confidence") == "HIGH", 0).otherwise(1)
     place = [rank, *map(F.col, order)]
-    if limit:
-        findings = findings.orderBy(*place).limit(limit)
-    return findings.withColumn("issue", F.row_number().over(W.orderBy(*place)))
+    if not limit:
+        return numbered(findings, place)
+    return findings.orderBy(*place).limit(limit).withColumn("issue", F.row_number().over(W.orderBy(*place)))

@@ -10,20 +10,20 @@ from pyspark.sql import functions as F
 from ..functions import dicts
 from ..functions import predicates as P
 from ..graph import Graph
-from ..operators import browse, catalog, dataflow, detectors, iterate, trees
+from ..operators import browse, catalog, dataflow, detectors, iterate, order, sql, trees
 from ..project import oracle, projected
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None) -> Callable:
+def query(twin: str | None) -> Callable:
     """Register f(graph) with its SQL over graph tables in braces."""
 
     def register(f: Callable[[Graph], DataFrame]) -> Callable[[Graph], DataFrame]:
         QUERIES[f.__name__] = lambda spark, sf_dir: f(projected(spark, sf_dir))
-        if sql:
-            ORACLE_SQL[f.__name__] = oracle(sql)
+        if twin:
+            ORACLE_SQL[f.__name__] = oracle(twin)
         return f
 
     return register
@@ -599,6 +599,29 @@ def findings_with_entry(g):
     return detectors.worst_first(iterate.with_entry(g, sites, dicts.EXTERNAL_INPUTS), ["line", "id"], limit=200)
 
 
+# --- numbers, caps, raw SQL
+
+
+@query("SELECT id, file, line, CAST(row_number() OVER (ORDER BY file, line, id) AS BIGINT) AS issue FROM {call}")
+def findings_numbered(g):
+    return order.numbered(g.call.select("id", "file", "line"), ["file", "line", "id"])
+
+
+@query("""WITH r AS (SELECT id, name, code, file, line, row_number() OVER w AS n, sum(strlen(CAST(id AS VARCHAR)) + strlen(name) + strlen(code) + strlen(file) + strlen(CAST(line AS VARCHAR))) OVER (w ROWS UNBOUNDED PRECEDING) AS b
+      FROM {call} WINDOW w AS (ORDER BY file, line, id))
+    SELECT id, name, code, file, line, (SELECT count(*) FROM {call}) > count(*) OVER () AS truncated FROM r WHERE n <= 3000 AND b <= 100000""")
+def findings_capped(g):
+    return order.capped(g.call.select("id", "name", "code", "file", "line"), ["file", "line", "id"], 3000, 100_000)
+
+
+_RAW = "WITH busy AS (SELECT method_id, count(*) AS calls FROM call GROUP BY method_id HAVING count(*) > 3) SELECT m.id, m.name, busy.calls, (SELECT max(line) FROM ret) AS last FROM method m JOIN busy ON m.id = busy.method_id WHERE EXISTS (SELECT 1 FROM local l WHERE l.method_id = m.id) ORDER BY busy.calls DESC, m.id LIMIT 500"
+
+
+@query(_RAW.replace("FROM call", "FROM {call}").replace("FROM method", "FROM {method}").replace("FROM ret", "FROM {ret}").replace("FROM local", "FROM {local}"))
+def raw_sql(g):
+    return sql.run_sql(g, _RAW)
+
+
 # --- data flow over control flow
 
 _DEFINED = r"""n AS (SELECT DISTINCT method_id, node FROM (SELECT method_id, src AS node FROM {cfg} UNION ALL SELECT method_id, dst FROM {cfg})),
