@@ -2,7 +2,7 @@
 
 Each task counts terms in byte tries, one for each language, with a counter for each source
 at the leaves; a trie that grows large is handed on and a new one begun.  The leaves are
-partitioned by ranges of (language, term), so a task gets all leaves of a range of
+partitioned by ranges of terms, so a task gets all leaves of a range of
 prefixes in byte order, merges equal ones in a trie again and keeps those of enough documents.
 A traversal of the merged tries in byte order (that of UTF-8) then gives, for each pair of
 sources, the sum over the terms it has seen, and for each source its first candidates.
@@ -20,19 +20,20 @@ the bytes of their item; extra columns are left alone; no rows give none.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import give_back, slices, stored
 
 SCALE, LEAST_DOCUMENTS, RANKS = 1_000_000_000, 3, 200
-#: Leaves of a trie before it is handed on; leaves of merged tries read at once; counters worked on at once.
-LEAVES, HELD, PROFILES = 200_000, 20_000, 50_000
+#: Counters of a task's tries before they are handed on; leaves of a merged trie; rows of a batch; counters worked on at once.
+COUNTERS, HELD, ROWS, PROFILES = 600_000, 20_000, 10_000, 50_000
 #: Cells of a block of pair sums.
 CELLS = 4 << 20
 
@@ -41,7 +42,7 @@ _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 
 class Trie:
-    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf {source: count} with the documents under None.
+    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf {source: count}.
 
     ``found`` has the leaves by term, so that a term walks down from the root once.
     """
@@ -81,9 +82,12 @@ class Trie:
         return node
 
     def add(self, counts: dict[bytes, int], source) -> None:
-        """Counts of terms in a source (None: documents)."""
+        """Counts of terms in a source."""
+        known = self.found.get
         for term, n in counts.items():
-            leaf = self.leaf(term)
+            leaf = known(term)
+            if leaf is None:
+                leaf = self.leaf(term)
             leaf[source] = leaf.get(source, 0) + n
 
     def leaves(self) -> Iterator[tuple[bytes, dict]]:
@@ -97,70 +101,133 @@ class Trie:
             open_nodes.extend((prefix, node[1][b]) for b in sorted(node[1], reverse=True))
 
 
-_LEAVES = "lang string, term binary, documents long, sources array<string>, counts array<long>"
-_LEAF = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("documents", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+_LEAVES = "term binary, lang string, documents long, leaf binary"
+_MERGED = "lang string, term binary, sources array<string>, counts array<long>"
 
 
-def leaf_batches(rows: Iterator[tuple[str, bytes, dict]]) -> Iterator[pa.RecordBatch]:
-    for held in batched(rows, 10_000):
-        names = [sorted(s for s in leaf if s is not None) for _, _, leaf in held]
-        columns = [[r[0] for r in held], [r[1] for r in held], [r[2][None] for r in held], names, [[r[2][s] for s in n] for r, n in zip(held, names, strict=True)]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LEAF, strict=True)], schema=_LEAF)
+_SMALL = [c.to_bytes(8, "little") for c in range(256)]
+
+
+def pack(leaf: Iterable[tuple[bytes, int]]) -> bytes:
+    """Counters by source (``named``) as bytes: length and name of the source, count."""
+    return b"".join([s + (_SMALL[c] if c < 256 else c.to_bytes(8, "little")) for s, c in leaf])
+
+
+def named(source: str) -> bytes:
+    raw = source.encode()
+    return len(raw).to_bytes(4, "little") + raw
+
+
+def unpack(packed: bytes) -> Iterator[tuple[bytes, int]]:
+    at = 0
+    while at < len(packed):
+        end = at + 4 + int.from_bytes(packed[at : at + 4], "little")
+        yield packed[at:end], int.from_bytes(packed[end : end + 8], "little")
+        at = end + 8
+
+
+def leaf_batch(lang: str, terms: list[bytes], documents: list[int] | np.ndarray, leaves: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array(terms, pa.binary()), pa.array([lang], pa.string()).take(pa.array(np.zeros(len(terms), np.int32))), pa.array(documents, pa.int64()), pa.array(leaves, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["term", "lang", "documents", "leaf"])
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """Leaves of the tries of each task."""
-    named = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
+    """Leaves of the tries of each task.  A term of a single document needs no node: its one counter is handed on as it is."""
+    rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
+
+    def handed(counts: dict[tuple, Counter], documents: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        tries = {lang: Trie() for lang in documents}
+        for (lang, source), seen in counts.items():
+            known, trie, name = documents[lang], tries[lang], named(source)
+            packed: dict[int, bytes] = {}
+            terms, leaves, often = [], [], {}
+            for term, n in seen.items():
+                if known[term] == 1:
+                    terms.append(term)
+                    leaf = packed.get(n)
+                    leaves.append(leaf if leaf is not None else packed.setdefault(n, pack([(name, n)])))
+                else:
+                    often[term] = n
+            trie.add(often, name)
+            for at in range(0, len(terms), ROWS):
+                part = terms[at : at + ROWS]
+                yield leaf_batch(lang, part, np.ones(len(part), np.int64), leaves[at : at + ROWS])
+        for lang, trie in tries.items():
+            known = documents[lang]
+            for part in batched(trie.leaves(), ROWS):
+                yield leaf_batch(lang, [t for t, _ in part], [known[t] for t, _ in part], [pack(leaf.items()) for _, leaf in part])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries: dict[str, Trie] = {}
-        for batch in slices(batches, limit=4 << 20, rows=1 << 14):
-            counts: dict[tuple, Counter] = {}
-            documents: dict[str, Counter] = {}
+        counts: dict[tuple, Counter] = {}
+        documents: dict[str, Counter] = {}
+        for batch in slices(batches, rows=1 << 12):
             for text, lang, source in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True):
                 terms = text.translate(_TERMS).split()
                 counts.setdefault((lang, source), Counter()).update(terms)
                 documents.setdefault(lang, Counter()).update(set(terms))
-            for lang, seen in documents.items():
-                tries.setdefault(lang, Trie()).add(seen, None)
-            for (lang, source), seen in counts.items():
-                tries[lang].add(seen, source)
-            if sum(len(t.found) for t in tries.values()) >= LEAVES:
-                yield from leaf_batches((lang, *x) for lang, t in tries.items() for x in t.leaves())
-                tries = {}
-        yield from leaf_batches((lang, *x) for lang, t in tries.items() for x in t.leaves())
+            if sum(map(len, counts.values())) >= COUNTERS:
+                yield from handed(counts, documents)
+                counts, documents = {}, {}
+        yield from handed(counts, documents)
+        give_back()
 
-    return named.mapInArrow(work, _LEAVES)
+    return rows.mapInArrow(work, _LEAVES)
+
+
+def groups(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[tuple[bytes, str, int, list[bytes]]]:
+    """(term, language, documents, leaves) of ordered rows; groups that lie within a batch and have fewer documents than ``least`` are passed over."""
+    key, documents, held = None, 0, []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        langs, terms, leaves = batch["lang"], batch["term"], batch["leaf"]
+        unlike = pc.or_(pc.not_equal(langs.slice(1), langs.slice(0, n - 1)), pc.not_equal(terms.slice(1), terms.slice(0, n - 1)))
+        bounds = np.concatenate([[0], np.flatnonzero(unlike.to_numpy(zero_copy_only=False)) + 1, [n]])
+        total = np.add.reduceat(batch["documents"].to_numpy(), bounds[:-1])
+        # the first group may go on with that of the batch before, and the last one into the next batch
+        for k in sorted({0, len(total) - 1, *np.flatnonzero(total >= least).tolist()}):
+            a, b = int(bounds[k]), int(bounds[k + 1])
+            at = terms[a].as_py(), langs[a].as_py()
+            if at != key:
+                if documents >= least:
+                    yield *key, documents, held
+                key, documents, held = at, 0, []
+            documents += int(total[k])
+            held += leaves.slice(a, b - a).to_pylist()
+    if documents >= least and key is not None:
+        yield *key, documents, held
 
 
 def merged(leaves: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """Leaves of all tasks, merged by ranges of prefixes; terms of fewer than ``least`` documents go."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done() -> Iterator[tuple[str, bytes, dict]]:
-            # rows are ordered: once a later term has come, a leaf is complete
-            lang, trie = None, Trie()
-            for batch in batches:
-                for at in range(0, batch.num_rows, HELD):
-                    part = batch.slice(at, HELD)
-                    for name, term, n, sources, counts in zip(*(part[c].to_pylist() for c in ("lang", "term", "documents", "sources", "counts")), strict=True):
-                        if name != lang:
-                            yield from ((lang, *x) for x in trie.leaves())
-                            lang, trie = name, Trie()
-                        leaf = trie.leaf(term)
-                        leaf[None] = leaf.get(None, 0) + n
-                        for s, c in zip(sources, counts, strict=True):
-                            leaf[s] = leaf.get(s, 0) + c
-                    if len(trie.found) > HELD:
-                        found = list(trie.leaves())
-                        yield from ((lang, *x) for x in found[:-1])
-                        trie = Trie()
-                        trie.leaf(found[-1][0]).update(found[-1][1])
-            yield from ((lang, *x) for x in trie.leaves())
-
-        yield from leaf_batches(x for x in done() if x[2][None] >= least)
-
-    return leaves.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(work, _LEAVES)
+        tries: dict[str, Trie] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, trie in tries.items():
+                for part in batched(trie.leaves(), ROWS):
+                    names = [[s[4:].decode() for s in sorted(leaf)] for _, leaf in part]
+                    counts = [[leaf[s] for s in sorted(leaf)] for _, leaf in part]
+                    columns = [pa.array([lang] * len(part)), pa.array([t for t, _ in part], pa.binary()), pa.array(names, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "sources", "counts"])
+
+        # rows are ordered: the leaves of a term and language follow each other, and later terms are larger
+        held = 0
+        for term, lang, _, found in groups(batches, least):
+            if held >= HELD:
+                yield from out()
+                tries, held = {}, 0
+            leaf = tries.setdefault(lang, Trie()).leaf(term)
+            held += 1
+            for packed in found:
+                for s, c in unpack(packed):
+                    leaf[s] = leaf.get(s, 0) + c
+        yield from out()
+
+    # the term first: its head is what the sort compares
+    return leaves.repartitionByRange("term", "lang").sortWithinPartitions("term", "lang").mapInArrow(work, _MERGED)
 
 
 def shares(count: np.ndarray, of: np.ndarray) -> np.ndarray:
