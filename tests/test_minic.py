@@ -27,6 +27,8 @@ void drop_head(struct message *list) { free(list->body); send_all(list->body, 1)
 void drop_or_send(char *packet, int broken) {
   switch (broken) { case 1: free(packet); break; default: send_all(packet, 9); }
 }
+void drop_in_case(char *packet, int kind) { switch (kind) { case 1: case 2: write_log(1, "x"); free(packet); send_all(packet, 9); break; default: write_log(2, "y"); } }
+void drop_before_label(char *packet, int kind) { free(packet); switch (kind) { case 1: send_all(packet, 9); } }
 void refill(char *packet) { send_all(packet, 1); free(packet); packet = next_packet(); send_all(packet, 2); }
 void drop_last(char *packet, int n) { send_all(packet, n); write_log(n, packet); free(packet); }
 int drop_and_leave(char *packet) { free(packet); return 0; send_all(packet, 3); }
@@ -117,7 +119,7 @@ void release_once(char *block) { write_log(1, block); release(block); }
 
 #: What each detector must report, and which of the others it must leave alone.
 FIRES = {
-    "use_after_free": ("drop_then_count log_after_drop keep_view drop_head", "drop_or_send refill drop_last drop_and_leave"),
+    "use_after_free": ("drop_then_count log_after_drop keep_view drop_head drop_in_case drop_before_label", "drop_or_send refill drop_last drop_and_leave"),
     "double_free": ("close_queue two_names drop_body_twice", "swap_buffers one_way"),
     "null_deref": ("first_pixel copy_name pixel_after_message pixel_in_loop", "checked_row row_if_there row_of_caller pixel_after_abort pixel_after_return"),
     "uninitialized_read": ("sum_unset", "sum_set read_size"),
@@ -155,6 +157,17 @@ def test_sizes_have_the_risk_of_their_outermost_arithmetic(spark, graph):
     assert found["product_of_24"].issue_type == "alloc_indirect_arithmetic" and found["product_of_24"].size == "t"
 
 
+def test_segments_of_switches(spark, graph):
+    own = {r.id: r.name for r in graph.method.collect()}
+    got = sorted((own[r.method_id], r.branch, r.line, r.line_end) for r in detectors.switch_segments(graph).collect())
+    assert [(name, branch) for name, branch, _, _ in got] == [("drop_in_case", 1), ("drop_in_case", 2), ("drop_or_send", 1), ("drop_or_send", 2)]
+    events = graph.call.select("method_id", "line", "name")
+    ranges = {(name, a): b for name, _, a, b in got}
+    for r in detectors.segment_of(graph, events).collect():
+        last = [(a, b) for (name, a), b in ranges.items() if name == own[r.method_id] and a <= r.line <= b]
+        assert own[r.method_id] == "drop_before_label" or last[0][0] == r.label
+
+
 def test_formats_and_commands(spark, graph):
     own = {r.id: r.name for r in graph.method.collect()}
     place = {r.id: own[r.method_id] for r in graph.call.collect()}
@@ -185,7 +198,7 @@ def test_parts():
     for name, row in rows:
         by.setdefault(name, []).append(row)
     assert [(p["name"], p["type_full_name"], p["ord"]) for p in by["parameter"]] == [("a", "int", 1), ("b", "char*", 2)]
-    assert [b["branch"] for b in by["branch"]] == [1, 2] and {c["type"] for c in by["control"]} == {"SWITCH", "DO"}
+    assert [b["line"] for b in by["label"]] == [3, 4] and {c["type"] for c in by["control"]} == {"SWITCH", "DO"}
     assert {c["name"] for c in by["call"]} >= {"g", "h", "<operator>.indirectIndexAccess"} and by["method"][0]["return_type"] == "int"
     assert {p["line"] for p in by["place"]} >= {4, 6, 9} and len(by["ret"]) == 1
     assert parse("y.c", "int broken( {") == [] and parse("z.c", "") == []

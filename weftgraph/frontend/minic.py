@@ -184,18 +184,13 @@ class File:
         self.emit("control", id=control, method_id=self.method, type=kind, condition=condition, line=at, line_end=self.order)
 
     def cases(self, control: int, i: int, stop: int) -> int:
-        end, k, branch = self.close(i), i + 1, 0
-        first = None
+        end, k = self.close(i), i + 1
         while k < end:
             if self.tokens[k] in ("case", "default"):
-                if first is not None:
-                    self.emit("branch", control_id=control, method_id=self.method, branch=branch, line=first, line_end=self.order)
-                branch, first = branch + 1, self.order + 1
+                self.emit("label", control_id=control, method_id=self.method, line=self.order + 1)
                 k = next((e for s, e in self.split(k, end, ":")), end) + 1
             else:
                 k = self.statement(k, end)
-        if first is not None:
-            self.emit("branch", control_id=control, method_id=self.method, branch=branch, line=first, line_end=self.order)
         return end + 1
 
     def simple(self, a: int, b: int) -> None:

@@ -46,10 +46,36 @@ def without_reassignment(g: Graph, pairs: DataFrame, name: str = "ptr") -> DataF
     return pairs.join(a, (F.col("method_id") == F.col("m")) & (F.col("target") == F.col(name)) & (F.col("at").between(F.col("a") + 1, F.col("b") - 1) | (F.col("a") == F.col("b")) & (F.col("at") == F.col("a"))), "left_anti")
 
 
+def switch_segments(g: Graph) -> DataFrame:
+    """Lines from each label of a switch to the one before the next label: control_id, method_id, branch (from 1), line, line_end.
+
+    A line is in the segment of the last label up to it; switches with one label have none.
+    """
+    own = g.control.where("type = 'SWITCH'").select(F.col("id").alias("control_id"), F.col("line").alias("begins"), F.col("line_end").alias("ends"))
+    labels = g.label.select("control_id", "method_id", "line").distinct().join(own, "control_id").where("line BETWEEN begins AND ends")
+    order = W.partitionBy("control_id").orderBy("line")
+    last = F.coalesce(F.lead("line").over(order) - 1, F.col("ends")).alias("line_end")
+    return labels.select("control_id", "method_id", F.row_number().over(order).alias("branch"), "line", last, F.count("*").over(W.partitionBy("control_id")).alias("n")).where("n >= 2").drop("n")
+
+
+def segment_of(g: Graph, events: DataFrame) -> DataFrame:
+    """Events (method_id, line, and others) in a switch, with the last label up to their line: control_id, label.
+
+    As of the line: labels and events stand in one order, and an event takes the last label before it.
+    """
+    own = g.control.where("type = 'SWITCH'").select(F.col("id").alias("control_id"), F.col("method_id").alias("m"), F.col("line").alias("begins"), F.col("line_end").alias("ends"))
+    inside = events.join(own, (F.col("method_id") == F.col("m")) & F.col("line").between(F.col("begins"), F.col("ends"))).drop("m", "begins", "ends")
+    marks = g.label.select("control_id", "line", F.col("line").alias("label")).distinct()
+    both = inside.withColumn("label", F.lit(None).cast("int")).unionByName(marks, allowMissingColumns=True)
+    latest = F.last("label", ignorenulls=True).over(W.partitionBy("control_id").orderBy("line", F.col("method_id").isNotNull()).rowsBetween(W.unboundedPreceding, 0))
+    return both.withColumn("label", latest).where("method_id IS NOT NULL AND label IS NOT NULL")
+
+
 def without_exclusive(g: Graph, pairs: DataFrame) -> DataFrame:
-    """Drop pairs whose lines a and b are in different branches of one condition."""
-    x = g.branch.select("control_id", F.col("method_id").alias("m"), F.col("branch").alias("xb"), F.col("line").alias("x0"), F.col("line_end").alias("x1"))
-    y = g.branch.select("control_id", F.col("branch").alias("yb"), F.col("line").alias("y0"), F.col("line_end").alias("y1"))
+    """Drop pairs whose lines a and b are in different branches of one condition, or segments of one switch."""
+    apart = g.branch.unionByName(switch_segments(g))
+    x = apart.select("control_id", F.col("method_id").alias("m"), F.col("branch").alias("xb"), F.col("line").alias("x0"), F.col("line_end").alias("x1"))
+    y = apart.select("control_id", F.col("branch").alias("yb"), F.col("line").alias("y0"), F.col("line_end").alias("y1"))
     both = x.join(y, "control_id").where("xb <> yb")
     inside = (F.col("method_id") == F.col("m")) & F.col("a").between(F.col("x0"), F.col("x1")) & F.col("b").between(F.col("y0"), F.col("y1"))
     return pairs.join(both, inside, "left_anti")

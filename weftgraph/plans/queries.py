@@ -359,14 +359,14 @@ def address_taken(g):
 # --- detectors
 
 _CLEAR = """NOT EXISTS (SELECT 1 FROM {{assignment}} z WHERE z.method_id = x.method_id AND z.target = x.ptr AND (z.line > x.a AND z.line < x.b OR x.a = x.b AND z.line = x.a))
-  AND NOT EXISTS (SELECT 1 FROM {{branch}} p JOIN {{branch}} q ON p.control_id = q.control_id AND p.branch <> q.branch
+  AND NOT EXISTS (SELECT 1 FROM {{apart}} p JOIN {{apart}} q ON p.control_id = q.control_id AND p.branch <> q.branch
     WHERE p.method_id = x.method_id AND x.a BETWEEN p.line AND p.line_end AND x.b BETWEEN q.line AND q.line_end)""".replace("{{", "{").replace("}}", "}")
 _RETURN = """ AND NOT EXISTS (SELECT 1 FROM {ret} r WHERE r.method_id = x.method_id AND r.line > x.a AND r.line < x.b
     AND NOT EXISTS (SELECT 1 FROM {control} c WHERE c.method_id = r.method_id AND r.line BETWEEN c.line AND c.line_end))"""
 _NO_EXIT = f"""NOT EXISTS (SELECT 1 FROM {{call}} e WHERE e.method_id = x.method_id AND e.name IN ({quoted(dicts.EXITS)}) AND e.line > x.a AND e.line < x.b)
       AND NOT EXISTS (SELECT 1 FROM {{ret}} r WHERE r.method_id = x.method_id AND r.line > x.a AND r.line < x.b AND NOT EXISTS (SELECT 1 FROM {{control}} c WHERE c.method_id = r.method_id AND c.line > x.a AND c.line <= r.line AND c.line_end >= r.line))"""
-_APART = _CLEAR[_CLEAR.index("NOT EXISTS (SELECT 1 FROM {branch}") :]
-_CLEAR_ONE = _CLEAR[: _CLEAR.index("AND NOT EXISTS (SELECT 1 FROM {branch}")]
+_APART = _CLEAR[_CLEAR.index("NOT EXISTS (SELECT 1 FROM {apart}") :]
+_CLEAR_ONE = _CLEAR[: _CLEAR.index("AND NOT EXISTS (SELECT 1 FROM {apart}")]
 _ARG = "SELECT c.id, c.method_id, c.name, c.line, c.file, trim(a.code) AS arg, a.kind, a.decl_id FROM {{call}} c JOIN {{argument}} a ON a.call_id = c.id AND a.arg_index = {i} WHERE c.name IN ({names})"
 _FREES = _ARG.format(i=1, names="'free', 'cfree'") + " AND NOT contains(trim(a.code), '(') AND NOT contains(trim(a.code), '[') AND length(trim(a.code)) < 50"
 _USE = "(g.code = s.ptr OR starts_with(g.code, s.ptr || '->') OR starts_with(g.code, s.ptr || '[') OR starts_with(g.code, '*' || s.ptr))"
@@ -599,6 +599,17 @@ def findings_with_entry(g):
     return detectors.worst_first(iterate.with_entry(g, sites, dicts.EXTERNAL_INPUTS), ["line", "id"], limit=200)
 
 
+@query("SELECT control_id, CAST(row_number() OVER (PARTITION BY control_id ORDER BY line) AS INT) AS branch, method_id, line, line_end FROM {apart} WHERE control_id IN (SELECT id FROM {control} WHERE type = 'SWITCH')")
+def switch_segments(g):
+    return detectors.switch_segments(g)
+
+
+@query("""SELECT c.id, c.method_id, c.line, k.id AS control_id, max(l.line) AS label FROM {call} c JOIN {control} k ON k.method_id = c.method_id AND k.type = 'SWITCH' AND c.line BETWEEN k.line AND k.line_end
+    JOIN {label} l ON l.control_id = k.id AND l.line <= c.line GROUP BY c.id, c.method_id, c.line, k.id""")
+def switch_labels(g):
+    return detectors.segment_of(g, g.call.select("id", "method_id", "line"))
+
+
 # --- numbers, caps, raw SQL
 
 

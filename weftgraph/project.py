@@ -84,7 +84,7 @@ PROJECTION: dict[str, str] = {
         UNION ALL
         SELECT id * 4 + 2, method_id, line, 'v' || {_text("p % 6")}, {_NAME} || '(' || {_text("q")} || ')' FROM {{placed}} WHERE k IN (2, 3, 4, 5, 15, 17, 19, 23)""",
     "control": f"""
-        SELECT o_orderkey AS id, o_custkey AS method_id, CASE o_orderkey % 5 WHEN 0 THEN 'FOR' WHEN 1 THEN 'WHILE' ELSE 'IF' END AS type,
+        SELECT o_orderkey AS id, o_custkey AS method_id, CASE o_orderkey % 5 WHEN 0 THEN 'FOR' WHEN 1 THEN 'WHILE' ELSE CASE WHEN o_orderkey % 9 = 2 THEN 'SWITCH' ELSE 'IF' END END AS type,
           CASE o_orderkey % 4 WHEN 0 THEN CASE WHEN o_orderkey % 40 = 8 THEN 'n1 > SIZE_MAX / v2' WHEN o_orderkey % 40 = 16 THEN 'n2 > 9000 / v' || {_text("o_orderkey % 5")} ELSE 'v' || {_text("o_orderkey % 6")} || ' < n' || {_text("o_orderkey % 3")} END WHEN 1 THEN '!v' || {_text("o_orderkey % 6")}
             WHEN 2 THEN 'v' || {_text("o_orderkey % 6")} || ' == NULL' ELSE 'v' || {_text("o_orderkey % 6")} END AS condition,
           CAST(m.line + 1 + o_orderkey % 30 AS INT) AS line, CAST(m.line + 1 + o_orderkey % 30 + o_orderkey % 9 AS INT) AS line_end
@@ -93,6 +93,13 @@ PROJECTION: dict[str, str] = {
         SELECT id AS control_id, method_id, CAST(1 AS INT) AS branch, line, CAST(floor((line + line_end) / 2) AS INT) AS line_end FROM {control} WHERE type = 'IF'
         UNION ALL
         SELECT id, method_id, CAST(2 AS INT), CAST(floor((line + line_end) / 2) + 1 AS INT), line_end FROM {control} WHERE type = 'IF' AND line_end > line""",
+    "label": """
+        SELECT id AS control_id, method_id, CAST(line + i * 2 AS INT) AS line FROM {control} CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 AS i UNION ALL SELECT 2 AS i) three
+        WHERE type = 'SWITCH' AND line + i * 2 <= line_end""",
+    "apart": """
+        SELECT control_id, branch, method_id, line, line_end FROM {branch}
+        UNION ALL SELECT l.control_id, l.line, l.method_id, l.line, coalesce((SELECT min(n.line) - 1 FROM {label} n WHERE n.control_id = l.control_id AND n.line > l.line), c.line_end)
+        FROM {label} l JOIN {control} c ON c.id = l.control_id WHERE (SELECT count(DISTINCT n.line) FROM {label} n WHERE n.control_id = l.control_id) >= 2""",
     "ret": """
         SELECT o_orderkey AS id, o_custkey AS method_id, CAST(m.line + 2 + o_orderkey % 36 AS INT) AS line
         FROM {orders} JOIN {method} m ON o_custkey = m.id WHERE o_orderpriority = '1-URGENT'""",

@@ -11,6 +11,7 @@ TABLES: dict[str, str] = {
     "assignment": "id long, method_id long, line int, target string, source string",
     "control": "id long, method_id long, type string, condition string, line int, line_end int",
     "branch": "control_id long, method_id long, branch int, line int, line_end int",
+    "label": "control_id long, method_id long, line int",
     "ret": "id long, method_id long, line int",
     "literal": "id long, method_id long, code string, type_full_name string, file string, line int",
     "type_decl": "id long, name string, full_name string, file string, line int",
