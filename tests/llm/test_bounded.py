@@ -177,6 +177,9 @@ def test_divergence(spark, odd, monkeypatch):  # noqa: F811
     assert {(r[0], r[1]) for r in want if r[4] == 0 and r[2] == "pair"} >= {("xx", "p"), ("xx", "q")}
     assert sorted(map(tuple, tries.divergences(odd).collect())) == divergences(odd.select(*names).collect())
     assert tries.divergences(frame.limit(0)).count() == 0
+    # many windows in a task, and terms that some of them have in one document
+    monkeypatch.setattr(tries, "COUNTERS", 40)
+    assert sorted(map(tuple, tries.divergences(frame).collect())) == want
 
 
 def test_blocks_of_sources_give_the_same_sums():
