@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -215,3 +216,27 @@ def test_same_as_sql(spark, name):
         duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, DATA), duckdb.sql(queries.ORACLE_SQL[name])
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+def test_leaves_merge_across_batches():
+    rng = random.Random(6)
+    want, rows = collections.defaultdict(collections.Counter), []
+    for _ in range(600):
+        key = rng.choice("abcde") * rng.randint(1, 3), rng.choice(["en", ""])
+        sources = rng.sample(["", "s", "日本", "x\0y"], rng.randint(1, 4))
+        counts = [rng.randint(1, 1 << 40) for _ in sources]
+        want[key].update(dict(zip(sources, counts, strict=True)))
+        one = tries.leaf_batch(pa.array([key[0].encode()]), pa.array([key[1]]), np.array([1]), np.array([0, len(sources)]), pa.array([s.encode() for s in sources], pa.large_binary()), np.array(counts))
+        rows.append((key, one))
+    rows.sort(key=lambda r: r[0])
+    for size in (1, 7, 600):
+        batches = [pa.Table.from_batches([b for _, b in rows[i : i + size]]).combine_chunks().to_batches()[0] for i in range(0, 600, size)]
+        got = {}
+        for batch in tries.whole(batches, 3):
+            n, names, counts = tries.counters(batch)
+            at = tries.ends(n)
+            for i, key in enumerate(zip(batch["term"].to_pylist(), batch["lang"].to_pylist(), strict=True)):
+                part = slice(at[i], at[i + 1])
+                got[key[0].decode(), key[1]] = {k.decode(): int(v) for k, v in zip(names.to_pylist()[part], counts[part], strict=True)}
+        few = collections.Counter(k for k, _ in rows)
+        assert got == {k: dict(v) for k, v in want.items() if few[k] >= 3}

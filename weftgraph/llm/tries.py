@@ -1,7 +1,7 @@
 """Source divergence audit: how far the words of a language's sources are from each other.
 
 Each task counts terms in byte tries, one for each language, with a counter for each source
-at the leaves; a trie that grows large is handed on and a new one begun.  The leaves are
+at the leaves (columns of numbers, where a leaf is a row); tries that grow large are handed on and new ones begun.  The leaves are
 partitioned by ranges of terms, so a task gets all leaves of a range of
 prefixes in byte order, merges equal ones in a trie again and keeps those of enough documents.
 A traversal of the merged tries in byte order (that of UTF-8) then gives, for each pair of
@@ -20,9 +20,10 @@ the bytes of their item; extra columns are left alone; no rows give none.
 from __future__ import annotations
 
 import gc
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from itertools import batched, chain, pairwise
+from itertools import count as number
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import give_back, slices, stored
 
 SCALE, LEAST_DOCUMENTS, RANKS = 1_000_000_000, 3, 200
-#: Counters of a task's tries before they are handed on; leaves of a merged trie; rows of a batch; counters worked on at once.
-COUNTERS, HELD, ROWS, PROFILES = 900_000, 20_000, 10_000, 50_000
+#: Counters of a task's tries before they are handed on; leaves of a merged trie, and their bytes; rows of a batch; counters worked on at once.
+COUNTERS, HELD, HELD_BYTES, ROWS, PROFILES = 1_500_000, 20_000, 64 << 20, 10_000, 50_000
 #: Cells of a block of pair sums.
 CELLS = 4 << 20
 
@@ -43,21 +44,21 @@ _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 
 
 class Trie:
-    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf {source: count}.
-
-    ``found`` has the leaves by term, so that a term walks down from the root once.
-    """
+    """A radix trie over bytes; a node is [label, children by first byte, leaf], a leaf {source: count} or the row that its counters stand in."""
 
     def __init__(self):
         self.root: list = [b"", {}, None]
-        self.found: dict[bytes, dict] = {}
 
     def leaf(self, term: bytes) -> dict:
         """The counters of a term, made if need be."""
-        leaf = self.found.get(term)
-        if leaf is None:
-            leaf = self.found[term] = self._node(term)[2] = {}
-        return leaf
+        node = self._node(term)
+        if node[2] is None:
+            node[2] = {}
+        return node[2]
+
+    def put(self, term: bytes, row: int) -> None:
+        """A term whose counters are a row of columns."""
+        self._node(term)[2] = row
 
     def _node(self, term: bytes) -> list:
         node, at, end = self.root, 0, len(term)
@@ -84,15 +85,12 @@ class Trie:
 
     def add(self, counts: dict[bytes, int], source) -> None:
         """Counts of terms in a source."""
-        known = self.found.get
         for term, n in counts.items():
-            leaf = known(term)
-            if leaf is None:
-                leaf = self.leaf(term)
+            leaf = self.leaf(term)
             leaf[source] = leaf.get(source, 0) + n
 
-    def leaves(self) -> Iterator[tuple[bytes, dict]]:
-        """(term, counters) in the order of bytes."""
+    def leaves(self) -> Iterator[tuple[bytes, dict | int]]:
+        """(term, leaf) in the order of bytes."""
         open_nodes = [(b"", self.root)]
         while open_nodes:
             prefix, node = open_nodes.pop()
@@ -116,102 +114,179 @@ def acyclic(work: Callable) -> Callable:
     return run
 
 
-_LEAVES = "term binary, lang string, documents long, leaf binary"
+_LEAVES = "term binary, lang string, documents long, sources binary, counters binary"
 _MERGED = "lang string, term binary, sources array<string>, counts array<long>"
+_COLUMNS = ["term", "lang", "documents", "sources", "counters"]
+
+#: Bits of a term's number beside that of its document or group.
+_BITS = 40
+_TERM = (1 << _BITS) - 1
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range after another."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
 
 
-_SMALL = [c.to_bytes(8, "little") for c in range(256)]
+def ends(lengths: np.ndarray) -> np.ndarray:
+    """Where parts of these lengths begin, and the end of the last."""
+    return np.concatenate([[0], np.cumsum(lengths)])
 
 
-def pack(leaf: Iterable[tuple[bytes, int]]) -> bytes:
-    """Counters by source (``named``) as bytes: length and name of the source, count."""
-    return b"".join([s + (_SMALL[c] if c < 256 else c.to_bytes(8, "little")) for s, c in leaf])
+def raw(values: pa.Array) -> np.ndarray:
+    """The bytes of all values of a binary column, one after another."""
+    kind = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    at = np.frombuffer(values.buffers()[1], kind)[values.offset : values.offset + len(values) + 1] if len(values) else [0, 0]
+    return np.frombuffer(values.buffers()[2] or b"", np.uint8)[at[0] : at[-1]]
 
 
-def named(source: str) -> bytes:
-    raw = source.encode()
-    return len(raw).to_bytes(4, "little") + raw
+def cut(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A binary column of the bytes between places."""
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def unpack(packed: bytes) -> Iterator[tuple[bytes, int]]:
-    at = 0
-    while at < len(packed):
-        end = at + 4 + int.from_bytes(packed[at : at + 4], "little")
-        yield packed[at:end], int.from_bytes(packed[end : end + 8], "little")
-        at = end + 8
+def leaf_batch(terms: pa.Array, langs: pa.Array, documents: np.ndarray, bounds: np.ndarray, names: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    """Leaves as rows.  Leaf i has the counters from bounds[i] to bounds[i + 1]: their sources' names one after another, and (count, length of the name) of each."""
+    lengths = pc.binary_length(names).to_numpy()
+    numbers = np.column_stack([counts, lengths]).astype("<i8").reshape(-1).view(np.uint8)
+    return pa.RecordBatch.from_arrays([terms, langs, pa.array(documents, pa.int64()), cut(raw(names), ends(lengths)[bounds]), cut(numbers, 16 * bounds)], _COLUMNS)
 
 
-def leaf_batch(lang: str, terms: list[bytes], documents: list[int] | np.ndarray, leaves: list[bytes]) -> pa.RecordBatch:
-    columns = [pa.array(terms, pa.binary()), pa.array([lang], pa.string()).take(pa.array(np.zeros(len(terms), np.int32))), pa.array(documents, pa.int64()), pa.array(leaves, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["term", "lang", "documents", "leaf"])
+def counters(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of leaves: how many counters each one has; the source and the count of every counter."""
+    numbers = np.frombuffer(raw(batch["counters"]).tobytes(), "<i8").reshape(-1, 2)
+    names = pa.Array.from_buffers(pa.large_binary(), len(numbers), [None, pa.py_buffer(ends(numbers[:, 1])), pa.py_buffer(raw(batch["sources"]).tobytes())])
+    return pc.binary_length(batch["counters"]).to_numpy() // 16, names, numbers[:, 0]
+
+
+class Counted:
+    """What a task has counted, as columns: terms and (language, source) groups by number, and each group's count and documents of a term."""
+
+    def __init__(self):
+        self.terms: dict[bytes, int] = defaultdict(number().__next__)
+        self.groups: dict[tuple, int] = defaultdict(number().__next__)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        terms = [text.translate(_TERMS).split() for text in batch["text"].cast(pa.binary()).to_pylist()]
+        lengths = np.array(list(map(len, terms)))
+        seen = np.fromiter(map(self.terms.__getitem__, chain.from_iterable(terms)), np.int64, lengths.sum())
+        group = np.array([self.groups[g] for g in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True)], np.int64)
+        key = np.sort(np.repeat(np.arange(len(terms)), lengths) << _BITS | seen)
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        key, counts = key[starts], np.diff(starts, append=len(key))
+        self.parts.append((group[key >> _BITS] << _BITS | key & _TERM, counts, np.ones(len(key), np.int64)))
+        self.size += len(key)
+
+    def gather(self) -> None:
+        """Equal terms of a group become one counter."""
+        key, *sums = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.diff(key, prepend=-1))
+        self.parts = [(key[starts], *(np.add.reduceat(c[order], starts) if len(key) else c for c in sums))]
+        self.size = len(starts)
+
+    def leaves(self) -> Iterator[pa.RecordBatch]:
+        """The leaves of the tries, one for each language.  A term of a single document needs no node: its one counter is handed on as it is."""
+        if not self.size:
+            return
+        self.gather()
+        key, counts, documents = self.parts[0]
+        langs = list(dict.fromkeys(lang for lang, _ in self.groups))
+        lang_of = np.array([langs.index(lang) for lang, _ in self.groups], np.int64)
+        names = pa.array([s.encode() for _, s in self.groups], pa.large_binary())
+        texts = pa.array(list(self.terms), pa.binary())
+        leaf = lang_of[key >> _BITS] << _BITS | key & _TERM
+        order = np.argsort(leaf, kind="stable")  # groups of a leaf stay in their order
+        leaf, key, counts = leaf[order], key[order], counts[order]
+        starts = np.flatnonzero(np.diff(leaf, prepend=-1))
+        lengths, documents, leaf = np.diff(starts, append=len(leaf)), np.add.reduceat(documents[order], starts), leaf[starts]
+        for k, lang in enumerate(langs):
+            a, b = np.searchsorted(leaf, [k << _BITS, (k + 1) << _BITS])
+            often = np.flatnonzero(documents[a:b] > 1) + a
+            trie = Trie()
+            for term, row in zip(texts.take(pa.array(leaf[often] & _TERM)).to_pylist(), often.tolist(), strict=True):
+                trie.put(term, row)
+            rows = np.concatenate([np.flatnonzero(documents[a:b] == 1) + a, np.array([row for _, row in trie.leaves()], np.int64)])
+            del trie
+            for part in parts(rows, lengths):
+                at = spread(starts[part], lengths[part])
+                yield leaf_batch(texts.take(pa.array(leaf[part] & _TERM)), pa.array([lang] * len(part), pa.string()), documents[part], ends(lengths[part]), names.take(pa.array(key[at] >> _BITS)), counts[at])
+
+
+def parts(rows: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows in pieces of at most ``ROWS`` with not many more than ``CELLS`` counters."""
+    for at in range(0, len(rows), ROWS):
+        some = rows[at : at + ROWS]
+        yield from np.split(some, np.flatnonzero(np.diff(np.cumsum(lengths[some]) // CELLS)) + 1)
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """Leaves of the tries of each task.  A term of a single document needs no node: its one counter is handed on as it is."""
+    """Leaves of the tries of each task."""
     rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
 
-    def handed(counts: dict[tuple, Counter], documents: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        tries = {lang: Trie() for lang in documents}
-        for (lang, source), seen in counts.items():
-            known, trie, name = documents[lang], tries[lang], named(source)
-            packed: dict[int, bytes] = {}
-            terms, leaves, often = [], [], {}
-            for term, n in seen.items():
-                if known[term] == 1:
-                    terms.append(term)
-                    leaf = packed.get(n)
-                    leaves.append(leaf if leaf is not None else packed.setdefault(n, pack([(name, n)])))
-                else:
-                    often[term] = n
-            trie.add(often, name)
-            for at in range(0, len(terms), ROWS):
-                part = terms[at : at + ROWS]
-                yield leaf_batch(lang, part, np.ones(len(part), np.int64), leaves[at : at + ROWS])
-        for lang, trie in tries.items():
-            known = documents[lang]
-            for part in batched(trie.leaves(), ROWS):
-                yield leaf_batch(lang, [t for t, _ in part], [known[t] for t, _ in part], [pack(leaf.items()) for _, leaf in part])
-
     @acyclic
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple, Counter] = {}
-        documents: dict[str, Counter] = {}
+        found = Counted()
         for batch in slices(batches, rows=1 << 12):
-            for text, lang, source in zip(batch["text"].cast(pa.binary()).to_pylist(), batch["lang"].to_pylist(), batch["source"].to_pylist(), strict=True):
-                terms = text.translate(_TERMS).split()
-                counts.setdefault((lang, source), Counter()).update(terms)
-                documents.setdefault(lang, Counter()).update(set(terms))
-            if sum(map(len, counts.values())) >= COUNTERS:
-                yield from handed(counts, documents)
-                counts, documents = {}, {}
-        yield from handed(counts, documents)
+            found.add(batch)
+            if found.size >= 2 * COUNTERS:
+                found.gather()
+                if found.size >= COUNTERS:
+                    yield from found.leaves()
+                    found = Counted()
+        yield from found.leaves()
 
     return rows.mapInArrow(work, _LEAVES)
 
 
-def groups(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[tuple[bytes, str, int, list[bytes]]]:
-    """(term, language, documents, leaves) of ordered rows; groups that lie within a batch and have fewer documents than ``least`` are passed over."""
-    key, documents, held = None, 0, []
+def changes(batch: pa.RecordBatch) -> np.ndarray:
+    """Where the (term, language) groups of ordered rows begin, and the end of the last."""
+    n = batch.num_rows
+    unlike = pc.or_(*(pc.not_equal(batch[c].slice(1), batch[c].slice(0, n - 1)) for c in ("lang", "term")))
+    return np.concatenate([[0], np.flatnonzero(unlike.to_numpy(zero_copy_only=False)) + 1, [n]])
+
+
+def summed(batch: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+    """One leaf for each group of rows, its counters in the order of sources."""
+    n, names, counts = counters(batch)
+    sources = names.dictionary_encode()
+    order = pc.array_sort_indices(sources.dictionary).to_numpy()
+    place = np.argsort(order)
+    group = np.repeat(np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), n)
+    key = group * len(order) + place[sources.indices.to_numpy()]
+    at = np.argsort(key, kind="stable")
+    key = key[at]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    key, counts = key[starts], np.add.reduceat(counts[at], starts)
+    first = pa.array(bounds[:-1])
+    documents = np.add.reduceat(batch["documents"].to_numpy(), bounds[:-1])
+    return leaf_batch(batch["term"].take(first), batch["lang"].take(first), documents, np.searchsorted(key, np.arange(len(bounds)) * len(order)), sources.dictionary.take(pa.array(order[key % len(order)])), counts)
+
+
+def whole(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Merged leaves of ordered rows; those of fewer than ``least`` documents go."""
+
+    def enough(batch: pa.RecordBatch, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        good = np.add.reduceat(batch["documents"].to_numpy(), bounds[:-1]) >= least
+        if good.any():
+            rows = np.diff(bounds)
+            yield summed(batch.filter(pa.array(np.repeat(good, rows))), ends(rows[good]))
+
+    held: list[pa.RecordBatch] = []  # the last group may go on in the next batch
     for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        langs, terms, leaves = batch["lang"], batch["term"], batch["leaf"]
-        unlike = pc.or_(pc.not_equal(langs.slice(1), langs.slice(0, n - 1)), pc.not_equal(terms.slice(1), terms.slice(0, n - 1)))
-        bounds = np.concatenate([[0], np.flatnonzero(unlike.to_numpy(zero_copy_only=False)) + 1, [n]])
-        total = np.add.reduceat(batch["documents"].to_numpy(), bounds[:-1])
-        # the first group may go on with that of the batch before, and the last one into the next batch
-        for k in sorted({0, len(total) - 1, *np.flatnonzero(total >= least).tolist()}):
-            a, b = int(bounds[k]), int(bounds[k + 1])
-            at = terms[a].as_py(), langs[a].as_py()
-            if at != key:
-                if documents >= least:
-                    yield *key, documents, held
-                key, documents, held = at, 0, []
-            documents += int(total[k])
-            held += leaves.slice(a, b - a).to_pylist()
-    if documents >= least and key is not None:
-        yield *key, documents, held
+        if batch.num_rows:
+            held.append(pa.RecordBatch.from_arrays([batch[c] for c in _COLUMNS], _COLUMNS))
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            bounds = changes(batch)
+            last = int(bounds[-2])
+            if last:
+                yield from enough(batch.slice(0, last), bounds[:-1])
+            held = [summed(batch.slice(last), bounds[-2:] - last)]
+    for batch in held:
+        yield from enough(batch, np.array([0, 1]))
 
 
 def merged(leaves: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
@@ -220,27 +295,30 @@ def merged(leaves: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     @acyclic
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[str, Trie] = {}
+        held: list[pa.RecordBatch] = []
+        rows = 0
 
         def out() -> Iterator[pa.RecordBatch]:
+            every = pa.Table.from_batches(held)
             for lang, trie in tries.items():
                 for part in batched(trie.leaves(), ROWS):
-                    names = [[s[4:].decode() for s in sorted(leaf)] for _, leaf in part]
-                    counts = [[leaf[s] for s in sorted(leaf)] for _, leaf in part]
-                    columns = [pa.array([lang] * len(part)), pa.array([t for t, _ in part], pa.binary()), pa.array(names, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "sources", "counts"])
-
-        # rows are ordered: the leaves of a term and language follow each other, and later terms are larger
-        held = 0
-        for term, lang, _, found in groups(batches, least):
-            if held >= HELD:
+                    for found in every.take(pa.array([row for _, row in part])).combine_chunks().to_batches():
+                        n, names, counts = counters(found)
+                        at = pa.array(ends(n), pa.int32())
+                        names = pa.ListArray.from_arrays(at, names.cast(pa.large_string()).cast(pa.string()))
+                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), found["term"], names, pa.ListArray.from_arrays(at, pa.array(counts, pa.int64()))], ["lang", "term", "sources", "counts"])
+
+        # rows are ordered: later terms are larger
+        for batch in whole(batches, least):
+            for row, (term, lang) in enumerate(zip(batch["term"].to_pylist(), batch["lang"].to_pylist(), strict=True), rows):
+                tries.setdefault(lang, Trie()).put(term, row)
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= HELD or sum(b.nbytes for b in held) >= HELD_BYTES:
                 yield from out()
-                tries, held = {}, 0
-            leaf = tries.setdefault(lang, Trie()).leaf(term)
-            held += 1
-            for packed in found:
-                for s, c in unpack(packed):
-                    leaf[s] = leaf.get(s, 0) + c
-        yield from out()
+                tries, held, rows = {}, [], 0
+        if held:
+            yield from out()
 
     # the term first: its head is what the sort compares
     return leaves.repartitionByRange("term", "lang").sortWithinPartitions("term", "lang").mapInArrow(work, _MERGED)
