@@ -1,8 +1,13 @@
 """Traversals of the registered queries on small chains, to their last level."""
 
+import random
+from collections import deque
 from types import SimpleNamespace
 
+import pytest
+
 from weftgraph.functions import dicts
+from weftgraph.operators import iterate
 from weftgraph.plans import queries
 
 
@@ -45,3 +50,41 @@ def test_depths_are_those_of_the_operators(spark, monkeypatch):
     control = spark.createDataFrame([(1, "FOR", 30)], "method_id long, type string, line int")
     got = found(spark, monkeypatch, "backward_slice_full", assignment=assignment, control=control)
     assert sorted((r.id, r.depth) for r in got) == [(i, i) for i in range(1, 6)]
+
+
+def walked(calls, start, depth, forward, sites, limit):
+    """A queue of methods, taken one by one."""
+    steps = {}
+    for _, caller, callee in sorted(calls):
+        if callee is not None:
+            steps.setdefault(caller if forward else callee, []).append(callee if forward else caller)
+    waiting, visited, out = deque([(start, 0)]), [], []
+    while waiting and len(out) < limit:
+        at, level = waiting.popleft()
+        if at in visited:
+            continue
+        visited.append(at)
+        for other in dict.fromkeys(steps.get(at, [])[:sites]):
+            out.append((len(out) + 1, *((at, other) if forward else (other, at)), level + 1, other in visited))
+            if other not in visited and level + 1 < depth:
+                waiting.append((other, level + 1))
+    return out
+
+
+@pytest.mark.parametrize("limit", [6, 25, 500])
+def test_call_graph_in_the_order_of_visits(spark, limit):
+    rng = random.Random(limit)
+    calls = [(i, rng.randint(0, 14), rng.choice([None, *range(15), 0, 0])) for i in range(60)]
+    g = SimpleNamespace(call=spark.createDataFrame(calls, "id long, method_id long, callee_id long"), method=spark.createDataFrame([(i,) for i in range(15)], "id long"))
+    for forward, depth in ((True, 4), (False, 2)):
+        got = iterate.call_graph_bounded(g, 3, depth, "outgoing" if forward else "incoming", 5, limit).collect()
+        assert sorted(map(tuple, got)) == walked(calls, 3, depth, forward, 5, limit)
+
+
+def test_call_graph_of_odd_arguments(spark):
+    g = SimpleNamespace(call=spark.createDataFrame([(1, 2, 2)], "id long, method_id long, callee_id long"), method=spark.createDataFrame([(2,), (4,)], "id long"))
+    assert [tuple(r) for r in iterate.call_graph_bounded(g, 2).collect()] == [(1, 2, 2, 1, True)]
+    assert iterate.call_graph_bounded(g, 4).count() == iterate.call_graph_bounded(g, 9).count() == 0
+    for wrong in ({"depth": 0}, {"depth": 16}, {"direction": "up"}):
+        with pytest.raises(ValueError):
+            iterate.call_graph_bounded(g, 2, **wrong)

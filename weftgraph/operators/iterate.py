@@ -56,6 +56,46 @@ def call_graph(g: Graph, method_id: int, depth: int = 5, direction: str = "outgo
     return out.join(far, "dst").select("src", "dst", (F.col("depth") + 1).alias("depth"), (F.col("far") <= F.col("depth")).alias("is_cycle"))
 
 
+def call_graph_bounded(g: Graph, method_id: int, depth: int = 5, direction: str = "outgoing", sites: int = 50, limit: int = 500) -> DataFrame:
+    """Edges (place, caller, callee, depth, is_cycle) in the order of a breadth-first visit that stops at ``limit`` edges.
+
+    A method's neighbours are those of its first ``sites`` calls by id, each once.  Methods are visited in
+    the order in which they were met; an edge is cyclic if its far end was visited by then.  The method
+    whose edges reach the limit is the last one, and keeps all of its edges.  ``depth``: 1 to 15.
+
+    A level has less than ``limit + sites`` methods, so it may be broadcast, and ``sites`` edges of each, so one
+    task may number them.
+    """
+    if not 1 <= depth <= 15:
+        raise ValueError("depth must be from 1 to 15")
+    if direction not in ("outgoing", "incoming"):
+        raise ValueError("direction must be outgoing or incoming")
+    near, far = ("method_id", "callee_id") if direction == "outgoing" else ("callee_id", "method_id")
+    call = g.call.where("callee_id IS NOT NULL").select(F.col(near).alias("near"), F.col(far).alias("far"), "id")
+    front = g.method.where(F.col("id") == method_id).select(F.col("id").alias("node"), F.lit(1).alias("visit"))
+    seen, found, met, edges = front, None, 1, 0
+    for level in range(1, depth + 1):
+        first = call.join(F.broadcast(front), F.col("near") == F.col("node")).withColumn("r", F.row_number().over(W.partitionBy("near").orderBy("id"))).where(F.col("r") <= sites)
+        step = first.groupBy("visit", "near", "far").agg(F.min("r").alias("r")).withColumn("place", F.row_number().over(W.orderBy("visit", "r")) + edges)
+        step = step.withColumn("begins", F.min("place").over(W.partitionBy("visit"))).where(F.col("begins") <= limit)
+        step = cut(step.select("place", "near", "far", "visit", F.lit(level).alias("depth")))
+        found = step if found is None else found.unionByName(step)
+        edges += step.count()
+        if level == depth or edges >= limit:
+            break
+        new = step.join(F.broadcast(seen), F.col("far") == F.col("node"), "left_anti").groupBy(F.col("far").alias("node")).agg(F.min("place").alias("place"))
+        front = cut(new.select("node", (F.row_number().over(W.orderBy("place")) + met).alias("visit")))
+        new_methods = front.count()
+        if not new_methods:
+            break
+        met += new_methods
+        seen = seen.unionByName(front)
+    ends = seen.select(F.col("node").alias("far"), F.col("visit").alias("far_visit"))
+    caller, callee = ("near", "far") if direction == "outgoing" else ("far", "near")
+    cyclic = F.coalesce(F.col("far_visit") <= F.col("visit"), F.lit(False))
+    return found.join(F.broadcast(ends), "far", "left").select("place", F.col(caller).alias("caller"), F.col(callee).alias("callee"), "depth", cyclic.alias("is_cycle"))
+
+
 def entry_reach(g: Graph, inputs: list[str], depth: int = 9) -> DataFrame:
     """Methods reachable from one that reads external input, and in how many calls."""
     start = g.call.where(P.any_of(F.col("name"), inputs)).select(F.col("method_id").alias("node"))

@@ -245,6 +245,38 @@ def call_graph_in_full(g):
     return iterate.call_graph(g, 7, direction="incoming")
 
 
+def _visited(near: str, far: str, depth: int, sites: int = 50, limit: int = 500) -> str:
+    """A breadth-first visit, one level of it after another."""
+    out = [
+        f"s AS (SELECT {near} AS near, {far} AS far, row_number() OVER (PARTITION BY {near} ORDER BY id) AS r FROM {{call}} WHERE callee_id IS NOT NULL)",
+        f"n AS (SELECT near, far, min(r) AS r FROM s WHERE r <= {sites} GROUP BY near, far)",
+        "f0 AS (SELECT id AS node, 1 AS visit FROM {method} WHERE id = 7)",
+        "seen0 AS (SELECT * FROM f0)",
+        "e0 AS (SELECT 0 AS visit, 0 AS near, 0 AS far, 0 AS place, 0 AS depth WHERE false)",
+    ]
+    for k in range(1, depth + 1):
+        before = f"e{k - 1}"
+        out += [
+            f"a{k} AS (SELECT visit, near, far, row_number() OVER (ORDER BY visit, r) + (SELECT count(*) FROM {before}) AS place FROM f{k - 1} JOIN n ON near = node)",
+            f"g{k} AS (SELECT visit, near, far, place, {k} AS depth FROM a{k} QUALIFY min(place) OVER (PARTITION BY visit) <= {limit})",
+            f"e{k} AS (SELECT * FROM {before} UNION ALL SELECT * FROM g{k})",
+            f"f{k} AS (SELECT far AS node, row_number() OVER (ORDER BY min(place)) + (SELECT count(*) FROM seen{k - 1}) AS visit FROM g{k} WHERE far NOT IN (SELECT node FROM seen{k - 1}) GROUP BY far)",
+            f"seen{k} AS (SELECT * FROM seen{k - 1} UNION ALL SELECT * FROM f{k})",
+        ]
+    caller, callee = ("near", "far") if near == "method_id" else ("far", "near")
+    return f"WITH {', '.join(out)} SELECT CAST(place AS INT) AS place, {caller} AS caller, {callee} AS callee, e.depth, coalesce(v.visit <= e.visit, false) AS is_cycle FROM e{depth} e LEFT JOIN seen{depth} v ON v.node = far"
+
+
+@query(_visited("method_id", "callee_id", 5))
+def call_graph_bounded(g):
+    return iterate.call_graph_bounded(g, 7)
+
+
+@query(_visited("callee_id", "method_id", 5))
+def call_graph_bounded_in(g):
+    return iterate.call_graph_bounded(g, 7, direction="incoming")
+
+
 @query(_levels("method_id", f"FROM {{call}} WHERE name IN ({quoted(dicts.EXTERNAL_INPUTS)})", 9) + " SELECT node, depth FROM seen")
 def entry_reach_full(g):
     return iterate.entry_reach(g, dicts.EXTERNAL_INPUTS)
