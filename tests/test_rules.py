@@ -26,6 +26,27 @@ def test_names_of_a_language():
     assert dicts.names_for("c", table, {"c": ["read"]}, ["mine"]) == ["mine"]
 
 
+def test_every_language_has_its_names():
+    assert len(dicts.TAINT_SOURCES) == len(dicts.TAINT_SINKS) == 13 and dicts.TAINT_SOURCES.keys() == dicts.TAINT_SINKS.keys() > dicts.SANITIZERS.keys()
+    assert dicts.names_for("Go", dicts.TAINT_SOURCES)[:2] == ["Args", "Getenv"] and "FormValue" in dicts.names_for("go", dicts.TAINT_SOURCES)
+    assert "getenv" in dicts.names_for("java", dicts.TAINT_SOURCES) and "$_GET" in dicts.names_for("php", dicts.TAINT_SOURCES)
+    assert dicts.names_for("csharp", dicts.TAINT_SINKS) == ["Start", "ExecuteReader", "ExecuteNonQuery", "Write", "WriteAllText", "WriteLine"]
+    assert dicts.names_for("jimple", dicts.SANITIZERS) == dicts.SANITIZERS["c"]
+
+
+def test_paths_left_out(spark):
+    cases = {"src/main.c": True, "tests/a.c": False, "src/test_a.c": False, "latest/a.c": True, ".git/config": False, "a/.hidden/x.c": False, "index.js": True, "vendor/x.c": False}
+    cases |= {"my_vendor/x.c": True, "doc/a.c": False, "docs.c": True, "a/notes.md": False, "a.mdx": True, "Makefile.inc": False, "tool/x.c": False, "tool.c": True, "a/b.c~": False, "": True}
+    got = spark.createDataFrame([(p,) for p in cases], "path string").select("path", (~P.excluded(F.col("path"), dicts.EXCLUDED_PATHS)).alias("kept")).collect()
+    assert {r.path: r.kept for r in got} == cases
+
+
+def test_languages_of_texts(spark):
+    cases = {"def f(self):\n  pass\nimport os": "python", "fn main() {\n let mut x = 1;\n}": "rust", "\u00e9end \u00e9nil": None, "end\nnil": "ruby", "": None, None: None, "if x:\u2028y": None}
+    got = spark.createDataFrame([(p,) for p in cases], "text string").select("text", P.best_language(P.language_scores(F.col("text"), dicts.LANGUAGE_SIGNALS)).alias("language")).collect()
+    assert {r.text: r.language for r in got} == cases
+
+
 def test_repository_addresses(spark):
     cases = {
         "https://github.com/o/r.git": "https://github.com/o/r",

@@ -5,14 +5,56 @@ EXTERNAL_INPUTS = "getenv fgets scanf read recv fread gets getchar fscanf recvfr
 TAINT_SOURCES = {
     "c": "getenv fgets scanf read recv fread gets getchar fscanf recvfrom recvmsg getopt getpass socket accept fopen getline realpath getaddrinfo gethostbyname".split(),
     "cpp": "getenv fgets scanf read recv fread gets getchar fscanf recvfrom recvmsg cin getline getopt".split(),
+    "java": "getParameter getQueryString getHeader getCookie getReader getInputStream readLine readObject System.getenv System.getProperty Scanner.next Scanner.nextLine".split(),
+    "python": "input raw_input sys.argv os.environ os.getenv request.args request.form request.json request.data request.cookies request.headers request.files".split(),
+    "javascript": "req.body req.query req.params req.headers req.cookies process.env process.argv fs.readFile fetch prompt readline".split(),
+    "go": (
+        "os.Args os.Getenv os.Environ flag.String flag.Int net/http.Request.FormValue net/http.Request.Form net/http.Request.Header "
+        "net/http.Request.Body net/http.Request.Cookies io/ioutil.ReadAll fmt.Scan fmt.Scanf"
+    ).split(),
+    "csharp": (
+        "Console.ReadLine Console.Read System.Environment.GetEnvironmentVariable Request.QueryString Request.Form Request.Cookies Request.Headers "
+        "Request.Params System.IO.File.ReadAllText System.Net.Sockets.Socket.Receive"
+    ).split(),
+    "php": "$_GET $_POST $_COOKIE $_REQUEST $_FILES $_SERVER $_ENV getenv file_get_contents fread fgets socket_read socket_recv".split(),
+    "ruby": "gets read params ENV ARGV cookies request.body request.query_string request.headers".split(),
+    "swift": "CommandLine.arguments ProcessInfo.processInfo.environment String(contentsOf:) Data(contentsOf:) URL(string:)".split(),
+    "kotlin": "readLine Scanner.next System.getenv System.getProperty request.getParameter request.getHeader".split(),
+    "jimple": "getParameter getQueryString getHeader getCookie getReader getInputStream readLine System.getenv".split(),
+    "ghidra": "getenv fgets scanf read recv fread gets GetCommandLine GetEnvironmentVariable ReadFile Recv".split(),
 }
 TAINT_SINKS = {
     "c": "system popen execl execv execve execlp execvp sprintf fprintf snprintf vsprintf strcpy strcat gets memcpy memmove strncpy strncat free malloc printf syslog open fopen write send sendto".split(),
     "cpp": "system popen execl execv execve sprintf fprintf snprintf strcpy strcat memcpy memmove free malloc cout cerr".split(),
+    "java": "Runtime.exec ProcessBuilder.start executeQuery executeUpdate sendRedirect forward include print write".split(),
+    "python": "eval exec os.system os.popen subprocess.call subprocess.Popen subprocess.run pickle.load yaml.load sqlite3.execute".split(),
+    "javascript": "eval setTimeout setInterval child_process.exec child_process.spawn fs.writeFile res.send res.render document.write innerHTML".split(),
+    "go": "os/exec.Command syscall.Exec net/http.ResponseWriter.Write fmt.Printf fmt.Fprintf log.Fatal database/sql.DB.Query os.Create io/ioutil.WriteFile".split(),
+    "csharp": (
+        "System.Diagnostics.Process.Start System.Data.SqlClient.SqlCommand.ExecuteReader System.Data.SqlClient.SqlCommand.ExecuteNonQuery "
+        "Response.Write System.IO.File.WriteAllText System.Console.WriteLine"
+    ).split(),
+    "php": (
+        "exec shell_exec system passthru popen proc_open eval assert preg_replace echo print printf file_put_contents fwrite header setcookie mysql_query"
+    ).split(),
+    "ruby": "eval system exec syscall render send_file redirect_to print puts File.write ActiveRecord::Base.connection.execute".split(),
+    "swift": "Process.launch Process() String(format:) print FileManager.default.createFile".split(),
+    "kotlin": "Runtime.exec ProcessBuilder.start print println File.writeText rawQuery execSQL".split(),
+    "jimple": "Runtime.exec ProcessBuilder.start executeQuery executeUpdate sendRedirect print write".split(),
+    "ghidra": "system popen execl execv strcpy memcpy sprintf WinExec ShellExecute CreateProcess".split(),
 }
 SANITIZERS = {
     "c": "strlcpy strlcat snprintf vsnprintf strtol strtoul strtoll strtoull strtod atoi atol atof xmlEncodeEntities xmlEncodeSpecialChars htmlEncodeEntities".split(),
     "cpp": "strlcpy strlcat snprintf vsnprintf stoi stol stoul stod atoi atol atof".split(),
+    "java": "escapeHtml escapeXml escapeSql escapeJavaScript encode parseInt parseLong parseDouble setString setInt setLong trim strip".split(),
+    "python": "escape quote clean int float str".split(),
+    "javascript": "encodeURIComponent encodeURI escapeHtml sanitize parseInt parseFloat Number".split(),
+    "go": "EscapeString QueryEscape Atoi ParseInt ParseFloat Clean Base HTMLEscapeString".split(),
+    "php": "htmlspecialchars htmlentities strip_tags addslashes mysqli_real_escape_string intval floatval filter_var filter_input urlencode rawurlencode".split(),
+    "ruby": "sanitize h html_escape Integer Float".split(),
+    "csharp": "HtmlEncode UrlEncode Escape TryParse ToInt32".split(),
+    "swift": ["addingPercentEncoding"],
+    "kotlin": "escapeHtml encode toInt toLong toDouble".split(),
 }
 COMMAND_SINKS = {
     "c": ["system", "popen", "execl", "execv", "execve", "execlp", "execvp", "execvpe"],
@@ -73,6 +115,56 @@ LANGUAGE_SIGNALS = {
     "swift": [(r"\bguard\b", 2), (r"\bimport\s+Swift", 3), (r"\bfunc\s+\w+\s*\(", 1), (r"\blet\s+\w+", 1), (r"\bvar\s+\w+\s*:", 1)],
     "rust": [(r"\bfn\s+\w+\s*\(", 2), (r"\blet\s+mut\b", 3), (r"\w+!\s*\(", 2), (r"\buse\s+std::", 3), (r"->\s*\w", 1), (r"\bimpl\b", 2), (r"#\[\w+", 2), (r"::\w", 1)],
 }
+# Paths (below the tree's root) that are left out of a graph, as patterns of the whole path.
+EXCLUDED_PATHS = r"""
+    (?:^|.*/)\..*
+    (?:^|.*/)test.*
+    (?:^|.*/)fuzz.*
+    (?:^|.*/)Testing.*
+    (?:^|.*/)spec.*
+    (?:^|.*/)__tests__/.*
+    (?:^|.*/)e2e.*
+    (?:^|.*/)integration.*
+    (?:^|.*/)unit.*
+    (?:^|.*/)benchmark.*
+    (?:^|.*/)perf.*
+    (?:^|.*/)docs?/.*
+    (?:^|.*/)documentation.*
+    (?:^|.*/)example.*
+    (?:^|.*/)sample.*
+    (?:^|.*/)demo.*
+    (?:^|.*/)tutorial.*
+    (?:^|.*/)guide.*
+    (?:^|.*/)build.*/.* (?:^|.*/).*_build/.*
+    (?:^|.*/)target/.* (?:^|.*/)out/.*
+    (?:^|.*/)dist/.* (?:^|.*/)bin/.*
+    (?:^|.*/)obj/.* (?:^|.*/)Debug/.*
+    (?:^|.*/)Release/.* (?:^|.*/)cmake/.*
+    (?:^|.*/)m4/.* (?:^|.*/)autom4te.*/.*
+    (?:^|.*/)autotools/.* (?:^|.*/)\.git/.*
+    (?:^|.*/)\.svn/.* (?:^|.*/)\.hg/.*
+    (?:^|.*/)\.deps/.* (?:^|.*/)node_modules/.*
+    (?:^|.*/)vendor/.* (?:^|.*/)third_party/.*
+    (?:^|.*/)extern/.* (?:^|.*/)external/.*
+    (?:^|.*/)packages/.* (?:^|.*/)benchmark.*/.*
+    (?:^|.*/)perf.*/.* (?:^|.*/)profile.*/.*
+    (?:^|.*/)bench/.* (?:^|.*/)tool.*/.*
+    (?:^|.*/)script.*/.* (?:^|.*/)utils/.*
+    (?:^|.*/)util/.* (?:^|.*/)helper.*/.*
+    (?:^|.*/)misc/.* (?:^|.*/)python/.*
+    (?:^|.*/)java/.* (?:^|.*/)ruby/.*
+    (?:^|.*/)perl/.* (?:^|.*/)php/.*
+    (?:^|.*/)csharp/.* (?:^|.*/)dotnet/.*
+    (?:^|.*/)go/.* (?:^|.*/)generated/.*
+    (?:^|.*/)gen/.* (?:^|.*/)temp/.*
+    (?:^|.*/)tmp/.* (?:^|.*/)cache/.*
+    (?:^|.*/)\.cache/.* (?:^|.*/)log.*/.*
+    (?:^|.*/)logs/.* (?:^|.*/)result.*/.*
+    (?:^|.*/)results/.* (?:^|.*/)output/.*
+    .*\.md$ .*\.txt$ .*\.xml$ .*\.json$ .*\.yaml$ .*\.yml$ .*\.toml$ .*\.ini$ .*\.cfg$ .*\.conf$ .*\.properties$ .*\.cmake$
+    .*Makefile.* .*makefile.* .*configure.* .*\.am$ .*\.in$ .*\.ac$ .*\.log$ .*\.cache$ .*\.lock$ .*\.tmp$ .*\.bak$ .*\.orig$ .*\.swp$ .*~$
+    .*/\.vscode/.* .*/\.idea/.* .*/\.eclipse/.* .*\.DS_Store$ .*Thumbs\.db$
+""".split()
 
 
 def short_names(patterns: list[str]) -> list[str]:

@@ -140,12 +140,12 @@ def glob_regex(glob: str) -> str:
 
 
 def language_scores(text: Column, signals: dict[str, list[tuple[str, int]]]) -> Column:
-    """A map of language to the summed weights of its patterns found in the text."""
+    """A map of language to the summed weights of its patterns found in the text; letters of all scripts are letters, lines end at line feeds."""
     pairs = []
     for language, patterns in signals.items():
         total = F.lit(0)
         for pattern, weight in patterns:
-            total = total + F.when(text.rlike("(?m)" + pattern), weight).otherwise(0)
+            total = total + F.when(text.rlike("(?mdU)" + pattern), weight).otherwise(0)
         pairs += [F.lit(language), total]
     return F.create_map(*pairs)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from ..functions import predicates as P
+from ..functions.dicts import short_names
 from ..graph import Graph
 from .iterate import cut, identifiers
 
@@ -81,6 +82,12 @@ def call_sites(g: Graph, names: list[str], file: str | None = None, limit: int |
     return c.join(g.method.select(F.col("id").alias("method_id"), F.col("full_name").alias("method")), "method_id").select("id", "name", "code", "file", "line", "method")
 
 
+def sites_by_language(g: Graph, names: dict[str, list[str]]) -> DataFrame:
+    """language, id, name, file, line of the calls of each language's names (of some hundred at most, so they are broadcast)."""
+    wanted = [(language, name) for language, patterns in names.items() for name in short_names(patterns)]
+    return g.call.join(F.broadcast(g.spark.createDataFrame(wanted, "language string, name string")), "name").select("language", "id", "name", "file", "line")
+
+
 def command_sinks(g: Graph, names: list[str], file: str | None = None, limit: int | None = 50) -> DataFrame:
     """Calls of command functions whose first argument exists and is no literal."""
     c = g.call.where(P.any_of(F.col("name"), names))

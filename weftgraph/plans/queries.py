@@ -857,6 +857,46 @@ def language_scores(g):
     return d.select("doc_id", score["python"].alias("python_score"), (~P.excluded(F.col("source"), ["src[0-4]", "src1.*"])).alias("in_scope"))
 
 
+def _found(pattern: str) -> str:
+    return "regexp_matches(x, '(?m)" + pattern.replace("'", "''").replace("{", "{{").replace("}", "}}") + "')"
+
+
+_SCORES = ", ".join(" + ".join(f"CASE WHEN {_found(p)} THEN {w} ELSE 0 END" for p, w in signals) + f" AS {language}" for language, signals in dicts.LANGUAGE_SIGNALS.items())
+
+
+# letters beyond ASCII become a digit, which patterns of words take alike
+@query(rf"""
+    WITH t AS (SELECT doc_id, regexp_replace(text, '[^\x00-\x7F\PL]|[^\x00-\x7F\PN]', '0', 'g') AS x FROM {{documents}}),
+    s AS (SELECT doc_id, {_SCORES} FROM t),
+    r AS (SELECT doc_id, [{", ".join(dicts.LANGUAGE_SIGNALS)}] AS scores FROM s), o AS (SELECT *, list_reverse_sort(scores) AS best FROM r)
+    SELECT doc_id, CASE WHEN best[1] >= 2 AND best[1] >= 2 * greatest(best[2], 1) THEN [{quoted(dicts.LANGUAGE_SIGNALS)}][list_position(scores, best[1])] END AS language FROM o""")
+def snippet_languages(g):
+    return g._load("documents").select("doc_id", P.best_language(P.language_scores(F.col("text"), dicts.LANGUAGE_SIGNALS)).alias("language"))
+
+
+@query(rf"""
+    SELECT page_id, path, NOT regexp_full_match(path, '{"|".join(f"(?:{p})" for p in dicts.EXCLUDED_PATHS)}') AS in_scope
+    FROM (SELECT page_id, regexp_extract(url, '^\w+://[^/]*/([^?#]*)', 1) AS path FROM {{pages}})""")
+def pages_in_scope(g):
+    path = F.regexp_extract("url", r"^\w+://[^/]*/([^?#]*)", 1)
+    return g._load("pages").select("page_id", path.alias("path")).withColumn("in_scope", ~P.excluded(F.col("path"), dicts.EXCLUDED_PATHS))
+
+
+def _by_language(names: dict[str, list[str]]) -> str:
+    rows = ", ".join(f"('{language}', '{name}')" for language, patterns in names.items() for name in dict.fromkeys(p.rstrip("(").split(".")[-1] for p in patterns))
+    return f"SELECT l.language, c.id, c.name, c.file, c.line FROM {{call}} c JOIN (VALUES {rows}) l(language, name) ON c.name = l.name"
+
+
+@query(_by_language(dicts.TAINT_SOURCES))
+def taint_sources_by_language(g):
+    return browse.sites_by_language(g, dicts.TAINT_SOURCES)
+
+
+@query(_by_language(dicts.TAINT_SINKS))
+def taint_sinks_by_language(g):
+    return browse.sites_by_language(g, dicts.TAINT_SINKS)
+
+
 # --- catalog
 
 _JOBS = """SELECT o_orderkey AS id, o_custkey % 100 AS codebase, o_orderpriority AS job_type, o_orderdate AS created_at, CAST(o_orderkey % 5 AS INT) AS attempts,
