@@ -874,11 +874,16 @@ def snippet_languages(g):
     return g._load("documents").select("doc_id", P.best_language(P.language_scores(F.col("text"), dicts.LANGUAGE_SIGNALS)).alias("language"))
 
 
+#: Folders that the paths of pages are placed below, by turns.
+_FOLDERS = ["", "src/", "src/docs/", "latest/", "tests/", "lib/vendor/", ".cache/", "my_vendor/"]
+
+
 @query(rf"""
     SELECT page_id, path, NOT regexp_full_match(path, '{"|".join(f"(?:{p})" for p in dicts.EXCLUDED_PATHS)}') AS in_scope
-    FROM (SELECT page_id, regexp_extract(url, '^\w+://[^/]*/([^?#]*)', 1) AS path FROM {{pages}})""")
+    FROM (SELECT page_id, [{quoted(_FOLDERS)}][page_id % {len(_FOLDERS)} + 1] || regexp_extract(url, '^\w+://[^/]*/([^?#]*)', 1) AS path FROM {{pages}})""")
 def pages_in_scope(g):
-    path = F.regexp_extract("url", r"^\w+://[^/]*/([^?#]*)", 1)
+    folder = F.element_at(F.array(*map(F.lit, _FOLDERS)), (F.col("page_id") % len(_FOLDERS) + 1).cast("int"))
+    path = F.concat(folder, F.regexp_extract("url", r"^\w+://[^/]*/([^?#]*)", 1))
     return g._load("pages").select("page_id", path.alias("path")).withColumn("in_scope", ~P.excluded(F.col("path"), dicts.EXCLUDED_PATHS))
 
 
