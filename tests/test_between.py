@@ -41,6 +41,20 @@ def test_backward_goes_on_to_callers(spark):
     assert {r.id for r in iterate.slice_between(program(spark), seeds, 2).collect()} == {53, 12}
 
 
+def test_backward_goes_on_through_compound_assignments(spark):
+    plus = (61, 1, "<operator>.assignmentPlus", "n += p->k * n", "a.c", 7, "STATIC_DISPATCH", None)
+    shift = (62, 1, "<operator>.assignmentShiftLeft", "k <<= seed", "a.c", 4, "STATIC_DISPATCH", None)
+    late = (63, 1, "<operator>.assignmentPlus", "n += late", "a.c", 20, "STATIC_DISPATCH", None)
+    plain = (64, 1, "<operator>.assignment", "n = other", "a.c", 6, "STATIC_DISPATCH", None)
+    sides = [(61, "n", "p->k * n"), (62, "k", "seed"), (63, "n", "late"), (64, "n", "other")]
+    argument = [arg(c, 1, i, code, 0) for c, *codes in sides for i, code in enumerate(codes, 1)]
+    g = graph(spark, method=[method(1, "f")], call=[plus, shift, late, plain], argument=argument, assignment=[(71, 1, 2, "seed", "first"), (72, 1, 5, "n", "0")])
+    seeds = spark.createDataFrame([(1, "n", 9)], "method_id long, var string, line int")
+    got = {(r.id, r.kind, r.var, r.depth) for r in iterate.slice_between(g, seeds).collect()}
+    assert got == {(61, "compound", "n", 1), (72, "assignment", "n", 1), (62, "compound", "k", 2), (71, "assignment", "seed", 3)}
+    assert not {(r.id, r.kind) for r in iterate.slice_between(g, seeds, forward=True).collect()} & {(61, "compound"), (62, "compound"), (63, "compound")}
+
+
 def test_forward_goes_on_to_methods_called(spark):
     seeds = spark.createDataFrame([(1, "given", 1)], "method_id long, var string, line int")
     got = {(r.id, r.kind, r.depth) for r in iterate.slice_between(program(spark), seeds, 6, forward=True).collect()}

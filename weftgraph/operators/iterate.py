@@ -204,18 +204,29 @@ def _written(target: Column) -> Column:
     return F.array_distinct(F.filter(F.array(name, base, field), lambda x: x.isNotNull() & (x != "")))
 
 
+def compound_assignments(g: Graph) -> DataFrame:
+    """id, method_id, line, target, source of calls that update their first argument by their second (``x += y``)."""
+    c = g.call.where(F.col("name").startswith("<operator>.assignment") & (F.col("name") != "<operator>.assignment")).select("id", "method_id", "line")
+    sides = g.argument.where("arg_index IN (1, 2)").select(F.col("call_id").alias("id"), "arg_index", "code")
+    side = [F.max(F.when(F.col("arg_index") == i, F.col("code"))).alias(n) for i, n in ((1, "target"), (2, "source"))]
+    return c.join(sides, "id").groupBy("id", "method_id", "line").agg(*side).where("target IS NOT NULL AND source IS NOT NULL")
+
+
 def slice_steps(g: Graph, forward: bool = False) -> DataFrame:
     """One row for each way a slice goes on from (method_id, var): what is met there (id, kind, at) and next_method, next_var, next_line.
 
-    A way is open to a line after (forward: before) ``bound``.
+    A way is open to a line after (forward: before) ``bound``.  Compound assignments count backward; forward they are calls like others.
     """
     others = F.explode_outer(F.filter("names", lambda x: x != F.col("var")))
-    a = g.assignment.where("line > 0").select("id", "method_id", F.col("line").alias("at"), "target", "source")
+    columns = ["id", "method_id", F.col("line").alias("at"), "target", "source"]
+    a = g.assignment.where("line > 0").select(*columns, F.lit("assignment").alias("kind"))
+    if not forward:
+        a = a.unionByName(compound_assignments(g).where("line > 0").select(*columns, F.lit("compound").alias("kind")))
     if forward:
         own = a.select("*", F.explode(identifiers(F.col("source"))).alias("var"), F.array(F.regexp_extract("target", r"\A[*&]*(\w+)", 1)).alias("names"))
     else:
         own = a.select("*", F.explode(_written(F.col("target"))).alias("var"), identifiers(F.col("source")).alias("names"))
-    own = own.select("method_id", "var", F.col("at").alias("bound"), "id", F.lit("assignment").alias("kind"), "at", F.col("method_id").alias("next_method"), others.alias("next_var"), F.col("at").alias("next_line"))
+    own = own.select("method_id", "var", F.col("at").alias("bound"), "id", "kind", "at", F.col("method_id").alias("next_method"), others.alias("next_var"), F.col("at").alias("next_line"))
     if forward:
         used = g.argument.where("kind <> 'LITERAL'").select("call_id", "arg_index", "method_id", F.col("line").alias("at"), F.explode(identifiers(F.col("code"))).alias("var"))
         p = g.parameter.select(F.col("method_id").alias("callee_id"), F.col("ord").alias("arg_index"), F.col("name").alias("next_var"))

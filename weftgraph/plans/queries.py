@@ -354,6 +354,18 @@ def backward_slice_interproc(g):
     return iterate.slice_between(g, _seeds(g))
 
 
+_UPDATES = "xs AS (SELECT id, method_id, line, target, source, 'assignment' AS kind FROM {assignment} UNION ALL SELECT c.id, c.method_id, c.line, t.code, s.code, 'compound' FROM {call} c JOIN {argument} t ON t.call_id = c.id AND t.arg_index = 1 JOIN {argument} s ON s.call_id = c.id AND s.arg_index = 2 WHERE c.name = '<operator>.addition')"
+_UPDATE_STEPS = _BACK_STEPS.replace("{assignment}", "xs").replace("x.id, 'assignment' AS kind", "x.id, x.kind").replace("(SELECT id, unnest", "(SELECT id, kind, unnest").replace("n.id = x.id", "n.id = x.id AND n.kind = x.kind")
+
+
+@query(_between(_UPDATE_STEPS, "<").replace("WITH RECURSIVE ", f"WITH RECURSIVE {_UPDATES}, "))
+def backward_slice_compound(g):
+    """The graph's sums are taken for compound ones."""
+    name = F.when(F.col("name") == "<operator>.addition", "<operator>.assignmentPlus").otherwise(F.col("name"))
+    updating = Graph(g.spark, lambda table: g.call.withColumn("name", name) if table == "call" else getattr(g, table))
+    return iterate.slice_between(updating, _seeds(g))
+
+
 @query(_between(_FORWARD_STEPS, ">"))
 def forward_slice_interproc(g):
     return iterate.slice_between(g, _seeds(g), forward=True)
