@@ -58,3 +58,14 @@ def test_no_expressions():
     assert trees.parse(None) is None
     for code in ("", "a b", "(a", "f(a", "+", "a[1", "@", "(" * 5000 + "a" + ")" * 5000):
         assert [n[2:4] for n in trees.parse(code)] == [("UNKNOWN", "")], code
+
+
+def test_trees_are_dealt_by_root_once(spark):
+    from weftgraph.graph import Graph
+    from weftgraph.operators import trees
+
+    argument = spark.createDataFrame([(1, 1, 1, "CALL", "a + b * 2", 3, None), (2, 1, 1, "IDENTIFIER", "a", 4, None)], "call_id long, method_id long, arg_index int, kind string, code string, line int, decl_id long")
+    g = Graph.of(spark, {"argument": argument})
+    assert trees.by_root(g) is trees.by_root(g)
+    assert {(r.root_id, r.nodes, r.names) for r in trees.descendants(g).collect()} == {(1, 5, "a,b"), (2, 1, "a")}
+    assert [(r.pre, r.children) for r in trees.children(g).orderBy("pre").collect()] == [(0, 2), (2, 2)]

@@ -36,8 +36,8 @@ def detector(name: str, cwe: str) -> Callable:
 def first_arguments(g: Graph, names: list[str], index: int = 1) -> DataFrame:
     """Calls of named functions with the code of one argument: id, method_id, name, line, arg."""
     c = g.call.where(P.any_of(F.col("name"), names)).select("id", "method_id", "name", "line", "file")
-    a = g.argument.where(F.col("arg_index") == index).select(F.col("call_id").alias("id"), F.trim("code").alias("arg"), "kind", "decl_id")
-    return c.join(a, "id")
+    a = g.argument.where(F.col("arg_index") == index).select(F.col("call_id").alias("id"), "method_id", F.trim("code").alias("arg"), "kind", "decl_id")
+    return c.join(a, ["method_id", "id"]).select("id", "method_id", "name", "line", "file", "arg", "kind", "decl_id")
 
 
 def without_reassignment(g: Graph, pairs: DataFrame, name: str = "ptr") -> DataFrame:
@@ -223,7 +223,7 @@ def integer_overflow_sizes(g: Graph) -> DataFrame:
     name in the size was last assigned before (``alloc_indirect_arithmetic``, ``size``: that name).
     The first kind found counts: direct HIGH, direct MEDIUM, indirect.
     """
-    ast = cut(g.ast)
+    ast = trees.by_root(g)
     risky = cut(trees.risky_arithmetic(ast))
     sizes = cut(_sizes(g))
     columns = ["id", "file", "line", "method_id", "arithmetic", "op", "risk", "names", "phase", "size", "place"]
@@ -277,17 +277,17 @@ def _writes(g: Graph, table: dict[str, tuple[int, int]]) -> DataFrame:
     """Buffer writes: id, method_id, name, b (line), dst, size (null if unbounded)."""
     place = {i: F.create_map(*(F.lit(x) for k, v in table.items() for x in (k, v[i]))) for i in (0, 1)}
     c = g.call.where(P.any_of(F.col("name"), list(table))).select("id", "method_id", "name", F.col("line").alias("b"), place[0][F.col("name")].alias("di"), place[1][F.col("name")].alias("si"))
-    d = g.argument.select(F.col("call_id").alias("id"), F.col("arg_index").alias("di"), F.col("code").alias("dst"))
-    s = g.argument.select(F.col("call_id").alias("id"), F.col("arg_index").alias("si"), F.col("code").alias("size"))
-    return c.join(d, ["id", "di"]).join(s, ["id", "si"], "left").select("id", "method_id", "name", "b", "dst", "size")
+    d = g.argument.select(F.col("call_id").alias("id"), "method_id", F.col("arg_index").alias("di"), F.col("code").alias("dst"))
+    s = g.argument.select(F.col("call_id").alias("id"), "method_id", F.col("arg_index").alias("si"), F.col("code").alias("size"))
+    return c.join(d, ["method_id", "id", "di"]).join(s, ["method_id", "id", "si"], "left").select("id", "method_id", "name", "b", "dst", "size")
 
 
 @detector("heap_overflow", "CWE-122")
 def heap_overflow(g: Graph) -> DataFrame:
     """Writes into an allocation that are unbounded or larger than it: (site, method_id, ptr, line, writes, confidence)."""
     alloc = allocations(g, list(dicts.SIZE_ARGUMENT)).withColumn("arg_index", _number(dicts.SIZE_ARGUMENT)[F.col("name")])
-    size = g.argument.select(F.col("call_id").alias("id"), "arg_index", F.col("code").alias("have"))
-    alloc = alloc.join(size, ["id", "arg_index"]).select(F.col("id").alias("site"), F.col("method_id"), "ptr", F.col("line").alias("a"), "have")
+    size = g.argument.select(F.col("call_id").alias("id"), "method_id", "arg_index", F.col("code").alias("have"))
+    alloc = alloc.join(size, ["method_id", "id", "arg_index"]).select(F.col("id").alias("site"), F.col("method_id"), "ptr", F.col("line").alias("a"), "have")
     w = _writes(g, dicts.HEAP_WRITES).withColumnRenamed("method_id", "wm").withColumnRenamed("size", "need").withColumnRenamed("id", "write")
     hit = alloc.join(w, (F.col("method_id") == F.col("wm")) & (F.col("b") > F.col("a")) & P.buffer_target(F.col("dst"), F.col("ptr")))
     hit = without_exclusive(g, without_reassignment(g, hit))
@@ -424,7 +424,7 @@ def null_deref_between(g: Graph) -> DataFrame:
 @detector("integer_overflow_between_functions", "CWE-190")
 def integer_overflow_between(g: Graph) -> DataFrame:
     """A product or shift, or a name last assigned one, passed to a method that allocates by the parameter: (id, method_id, line, arithmetic, callee_id, allocation)."""
-    ast = cut(g.ast)
+    ast = trees.by_root(g)
     sizes = _sizes(g).select(F.col("id").alias("allocation"), F.col("method_id").alias("callee_id"), "root_ord")
     plain = ast.where("kind = 'IDENTIFIER' AND pre = 0").select(F.col("root_id").alias("allocation"), "root_ord", F.col("name").alias("param"))
     by = sizes.join(plain, ["allocation", "root_ord"]).select("allocation", "callee_id", "param")
