@@ -156,3 +156,13 @@ def test_first_flows_of_a_wide_graph_build_few(spark, monkeypatch):
     ends = lambda k: spark.createDataFrame([(100 * k + i,) for i in range(20)], "node long")
     got = iterate.flows_between(g, ends(0), ends(9), 9, 5).collect()
     assert [r.path for r in got] == ["0>" + ">".join(str(100 * k) for k in range(1, 9)) + f">{x}" for x in (900, 901, 902, 903, 904)]
+
+
+def test_anchors_meet_one_node_of_each_line(spark):
+    calls = [call(100 + i, 1, "<operator>.addition" if i < 5 else "f", 10 + i % 2) for i in range(20)]
+    g = graph(spark, method=[method(1, "m"), method(2, "n")], call=[*calls, call(7, 2, "f", 30)], assignment=[(50, 1, 10, "x", "y"), (51, 1, 16, "x", "z")], control=[(60, 1, "IF", "x", 16, 18), (61, 2, "IF", "x", 30, 31)])
+    got = browse.anchors(g, spark.createDataFrame([("a.c", 10), ("a.c", 13), ("a.c", 33), ("a.c", 40), ("b.c", 10)], "file string, line int"))
+    assert {(r.line, r.delta, r.node, r.method_id) for r in got.collect()} == {(10, 0, 106, 1), (13, -2, 105, 1), (33, -3, 7, 2)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(plan.splitlines()) if "Join" in line)
+    assert "Aggregate [m_file" in "".join(plan.splitlines()[join:])  # under the join of places with nodes

@@ -97,3 +97,12 @@ def test_dealt_tables_are_grouped_without_a_shuffle(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.collect())) and inside.count() == 7
     assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("weft_")]
+
+
+def test_tables_out_of_dealt_ones_stay_dealt(spark, tmp_path):
+    one = iterate.dealt(spark.range(100).selectExpr("id % 7 AS method_id", "id"), "method_id", f"file://{tmp_path}")
+    both = one.unionByName(one.selectExpr("method_id", "id + 1000 AS id"))
+    got = iterate.dealt(both, "method_id", f"file://{tmp_path}", inside=True)
+    inside = got.groupBy("method_id").count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, both.collect())) and sorted(map(tuple, inside.collect())) == [(i, 30 if i < 2 else 28) for i in range(7)]
+    assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString()

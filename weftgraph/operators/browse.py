@@ -192,11 +192,13 @@ def anchors(g: Graph, places: DataFrame) -> DataFrame:
     calls = g.call.select("method_id", F.col("line").alias("at"), F.col("id").alias("node"), F.when(operator, 3).otherwise(0).alias("rank"), "code")
     sets = g.assignment.select("method_id", F.col("line").alias("at"), F.col("id").alias("node"), F.lit(1).alias("rank"), F.concat_ws(" = ", "target", "source").alias("code"))
     tests = g.control.select("method_id", F.col("line").alias("at"), F.col("id").alias("node"), F.lit(2).alias("rank"), F.col("condition").alias("code"))
-    nodes = calls.unionByName(sets).unionByName(tests).join(m, "method_id")
+    # the first node of each line and kind is found before rows travel: a line has many nodes, and one is wanted
+    first = lambda nodes: nodes.join(m, "method_id").groupBy("m_file", "at").agg(F.min(F.struct("rank", "node", "code", "method_id")).alias("n"))
+    nodes = first(calls).unionByName(first(sets)).unionByName(first(tests)).groupBy("m_file", "at").agg(F.min("n").alias("n"))
     # one row for each line that counts, so that the join is on equal values
     near = places.distinct().withColumn("delta", F.explode(F.sequence(F.lit(-3), F.lit(3)))).withColumn("at", F.col("line") + F.col("delta"))
     hit = near.join(nodes, (F.col("file") == F.col("m_file")) & (near["at"] == nodes["at"])).drop(nodes["at"])
-    best = F.min(F.struct(F.abs("delta").alias("far"), "delta", "rank", "node", "code", "method_id"))
+    best = F.min(F.struct(F.abs("delta").alias("far"), "delta", F.col("n.rank").alias("rank"), F.col("n.node").alias("node"), F.col("n.code").alias("code"), F.col("n.method_id").alias("method_id")))
     return hit.groupBy("file", "line").agg(best.alias("x")).select("file", "line", "x.delta", "x.node", "x.code", "x.method_id")
 
 
