@@ -1,5 +1,9 @@
 """What crosses methods: slices, flows, defects and confidence, on small hand-made graphs."""
 
+import random
+
+import pytest
+
 from weftgraph.functions import dicts
 from weftgraph.graph import Graph
 from weftgraph.operators import browse, detectors, iterate
@@ -166,3 +170,39 @@ def test_anchors_meet_one_node_of_each_line(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     join = next(i for i, line in enumerate(plan.splitlines()) if "Join" in line)
     assert "Aggregate [m_file" in "".join(plan.splitlines()[join:])  # under the join of places with nodes
+
+
+def walked(steps, seeds, depth, forward):
+    """All (method, variable, line) one by one, with the round of each way."""
+    seen, front, hits = set(seeds), set(seeds), {}
+    for level in range(1, depth + 1):
+        met = [s for s in steps for m, v, line in front if (s.method_id, s.var) == (m, v) and (s.bound > line if forward else s.bound < line)]
+        for s in met:
+            hits.setdefault((s.id, s.kind, s.method_id, s.var, s["at"]), level)
+        front = {(s.next_method, s.next_var, s.next_line) for s in met if s.next_var is not None} - seen
+        seen |= front
+    return {(*k, d) for k, d in hits.items()}
+
+
+@pytest.mark.parametrize("forward", [False, True])
+def test_slices_are_those_of_all_lines_but_only_the_furthest_travels(spark, monkeypatch, forward):
+    rng = random.Random(9)
+    v = lambda: rng.choice("abcd")
+    calls = [call(100 + i, rng.randint(1, 4), "f", rng.randint(1, 30), rng.randint(1, 4)) for i in range(14)]
+    g = graph(
+        spark,
+        method=[method(i, f"m{i}", rng.randint(1, 5)) for i in range(1, 5)],
+        parameter=[(10 * i + j, i, "ab"[j - 1], "int", j) for i in range(1, 5) for j in (1, 2)],
+        call=calls,
+        argument=[arg(c[0], c[1], j, f"{v()} + {v()}", c[5]) for c in calls for j in (1, 2)],
+        assignment=[(1000 + i, rng.randint(1, 4), rng.randint(1, 30), v(), f"{v()} * {v()}") for i in range(40)],
+    )
+    seeds = [(m, "a", line) for m in (1, 2) for line in range(5, 25, 3)]
+    stored, deal = [], iterate.dealt
+    monkeypatch.setattr(iterate, "dealt", lambda df, *a: stored.append(deal(df, *a)) or stored[-1])
+    for depth in (1, 3, 5):
+        stored.clear()
+        got = iterate.slice_between(g, spark.createDataFrame(seeds, "method_id long, var string, line int"), depth, forward)
+        assert {tuple(r) for r in got.collect()} == walked(iterate.slice_steps(g, forward).collect(), seeds, depth, forward)
+        assert 2 <= len(stored) <= depth + 1 and all(t.count() == t.select("method_id", "var").distinct().count() for t in stored[1:])
+    assert iterate.slice_between(g, spark.createDataFrame([], "method_id long, var string, line int"), 5, forward).count() == 0
