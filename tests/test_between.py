@@ -206,3 +206,16 @@ def test_slices_are_those_of_all_lines_but_only_the_furthest_travels(spark, monk
         assert {tuple(r) for r in got.collect()} == walked(iterate.slice_steps(g, forward).collect(), seeds, depth, forward)
         assert 2 <= len(stored) <= depth + 1 and all(t.count() == t.select("method_id", "var").distinct().count() for t in stored[1:])
     assert iterate.slice_between(g, spark.createDataFrame([], "method_id long, var string, line int"), 5, forward).count() == 0
+
+
+def test_uses_inside_are_exempt_where_their_method_is_read(spark):
+    g = two(spark, "puts")
+    handed = spark.createDataFrame([(1, 1, "p", 10, 20, 2, "q")], "site long, method_id long, ptr string, a int, b int, callee_id long, param string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hit = detectors._used_inside(g, handed, ["free"])
+        plan = hit._jdf.queryExecution().executedPlan().toString()
+        assert hit.count() == 1 and detectors._used_inside(g, handed, ["puts"]).count() == 0
+        assert "hashpartitioning(call_id#" not in plan and "hashpartitioning(callee_id#" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -75,8 +75,8 @@ def without_exclusive(g: Graph, pairs: DataFrame) -> DataFrame:
     """Drop pairs whose lines a and b are in different branches of one condition, or segments of one switch."""
     apart = g.branch.unionByName(switch_segments(g))
     x = apart.select("control_id", F.col("method_id").alias("m"), F.col("branch").alias("xb"), F.col("line").alias("x0"), F.col("line_end").alias("x1"))
-    y = apart.select("control_id", F.col("branch").alias("yb"), F.col("line").alias("y0"), F.col("line_end").alias("y1"))
-    both = x.join(y, "control_id").where("xb <> yb")
+    y = apart.select("control_id", F.col("method_id").alias("m"), F.col("branch").alias("yb"), F.col("line").alias("y0"), F.col("line_end").alias("y1"))
+    both = x.repartition("m").join(y.repartition("m"), ["m", "control_id"]).where("xb <> yb")
     inside = (F.col("method_id") == F.col("m")) & F.col("a").between(F.col("x0"), F.col("x1")) & F.col("b").between(F.col("y0"), F.col("y1"))
     return pairs.join(both, inside, "left_anti")
 
@@ -396,7 +396,7 @@ def _used_inside(g: Graph, handed: DataFrame, exempt: list[str]) -> DataFrame:
     """Handed-on pointers with each use of the parameter in the method called: use_line, call_id."""
     a = g.argument.select(F.col("method_id").alias("callee_id"), "call_id", "code", F.col("line").alias("use_line"))
     hit = handed.join(a, "callee_id").where(P.pointer_use(F.col("code"), F.col("param")))
-    return hit.join(g.call.where(P.any_of(F.col("name"), exempt)).select(F.col("id").alias("call_id")), "call_id", "left_anti")
+    return hit.join(g.call.where(P.any_of(F.col("name"), exempt)).select(F.col("method_id").alias("callee_id"), F.col("id").alias("call_id")), ["callee_id", "call_id"], "left_anti")
 
 
 @detector("use_after_free_between_functions", "CWE-416")
