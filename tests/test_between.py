@@ -4,9 +4,11 @@ import random
 
 import pytest
 
+from weftgraph import project
 from weftgraph.functions import dicts
 from weftgraph.graph import Graph
 from weftgraph.operators import browse, detectors, iterate
+from weftgraph.plans import queries
 from weftgraph.schema import TABLES
 
 
@@ -219,3 +221,50 @@ def test_uses_inside_are_exempt_where_their_method_is_read(spark):
         assert "hashpartitioning(call_id#" not in plan and "hashpartitioning(callee_id#" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def flows(edges, sources, sinks, clean, depth):
+    """All flows, one by one."""
+    found, paths = set(), [(n,) for n in sources]
+    for _ in range(depth):
+        paths = [(*p, b) for p in paths for a, b in edges if a == p[-1] and b not in p and (b in sinks or b not in clean)]
+        found |= {p for p in paths if p[-1] in sinks}
+        paths = [p for p in paths if p[-1] not in sinks]
+    return found
+
+
+def test_flows_are_those_of_a_walk_and_edges_know_how_far_a_sink_is(spark, monkeypatch):
+    """Also from sources that are sinks, through cycles, and where a sink is a sanitizer."""
+    rng = random.Random(11)
+    nodes = lambda x: spark.createDataFrame([(i,) for i in x], "node long")
+    kept, towards = [], iterate._towards
+    monkeypatch.setattr(iterate, "_towards", lambda *a: kept.append(towards(*a)) or kept[-1])
+    for depth in (1, 4):
+        edges = {(rng.randrange(14), rng.randrange(14)) for _ in range(34)}
+        sources, sinks, clean = rng.sample(range(16), 4), rng.sample(range(16), 4), rng.sample(range(14), 3)
+        sinks[0], clean[0] = sources[0], sinks[1]
+        g = Graph.of(spark, {"ddg": spark.createDataFrame(sorted(edges), "src long, dst long")})
+        got = iterate.flows_between(g, nodes(sources), nodes(sinks), depth, sanitizers=nodes(clean)).collect()
+        want = flows(edges, set(sources), set(sinks), set(clean), depth)
+        assert sorted(r.path for r in got) == sorted(">".join(map(str, p)) for p in want) and all((r.source, r.sink, r.length) == (p[0], p[-1], len(p)) for r in got for p in [[int(x) for x in r.path.split(">")]])
+        far = {n: 0 for n in sinks}  # by walks over the edges that a path may take
+        usable = [(a, b) for a, b in edges if a != b and (b in sinks or b not in clean) and (a not in sinks or a in sources)]
+        steps = {}
+        for k in range(depth):
+            steps |= {e: k for e in usable if e not in steps and (e[1] in sinks if k == 0 else e[1] not in sinks and far.get(e[1], depth) == k)}
+            far |= {a: k + 1 for (a, _), s in steps.items() if s == k and far.get(a, depth) > k + 1 or a not in far}
+        assert {(r.src, r.dst): r.after for r in kept.pop().collect()} == steps
+
+
+def test_flows_store_no_calls_but_those_near_data_flow(spark, monkeypatch):
+    """Calls come out of the base tables in one pass, narrowed to the ids of data flow before they are joined or grouped; no path is stored."""
+    stored, deal = [], iterate.dealt
+    monkeypatch.setattr(project, "dealt", lambda df, *a, **k: pytest.fail("placed is stored"))
+    monkeypatch.setattr(iterate, "dealt", lambda df, *a: stored.append(df) or deal(df, *a))
+    monkeypatch.setattr(iterate, "cut", lambda df: pytest.fail("a round is stored"))
+    found = queries.QUERIES["taint_flows_between"](spark, "/root/testdata/sf0.001")
+    calls = [df for df in stored if df.columns == ["node", "name"]]
+    assert found.count() > 0 and len(calls) == 1 and not any("path" in df.columns for df in stored)
+    plan = calls[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    group = next(i for i, line in enumerate(plan) if "Aggregate [l_orderkey" in line)
+    assert any("Filter" in line and "l_orderkey" in line and "<=" in line for line in plan[group:])
