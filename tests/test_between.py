@@ -7,7 +7,7 @@ import pytest
 from weftgraph import project
 from weftgraph.functions import dicts
 from weftgraph.graph import Graph
-from weftgraph.operators import browse, detectors, iterate
+from weftgraph.operators import browse, detectors, iterate, trees
 from weftgraph.plans import queries
 from weftgraph.schema import TABLES
 
@@ -125,6 +125,46 @@ def test_product_handed_on(spark):
     assert detectors.integer_overflow_between(g("rows > SIZE_MAX / cols")).count() == 0
 
 
+def test_product_handed_on_by_its_own_argument(spark):
+    """A static and two dynamic calls meet the allocation, each once, a call of the method by itself does not; the product counts at the parameter's place alone."""
+    dynamic = "DYNAMIC_DISPATCH"
+    g = graph(
+        spark,
+        method=[method(1, "outer"), method(2, "inner", 101), method(3, "idle", 201)],
+        parameter=[(21, 2, "n", "int", 1), (22, 2, "m", "int", 2), (31, 3, "k", "int", 1)],
+        call=[call(11, 1, "inner", 20, 2), call(12, 1, "inner", 30, 2, dynamic), call(13, 1, "inner", 40, None, dynamic), call(14, 2, "inner", 104, 2), call(15, 1, "idle", 45, 3), call(16, 2, "malloc", 105)],
+        argument=[arg(c, m, 1, "a * b", line, "CALL") for c, m, line in ((11, 1, 20), (12, 1, 30), (14, 2, 104), (15, 1, 45))]
+        + [arg(12, 1, 2, "c * d", 30, "CALL"), arg(13, 1, 1, "e", 40), arg(13, 1, 2, "f", 40), arg(16, 2, 1, "n", 105)],
+        assignment=[(51, 1, 35, "f", "g * h"), (52, 1, 36, "e", "i << 2"), (53, 1, 50, "e", "late * late")],
+    )
+    assert sorted((r.id, r.arithmetic, r.callee_id) for r in detectors.integer_overflow_between(g).collect()) == [(11, "a * b", 2), (12, "a * b", 2), (13, "i << 2", 2)]
+
+
+@pytest.mark.parametrize("of", ["argument", "assignment"])
+def test_trees_of_some_expressions_are_those_of_all(spark, of):
+    """Trees made of what some roots come out of are the rows of ``ast`` with these roots."""
+    g = project.projected(spark, "/root/testdata/sf0.001")
+    place = "root_ord = 0" if of == "assignment" else "root_ord > 0"
+    roots = g.ast.where(f"{place} AND (root_id + root_ord) % 7 = 3").select("method_id", "root_id", "root_ord").distinct()
+    got, want = g.expressions(of, roots), g.ast.join(roots, ["method_id", "root_id", "root_ord"], "left_semi").select(g.ast.columns)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert 0 < want.count() < g.ast.count() / 3
+
+
+@pytest.mark.parametrize("name", ["int_overflow_interproc", "int_overflow_tree"])
+def test_overflows_make_no_trees_but_those_they_need(spark, monkeypatch, name):
+    """Neither all arguments nor all trees are stored: only those of allocations, of arguments that reach one, and of what was last assigned."""
+    stored, deal = [], iterate.dealt
+    monkeypatch.setattr(trees, "by_root", lambda g: pytest.fail("all trees are stored"))
+    for module in (project, detectors):
+        monkeypatch.setattr(module, "dealt", lambda df, *a, **k: stored.append(deal(df, *a, **k)) or stored[-1])
+    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    g = project.projected(spark, "/root/testdata/sf0.001")
+    assert not any("decl_id" in df.columns for df in stored)
+    made = [df for df in stored if "post" in df.columns]
+    assert len(made) == 2 and sum(df.count() for df in made) < g.ast.count() / 5
+
+
 def test_alias_made_after_the_free(spark):
     g = graph(spark, call=[call(1, 1, "free", 10), call(2, 1, "puts", 30)], argument=[arg(1, 1, 1, "p", 10), arg(2, 1, 1, "q", 30)], assignment=[(1, 1, 20, "q", "p")])
     assert [(r.via, r.line, r.first_use) for r in detectors.use_after_free(g).collect()] == [("post-free-alias", 20, 30)]

@@ -17,7 +17,7 @@ from ..functions import dicts
 from ..functions import predicates as P
 from ..graph import Graph
 from . import dataflow, trees
-from .iterate import callees, cut, passed
+from .iterate import callees, cut, dealt, passed
 from .order import numbered
 
 DETECTORS: dict[str, tuple[str, Callable[..., DataFrame]]] = {}
@@ -194,6 +194,22 @@ def _sizes(g: Graph) -> DataFrame:
     return g.call.where(P.any_of(F.col("name"), list(dicts.OVERFLOW_SIZE))).select("id", "method_id", "file", "line", _number(dicts.OVERFLOW_SIZE)[F.col("name")].alias("root_ord"))
 
 
+#: Tells expressions apart inside methods.
+_ROOT = ["method_id", *trees.ROOT]
+
+
+def _trees(g: Graph, of: str, roots: DataFrame) -> DataFrame:
+    """The syntax trees of some expressions alone (method_id, root_id, root_ord), stored once, dealt by method."""
+    return dealt(g.expressions(of, roots), "method_id")
+
+
+def _last_products(g: Graph, last: DataFrame) -> DataFrame:
+    """Uses (method_id, assign_id, and others) with the HIGH arithmetic in what they were last assigned."""
+    sources = last.select("method_id", F.col("assign_id").alias("root_id"), F.lit(0).alias("root_ord"))
+    high = trees.risky_arithmetic(_trees(g, "assignment", sources), _ROOT).where("risk = 'HIGH'").drop("root_ord")
+    return last.join(high.withColumnRenamed("root_id", "assign_id"), ["method_id", "assign_id"])
+
+
 def last_before(g: Graph, uses: DataFrame, keys: list[str]) -> DataFrame:
     """Uses (column method_id, name, line) with the id of the last assignment to the name on a line before (assign_id)."""
     a = g.assignment.select("method_id", F.col("target").alias("name"), F.col("line").alias("at"), F.col("id").alias("assign_id"))
@@ -211,6 +227,8 @@ def unguarded(g: Graph, sites: DataFrame) -> DataFrame:
     clear = condition.contains("__builtin_") & condition.contains("overflow")
     for word in dicts.OVERFLOW_GUARDS:
         clear = clear | condition.contains(word)
+    # those that can clear are few: found by one pattern, before rows meet
+    c = c.where(condition.rlike("|".join(["/", "overflow", *dicts.OVERFLOW_GUARDS])))
     clear = clear | condition.contains("/") & F.exists("names", lambda n: P.has_words(condition, n))
     return sites.join(c, (F.col("method_id") == F.col("m")) & (F.col("g0") > 0) & (F.col("g0") <= F.col("line")) & (F.size("names") > 0) & clear, "left_anti")
 
@@ -223,18 +241,16 @@ def integer_overflow_sizes(g: Graph) -> DataFrame:
     name in the size was last assigned before (``alloc_indirect_arithmetic``, ``size``: that name).
     The first kind found counts: direct HIGH, direct MEDIUM, indirect.
     """
-    ast = trees.by_root(g)
-    risky = cut(trees.risky_arithmetic(ast))
-    sizes = cut(_sizes(g))
+    sizes = dealt(_sizes(g).withColumn("root_id", F.col("id")), "method_id")
+    ast = _trees(g, "argument", sizes.select(_ROOT))
     columns = ["id", "file", "line", "method_id", "arithmetic", "op", "risk", "names", "phase", "size", "place"]
-    direct = sizes.join(risky, (sizes.id == risky.root_id) & (sizes.root_ord == risky.root_ord)).withColumns(
+    direct = sizes.join(trees.risky_arithmetic(ast, _ROOT), _ROOT).withColumns(
         {"phase": F.when(F.col("risk") == "HIGH", 1).otherwise(2), "size": F.lit(None).cast("string"), "place": F.lit(0)}
     )
-    names = ast.where("kind = 'IDENTIFIER'").groupBy("root_id", "root_ord", "name").agg(F.min("pre").alias("place"))
-    named = sizes.join(names, (sizes.id == names.root_id) & (sizes.root_ord == names.root_ord)).select("id", "method_id", "file", "line", "name", "place")
-    last = last_before(g, named, ["id", "method_id", "file", "line", "name", "place"])
-    high = risky.where("risk = 'HIGH' AND root_ord = 0").withColumnRenamed("root_id", "assign_id")
-    indirect = last.join(high, "assign_id").withColumn("phase", F.lit(3)).withColumnRenamed("name", "size")
+    names = ast.where("kind = 'IDENTIFIER'").groupBy(*_ROOT, "name").agg(F.min("pre").alias("place"))
+    keys = ["id", "method_id", "file", "line", "name", "place"]
+    last = dealt(last_before(g, sizes.join(names, _ROOT).select(keys), keys), "method_id")
+    indirect = _last_products(g, last).withColumn("phase", F.lit(3)).withColumnRenamed("name", "size")
     found = unguarded(g, direct.select(columns).unionByName(indirect.select(columns)))
     first = found.groupBy("file", "method_id", "line").agg(F.min(F.struct("id", "phase", "place", "arithmetic", "op", "risk", "size")).alias("x"))
     kind = F.when(F.col("x.phase") == 3, "alloc_indirect_arithmetic").otherwise("alloc_arithmetic")
@@ -424,20 +440,18 @@ def null_deref_between(g: Graph) -> DataFrame:
 @detector("integer_overflow_between_functions", "CWE-190")
 def integer_overflow_between(g: Graph) -> DataFrame:
     """A product or shift, or a name last assigned one, passed to a method that allocates by the parameter: (id, method_id, line, arithmetic, callee_id, allocation)."""
-    ast = trees.by_root(g)
-    sizes = _sizes(g).select(F.col("id").alias("allocation"), F.col("method_id").alias("callee_id"), "root_ord")
-    plain = ast.where("kind = 'IDENTIFIER' AND pre = 0").select(F.col("root_id").alias("allocation"), "root_ord", F.col("name").alias("param"))
-    by = sizes.join(plain, ["allocation", "root_ord"]).select("allocation", "callee_id", "param")
+    sizes = _sizes(g).select("method_id", F.col("id").alias("root_id"), "root_ord")
+    plain = g.expressions("argument", sizes).where("kind = 'IDENTIFIER' AND pre = 0").select(F.col("method_id").alias("callee_id"), F.col("name").alias("param"), F.col("root_id").alias("allocation"))
     p = g.parameter.select(F.col("method_id").alias("callee_id"), F.col("ord").alias("root_ord"), F.col("name").alias("param"))
-    into = callees(g).where("callee_id <> method_id").join(by.join(p, ["callee_id", "param"]), "callee_id")
-    into = cut(into.select(F.col("call_id").alias("id"), "method_id", "line", "root_ord", "callee_id", "allocation").distinct())
-    high = cut(trees.risky_arithmetic(ast).where("risk = 'HIGH'").select("root_id", "root_ord", "arithmetic", "names"))
-    direct = into.join(high.withColumnRenamed("root_id", "id"), ["id", "root_ord"])
-    names = ast.where("kind = 'IDENTIFIER' AND pre = 0").select(F.col("root_id").alias("id"), "root_ord", "name")
-    keys = ["id", "method_id", "line", "callee_id", "allocation", "name"]
-    last = last_before(g, into.join(names, ["id", "root_ord"]), keys)
-    indirect = last.join(high.where("root_ord = 0").withColumnRenamed("root_id", "assign_id"), "assign_id")
-    columns = ["id", "method_id", "line", "arithmetic", "callee_id", "allocation", "names"]
+    by = dealt(plain.join(p, ["callee_id", "param"]).select("callee_id", "root_ord", "allocation"), "callee_id")
+    # only calls that reach an allocation: of these alone are trees made, of the argument it takes
+    into = dealt(callees(g, by).where("callee_id <> method_id").withColumnRenamed("call_id", "root_id"), "method_id")
+    ast = _trees(g, "argument", into.select(_ROOT))
+    direct = into.join(trees.risky_arithmetic(ast, _ROOT).where("risk = 'HIGH'"), _ROOT)
+    used = into.select(*_ROOT, "line").distinct().join(ast.where("kind = 'IDENTIFIER' AND pre = 0").select(*_ROOT, "name"), _ROOT)
+    last = dealt(last_before(g, used, [*_ROOT, "line", "name"]), "method_id")
+    indirect = _last_products(g, last).join(into, [*_ROOT, "line"])
+    columns = [F.col("root_id").alias("id"), "method_id", "line", "arithmetic", "callee_id", "allocation", "names"]
     return unguarded(g, direct.select(columns).unionByName(indirect.select(columns))).drop("names").distinct()
 
 
