@@ -151,6 +151,14 @@ def test_trees_of_some_expressions_are_those_of_all(spark, of):
     assert 0 < want.count() < g.ast.count() / 3
 
 
+def test_given_graphs_parse_only_expressions_asked_for(spark):
+    g = graph(spark, argument=[arg(1, 9, 1, "a * b", 3, "CALL"), arg(1, 9, 2, "c", 3), arg(2, 9, 1, "d", 4)], assignment=[(1, 9, 5, "x", "e + 1"), (2, 9, 6, "y", "f")])
+    roots = lambda *rows: spark.createDataFrame(rows, "method_id long, root_id long, root_ord int")
+    assert sorted(r.code for r in g.expressions("argument", roots((9, 1, 1), (9, 1, 1), (8, 2, 1))).collect()) == ["a", "a * b", "b"]
+    assert sorted(r.code for r in g.expressions("assignment", roots((9, 1, 0))).collect()) == ["1", "e", "e + 1"]
+    assert "ast" not in g._got
+
+
 @pytest.mark.parametrize("name", ["int_overflow_interproc", "int_overflow_tree"])
 def test_overflows_make_no_trees_but_those_they_need(spark, monkeypatch, name):
     """Neither all arguments nor all trees are stored: only those of allocations, of arguments that reach one, and of what was last assigned."""
